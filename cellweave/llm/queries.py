@@ -27,5 +27,36 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.counts(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe, "op6_token_counts": op6_token_counts}
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op3_licenses as op
+
+    return op.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op4_merkle as op
+
+    return op.neighbours_compared(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op7_shards as op
+
+    return op.shard(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op9_quality as op
+
+    return op.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op3_licenses": op3_licenses,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_token_counts": op6_token_counts,
+    "op7_sharding": op7_sharding,
+    "op9_quality": op9_quality,
+}
 SQL: dict[str, str] = {}
