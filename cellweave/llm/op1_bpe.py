@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,25 +58,32 @@ def decode(encoded: DataFrame, path: str, pattern: str, chunk: int = 4096) -> Da
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = 4096) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = 4096, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them, in one pass; on demand the ids too."""
 
     def run(batches):
         e = encoder(path, pattern)
         tokens = e.fst.m.tokens
-        names = [str(i) for i in range(len(tokens))]
+        decimal = [str(i) for i in range(len(tokens))]
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in b.column(1):
                 ids = e.encode(text.as_py() or "")
                 n.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
+                if with_ids:
+                    all_ids.append(np.array(ids, np.int32))
+                ids_sha.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
                 h, d = hashlib.sha256(), bpe.StreamDecoder(tokens)
                 for k in range(0, len(ids), chunk):
                     h.update(d.feed(ids[k : k + chunk]).encode())
                 h.update(d.close().encode())
                 text_sha.append(h.hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            if with_ids:
+                flat = np.concatenate(all_ids) if all_ids else np.empty(0, np.int32)
+                cols.append(pa.ListArray.from_arrays(np.cumsum([0, *n]).astype(np.int32), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -143,3 +143,15 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
     out = feats.select("doc_id", *NAMES).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, all columns; the second scan scores each row where it is."""
+    trees = fit(features(docs, id_col, text_col), labels, id_col)
+
+    def run(batches):
+        for b in batches:
+            x = [statistics(o, d) for _, _, o, d in tx.slices(b, text_col)]
+            yield b.filter(pa.array(walk(trees, np.concatenate(x)) >= threshold)) if x else b
+
+    return docs.mapInArrow(run, docs.schema)

@@ -27,6 +27,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.counts(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op2_jaccard as op
+
+    return op.components(table(spark, sf_dir, "documents"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellweave.llm import op3_licenses as op
 
@@ -39,24 +45,46 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.neighbours_compared(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op5_ppm as op
+
+    return op.score(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellweave.llm import op7_shards as op
 
     return op.shard(table(spark, sf_dir, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op8_repeats as op
+
+    return op.removed(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellweave.llm import op9_quality as op
 
     return op.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op10_tiling as op
+
+    return op.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
     "op3_licenses": op3_licenses,
     "op4_fingerprints": op4_fingerprints,
+    "op5_ppm": op5_ppm,
     "op6_token_counts": op6_token_counts,
     "op7_sharding": op7_sharding,
+    "op8_repeats": op8_repeats,
     "op9_quality": op9_quality,
+    "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {}
