@@ -1,9 +1,11 @@
 """Registered queries over the operators, with the SQL that each must match."""
 
+from cellweave.plans import grid_queries
+
 
 def queries():
-    return {}
+    return dict(grid_queries.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(grid_queries.SQL)
