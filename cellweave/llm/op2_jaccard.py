@@ -11,8 +11,9 @@
    centre, never all pairs. Each comparison walks a trie of the sets (commonest shingle first, so
    that near copies share paths), carries the overlap along the shared path and cuts subtrees that
    the remaining lengths cannot lift to the needed overlap. Groups whose sets are all connected are
-   done; a centre leaves its groups when compared; what is left after STARS rounds is compared
-   pair by pair across different components.
+   done; a centre leaves its groups when compared. After STARS rounds the centres are up to SLOTS
+   sets a group outside its largest component; after as many such rounds, what is left is compared
+   pair by pair across components.
 5. Links become components by alternating stars.
 
 Defined results: null and empty texts and texts without words have no shingles and are alone; a
@@ -33,7 +34,7 @@ from cellweave.llm import text as tx
 from cellweave.operators.components import connected_components
 from cellweave.session import cut, shuffle_parts
 
-K, STARS, TRIE_TOKENS, BLOCK = 5, 3, 200_000, 512
+K, STARS, CENTRES, SLOTS, TRIE_TOKENS, BLOCK = 5, 2, 4, 3, 200_000, 512
 #: Similarity of at least 75/100, in integers: 100 i >= 75 (n + m - i), that is i >= 3 (n + m) / 7.
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -218,30 +219,39 @@ def set_components(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     groups = groups.select("token", "set", "n", (F.col("n") - F.col("own") + F.col("at")).alias("place"))
     # A place lets in partners of 3/4 the size at least only if enough of the set follows it.
     groups = groups.filter("7 * (n - place) >= 3 * n + ceil(9 * n / 4)")
-    some = groups.groupBy("token").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).filter("lo <> hi").select("token")
-    groups = cut(groups.join(some, "token"))
-    links, roots = None, None
-    for last in [False] * STARS + [True]:
-        g = groups
-        if roots is not None:
-            g = g.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-            open_ = g.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-            g = cut(g.join(open_, "token"))
-            groups = g.drop("root")
-        if g.isEmpty():
-            break
-        if last:
-            x, y = g.alias("x"), g.alias("y")
+    links, roots, turn = None, None, 0
+    while True:
+        g = groups.withColumn("root", F.col("set")) if roots is None else groups.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+        me = F.struct("set", "n", "place")
+        if turn < STARS:
+            # The centre depends on the shingle too, so that a family of near copies gets a few centres at once.
+            open_ = g.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.array(F.min_by(me, F.xxhash64("set", F.pmod(F.col("token"), F.lit(CENTRES))))).alias("c"))
+            open_ = open_.filter("lo <> hi").select("token", "c")
+        elif turn == 2 * STARS:
+            x = cut(g)
+            x, y = x.alias("x"), x.alias("y")
             pairs = x.join(y, F.expr("x.token = y.token and x.set < y.set and x.root <> y.root and " + _may("x.", "y.")))
             pairs = pairs.select(F.col("x.set").alias("centre"), F.col("y.set").alias("set")).distinct()
         else:
-            centre = g.groupBy("token").agg(F.min_by(F.struct("set", "n", "place"), F.xxhash64("set")).alias("c"))
-            g = g.join(centre, "token").select("token", "set", "n", "place", F.col("c.set").alias("c_set"), F.col("c.n").alias("c_n"), F.col("c.place").alias("c_place"))
-            pairs = g.filter("set <> c_set and " + _may("", "c_")).select(F.col("c_set").alias("centre"), "set").distinct()
-            groups = g.filter("set <> c_set").select("token", "set", "n", "place")
+            # From now on the centres are sets outside their group's largest component.
+            sizes = g.groupBy("token", "root").agg(F.count("*").alias("rows"))
+            top = sizes.groupBy("token").agg(F.max_by("root", F.struct("rows", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1").select("token", "top")
+            slot = F.pmod(F.xxhash64("set"), F.lit(SLOTS))
+            open_ = g.join(top, "token").filter("root <> top").groupBy("token", slot.alias("slot")).agg(F.min_by(me, F.xxhash64("set", F.lit(1))).alias("c"))
+            open_ = open_.groupBy("token").agg(F.collect_list("c").alias("c"))
+        if turn < 2 * STARS:
+            g = cut(g.join(open_, "token"))
+            if g.isEmpty():
+                break
+            pairs = g.select("root", "set", "n", "place", F.explode("c").alias("c")).select("*", F.col("c.set").alias("c_set"), F.col("c.n").alias("c_n"), F.col("c.place").alias("c_place"))
+            pairs = pairs.filter("set <> c_set and " + _may("", "c_")).select(F.col("c_set").alias("centre"), "set").distinct()
+            groups = g.filter(~F.exists("c", lambda c: c["set"] == F.col("set"))).select("token", "set", "n", "place")
         found = cut(_links(cut(pairs), sets))
         links = found if links is None else links.unionAll(found)
         roots = connected_components(links).select(F.col("node").alias("set"), "root")
+        turn += 1
+        if turn > 2 * STARS:
+            break
     if links is None:
         none = docs.sparkSession.createDataFrame([], "a long, b long")
         return none.selectExpr("a as set", "b as root"), none
