@@ -307,9 +307,9 @@ def _(s, d):
     return class_cells(s, d).filter("type is not null").groupBy("type").agg(F.count("*").alias("n"))
 
 
-@query("j1_points_in_diamonds", "SELECT g.id, min(f.gid) AS gid FROM fx_grid g JOIN fx_diamond f ON abs(g.xcen + 0.25 - f.cx) / f.rx + abs(g.ycen + 0.125 - f.cy) / f.ry < 1 GROUP BY g.id")
+@query("j1_points_in_diamonds", "SELECT g.id, min(f.gid) AS gid FROM fx_grid g JOIN fx_diamond f ON abs(g.xcen + 0.23719 - f.cx) / f.rx + abs(g.ycen + 0.11373 - f.cy) / f.ry < 1 GROUP BY g.id")
 def _(s, d):
-    return sp.points_in_polygons(L(s, d, "fx_grid").select("id", (F.col("xcen") + 0.25).alias("x"), (F.col("ycen") + 0.125).alias("y")), diamond_edges(s, d), D(s, d))
+    return sp.points_in_polygons(L(s, d, "fx_grid").select("id", (F.col("xcen") + 0.23719).alias("x"), (F.col("ycen") + 0.11373).alias("y")), diamond_edges(s, d), D(s, d))
 
 
 @query("j2_nearest_polygon", "WITH " + CL + ", f AS (SELECT c.id, l.lid, greatest(0, l.x0 - c.xcen, c.xcen - l.x1) ** 2 + greatest(0, l.y0 - c.ycen, c.ycen - l.y1) ** 2 AS d2 FROM cl c JOIN lc l ON l.x0 <= c.xcen + 2000 AND l.x1 >= c.xcen - 2000 WHERE c.lid IS NULL), n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, lid) AS n FROM f) SELECT id, lid AS gid, round(sqrt(d2), 6) AS dist FROM n WHERE n = 1")
