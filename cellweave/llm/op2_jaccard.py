@@ -34,7 +34,7 @@ from cellweave.llm import text as tx
 from cellweave.operators.components import connected_components
 from cellweave.session import cut, shuffle_parts
 
-K, STARS, CENTRES, SLOTS, TRIE_TOKENS, BLOCK = 5, 2, 4, 3, 200_000, 512
+K, STARS, CENTRES, SLOTS, TRIE_TOKENS, BLOCK = 5, 2, 4, 3, 50_000, 512
 #: Similarity of at least 75/100, in integers: 100 i >= 75 (n + m - i), that is i >= 3 (n + m) / 7.
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -73,7 +73,7 @@ def _packed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for _, _, o, d in tx.slices(b, "text", 2 * tx.SLICE):
+            for _, _, o, d in tx.slices(b, "text"):
                 h, doc, n, name = _sets(o, d)
                 _, once = np.unique(name, return_index=True)
                 keep = np.zeros(len(n), bool)

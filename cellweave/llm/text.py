@@ -89,7 +89,11 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """64-bit hashes of the byte spans."""
     p, inv = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[: len(data)], out=total[1:])
+    part = total[1:]  # in place: the text's bytes times eight are held once
+    part[:] = data
+    part += np.uint64(1)
+    part *= p[: len(data)]
+    np.cumsum(part, out=part)
     return mix((total[end] - total[start]) * inv[start] + (end - start).astype(np.uint64))
 
 
