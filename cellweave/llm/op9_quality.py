@@ -2,7 +2,8 @@
 
 Statistics come from whole texts in one scan. Trees are grown on at most TRAIN_ROWS labelled rows
 (those of smallest id hash, the same at any size of input), flattened into arrays, and every
-document walks all trees at once in numpy.
+document walks all trees at once in numpy. A count of the labelled rows sets a bound on the hash, so
+that little more than the sample leaves the executors.
 
 Defined results: a null text is empty and is scored like any other; labels that are null are not
 learnt from, of several labels for one id the smallest counts; without labels of both kinds every
@@ -120,10 +121,15 @@ def walk(trees: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-(trees["start"][0] + trees["value"][t, node - (2**DEPTH - 1)].sum(1))))
 
 
-def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", fold: int = 5) -> dict[str, np.ndarray]:
-    """Trees from labelled rows whose crc32(id as text) mod ``fold`` is not 0."""
+def fit(feats: DataFrame, ids: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", fold: int = 5) -> dict[str, np.ndarray]:
+    """Trees from labelled rows whose crc32(id as text) mod ``fold`` is not 0; ``ids`` is the id column of the documents."""
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label")).dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
-    rows = feats.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold != 0).join(known, "doc_id")
+    known = known.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold != 0)
+    rows = feats.join(known, "doc_id")
+    many = known.join(ids, "doc_id", "left_semi").count()
+    if many > 2 * TRAIN_ROWS:
+        # Hashes spread evenly, so a bound for 1.2 times the sample (26 deviations more than it) keeps all of its rows.
+        rows = rows.filter(F.xxhash64("doc_id") < F.lit(int(2**64 * (1.2 * TRAIN_ROWS / many)) - 2**63))
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *NAMES).limit(TRAIN_ROWS).select(*NAMES, "label").toPandas()
     return grow(rows[NAMES].to_numpy(float), rows["label"].to_numpy(float))
 
@@ -132,7 +138,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
     """doc_id, held_out, score, predicted."""
     kind = docs.schema[id_col].dataType.simpleString()
     feats = cut(features(docs, id_col, text_col))
-    trees = fit(feats, labels)
+    trees = fit(feats, feats.select("doc_id"), labels, id_col)
 
     def run(batches):
         for b in batches:
@@ -147,7 +153,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns; the second scan scores each row where it is."""
-    trees = fit(features(docs, id_col, text_col), labels, id_col)
+    trees = fit(features(docs, id_col, text_col), docs.select(F.col(id_col).alias("doc_id")), labels, id_col)
 
     def run(batches):
         for b in batches:
