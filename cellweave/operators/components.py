@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         e = cut(small.distinct())
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     else:
