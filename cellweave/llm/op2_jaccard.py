@@ -209,6 +209,18 @@ def _may(a: str, b: str) -> str:
     return f"7 * least({a}n - {a}place, {b}n - {b}place) >= 3 * ({a}n + {b}n)"
 
 
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(set, root) with new links; only those between different components are walked again."""
+    if roots is None:
+        return connected_components(links).select(F.col("node").alias("set"), "root")
+    for end in "ab":
+        links = links.join(roots.select(F.col("set").alias(end), F.col("root").alias(f"{end}_root")), end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    moved = connected_components(links, "a_root", "b_root").select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = roots.join(moved, "root", "left").select("set", F.coalesce("to", "root").alias("root"))
+    new = moved.withColumnRenamed("root", "set").join(roots, "set", "left_anti").select("set", F.col("to").alias("root"))
+    return cut(old.unionAll(new))
+
+
 def set_components(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(set, root) of sets that link with others, and the links (a, b) that were verified."""
     buckets = shuffle_parts(docs.sparkSession)
@@ -248,7 +260,7 @@ def set_components(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
             groups = g.filter(~F.exists("c", lambda c: c["set"] == F.col("set"))).select("token", "set", "n", "place")
         found = cut(_links(cut(pairs), sets))
         links = found if links is None else links.unionAll(found)
-        roots = connected_components(links).select(F.col("node").alias("set"), "root")
+        roots = _merged(roots, found)
         turn += 1
         if turn > 2 * STARS:
             break
