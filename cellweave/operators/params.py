@@ -48,6 +48,20 @@ def bounds_report(cube: DataFrame, bounds: DataFrame) -> DataFrame:
     return r.join(F.broadcast(bounds), "var").select("var", "lo", "hi", ((F.col("lo") >= F.col("least")) & (F.col("hi") <= F.col("most"))).alias("ok"))
 
 
+# Variables that every cube has to hold, and those that it holds besides where buildings are included.
+REQUIRED = ["x", "y", "crs", "lat", "lon", "E_UTM", "N_UTM", "zt", "vegetation_type", "pavement_type", "water_type", "soil_type"]
+REQUIRED_BUILDINGS = ["buildings_2d", "building_id"]
+
+
+def required_variables(cube: DataFrame, buildings: bool = False) -> DataFrame:
+    """var, n, ok: number of values of each required variable; without any it is missing and not ok."""
+    names = REQUIRED + (REQUIRED_BUILDINGS if buildings else [])
+    n = cube.filter(F.col("var").isin(names)).groupBy("var").agg(F.count("*").alias("n"))
+    required = cube.sparkSession.createDataFrame([(v,) for v in names], "var string")
+    out = required.join(n, "var", "left").select("var", F.coalesce("n", F.lit(0)).alias("n"))
+    return out.withColumn("ok", F.col("n") > 0)
+
+
 def compare_cubes(a: DataFrame, b: DataFrame, tol: float) -> DataFrame:
     """var, only_a, only_b, differing: presence and values of two cubes."""
     k = ["var", "j", "i"]

@@ -696,6 +696,11 @@ def _(s, d):
     return cube(s, d).groupBy("var").agg(F.count_if(F.isnan("value")).alias("n"))
 
 
+@query("q_d_required_variables", "WITH " + CUBE + ", r AS (SELECT * FROM (VALUES " + ", ".join(f"('{v}')" for v in pr.REQUIRED + pr.REQUIRED_BUILDINGS) + ") t(var)) SELECT r.var, count(cube.var) AS n, count(cube.var) > 0 AS ok FROM r LEFT JOIN cube ON cube.var = r.var GROUP BY r.var")
+def _(s, d):
+    return pr.required_variables(cube(s, d), buildings=True)
+
+
 @query("q_e_compare_cubes", "WITH " + CUBE + " SELECT var, CAST(count(*) FILTER (WHERE i % 10 = 3) AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b, count(*) FILTER (WHERE i % 10 <> 3 AND j % 7 = 0) AS differing FROM cube GROUP BY var")
 def _(s, d):
     c = cube(s, d)
