@@ -11,11 +11,11 @@ from cellweave.session import cut
 
 
 def fill_heights(cells: DataFrame, radius: int) -> DataFrame:
-    """Null heights from windows of growing radius, first of the same lid, then of any; nearest first, then lowest id."""
+    """Null heights from windows of growing radius: first of the same lid at every radius, then of any; nearest first, then lowest id."""
     cells = cut(cells)
-    for r in range(1, radius + 1):
-        off = [(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1) if (a, b) != (0, 0)]
-        for same in (True, False):
+    for same in (True, False):
+        for r in range(1, radius + 1):
+            off = [(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1) if (a, b) != (0, 0)]
             n = neighbours(cells.filter("height is not null"), ["id", "lid", "height"], off).join(cells.filter("height is null").select("i", "j", "lid"), ["i", "j"])
             n = n.filter("lid = n_lid") if same else n
             best = n.groupBy("i", "j").agg(F.min(F.struct((F.col("di") * F.col("di") + F.col("dj") * F.col("dj")).alias("d"), "n_id", "n_height")).alias("b"))

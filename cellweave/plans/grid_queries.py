@@ -519,7 +519,7 @@ def _(s, d):
 
 @query("b3_fill_from_neighbours")
 def _(s, d):
-    return bl.fill_heights(building_cells(s, d), 2).select("id", "lid", "height")
+    return bl.fill_heights(building_cells(s, d), 4).select("id", "lid", "height")
 
 
 @query("b4_default_height", "WITH " + BC + " SELECT id, coalesce(height, CASE lid % 3 WHEN 0 THEN 6 WHEN 1 THEN 9 ELSE 12 END) AS height FROM bc")

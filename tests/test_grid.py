@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import grid, landcover, stencil
+from cellweave.operators import buildings, grid, landcover, stencil
 from cellweave.operators.components import connected_components
 from cellweave.plans import fixtures as fx
 from cellweave.plans import grid_queries as gq
@@ -61,3 +61,31 @@ def test_guards(spark):
         landcover.assert_inputs({"walls": None, "roofs": spark.range(1)})
     with pytest.raises(ValueError, match="code"):
         landcover.standardize_columns(spark.range(1), {}, ["code"])
+
+
+def plain_fill_heights(cells, radius):
+    """cells: (i, j) to (id, lid, height)."""
+    for same in (True, False):
+        for r in range(1, radius + 1):
+            new = {}
+            for (i, j), (_, lid, h) in cells.items():
+                if h is None:
+                    near = [(a * a + b * b, *cells[i + a, j + b]) for a in range(-r, r + 1) for b in range(-r, r + 1) if (i + a, j + b) in cells]
+                    near = [(d, n, x) for d, n, k, x in near if x is not None and (k == lid or not same)]
+                    if near:
+                        new[i, j] = min(near)[2]
+            for k, h in new.items():
+                cells[k] = (*cells[k][:2], h)
+    return {n: (lid, h) for n, lid, h in cells.values()}
+
+
+def test_b3_fills_as_brute_force(spark):
+    rows = gq.building_cells(spark, SF).select("i", "j", "id", "lid", "height").collect()
+    want = plain_fill_heights({(r["i"], r["j"]): (r["id"], r["lid"], r["height"]) for r in rows}, 4)
+    got = {r["id"]: (r["lid"], r["height"]) for r in gq.QUERIES["b3_fill_from_neighbours"](spark, SF).collect()}
+    assert got == want and any(r["height"] is None for r in rows)
+
+
+def test_b3_takes_the_same_building_at_four_cells_before_another(spark):
+    cells = spark.createDataFrame([(1, 0, 0, 7, None), (2, 1, 0, 8, 5.0), (3, 0, 4, 7, 9.0), (4, 20, 20, 7, None), (5, 24, 20, 8, 6.0), (6, 30, 0, 7, None), (7, 35, 0, 7, 4.0)], "id int, i int, j int, lid int, height double")
+    assert {r["id"]: r["height"] for r in buildings.fill_heights(cells, 4).collect()} == {1: 9.0, 2: 5.0, 3: 9.0, 4: 6.0, 5: 6.0, 6: None, 7: 4.0}
