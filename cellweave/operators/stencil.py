@@ -86,6 +86,16 @@ def fill_small_basins(cells: DataFrame, least: int = 10) -> DataFrame:
     return named.join(small.select("root", "rim"), "root", "left").withColumn("nz", F.coalesce("rim", "nz")).select(*cells.columns)
 
 
+def fill_small_basins_all(cells: DataFrame, least: int = 10, most: int = 21) -> DataFrame:
+    """Rounds of ``fill_small_basins`` until nothing changes, at most ``most``."""
+
+    def step(s):
+        new = fill_small_basins(s.withColumn("was", F.col("nz")), least)
+        return new.withColumn("changed", F.col("nz") != F.col("was")).drop("was"), True
+
+    return until_still(cells, step, most)
+
+
 def border_fill(cells: DataFrame, nx: int, ny: int, depth: int = 1) -> DataFrame:
     """Border cells lower than the cell ``depth`` rows further in take its level: west, east, south, north in turn."""
     for r in reversed(range(depth)):

@@ -461,6 +461,11 @@ def _(s, d):
     return st.fill_small_basins(L(s, d, "fx_levels").select("id", "i", "j", "nz"))
 
 
+@query("p7_fill_small_basins_all")
+def _(s, d):
+    return st.fill_small_basins_all(L(s, d, "fx_levels").select("id", "i", "j", "nz"))
+
+
 def _border_sql(depth: int) -> str:
     out, last = [], "fx_levels"
     for r in reversed(range(depth)):

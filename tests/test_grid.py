@@ -46,6 +46,53 @@ def test_filled_surface_has_no_minima(spark):
     assert full.join(cells.withColumnRenamed("nz", "was"), ["id", "i", "j"]).filter("nz < was").isEmpty()
 
 
+def plain_basins(nz, least=10, most=21):
+    """nz: (i, j) to level; the filled levels and the rounds that changed any."""
+    nz, around, turns = dict(nz), ((-1, 0), (1, 0), (0, -1), (0, 1)), 0
+    for _ in range(most):
+        new, done = dict(nz), set()
+        for start in nz:
+            if start in done:
+                continue
+            region, todo, rim = {start}, [start], []
+            while todo:
+                i, j = todo.pop()
+                for a, b in around:
+                    n = (i + a, j + b)
+                    if n in nz and nz[n] != nz[start]:
+                        rim.append(nz[n])
+                    elif n in nz and n not in region:
+                        region.add(n)
+                        todo.append(n)
+            done |= region
+            if len(region) < least and rim and min(rim) > nz[start]:
+                new |= dict.fromkeys(region, min(rim))
+        if new == nz:
+            break
+        nz, turns = new, turns + 1
+    return nz, turns
+
+
+def test_basins_are_filled_in_rounds(spark):
+    # a hole of 1 cell in a basin of 3 by 3 in a plain, and one in a basin too large to fill
+    nz = {(i, j): 3 for i in range(14) for j in range(10)}
+    nz |= {(i, j): 1 for i in range(1, 4) for j in range(1, 4)} | {(2, 2): 0}
+    nz |= {(i, j): 1 for i in range(6, 12) for j in range(1, 8)} | {(8, 3): 0}
+    cells = spark.createDataFrame([(i * 10 + j, i, j, z) for (i, j), z in nz.items()], "id int, i int, j int, nz int")
+    want, turns = plain_basins(nz)
+    full = stencil.fill_small_basins_all(cells)
+    assert {(r["i"], r["j"]): r["nz"] for r in full.collect()} == want and turns == 2
+    assert want[2, 2] == 3 and want[8, 3] == 1
+
+
+def test_p7_all_leaves_no_small_basin(spark):
+    cells = fx.layer(spark, SF, "fx_levels").select("id", "i", "j", "nz")
+    full = gq.QUERIES["p7_fill_small_basins_all"](spark, SF)
+    assert {(r["i"], r["j"]): r["nz"] for r in full.collect()} == plain_basins({(r["i"], r["j"]): r["nz"] for r in cells.collect()})[0]
+    assert stencil.fill_small_basins(full).exceptAll(full).isEmpty()
+    assert full.join(cells.withColumnRenamed("nz", "was"), ["id", "i", "j"]).filter("nz < was").isEmpty()
+
+
 def test_components_of_a_long_path(spark):
     e = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionAll(spark.createDataFrame([(1000, 1001), (1001, 1001)], "a long, b long"))
     got = {r["node"]: r["root"] for r in connected_components(e).collect()}
