@@ -24,6 +24,11 @@ steps 3 and 5 compare bytes.
 
 Defined results: a null or empty text has 0 bytes, nothing removed and the digest of nothing; texts
 shorter than SPAN lose nothing; repeated rows are separate documents; null ids are allowed.
+
+``strip`` can also judge by words: the construction then runs over texts in which each word is
+SYMBOL bytes of its hash (7 bits each, so 42 bits), and a span is so many symbols. Whitespace is
+not compared. A run of over UNBROKEN bytes without a separator is no word of a language with
+spaces; its bytes stand for themselves, so that SYMBOL of them count as a word.
 """
 
 from __future__ import annotations
@@ -36,12 +41,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cellweave.llm import text as tx
 from cellweave.session import cut, shuffle_parts
 
 SPAN, GRAM, HOT = 400, 32, 50_000
-_NEAR = SPAN - GRAM  # an anchor lies at most so far behind the start of its string
+SYMBOL, UNBROKEN = 6, 64
+# An anchor lies at most span - GRAM behind the start of its string.
 
 
 def _gram_hashes(d: np.ndarray) -> np.ndarray:
@@ -52,11 +59,11 @@ def _gram_hashes(d: np.ndarray) -> np.ndarray:
     return tx.mix(h)
 
 
-def _anchors(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, place, first and last start of each anchor of one text of SPAN bytes or more."""
-    h = _gram_hashes(d)
-    w = _NEAR + 1
-    starts = len(d) - SPAN + 1
+def _anchors(d: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, place, first and last start of each anchor of one text of ``span`` bytes or more."""
+    h, near = _gram_hashes(d), span - GRAM
+    w = near + 1
+    starts = len(d) - span + 1
     n = -(-len(h) // w) * w
     x = np.full(n, np.uint64(2**64 - 1))
     x[: len(h)] = h
@@ -69,7 +76,7 @@ def _anchors(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     size = np.diff(np.append(change, starts))
     out = []
     for a, m, v in zip(change.tolist(), size.tolist(), low[change].tolist()):
-        at = a + np.flatnonzero(h[a : a + m + _NEAR] == np.uint64(v))
+        at = a + np.flatnonzero(h[a : a + m + near] == np.uint64(v))
         if len(at) == 1:
             out.append((v, at[0], a, a + m - 1))
             continue
@@ -85,7 +92,7 @@ def _anchors(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return np.array(v, np.uint64), np.array(p), np.array(a), np.array(b)
 
 
-def _periodic(d: np.ndarray, h: np.ndarray, p: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def _periodic(d: np.ndarray, h: np.ndarray, p: np.ndarray, a: np.ndarray, b: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Which anchors still need comparing, and the spans [start, end) decided here."""
     need, spans = np.ones(len(p), bool), []
     tie = np.flatnonzero((h[1:] == h[:-1]) & (p[1:] - p[:-1] <= GRAM * 4))
@@ -111,14 +118,14 @@ def _periodic(d: np.ndarray, h: np.ndarray, p: np.ndarray, a: np.ndarray, b: np.
             e = e + int(bad[0]) if len(bad) else c
             if len(bad):
                 break
-        if e - s >= SPAN:
+        if e - s >= span:
             spans.append((s, e + q))
-            need &= ~((a >= s + q) & (b <= e - SPAN + q))
+            need &= ~((a >= s + q) & (b <= e - span + q))
             done = e
     return need, spans
 
 
-def _find(docs: DataFrame) -> DataFrame:
+def _find(docs: DataFrame, span: int) -> DataFrame:
     """Rows of (hash, key, place, first, last) for anchors, hash null for decided spans [first, last)."""
 
     def run(batches):
@@ -126,11 +133,11 @@ def _find(docs: DataFrame) -> DataFrame:
             keys = b.column(0).to_numpy()
             parts, spans = [], []
             for lo, _, o, d in tx.slices(b, "text"):
-                for k in np.flatnonzero(np.diff(o) >= SPAN).tolist():
+                for k in np.flatnonzero(np.diff(o) >= span).tolist():
                     one = d[o[k] : o[k + 1]]
-                    h, p, s, e = _anchors(one)
+                    h, p, s, e = _anchors(one, span)
                     if (h[1:] == h[:-1]).any():
-                        need, own = _periodic(one, h, p, s, e)
+                        need, own = _periodic(one, h, p, s, e, span)
                         spans += [(int(keys[lo + k]), x, y) for x, y in own]
                         h, p, s, e = h[need], p[need], s[need], e[need]
                     parts.append((h.view(np.int64), np.full(len(h), keys[lo + k]), p, s, e))
@@ -157,7 +164,7 @@ def _packed_text(docs: DataFrame) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, z binary")
 
 
-def _pieces(rows: DataFrame, buckets: int) -> DataFrame:
+def _pieces(rows: DataFrame, buckets: int, span: int) -> DataFrame:
     """Texts with their anchors to packed pieces for each bucket."""
 
     def run(batches):
@@ -176,8 +183,8 @@ def _pieces(rows: DataFrame, buckets: int) -> DataFrame:
                 for k, row in zip(to.tolist(), f):
                     meta, data = out.setdefault(k, ([], []))
                     meta.append(row)
-                    data.append(d[row[3] : row[4] + SPAN])
-                    size += row[4] + SPAN - row[3]
+                    data.append(d[row[3] : row[4] + span])
+                    size += row[4] + span - row[3]
                 if size > 16 << 20:
                     yield flush()
                     out, size = {}, 0
@@ -187,15 +194,16 @@ def _pieces(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, "bucket int, about binary, bytes binary")
 
 
-def column_wise(group: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
+def column_wise(group: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray, span: int = SPAN) -> np.ndarray:
     """Starts that repeat, as marks over ``data``.
 
     Piece k is data[sum(length[:k]):][:length[k]], its first byte ``first[k]`` columns left of its
     anchor; pieces of one group (ascending) are compared.
     """
-    n, width = len(group), _NEAR + SPAN
+    n, near_most = len(group), span - GRAM
+    width = near_most + span
     begin = np.cumsum(length) - length
-    left = _NEAR - first  # column of the first byte
+    left = near_most - first  # column of the first byte
     grid = np.full((n, width), 256, np.int16)
     flat = np.repeat(np.arange(n) * width + left - begin, length) + np.arange(len(data))
     grid.ravel()[flat] = data
@@ -223,47 +231,51 @@ def column_wise(group: np.ndarray, first: np.ndarray, length: np.ndarray, data:
         nxt[0] = 0
         nxt[1:][(key[1:] != key[:-1]) | (c[1:] == 256)] = 0
         common[:n] = nxt
-        if col <= _NEAR:
-            twice = common[:n] >= SPAN
-            twice[:-1] |= common[1:n] >= SPAN
+        if col <= near_most:
+            twice = common[:n] >= span
+            twice[:-1] |= common[1:n] >= span
             k = order[twice]
             if len(k):
                 marks[begin[k] + col - left[k]] = True
     return marks
 
 
-def _construct(pdf: pd.DataFrame) -> pd.DataFrame:
+def _construct(span: int):
     """Repeated spans of a bucket of anchors."""
-    unpack = zstandard.ZstdDecompressor()
-    meta = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 5) for x in pdf["about"]])
-    data = np.frombuffer(b"".join(unpack.decompress(x) for x in pdf["bytes"]), np.uint8)
-    length = meta[:, 4] + SPAN - meta[:, 3]
-    begin = np.cumsum(length) - length
-    by = np.argsort(meta[:, 0], kind="stable")
-    keys, starts, ends = [], [], []
-    at = 0
-    while at < len(by):  # whole anchors, so many at once
-        to = min(len(by), at + 20_000)
-        while to < len(by) and meta[by[to], 0] == meta[by[to - 1], 0]:
-            to += 1
-        own = by[at:to]
-        m, size = meta[own], length[own]
-        place = np.cumsum(size) - size
-        part = data[np.repeat(begin[own] - place, size) + np.arange(size.sum())]
-        _, group = np.unique(m[:, 0], return_inverse=True)
-        marks = column_wise(group, m[:, 2] - m[:, 3], size, part)
-        edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        k = np.searchsorted(place, a, "right") - 1
-        # a run never goes over a piece's end, as the last SPAN - 1 places of a piece are no starts
-        keys.append(m[k, 1])
-        starts.append(m[k, 3] + a - place[k])
-        ends.append(m[k, 3] + b - 1 - place[k] + SPAN)
-        at = to
-    return pd.DataFrame({"key": np.concatenate(keys), "first": np.concatenate(starts), "last": np.concatenate(ends)})
-
-
-def _windows(rows: DataFrame) -> DataFrame:
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor()
+        meta = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 5) for x in pdf["about"]])
+        data = np.frombuffer(b"".join(unpack.decompress(x) for x in pdf["bytes"]), np.uint8)
+        length = meta[:, 4] + span - meta[:, 3]
+        begin = np.cumsum(length) - length
+        by = np.argsort(meta[:, 0], kind="stable")
+        keys, starts, ends = [], [], []
+        at = 0
+        while at < len(by):  # whole anchors, so many at once
+            to = min(len(by), at + 20_000)
+            while to < len(by) and meta[by[to], 0] == meta[by[to - 1], 0]:
+                to += 1
+            own = by[at:to]
+            m, size = meta[own], length[own]
+            place = np.cumsum(size) - size
+            part = data[np.repeat(begin[own] - place, size) + np.arange(size.sum())]
+            _, group = np.unique(m[:, 0], return_inverse=True)
+            marks = column_wise(group, m[:, 2] - m[:, 3], size, part, span)
+            edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
+            a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            k = np.searchsorted(place, a, "right") - 1
+            # a run never goes over a piece's end, as the last span - 1 places of a piece are no starts
+            keys.append(m[k, 1])
+            starts.append(m[k, 3] + a - place[k])
+            ends.append(m[k, 3] + b - 1 - place[k] + span)
+            at = to
+        return pd.DataFrame({"key": np.concatenate(keys), "first": np.concatenate(starts), "last": np.concatenate(ends)})
+
+    return run
+
+
+def _windows(rows: DataFrame, span: int) -> DataFrame:
     """For hot anchors: hashes of all their strings (key, start, x, y)."""
 
     def run(batches):
@@ -272,34 +284,34 @@ def _windows(rows: DataFrame) -> DataFrame:
             for key, z, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 d = unpack.decompress(z.as_buffer())
                 starts = np.concatenate([np.arange(f["first"], f["last"] + 1) for f in found.as_py()])
-                x = [hashlib.blake2b(d[s : s + SPAN], digest_size=16).digest() for s in starts.tolist()]
+                x = [hashlib.blake2b(d[s : s + span], digest_size=16).digest() for s in starts.tolist()]
                 xy = np.frombuffer(b"".join(x), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), key)), pa.array(starts), pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy())], ["key", "start", "x", "y"])
 
     return rows.mapInArrow(run, "key long, start long, x long, y long")
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, *, span: int = SPAN) -> DataFrame:
     """id, key, spans: sorted byte ranges [first, last) to remove, for texts that have any."""
     buckets = shuffle_parts(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text, F.octet_length(text)).alias("key"), text.alias("text"))
-    known = rows.select("id", "key", F.octet_length("text").alias("size")).filter(F.col("size") >= SPAN)
+    known = rows.select("id", "key", F.octet_length("text").alias("size")).filter(F.col("size") >= span)
     classes = cut(known.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("size").alias("size")))
-    found = cut(_find(rows))
+    found = cut(_find(rows, span))
     anchors = found.filter("hash is not null")
     twice = anchors.groupBy("hash").agg(F.min(F.struct("key", "place")).alias("lo"), F.max(F.struct("key", "place")).alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("hash", (F.col("n") > hot).alias("hot"))
     need = anchors.join(twice, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place", "first", "last", "hot")).alias("found"))
     need = need.join(classes.select("key", "id"), "key").select(F.col("key").alias("n_key"), F.col("id").alias("n_id"), "found")
-    z = _packed_text(rows.filter(F.octet_length("text") >= SPAN))
+    z = _packed_text(rows.filter(F.octet_length("text") >= span))
     with_text = z.join(need, F.expr("key = n_key and id <=> n_id")).select("key", "z", "found")
     with_text = cut(with_text) if hot_any(twice) else with_text
     cold = with_text.select("key", "z", F.filter("found", lambda f: ~f["hot"]).alias("found")).filter(F.size("found") > 0)
-    repeats = _pieces(cold, buckets).groupBy("bucket").applyInPandas(_construct, "key long, first long, last long")
+    repeats = _pieces(cold, buckets, span).groupBy("bucket").applyInPandas(_construct(span), "key long, first long, last long")
     if hot_any(twice):
-        w = cut(_windows(with_text.select("key", "z", F.filter("found", lambda f: f["hot"]).alias("found")).filter(F.size("found") > 0)).distinct())
+        w = cut(_windows(with_text.select("key", "z", F.filter("found", lambda f: f["hot"]).alias("found")).filter(F.size("found") > 0), span).distinct())
         many = w.groupBy("x", "y").count().filter("count > 1").select("x", "y")
-        repeats = repeats.unionAll(w.join(many, ["x", "y"], "left_semi").selectExpr("key", "start as first", f"start + {SPAN} as last"))
+        repeats = repeats.unionAll(w.join(many, ["x", "y"], "left_semi").selectExpr("key", "start as first", f"start + {span} as last"))
     repeats = repeats.unionAll(found.filter("hash is null").select("key", "first", "last"))
     single = classes.filter("rows = 1").select("key", "id")
     lists = repeats.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
@@ -355,17 +367,72 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated bytes taken out of the texts; code points cut in two are dropped."""
-    cuts = spans(docs, id_col, text_col).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(cuts, docs[id_col].eqNullSafe(cuts["_id"]) & (F.xxhash64(text, F.octet_length(text)) == cuts["_key"]), "left").drop("_id", "_key")
+def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of the texts in order: start and end in ``data``, text, size (SYMBOL or, of an unbroken run, 1), and all bytes."""
+    s, e, doc = tx.words(data, offs)
+    h = tx.span_hashes(data, s, e)
+    times = np.where(e - s > UNBROKEN, e - s, 1)
+    of = np.repeat(np.arange(len(s)), times)
+    loose = (times > 1)[of]
+    start = s[of] + np.where(loose, np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times), 0)
+    end = np.where(loose, start + 1, e[of])
+    size = np.where(loose, 1, SYMBOL)
+    begin = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    out[begin[loose]] = data[start[loose]]
+    for k in range(SYMBOL):
+        out[begin[~loose] + k] = (h[of[~loose]] >> np.uint64(7 * k)) & np.uint64(127)
+    return start, end, doc[of], size, out
+
+
+def _with_symbols(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with a last column _symbols: the texts' symbols as a string."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for lo, hi, o, d in tx.slices(b, text_col):
+                _, _, doc, size, data = symbols(d, o)
+                to = np.append(0, np.cumsum(np.bincount(doc, size, minlength=hi - lo).astype(np.int64)))
+                data = data.tobytes()
+                out += [data[x:y].decode() for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, "_symbols"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_symbols", StringType())]))
+
+
+def _in_text(data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte ranges of the symbols that lie wholly in ranges over symbols."""
+    d = np.frombuffer(data, np.uint8)
+    start, end, _, size, _ = symbols(d, np.array([0, len(d)]))
+    to = np.cumsum(size)
+    begin = to - size
+    out = []
+    for a, b in found:
+        x, y = int(np.searchsorted(begin, a)), int(np.searchsorted(to, b, "right")) - 1
+        if x <= y:
+            out.append((int(start[x]), int(end[y])))
+    return out
+
+
+def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int | None = None) -> DataFrame:
+    """``docs`` with repeated bytes taken out of the texts; code points cut in two are dropped.
+
+    With ``words``, passages of at least so many words that stand at another place too go instead.
+    """
+    rows, by = (docs, text_col) if words is None else (_with_symbols(docs, text_col), "_symbols")
+    cuts = spans(rows, id_col, by, span=SPAN if words is None else words * SYMBOL).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    text = F.coalesce(F.col(by), F.lit(""))
+    joined = rows.join(cuts, rows[id_col].eqNullSafe(cuts["_id"]) & (F.xxhash64(text, F.octet_length(text)) == cuts["_key"]), "left").select(*docs.columns, "_spans")
     at = docs.columns.index(text_col)
 
+    def left(data: bytes, found: list[tuple[int, int]]) -> str:
+        return _kept(data, found if words is None else _in_text(data, found)).decode("utf-8", "ignore")
+
     def run(batches):
         for b in batches:
             t, found = b.column(at), b.column(b.num_columns - 1)
-            out = [x if not s else (_kept(x.encode(), _merged(s)).decode("utf-8", "ignore") if x is not None else None) for x, s in zip(t.to_pylist(), found.to_pylist())]
+            out = [x if not s or x is None else left(x.encode(), _merged(s)) for x, s in zip(t.to_pylist(), found.to_pylist())]
             cols = [pa.array(out, t.type) if k == at else b.column(k) for k in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
 

@@ -24,8 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that lie in repeated passages."""
-    return op8_repeats.strip(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Texts without the repeated passages of over 50 words."""
+    return op8_repeats.strip(docs, words=51).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,6 +230,53 @@ def test_op8(docs, none, hot, monkeypatch):
     assert op8_repeats.strip(d).columns == d.columns
 
 
+def plain_word_repeats(texts, words):
+    """Texts without the words that lie in runs of so many words that stand at two places."""
+    runs = [[(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", x.encode())] for x in texts]
+    seen = collections.Counter(tuple(w[2] for w in r[k : k + words]) for r in runs for k in range(len(r) - words + 1))
+    out = []
+    for x, r in zip(texts, runs):
+        gone = set()
+        for k in range(len(r) - words + 1):
+            if seen[tuple(w[2] for w in r[k : k + words])] > 1:
+                gone |= set(range(r[k][0], r[k + words - 1][1]))
+        out.append(bytes(c for k, c in enumerate(x.encode()) if k not in gone).decode())
+    return out
+
+
+@pytest.mark.parametrize("hot", [op8_repeats.HOT, 1])
+def test_repeats_stage_judges_by_words(spark, hot, monkeypatch):
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdeé") for _ in range(r.randint(2, 9)))
+    own = lambda n: " ".join(word() for _ in range(n))
+    p51, p50, long, four = own(51), own(50), own(90), own(20)
+    texts = [own(30) + " " + p51 + " " + own(9), p51.replace(" ", "\n") + "  " + own(40), own(20) + " " + p50 + " x" + own(3), own(7) + " " + p50 + " y" + own(12)]
+    texts += [long, own(3) + " " + long[long.index(" ") + 1 :] + " tail", " ".join([four] * 6), "z " * 200, "", own(3)]
+    assert len(p51.encode()) < 400
+    monkeypatch.setattr(op8_repeats.spans, "__defaults__", ("doc_id", "text", hot))
+    d = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)] + [(None, None, 0)], "doc_id long, text string, n_chars long")
+    got = {x["doc_id"]: x["text"] for x in corpus_pipeline.repeats(spark, d, "").collect()}
+    assert got == dict(enumerate(plain_word_repeats(texts, 51))) | {None: None}
+    assert p51 not in got[0] and p50 in got[2]
+
+
+def test_repeats_stage_in_text_without_spaces(spark):
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(4)
+    run = lambda n: "".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    same = run(150)
+    d = spark.createDataFrame([(1, run(80) + same + run(70), 300), (2, run(31) + same + run(40), 221)], "doc_id long, text string, n_chars long")
+    got = {x["doc_id"]: x["text"] for x in corpus_pipeline.repeats(spark, d, "").collect()}
+    assert len(got[1]) == 150 and len(got[2]) == 71
+
+
 def test_op9(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
     got = op9_quality.score(docs, labels).collect()
