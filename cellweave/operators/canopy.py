@@ -28,13 +28,21 @@ def tree_layers(trees: DataFrame, dz: float, nhv: int = 10) -> DataFrame:
     return t.groupBy("gid", "l").agg(F.avg(r).alias("r")).filter("r > 0")
 
 
-def tree_density(trees: DataFrame, layers: DataFrame, dom: Domain, ladens: float = 1.6, ladens_other: float = 1.0, ext: float = 0.5, corners: int = 40) -> DataFrame:
-    """i, j, l, lad: crown discs (as polygons of ``corners`` sides) over cells, thinned towards the stem, capped at the densest tree."""
-    disc = layers.join(trees.select("gid", "x", "y", "tree_type"), "gid").withColumn("part", F.struct("gid", "l"))
+def tree_density(trees: DataFrame, layers: DataFrame, buildings: DataFrame, dom: Domain, ladens: float = 1.6, ladens_other: float = 1.0, ext: float = 0.5, corners: int = 40) -> DataFrame:
+    """i, j, l, lad: crown discs (as polygons of ``corners`` sides) over cells, capped at the densest tree.
+
+    Leaf area thins with the depth of the cell's centre below the crown's edge, less the cell's half
+    diagonal. Cells of ``buildings`` (i, j, nz) higher than the layer get none.
+    """
+    disc = layers.join(trees.select("gid", "x", "y", "treeh", "tree_type"), "gid").withColumn("part", F.struct("gid", "l"))
     c = [(F.col("x") + F.col("r") * math.cos(2 * math.pi * k / corners), F.col("y") + F.col("r") * math.sin(2 * math.pi * k / corners)) for k in range(corners)]
-    share = coverage(ed.ring_edges(disc, "part", c), dom).join(disc.select(F.col("part").alias("gid"), "r", "tree_type"), "gid")
+    share = coverage(ed.ring_edges(disc, "part", c), dom).join(disc.select(F.col("part").alias("gid"), "x", "y", "r", "treeh", "tree_type"), "gid")
+    share = share.join(buildings.select("i", "j", "nz"), ["i", "j"], "left").filter("nz is null or nz <= gid.l")
+    ex, ey = (F.col("i") + 0.5) * dom.dx + dom.origin_x - F.col("x"), (F.col("j") + 0.5) * dom.dy + dom.origin_y - F.col("y")
+    below = F.least(F.col("treeh") - (F.col("gid.l") + 0.5) * dom.dz, F.col("r") - F.sqrt(ex * ex + ey * ey))
+    depth = F.greatest(below - math.sqrt(dom.dx**2 + dom.dy**2 + dom.dz**2) / 2, F.lit(0.0))
     tl = F.when(F.col("tree_type") == 1, ladens).otherwise(ladens_other)
-    lad = tl / (tl * ext * F.col("r") / 2 + 1) * F.col("area") / (dom.dx * dom.dy)
+    lad = tl / (tl * ext * depth + 1) * F.col("area") / (dom.dx * dom.dy)
     rows = share.select("i", "j", F.col("gid.l").alias("l"), lad.alias("lad"), tl.alias("cap"))
     return rows.groupBy("i", "j", "l").agg(F.least(F.sum("lad"), F.max("cap")).alias("lad"))
 

@@ -596,7 +596,7 @@ def _(s, d):
 @query("t3_tree_density")
 def _(s, d):
     t = L(s, d, "fx_trees")
-    return cp.tree_density(t, cp.tree_layers(t, 5.0), D(s, d))
+    return cp.tree_density(t, cp.tree_layers(t, 5.0), tops(s, d).select("i", "j", F.col("top").alias("nz")), D(s, d))
 
 
 @query("t5_lad_from_lai", "WITH c AS (SELECT px AS i, py AS j, lai, canopy, unnest(range(1, CAST(ceil(canopy / 5) AS INT) + 1)) AS k FROM fx_block_raster WHERE canopy > 0 AND lai > 0) SELECT i, j, CAST(k AS INT) AS k, round(least(1.6, lai / canopy) * greatest(0, least(1, canopy / 5 - (k - 1))), 9) AS lad FROM c")

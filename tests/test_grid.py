@@ -1,11 +1,14 @@
 """Every registered gridding query against its SQL in DuckDB, and properties that must hold."""
 
+import math
+
 import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import buildings, grid, landcover, stencil
+from cellweave.domain import Domain
+from cellweave.operators import buildings, canopy, grid, landcover, stencil
 from cellweave.operators.components import connected_components
 from cellweave.plans import fixtures as fx
 from cellweave.plans import grid_queries as gq
@@ -136,3 +139,59 @@ def test_b3_fills_as_brute_force(spark):
 def test_b3_takes_the_same_building_at_four_cells_before_another(spark):
     cells = spark.createDataFrame([(1, 0, 0, 7, None), (2, 1, 0, 8, 5.0), (3, 0, 4, 7, 9.0), (4, 20, 20, 7, None), (5, 24, 20, 8, 6.0), (6, 30, 0, 7, None), (7, 35, 0, 7, 4.0)], "id int, i int, j int, lid int, height double")
     assert {r["id"]: r["height"] for r in buildings.fill_heights(cells, 4).collect()} == {1: 9.0, 2: 5.0, 3: 9.0, 4: 6.0, 5: 6.0, 6: None, 7: 4.0}
+
+
+def clipped_area(pts, x0, y0, x1, y1):
+    """Area of a polygon within a box: cut by its four sides one after another."""
+    for axis, at, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
+        out = []
+        for a, b in zip(pts, pts[1:] + pts[:1]):
+            u, v = sign * (a[axis] - at), sign * (b[axis] - at)
+            if u >= 0:
+                out.append(a)
+            if u * v < 0:
+                t = u / (u - v)
+                out.append((a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
+        pts = out
+    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(pts, pts[1:] + pts[:1]))) / 2
+
+
+def plain_density(trees, layers, nz, dom):
+    """(i, j, l) to lad; trees: gid to (x, y, treeh, type), layers: (gid, l, r), nz: (i, j) to a building's level."""
+    lad, cap = {}, {}
+    half = math.sqrt(dom.dx**2 + dom.dy**2 + dom.dz**2) / 2
+    for gid, l, r in layers:
+        x, y, treeh, kind = trees[gid]
+        tl = 1.6 if kind == 1 else 1.0
+        ring = [(x + r * math.cos(2 * math.pi * k / 40), y + r * math.sin(2 * math.pi * k / 40)) for k in range(40)]
+        for i in range(max(0, int((x - r) // dom.dx)), min(dom.nx, int((x + r) // dom.dx) + 1)):
+            for j in range(max(0, int((y - r) // dom.dy)), min(dom.ny, int((y + r) // dom.dy) + 1)):
+                area = clipped_area(ring, i * dom.dx, j * dom.dy, (i + 1) * dom.dx, (j + 1) * dom.dy)
+                if area > 1e-9 and nz.get((i, j), 0) <= l:
+                    edge = max(min(treeh - (l + 0.5) * dom.dz, r - math.hypot((i + 0.5) * dom.dx - x, (j + 0.5) * dom.dy - y)) - half, 0)
+                    lad[i, j, l] = lad.get((i, j, l), 0) + tl / (tl * 0.5 * edge + 1) * area / (dom.dx * dom.dy)
+                    cap[i, j, l] = max(cap.get((i, j, l), 0), tl)
+    return {k: min(v, cap[k]) for k, v in lad.items()}
+
+
+def test_t3_density_leaves_out_buildings_and_thins_by_depth(spark):
+    dom = Domain(nx=12, ny=12, dx=2.0, dy=2.0, dz=2.0, origin_x=0.0, origin_y=0.0)
+    rows = [(1, 11.3, 10.1, 18.0, 3.0, 8.0, 1, 1), (2, 4.2, 15.7, 9.0, 2.0, 3.0, 4, 0), (3, 22.9, 1.1, 12.0, 3.0, 5.0, 2, 2)]
+    trees = spark.createDataFrame(rows, "gid int, x double, y double, treeh double, trunkh double, crownr double, crownshp int, tree_type int")
+    nz = {(5, 5): 4, (4, 5): 100, (6, 6): 1, (2, 7): 2}
+    layers = canopy.tree_layers(trees, dom.dz)
+    got = canopy.tree_density(trees, layers, spark.createDataFrame([(*k, z) for k, z in nz.items()], "i int, j int, nz int"), dom).collect()
+    want = plain_density({t[0]: (*t[1:4], t[7]) for t in rows}, [tuple(r) for r in layers.select("gid", "l", "r").collect()], nz, dom)
+    assert {(r["i"], r["j"], r["l"]): r["lad"] for r in got} == pytest.approx(want, abs=1e-9)
+    cells = {k[:2] for k in want}
+    assert (4, 5) not in cells and (5, 5, 4) in want and (5, 5, 3) not in want and min(want[k] for k in want if k[:2] == (5, 4)) < 0.9
+
+
+def test_t3_query_as_brute_force(spark):
+    dom, t = fx.domain(spark, SF), fx.layer(spark, SF, "fx_trees")
+    trees = {r["gid"]: (r["x"], r["y"], r["treeh"], r["tree_type"]) for r in t.collect()}
+    layers = [tuple(r) for r in canopy.tree_layers(t, 5.0).select("gid", "l", "r").collect()]
+    nz = {(r["i"], r["j"]): r["top"] for r in gq.tops(spark, SF).collect()}
+    got = {(r["i"], r["j"], r["l"]): r["lad"] for r in gq.QUERIES["t3_tree_density"](spark, SF).collect()}
+    assert got == pytest.approx(plain_density(trees, layers, nz, dom), abs=1e-9)
+    assert len(got) < len(plain_density(trees, layers, {}, dom))
