@@ -1,4 +1,4 @@
-"""Building cells, heights, voxels, walls and surface lists."""
+"""Building heights from neighbours, voxels, outer walls and vertical surfaces."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Tree crowns to leaf-area densities."""
+"""Tree crowns to leaf-area densities."""
 
 from __future__ import annotations
 

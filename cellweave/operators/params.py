@@ -1,4 +1,4 @@
-"""Parameter variables of cells, all from one specification, and checks on the long cube (V1-V15, Q-A to Q-E)."""
+"""Parameter variables of cells, all from one specification, and checks on the long cube (the variables of SPEC; Q-A to Q-E without the attributes of Q-D and the first mismatches of Q-E)."""
 
 from __future__ import annotations
 

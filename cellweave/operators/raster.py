@@ -1,4 +1,4 @@
-"""Rasters as pixel tables (px, py, val); R1-R9."""
+"""Rasters as pixel tables (px, py, val); R1, R2, R4-R9."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Spatial joins on integer cell keys."""
+"""Spatial joins on integer cell keys."""
 
 from __future__ import annotations
 
