@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.session import cut
+from cellweave.session import cut, discard
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 100) -> DataFrame:
@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-        e = cut(small.distinct())
+        last, e = e, cut(small.distinct())
+        discard(last)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break
