@@ -1,29 +1,35 @@
 """Operator 2: n-gram Jaccard join with prefix trees.
 
 1. Every text's set of K-word shingles; texts of equal sets are one class, named by a 64-bit hash
-   of the set.
-2. Each shingle's number of classes is counted in hash buckets (packed arrays, one shuffle). Only
-   shingles of two or more classes can be common to two sets, so only they go on.
+   of the set. A second hash shows whether two sets took one name; then all are named anew.
+2. Each shingle's number of classes is counted in hash buckets of about BUCKET shingles (packed
+   arrays, one shuffle). Shingles that are common within single tasks already are summed up first;
+   those of HOT sets or more (and no more than one in 2**20 of all shingles) skip the buckets with
+   that sum as their number. Only shingles of two or more classes can be common to two sets, so
+   only they go on.
 3. In the global order (rarest first) a set of n has to share one of its first
    n - ceil(0.75 n) + 1 shingles with any partner. A set whose shingles of its own alone fill
    these places has no partner and is done; the others post their remaining places.
-4. Sets that share a posted shingle are compared in stars: the sets of a group with the group's
-   centre, never all pairs. Each comparison walks a trie of the sets (commonest shingle first, so
-   that near copies share paths), carries the overlap along the shared path and cuts subtrees that
-   the remaining lengths cannot lift to the needed overlap. Groups whose sets are all connected are
-   done; a centre leaves its groups when compared. After STARS rounds the centres are up to SLOTS
-   sets a group outside its largest component; after as many such rounds, what is left is compared
-   pair by pair across components.
-5. Links become components by alternating stars.
+4. The sets that post one shingle meet under the most central of them (the one whose shingles are
+   most widely shared), so that a family of near copies meets in few places however many shingles
+   it shares, and every similar pair meets somewhere. A meeting is dealt into blocks of about
+   BLOCK shingles, its centre into each.
+5. A block is joined with itself in one trie of its sets, commonest shingle first, so that near
+   copies share paths. The walk of a set carries the overlap along shared paths, and cuts subtrees
+   which the remaining lengths cannot lift to the needed overlap, or whose sets are all in its own
+   component already. Links become components by alternating stars.
+6. Of a meeting in several blocks only sets that are not in the centre's component may still miss a
+   link: they are walked through the tries of its other blocks.
 
 Defined results: null and empty texts and texts without words have no shingles and are alone; a
 text with fewer than K words is one shingle; equal rows, repeated ids included, are linked; a null
-id is never a component's name if another id is there. Shingles are told apart by 48 bits of hash
-within a bucket, classes by 64 bits.
+id is never a component's name if another id is there. Shingles are told apart by 64 bits of hash.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -32,15 +38,14 @@ from pyspark.sql import functions as F
 
 from cellweave.llm import text as tx
 from cellweave.operators.components import connected_components
-from cellweave.session import cut, shuffle_parts
+from cellweave.session import cut, discard
 
-K, STARS, CENTRES, SLOTS, TRIE_TOKENS, BLOCK = 5, 2, 4, 3, 50_000, 512
-#: Similarity of at least 75/100, in integers: 100 i >= 75 (n + m - i), that is i >= 3 (n + m) / 7.
-_MASK = np.uint64((1 << 48) - 1)
+K, HOT, OFTEN, BUCKET, FLUSH, BLOCK = 5, 5_000, 16, 1 << 20, 1 << 20, 50_000
+#: Similarity of at least 75/100, in integers: 100 i >= 75 (n + m - i), that is 7 i >= 3 (n + m).
 
 
-def _sets(o: np.ndarray, d: np.ndarray):
-    """Distinct shingles of each text of a slice, in text order: hashes, texts, set sizes, set names."""
+def _sets(o: np.ndarray, d: np.ndarray, salt: int):
+    """Distinct shingles of each text of a slice, in text order: hashes, texts, set sizes, set names, second names."""
     h, doc, _ = tx.shingles(d, o, K)
     n_docs = len(o) - 1
     order = np.lexsort((h, doc))
@@ -49,46 +54,118 @@ def _sets(o: np.ndarray, d: np.ndarray):
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     h, doc = h[new], doc[new]
     n = np.bincount(doc, minlength=n_docs)
-    total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(tx.mix(h.copy()), out=total[1:])
     end = np.cumsum(n)
-    return h, doc, n, tx.mix(total[end] - total[end - n] + n.astype(np.uint64)).view(np.int64)
+    names = []
+    for k in (2 * salt, 2 * salt + 1):
+        total = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(tx.mix(h ^ np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)), out=total[1:])
+        names.append(tx.mix(total[end] - total[end - n] + n.astype(np.uint64)).view(np.int64))
+    return h, doc, n, *names
+
+
+class _Flush:
+    """Shingles with their set's name and size, of the different sets of about FLUSH shingles at a time."""
+
+    def __init__(self):
+        self.held, self.size, self.names = [], 0, set()
+
+    def add(self, h: np.ndarray, doc: np.ndarray, n: np.ndarray, name: np.ndarray) -> bool:
+        """Whether it is time to take them."""
+        keep = np.zeros(len(n), bool)
+        for k, x in enumerate(name.tolist()):
+            if x not in self.names:
+                self.names.add(x)
+                keep[k] = True
+        keep = keep[doc]
+        doc = doc[keep]
+        self.held.append((h[keep], name[doc], n[doc].astype(np.uint32)))
+        self.size += len(doc)
+        return self.size >= FLUSH
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out = tuple(np.concatenate(x) for x in zip(*self.held))
+        self.__init__()
+        return out
+
+
+def _known(docs: DataFrame, id_col: str, text_col: str, salt: int) -> DataFrame:
+    """A row for each text (doc_id, text_key, n_shingles, set, check), and rows (token, seen) of shingles that a task met often."""
+    names = ["doc_id", "text_key", "n_shingles", "set", "check", "token", "seen"]
 
+    def run(batches):
+        none = lambda n: pa.nulls(n, pa.int64())
+        flush = _Flush()
 
-def keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set: size and name of every text's set."""
+        def often(kind):
+            u, times = np.unique(flush.take()[0], return_counts=True)
+            u, times = u[times >= OFTEN], times[times >= OFTEN]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(u), kind), *[none(len(u))] * 4, pa.array(u.view(np.int64)), pa.array(times.astype(np.int64))], names)
 
-    def run(batches):
         for b in batches:
+            kind = b.schema.field(0).type
             for lo, hi, o, d in tx.slices(b, "text"):
-                _, _, n, name = _sets(o, d)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(name)], ["doc_id", "n_shingles", "set"])
+                h, doc, n, name, check = _sets(o, d, salt)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(name), pa.array(check), none(hi - lo), none(hi - lo)], names)
+                if flush.add(h, doc, n, name):
+                    yield often(kind)
+        if flush.size:
+            yield often(kind)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_shingles long, set long")
-
-
-def _packed(docs: DataFrame, text_col: str, buckets: int) -> DataFrame:
-    """For each slice and bucket: shingles (6 bytes each) with their set's name and size."""
+    text = docs[text_col]
+    rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, set long, check long, token long, seen long")
+
+
+def keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, int]:
+    """Rows of the texts, rows of often met shingles, and the salt with which no two sets have one name."""
+    for salt in count():
+        found = cut(_known(docs, id_col, text_col, salt))
+        known = found.filter("seen is null").select("doc_id", "text_key", "n_shingles", "set", "check")
+        twice = known.groupBy("set").agg(F.min("check").alias("a"), F.max("check").alias("b"), F.min("n_shingles").alias("x"), F.max("n_shingles").alias("y"))
+        if twice.filter("a <> b or x <> y").isEmpty():
+            return known, found.filter("seen is not null").select("token", "seen"), salt
+        discard(found)
+
+
+def _bytes(x: np.ndarray, edge: np.ndarray) -> list[bytes]:
+    return [x[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+
+
+def _packed(docs: DataFrame, text_col: str, salt: int, buckets: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Shingles with their set's name and size for each bucket; hot ones, with their number, go to bucket -1 - (bucket of the set)."""
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
+    names, kinds = ["bucket", "token", "set", "n", "df"], [pa.int32(), *[pa.binary()] * 4]
+
+    def deal(h, s, n):
+        hot_token, hot_df = sent.value
+        to, df = (h % np.uint64(buckets)).astype(np.int64), None
+        if len(hot_token):
+            at = np.minimum(np.searchsorted(hot_token, h), len(hot_token) - 1)
+            is_hot = hot_token[at] == h
+            to[is_hot] = -1 - (s[is_hot].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            df = hot_df[at].astype(np.uint32)
+        order = np.argsort(to, kind="stable")
+        to, h, s, n = to[order], h[order], s[order], n[order]
+        begin = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        edge = np.append(begin, len(to))
+        dfs = [None] * len(begin)
+        if df is not None:
+            df = df[order]
+            dfs = [df[a:b].tobytes() if k < 0 else None for k, a, b in zip(to[begin].tolist(), begin.tolist(), edge[1:].tolist())]
+        cols = [to[begin].astype(np.int32), _bytes(h, edge), _bytes(s, edge), _bytes(n, edge), dfs]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     def run(batches):
+        flush = _Flush()
         for b in batches:
             for _, _, o, d in tx.slices(b, "text"):
-                h, doc, n, name = _sets(o, d)
-                _, once = np.unique(name, return_index=True)
-                keep = np.zeros(len(n), bool)
-                keep[once] = True
-                h, doc = h[keep[doc]], doc[keep[doc]]
-                to = (h % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                h, doc, to = (h // np.uint64(buckets))[order], doc[order], to[order]
-                edge = np.searchsorted(to, np.arange(buckets + 1))
-                raw = h.view(np.uint8).reshape(-1, 8)[:, :6]
-                rows = [(k, raw[edge[k] : edge[k + 1]].tobytes(), name[doc[edge[k] : edge[k + 1]]].tobytes(), n[doc[edge[k] : edge[k + 1]]].astype(np.uint32).tobytes()) for k in range(buckets) if edge[k] < edge[k + 1]]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.binary(), pa.binary(), pa.binary()])], ["bucket", "token", "set", "n"])
-
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "bucket int, token binary, set binary, n binary")
+                if flush.add(*_sets(o, d, salt)[:4]):
+                    yield deal(*flush.take())
+        if flush.size:
+            yield deal(*flush.take())
+
+    return docs.select(docs[text_col].alias("text")).mapInArrow(run, "bucket int, token binary, set binary, n binary, df binary")
 
 
 def _shared(buckets: int):
@@ -96,11 +173,9 @@ def _shared(buckets: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket = int(pdf["bucket"].iloc[0])
-        raw = np.frombuffer(b"".join(pdf["token"]), np.uint8).reshape(-1, 6)
-        token = np.zeros((len(raw), 8), np.uint8)
-        token[:, :6] = raw
-        token = token.view(np.uint64).ravel()
-        name, n = np.frombuffer(b"".join(pdf["set"]), np.int64), np.frombuffer(b"".join(pdf["n"]), np.uint32)
+        if bucket < 0:
+            return pdf.rename(columns={"bucket": "to"})[["to", "set", "n", "token", "df"]].assign(to=np.int32(-1 - bucket))
+        token, name, n = (np.frombuffer(b"".join(pdf[c]), k) for c, k in (("token", np.uint64), ("set", np.int64), ("n", np.uint32)))
         order = np.argsort(token, kind="stable")
         t = token[order]
         same = np.zeros(len(t) + 1, bool)
@@ -111,181 +186,229 @@ def _shared(buckets: int):
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
         order, t = order[new], t[new]  # each once for each set
-        if not len(t):
-            return pd.DataFrame({"to": pd.Series(dtype="int32"), "set": [], "n": [], "token": [], "df": []})
-        first = np.ones(len(t), bool)
-        first[1:] = t[1:] != t[:-1]
-        df = np.diff(np.append(np.flatnonzero(first), len(t)))
+        first = np.flatnonzero(np.append(True, t[1:] != t[:-1])[: len(t)])
+        df = np.diff(np.append(first, len(t)))
         df = np.repeat(df, df)
         keep = df > 1
-        order, t, df = order[keep], t[keep], df[keep]
+        order, t, df = order[keep], t[keep], df[keep].astype(np.uint32)
+        if not len(t):
+            return pd.DataFrame({"to": pd.Series(dtype="int32"), "set": [], "n": [], "token": [], "df": []})
         s, n = name[order], n[order]
         to = (s.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         by = np.lexsort((s, to))
-        t, df, s, n, to = (t * np.uint64(buckets) + np.uint64(bucket)).view(np.int64)[by], df[by], s[by], n[by], to[by]
-        edge = np.searchsorted(to, np.arange(buckets + 1))
-        rows = [(k, *(x[edge[k] : edge[k + 1]].tobytes() for x in (s, n, t, df.astype(np.uint32)))) for k in range(buckets) if edge[k] < edge[k + 1]]
-        return pd.DataFrame(rows, columns=["to", "set", "n", "token", "df"]).astype({"to": "int32"})
+        to, s, n, t, df = to[by], s[by], n[by], t[by], df[by]
+        begin = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        edge = np.append(begin, len(to))
+        return pd.DataFrame({"to": to[begin].astype(np.int32), "set": _bytes(s, edge), "n": _bytes(n, edge), "token": _bytes(t, edge), "df": _bytes(df, edge)})
 
     return run
 
 
 def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sets that may have a partner: size, shared shingles in the global order, places to post."""
-    s, n = np.frombuffer(b"".join(pdf["set"]), np.int64), np.frombuffer(b"".join(pdf["n"]), np.uint32).astype(np.int64)
-    t, df = np.frombuffer(b"".join(pdf["token"]), np.int64), np.frombuffer(b"".join(pdf["df"]), np.uint32)
+    """Sets that may have a partner: size, shared shingles in the global order, places to post, and how widely shared the set is."""
+    s, n, t, df = (np.frombuffer(b"".join(pdf[c]), k) for c, k in (("set", np.int64), ("n", np.uint32), ("token", np.int64), ("df", np.uint32)))
     order = np.lexsort((t, df, s))
-    s, n, t = s[order], n[order], t[order]
-    begin = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+    s, t, df, n = s[order], t[order], df[order], n[order].astype(np.int64)
+    new = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]))[: len(s)]  # hot shingles come once for each flush
+    s, t, df, n = s[new], t[new], df[new], n[new]
+    begin = np.flatnonzero(np.append(True, s[1:] != s[:-1])[: len(s)])
     size = np.diff(np.append(begin, len(s)))
     n = n[begin]
     post = (n - (3 * n + 3) // 4 + 1) - (n - size)
-    rows = [(int(s[b]), int(m), t[b : b + k], int(min(p, k))) for b, k, m, p in zip(begin, size, n, post) if p > 0]
-    return pd.DataFrame(rows, columns=["set", "n", "tokens", "post"])
-
-
-def trie_links(query: list[int], n: int, sets: list[tuple[int, int, np.ndarray]]) -> list[int]:
-    """Names of the sets (name, size, tokens in global order) that are similar to the query set of size n."""
-    member = set(query)
-    out = []
-    root: list = [{}, 0, 1 << 60, []]  # children, longest rest below, least set size below, sets that end here
-    for name, m, tokens in sets:
-        node, rest = root, len(tokens)
-        node[1], node[2] = max(node[1], rest), min(node[2], m)
-        for t in tokens[::-1].tolist():
+    heart = np.add.reduceat(np.log(df), begin) / n if len(begin) else n
+    rows = [(int(s[b]), int(m), t[b : b + k], int(min(p, k)), float(w)) for b, k, m, p, w in zip(begin, size, n, post, heart) if p > 0]
+    return pd.DataFrame(rows, columns=["set", "n", "tokens", "post", "heart"])
+
+
+class Trie:
+    """Sets under their shingles, commonest first, with what the walk needs to cut: longest rest, least size, and the one component below, if it is one."""
+
+    def __init__(self):
+        self.root = self._node(0, 1 << 60, None)
+        self.up: dict[int, int] = {}
+
+    @staticmethod
+    def _node(rest, least, member):
+        return [{}, rest, least, member, False, []]  # children, longest rest, least size, a set below, several components, sets that end here
+
+    def find(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.find(a)] = self.find(b)
+
+    def insert(self, name: int, n: int, tokens: list[int]) -> None:
+        """``tokens``: shared shingles in the trie's order."""
+        node, rest, own = self.root, len(tokens), self.find(name)
+        last = -1
+        while True:
+            if rest > node[1]:
+                node[1] = rest
+            if n < node[2]:
+                node[2] = n
+            if node[3] is None:
+                node[3] = name
+            elif not node[4] and self.find(node[3]) != own:
+                node[4] = True
+            last += 1
+            if not rest:
+                break
             rest -= 1
+            t = tokens[last]
             nxt = node[0].get(t)
             if nxt is None:
-                nxt = node[0][t] = [{}, rest, m, []]
-            else:
-                if rest > nxt[1]:
-                    nxt[1] = rest
-                if m < nxt[2]:
-                    nxt[2] = m
+                nxt = node[0][t] = self._node(rest, n, name)
             node = nxt
-        node[3].append((name, m))
-    stack = [(root, 0)]
-    while stack:
-        node, common = stack.pop()
-        for name, m in node[3]:
-            if 7 * common >= 3 * (n + m):
-                out.append(name)
-        for t, child in node[0].items():
-            c = common + (t in member)
-            if 7 * (c + min(child[1], len(member) - c)) >= 3 * (n + child[2]):
-                stack.append((child, c))
-    return out
-
-
-def _verify(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Links of one centre with a block of sets."""
-    out = []
-    if len(left) and len(right):
-        centre, block, size = left.iloc[0], [], 0
-        query = centre["hub_tokens"].tolist()
-        for s, n, t in zip(right["set"], right["n"], right["tokens"]):
-            block.append((s, n, t))
-            size += len(t)
-            if size > TRIE_TOKENS:
-                out += trie_links(query, centre["hub_n"], block)
-                block, size = [], 0
-        out += trie_links(query, centre["hub_n"], block)
-        return pd.DataFrame({"a": [centre["hub"]] * len(out), "b": out}, columns=["a", "b"]).astype("int64")
-    return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b of the pairs (centre, set) that are similar; a centre's sets go in blocks."""
-    many = pairs.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = pairs.join(many, "centre").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    right = dealt.select("centre", "block", "set").join(sets.select("set", "n", "tokens"), "set")
-    hubs = sets.select(F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens"))
-    left = many.select(F.col("centre").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("hub_block")).join(hubs, "hub")
-    return left.groupBy("hub", "hub_block").cogroup(right.groupBy("centre", "block")).applyInPandas(_verify, "a long, b long")
-
-
-def _may(a: str, b: str) -> str:
-    """Sizes and places allow the needed overlap."""
-    return f"7 * least({a}n - {a}place, {b}n - {b}place) >= 3 * ({a}n + {b}n)"
-
-
-def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(set, root) with new links; only those between different components are walked again."""
-    if roots is None:
-        return connected_components(links).select(F.col("node").alias("set"), "root")
-    for end in "ab":
-        links = links.join(roots.select(F.col("set").alias(end), F.col("root").alias(f"{end}_root")), end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
-    moved = connected_components(links, "a_root", "b_root").select(F.col("node").alias("root"), F.col("root").alias("to"))
-    old = roots.join(moved, "root", "left").select("set", F.coalesce("to", "root").alias("root"))
-    new = moved.withColumnRenamed("root", "set").join(roots, "set", "left_anti").select("set", F.col("to").alias("root"))
-    return cut(old.unionAll(new))
-
-
-def set_components(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(set, root) of sets that link with others, and the links (a, b) that were verified."""
-    buckets = shuffle_parts(docs.sparkSession)
-    packed = _packed(docs, text_col, buckets)
+        node[5].append((name, n))
+
+    def links(self, name: int, n: int, tokens: list[int]) -> list[int]:
+        """Similar sets that were not in the component of set ``name``; they join it."""
+        member, out = set(tokens), []
+        most, find = len(tokens), self.find
+        stack = [(self.root, 0)]
+        while stack:
+            node, common = stack.pop()
+            if not node[4] and node[3] is not None and find(node[3]) == find(name):
+                continue
+            for other, m in node[5]:
+                if 7 * common >= 3 * (n + m) and find(other) != find(name):
+                    out.append(other)
+                    self.join(other, name)
+            near = []
+            for t, child in node[0].items():
+                c = common + (t in member)
+                if 7 * (c + min(child[1], most - c)) >= 3 * (n + child[2]):
+                    (near if c > common else stack).append((child, c))
+            stack += near
+        return out
+
+
+def _joined(batches):
+    """Links of blocks: rows sorted by (centre, sub, query). Sets of query -1 go into the trie, of 0 walk it first, of 1 only walk it."""
+    key, trie, out = None, None, []
+    for b in batches:
+        tokens = b.column("tokens")
+        offs, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy()
+        for k, (centre, sub, query, name, n, root) in enumerate(zip(*(b.column(c).to_pylist() for c in ("centre", "sub", "query", "set", "n", "root")))):
+            if (centre, sub) != key:
+                key, trie = (centre, sub), Trie()
+            for x in (name, root):
+                trie.up.setdefault(x, x)
+            trie.join(name, root)
+            mine = flat[offs[k] : offs[k + 1]][::-1].tolist()
+            if query >= 0:
+                out += [(name, other) for other in trie.links(name, n, mine)]
+            if query <= 0:
+                trie.insert(name, n, mine)
+        if len(out) > 10_000:
+            yield _pairs(out)
+            out = []
+    if out:
+        yield _pairs(out)
+
+
+def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*out)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _links(dealt: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b of similar sets of each block; ``dealt`` has centre, sub, query, set, root."""
+    rows = dealt.join(sets.select("set", "n", "tokens"), "set").repartition("centre", "sub")
+    rows = rows.sortWithinPartitions("centre", "sub", "query", F.col("set") != F.col("centre"), "set")
+    return rows.select("centre", "sub", "query", "set", "n", "root", "tokens").mapInArrow(_joined, "a long, b long")
+
+
+def candidates(docs: DataFrame, known: DataFrame, often: DataFrame, salt: int, text_col: str = "text") -> DataFrame:
+    """set, n, tokens, post, heart of the sets that may have a partner."""
+    total = known.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET))
+    # At most total / HOT and at most 2**20 shingles reach the bound, as the sums of all are at most ``total``.
+    hot = often.groupBy("token").agg(F.sum("seen").alias("df")).filter(F.col("df") >= max(HOT, total >> 20)).toArrow()
+    token = hot["token"].to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    packed = _packed(docs, text_col, salt, buckets, (token[order], hot["df"].to_numpy()[order]))
     shared = packed.groupBy("bucket").applyInPandas(_shared(buckets), "to int, set binary, n binary, token binary, df binary")
-    sets = cut(shared.groupBy("to").applyInPandas(_candidates, "set long, n long, tokens array<long>, post int"))
-    groups = sets.select("set", "n", F.posexplode(F.slice("tokens", 1, F.col("post"))).alias("at", "token"), F.size("tokens").alias("own"))
-    groups = groups.select("token", "set", "n", (F.col("n") - F.col("own") + F.col("at")).alias("place"))
+    return cut(shared.groupBy("to").applyInPandas(_candidates, "set long, n long, tokens array<long>, post int, heart double"))
+
+
+def meetings(sets: DataFrame) -> DataFrame:
+    """centre, set: each set under the centres of the shingles that it posts."""
+    posts = sets.select("set", "n", "heart", F.posexplode(F.slice("tokens", 1, F.col("post"))).alias("at", "token"), F.size("tokens").alias("own"))
+    posts = posts.withColumn("place", F.col("n") - F.col("own") + F.col("at"))
     # A place lets in partners of 3/4 the size at least only if enough of the set follows it.
-    groups = groups.filter("7 * (n - place) >= 3 * n + ceil(9 * n / 4)")
-    links, roots, turn = None, None, 0
-    while True:
-        g = groups.withColumn("root", F.col("set")) if roots is None else groups.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-        me = F.struct("set", "n", "place")
-        if turn < STARS:
-            # The centre depends on the shingle too, so that a family of near copies gets a few centres at once.
-            open_ = g.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.array(F.min_by(me, F.xxhash64("set", F.pmod(F.col("token"), F.lit(CENTRES))))).alias("c"))
-            open_ = open_.filter("lo <> hi").select("token", "c")
-        elif turn == 2 * STARS:
-            x = cut(g)
-            x, y = x.alias("x"), x.alias("y")
-            pairs = x.join(y, F.expr("x.token = y.token and x.set < y.set and x.root <> y.root and " + _may("x.", "y.")))
-            pairs = pairs.select(F.col("x.set").alias("centre"), F.col("y.set").alias("set")).distinct()
-        else:
-            # From now on the centres are sets outside their group's largest component.
-            sizes = g.groupBy("token", "root").agg(F.count("*").alias("rows"))
-            top = sizes.groupBy("token").agg(F.max_by("root", F.struct("rows", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1").select("token", "top")
-            slot = F.pmod(F.xxhash64("set"), F.lit(SLOTS))
-            open_ = g.join(top, "token").filter("root <> top").groupBy("token", slot.alias("slot")).agg(F.min_by(me, F.xxhash64("set", F.lit(1))).alias("c"))
-            open_ = open_.groupBy("token").agg(F.collect_list("c").alias("c"))
-        if turn < 2 * STARS:
-            g = cut(g.join(open_, "token"))
-            if g.isEmpty():
-                break
-            pairs = g.select("root", "set", "n", "place", F.explode("c").alias("c")).select("*", F.col("c.set").alias("c_set"), F.col("c.n").alias("c_n"), F.col("c.place").alias("c_place"))
-            pairs = pairs.filter("set <> c_set and " + _may("", "c_")).select(F.col("c_set").alias("centre"), "set").distinct()
-            groups = g.filter(~F.exists("c", lambda c: c["set"] == F.col("set"))).select("token", "set", "n", "place")
-        found = cut(_links(cut(pairs), sets))
-        links = found if links is None else links.unionAll(found)
-        roots = _merged(roots, found)
-        turn += 1
-        if turn > 2 * STARS:
-            break
-    if links is None:
-        none = docs.sparkSession.createDataFrame([], "a long, b long")
-        return none.selectExpr("a as set", "b as root"), none
-    return roots, links
+    posts = posts.filter("7 * (n - place) >= 3 * n + ceil(9 * n / 4)")
+    centres = posts.groupBy("token").agg(F.max_by("set", F.struct("heart", "set")).alias("centre"), F.count("*").alias("many")).filter("many > 1")
+    return posts.select("token", "set").join(centres.select("token", "centre"), "token").select("centre", "set").distinct()
+
+
+def set_components(docs: DataFrame, known: DataFrame, often: DataFrame, salt: int, text_col: str = "text") -> DataFrame:
+    """set, root of sets that link with others."""
+    sets = candidates(docs, known, often, salt, text_col)
+    sized = cut(meetings(sets).join(sets.select("set", F.size("tokens").alias("own")), "set"))
+    blocks = cut(sized.groupBy("centre").agg(F.ceil(F.sum("own") / BLOCK).cast("int").alias("subs")))
+    mine = F.pmod(F.xxhash64("set"), F.col("subs")).cast("int")
+    dealt = sized.join(blocks, "centre").withColumn("root", F.col("set"))
+    every = F.sequence(F.lit(0), F.col("subs") - 1)
+    first = dealt.select("centre", F.explode(F.when(F.col("set") == F.col("centre"), every).otherwise(F.array(mine))).alias("sub"), F.lit(0).alias("query"), "set", "root")
+    links = cut(_links(first, sets))
+    roots = cut(connected_components(links).select(F.col("node").alias("set"), "root"))
+    # Sets of several blocks outside their centre's component.
+    large = sized.join(blocks.filter("subs > 1"), "centre").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    heart = large.filter("set = centre").select("centre", F.col("root").alias("heart"))
+    large = cut(large.join(heart, "centre"))
+    open_ = large.filter("root <> heart")
+    if not open_.isEmpty():
+        again = open_.select("centre", F.explode(F.filter(every, lambda s: s != mine)).alias("sub"), F.lit(1).alias("query"), "set", "root")
+        there = large.join(open_.select("centre").distinct(), "centre", "left_semi").select("centre", mine.alias("sub"), F.lit(-1).alias("query"), "set", "root")
+        more = cut(_links(again.unionAll(there), sets))
+        found = links.unionAll(more)
+        discard(roots)
+        roots = cut(connected_components(found).select(F.col("node").alias("set"), "root"))
+        discard(more)
+    discard(sets, sized, blocks, links, large)
+    return roots
+
+
+def _classes(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """For each set of a component of several rows: set, and the component's first row (by id, null last, then text)."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    classes = known.filter("n_shingles > 0").groupBy("set").agg(F.min(row).alias("least"), F.count("*").alias("rows"))
+    named = classes.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    whole = named.groupBy("root").agg(F.min("least").alias("first"), F.sum("rows").alias("rows")).filter("rows > 1")
+    return named.join(whole.select("root", "first"), "root").select("set", "first")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key, n_shingles, set of every row, and ``first`` of rows in components of several."""
+    known, often, salt = keys(docs, id_col, text_col)
+    roots = set_components(docs, known, often, salt, text_col)
+    return known.join(_classes(known, roots), "set", "left")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that similar sets lead to."""
-    known = cut(keys(docs, id_col, text_col))
-    roots, _ = set_components(docs, text_col)
-    classes = known.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
-    named = classes.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    whole = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows")).filter("rows > 1")
-    named = named.join(whole.select("root", "component_id"), "root").select("set", "component_id")
-    out = known.join(named, "set", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _rows(docs, id_col, text_col).select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, that of the component's id; rows without shingles and null ids stay."""
-    found = cut(components(docs, id_col, text_col))
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    again = found.filter("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-    return kept.dropDuplicates([id_col, text_col]) if not again.isEmpty() else kept
+    """One row of each component: that of the smallest id (null ids last; of one id, one text).
+
+    Rows without shingles all stay, repeated or not; of rows equal in id and text one stays, if they
+    have shingles. Whole rows are kept with all their columns, whatever these are called.
+    """
+    rows = cut(_rows(docs, id_col, text_col).filter("first is not null"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+
+    def these(found: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        x = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+        return of.join(x, of[id_col].eqNullSafe(x["__id"]) & (F.xxhash64(F.coalesce(of[text_col], F.lit(""))) == x["__key"]), how)
+
+    kept = these(rows.filter(~same), "left_anti", docs)
+    again = rows.filter(same).groupBy("doc_id", "text_key").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    return these(again, "left_anti", kept).unionAll(these(again, "left_semi", kept).dropDuplicates([id_col, text_col]))

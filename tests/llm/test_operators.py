@@ -111,10 +111,44 @@ def test_op2_near_threshold(spark):
 
 
 def test_trie_prunes_nothing_that_links():
-    import numpy as np
+    t = op2_jaccard.Trie()
+    for name, n, tokens in [(7, 4, [1, 2, 3, 4]), (8, 5, [1, 2, 3, 4]), (9, 4, [1, 2]), (10, 4, [5, 6])]:
+        t.up[name] = name
+        t.insert(name, n, tokens)
+    t.up[1] = 1
+    assert sorted(t.links(1, 4, [1, 2, 3, 4])) == [7, 8]
+    assert t.links(1, 4, [1, 2, 3, 4]) == []  # all in its component now
+
+
+def test_op2_in_many_blocks(spark, monkeypatch):
+    """Families whose members mostly miss the centre, common shingles that skip the buckets, blocks of a few sets."""
+    import random
 
-    got = op2_jaccard.trie_links([1, 2, 3, 4], 4, [(7, 4, np.array([1, 2, 3, 4])), (8, 5, np.array([1, 2, 3, 4])), (9, 4, np.array([1, 2])), (10, 4, np.array([5, 6]))])
-    assert sorted(got) == [7, 8]
+    r = random.Random(11)
+    texts = []
+    for f in range(3):
+        base = [f"b{f}x{r.randrange(10**6)}" for _ in range(40)]
+        for _ in range(60):
+            w = list(base)
+            for _ in range(r.randrange(3)):
+                w[r.randrange(40)] = str(r.randrange(10**6))
+            texts.append((len(texts), " ".join(w[r.randrange(3) : 40 - r.randrange(6)] + ["the", "common", "closing", "line", "of", "all"])))
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    want = ordered(plain_components(texts))
+    for name, v in (("BLOCK", 200), ("HOT", 20), ("OFTEN", 2), ("BUCKET", 500), ("FLUSH", 700)):
+        monkeypatch.setattr(op2_jaccard, name, v)
+    assert rows(op2_jaccard.components(d)) == want
+
+
+def test_keep_one_rows(spark):
+    w = " ".join(WORDS[:60])
+    texts = [(1, w), (1, w), (1, w + " x"), (2, w + " y"), (4, ""), (4, ""), (None, "lone one"), (None, "lone one"), (5, None), (5, "five"), (5, "another text of five or more words"), (None, w)]
+    d = spark.createDataFrame([(t, i, 9, 8) for i, t in texts], "text string, doc_id long, `__id` int, `first` int")
+    kept = op2_jaccard.keep_one(d)
+    assert kept.columns == d.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [g for g in got if g[1] and g[1].startswith(w)] in ([(1, w)], [(1, w + " x")])
+    assert [g for g in got if not (g[1] and g[1].startswith(w))] == sorted([(4, ""), (4, ""), (None, "lone one"), (5, None), (5, "five"), (5, "another text of five or more words")], key=str)
 
 
 def plain_licences(x):
