@@ -291,8 +291,8 @@ class PrefixCounter(dict):
                 at += len(c.encode())
                 ends.append(count[at])
             out = ends
-        if piece[:1] == "'" and len(piece) > 1:  # the parts of a contraction split otherwise
-            out = [sum(self[x][-1] for x in self.find(piece[: k + 1])) if k + 1 < len(piece) else out[-1] for k in range(len(piece))]
+        if piece[0] == "'" and 1 < len(piece) <= 3 and piece[1:].isalpha():  # the beginnings of a contraction split otherwise
+            out = [*(sum(self[x][-1] for x in self.find(piece[:k])) for k in range(1, len(piece))), out[-1]]
         out = tuple(out)
         if len(piece) <= 64:
             if len(self) >= MEMO_WORDS:

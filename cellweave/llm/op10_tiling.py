@@ -2,9 +2,12 @@
 
 Benchmark items come in blocks of at most BLOCK_WORDS words (a stated query set against all rows).
 Of each text the word SEED-grams that an item of the block has are the seeds; texts without a seed
-are done. For each (text, item) the longest common run of words that is not yet marked is marked,
-again and again, down to SEED words; runs are found from seeds by rolling hash, their ends by
-comparing words. An item counts as leaked if tiles cover at least SHARE of its words, in any order.
+are done, and so are pairs whose seeds cannot cover SHARE of the item. For each other (text, item)
+the longest common run of words that is not yet marked is marked, again and again, down to SEED
+words: its length is found by running Karp-Rabin hashes of both sides (a common run of one length
+means common runs of all shorter ones, so the length is halved in on), and equal hashes are compared
+word by word. Memory and time follow the lengths of the two sides, not the number of their equal
+seeds. An item counts as leaked if tiles cover at least SHARE of its words, in any order.
 
 Defined results: a null or empty text or item matches nothing; items shorter than SEED words match
 as one run of all their words; every pair is reported once for each input row; repeated items with
@@ -19,112 +22,136 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cellweave.llm import text as tx
 
 SEED, SHARE, BLOCK_WORDS = 5, 0.5, 1_000_000
 
 
-def tiles(text: np.ndarray, item: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
-    """(text start, item start, length) of the greedy tiling, from seed places (text, item).
-
-    Seeds on one diagonal that touch form one run; longest runs are marked first, ties by place;
-    what a mark leaves of other runs is looked at again with its own length.
-    """
-    runs = []
-    for diagonal, places in _by_diagonal(seeds).items():
-        a = None
-        for p in places:
-            if a is not None and p <= end:
-                end = max(end, p + least)
-            else:
-                if a is not None:
-                    runs.append((end - a, a, a - diagonal))
-                a, end = p, p + least
-        runs.append((end - a, a, a - diagonal))
-    used_t, used_i, out = set(), np.zeros(len(item), bool), []
-    by_size = defaultdict(list)
-    for r in runs:
-        by_size[r[0]].append(r)
-    while by_size:
-        size = max(by_size)
-        for _, t, i in sorted(by_size.pop(size), key=lambda r: (r[1], r[2])):
-            free = [not used_i[i + k] and t + k not in used_t for k in range(size)]
-            if all(free):
-                used_i[i : i + size] = True
-                used_t.update(range(t, t + size))
-                out.append((t, i, size))
+class _Side:
+    """Words of one side with running hashes of their runs, and which words are marked."""
+
+    def __init__(self, words: np.ndarray, marked: np.ndarray):
+        n = len(words)
+        self.words, self.marked, self.n = words, marked, n
+        self.power, self.inverse = tx.powers(n + 1)
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * self.power[:n], out=self.total[1:])
+
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the unmarked runs of ``size`` words."""
+        if size > self.n:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        gone = np.zeros(self.n + 1, np.int64)
+        np.cumsum(self.marked, out=gone[1:])
+        at = np.flatnonzero(gone[size:] == gone[:-size])
+        return at, (self.total[at + size] - self.total[at]) * self.inverse[at]
+
+
+def tiles(text: np.ndarray, item: np.ndarray, seeds: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(text start, item start, length) of the greedy tiling; ``seeds`` are the starts in the text, ascending,
+    of all runs of ``least`` words that the item has too. Longest first, ties by place in the text, then in the item."""
+    if not len(seeds):
+        return []
+    # Only words of seeds can match: these stretches, each set off by one marked word.
+    first = np.flatnonzero(np.append(True, np.diff(seeds) >= least))
+    begin, size = seeds[first], seeds[np.append(first[1:], len(seeds)) - 1] + least - seeds[first]
+    step = size + 1
+    offset = np.cumsum(step) - step
+    at = np.repeat(begin - offset, step) + np.arange(int(step.sum()))
+    edge = np.zeros(len(at), bool)
+    edge[offset + size] = True
+    t, i = _Side(text[np.minimum(at, len(text) - 1)], edge), _Side(item, np.zeros(len(item), bool))
+    longest, out = int(min(size.max(), len(item))), []
+
+    def common(n: int) -> bool:
+        return bool(np.isin(t.runs(n)[1], i.runs(n)[1]).any())
+
+    while longest >= least:
+        if not common(longest):
+            low, high = least - 1, longest  # common(low), not common(high)
+            while high - low > 1:
+                mid = (low + high) // 2
+                low, high = (mid, high) if common(mid) else (low, mid)
+            longest = low
+            if longest < least:
+                break
+        at_t, hash_t = t.runs(longest)
+        at_i, hash_i = i.runs(longest)
+        places = defaultdict(list)
+        for p, h in zip(at_i[::-1].tolist(), hash_i[::-1].tolist()):
+            places[h].append(p)  # the first place last
+        match, end = np.isin(hash_t, hash_i), 0
+        for p, h in zip(at_t[match].tolist(), hash_t[match].tolist()):
+            free = places[h]
+            while free and i.marked[free[-1] : free[-1] + longest].any():
+                free.pop()
+            if p < end or not free:
                 continue
-            k = 0
-            while k < size:  # the free parts come up again at their own length
-                if not free[k]:
-                    k += 1
-                    continue
-                m = k
-                while m < size and free[m]:
-                    m += 1
-                if m - k >= least:
-                    by_size[m - k].append((m - k, t + k, i + k))
-                k = m
-    return out
-
-
-def _by_diagonal(seeds: list[tuple[int, int]]) -> dict[int, list[int]]:
-    out = defaultdict(list)
-    for t, i in sorted(seeds):
-        out[t - i].append(t)
+            q = free.pop()
+            if (t.words[p : p + longest] == item[q : q + longest]).all():
+                t.marked[p : p + longest] = i.marked[q : q + longest] = True
+                out.append((int(at[p]), q, longest))
+                end = p + longest
+        longest -= 1  # every run of this length is taken or cut
     return out
 
 
-def _index(items: list[tuple[int, str]]):
-    """Word hashes of the items, and for each seed hash its places."""
-    data = [(t or "").encode() for _, t in items]
-    offs = np.cumsum([0, *map(len, data)])
-    raw = np.frombuffer(b"".join(data), np.uint8)
-    s, e, doc = tx.words(raw, offs)
-    h = tx.span_hashes(tx.LOWER[raw], s, e)
-    words = np.split(h, np.searchsorted(doc, np.arange(1, len(items))))
-    g, of, at = tx.shingles(raw, offs, SEED)
-    first = np.searchsorted(doc, np.arange(len(items)))
-    places = defaultdict(list)
-    for x, d, p in zip(g.tolist(), of.tolist(), at.tolist()):
-        places[x].append((d, p - int(first[d])))
-    return words, np.unique(g), dict(places)
-
-
 class Finder:
     """Search of one block of items in batches of texts."""
 
     def __init__(self, items: list[tuple[object, str]], share: float):
         self.items, self.share = items, share
-        self.words, self.known, self.places = _index(items)
+        data = [(t or "").encode() for _, t in items]
+        offs = np.cumsum([0, *map(len, data)])
+        raw = np.frombuffer(b"".join(data), np.uint8)
+        s, e, doc = tx.words(raw, offs)
+        h = tx.span_hashes(tx.LOWER[raw], s, e)
+        self.words = np.split(h, np.searchsorted(doc, np.arange(1, len(items))))
+        self.grams: dict[int, np.ndarray] = {}  # of each item, all its seeds
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # by seed size: seeds, and the items of each
+        for size in sorted({min(SEED, len(w)) for w in self.words if len(w)}):
+            g, of, _ = tx.shingles(raw, offs, size, short=False)
+            mine = np.array([min(SEED, len(w)) == size for w in self.words])[of] if len(of) else np.empty(0, bool)
+            g, of = g[mine], of[mine]
+            edge = np.flatnonzero(np.append(True, of[1:] != of[:-1])[: len(of)])
+            self.grams |= dict(zip(of[edge].tolist(), np.split(g, edge[1:])))
+            pair = np.unique(np.column_stack([g, of.astype(np.uint64)]), axis=0)
+            seeds, begin = np.unique(pair[:, 0], return_index=True)
+            self.known[size] = seeds, np.append(begin, len(pair)), pair[:, 1].astype(np.int64)
 
     def __call__(self, batch: pa.RecordBatch, column: str):
         """(row, item, covered, item words, tiles) of leaked items."""
         for lo, _, o, d in tx.slices(batch, column):
-            g, doc, at = tx.shingles(d, o, SEED, short=False)
-            s, e, of = tx.words(d, o)
-            h = tx.span_hashes(tx.LOWER[d], s, e)
-            hits: dict[tuple[int, int], list] = defaultdict(list)
-            k = np.flatnonzero(self.known[np.minimum(np.searchsorted(self.known, g), len(self.known) - 1)] == g) if len(self.known) else []
-            first = np.searchsorted(of, np.arange(len(o)))
-            for x, dd, p in zip(g[k].tolist(), doc[k].tolist(), at[k].tolist()):
-                for item, i in self.places[x]:
-                    hits[dd, item].append((p - int(first[dd]), i))
-            for item, w in enumerate(self.words):
-                m = len(w)
-                if 0 < m < SEED and len(h) >= m:  # too short for a seed: its whole run of words
-                    for q in np.flatnonzero(h[: len(h) - m + 1] == w[0]).tolist():
-                        if of[q] == of[q + m - 1] and (h[q : q + m] == w).all():
-                            hits[int(of[q]), item].append((q - int(first[of[q]]), 0))
-            for (dd, item), seeds in hits.items():
-                w, text = self.words[item], h[first[dd] : first[dd + 1]]
-                least = min(SEED, len(w))
-                seeds = [(t, i) for t, i in seeds if (text[t : t + least] == w[i : i + least]).all()]
-                found = tiles(text, w, seeds, least) if seeds else []
-                covered = sum(x[2] for x in found)
-                if covered and covered >= self.share * len(w):
-                    yield lo + dd, self.items[item][0], covered, len(w), len(found)
+            words = None
+            for size, (seeds, begin, items) in self.known.items():
+                g, doc, at = tx.shingles(d, o, size, short=False)
+                k = np.flatnonzero(seeds[np.minimum(np.searchsorted(seeds, g), len(seeds) - 1)] == g)
+                if not len(k):
+                    continue
+                if words is None:
+                    s, e, of = tx.words(d, o)
+                    words, first = tx.span_hashes(tx.LOWER[d], s, e), np.searchsorted(of, np.arange(len(o)))
+                # One row for each seed in the text and item that has it; items apart, places ascending.
+                seed = np.searchsorted(seeds, g[k])
+                many = begin[seed + 1] - begin[seed]
+                item = items[np.repeat(begin[seed] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+                k = np.repeat(k, many)
+                order = np.lexsort((at[k], item, doc[k]))
+                k, item = k[order], item[order]
+                edge = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (doc[k[1:]] != doc[k[:-1]])))
+                for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(k)]):
+                    which, dd = int(item[a]), int(doc[k[a]])
+                    w, grams = self.words[which], self.grams[which]
+                    there = np.flatnonzero(np.isin(grams, g[k[a:b]]))
+                    reach = np.minimum(np.diff(there, append=there[-1] + size), size).sum()
+                    if reach < self.share * len(w):
+                        continue
+                    found = tiles(words[first[dd] : first[dd + 1]], w, at[k[a:b]] - first[dd], size)
+                    covered = sum(x[2] for x in found)
+                    if covered and covered >= self.share * len(w):
+                        yield lo + dd, self.items[which][0], covered, len(w), len(found)
 
 
 def _blocks(benchmark: DataFrame, item_col: str, item_text: str):
@@ -147,6 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     """doc_id, item_id, covered, item_words, n_tiles, coverage of every pair at or over ``share``."""
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    item_arrow = to_arrow_type(benchmark.schema[item_col].dataType)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = ["doc_id", "item_id", "covered", "item_words", "n_tiles", "coverage"]
 
@@ -159,7 +187,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
                 if out := list(find(b, "text")):
                     at, item, covered, whole, n = zip(*out)
                     cover = [c / w for c, w in zip(covered, whole)]
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(item, _arrow(item_kind)), *[pa.array(c, pa.int64()) for c in (covered, whole, n)], pa.array(cover)], names)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(item, item_arrow), *[pa.array(c, pa.int64()) for c in (covered, whole, n)], pa.array(cover)], names)
 
         return rows.mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, covered long, item_words long, n_tiles long, coverage double")
 
@@ -186,6 +214,3 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, text_col:
         docs = docs.mapInArrow(run, docs.schema)
     return docs
 
-
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]

@@ -35,8 +35,8 @@ def prefix_table(text: str, path: str, pattern: str) -> list[int]:
     """Tokens of text[:1], text[:2], ... An added token counts from its last character on; before, its part is plain text."""
     c, split = counter(path, pattern)
     out: list[int] = []
-    base = 0
-    for n, part in enumerate(split(text)):
+    base, parts = 0, split(text)
+    for n, part in enumerate(parts):
         if n % 2:
             out.extend([base + k for k in c.prefixes(part)[:-1]])
             base += 1
@@ -45,15 +45,13 @@ def prefix_table(text: str, path: str, pattern: str) -> list[int]:
             mine = c.prefixes(part)
             out.extend([base + k for k in mine])
             base += mine[-1]
-    if len(text) > 1 and len(split(text)) > 1:  # a begun added token continues the text before it
-        at = 0
-        for n, part in enumerate(split(text)):
-            if n % 2:
-                before = split(text[:at])[-1]
-                floor = out[at - len(before) - 1] if at > len(before) else 0
-                for k in range(1, len(part)):
-                    out[at + k - 1] = floor + c.prefixes(before + part[:k])[-1]
-            at += len(part)
+    at = 0
+    for n, part in enumerate(parts):
+        if n % 2 and len(part) > 1:  # a begun added token continues the text before it
+            before = parts[n - 1]
+            floor = out[at - len(before) - 1] if at > len(before) else 0
+            out[at : at + len(part) - 1] = [floor + k for k in c.prefixes(before + part[:-1])[len(before) :]]
+        at += len(part)
     return out
 
 
