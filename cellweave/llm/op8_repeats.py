@@ -3,7 +3,8 @@
 A byte is removed if it lies in a string of SPAN bytes that starts at another place too. Comparing
 every suffix of a collection is not needed for that:
 
-1. Equal texts are one class; of a class of two or more, all strings of SPAN bytes repeat.
+1. Equal texts are one class; of a class of two or more, all strings of SPAN bytes repeat. Classes
+   have 64-bit names; a second hash shows whether two texts took one name, and then all are named anew.
 2. Each string of SPAN bytes names the place of the smallest hash among its GRAM-byte grams, ties
    to the left (its anchor). Equal strings name anchors of equal hash at equal offsets, so strings
    are compared only where their anchors' hashes are equal, and only anchor hashes that stand at
@@ -26,7 +27,8 @@ Defined results: a null or empty text has 0 bytes, nothing removed and the diges
 shorter than SPAN lose nothing; repeated rows are separate documents; null ids are allowed.
 
 ``strip`` can also judge by words: the construction then runs over texts in which each word is
-SYMBOL bytes of its hash (7 bits each, so 42 bits), and a span is so many symbols. Whitespace is
+SYMBOL bytes of its hash (7 bits each, so 42 bits), and a span is so many symbols. ``removed``
+counts such passages of PASSAGE words or more beside the bytes, as many are shorter than SPAN bytes. Whitespace is
 not compared. A run of over UNBROKEN bytes without a separator is no word of a language with
 spaces; its bytes stand for themselves, so that SYMBOL of them count as a word.
 """
@@ -34,6 +36,7 @@ spaces; its bytes stand for themselves, so that SYMBOL of them count as a word.
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -44,10 +47,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cellweave.llm import text as tx
-from cellweave.session import cut, shuffle_parts
+from cellweave.session import cut, discard
 
 SPAN, GRAM, HOT = 400, 32, 50_000
-SYMBOL, UNBROKEN = 6, 64
+SYMBOL, UNBROKEN, PASSAGE = 6, 64, 51
+#: Bytes of pieces in a bucket, about.
+BUCKET = 16 << 20
 # An anchor lies at most span - GRAM behind the start of its string.
 
 
@@ -291,37 +296,52 @@ def _windows(rows: DataFrame, span: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, start long, x long, y long")
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, *, span: int = SPAN) -> DataFrame:
-    """id, key, spans: sorted byte ranges [first, last) to remove, for texts that have any."""
-    buckets = shuffle_parts(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text, F.octet_length(text)).alias("key"), text.alias("text"))
+def _key(text, salt: int):
+    return F.xxhash64(F.lit(salt), text, F.octet_length(text))
+
+
+def _classes(docs: DataFrame, id_col: str, text, span: int) -> tuple[DataFrame, int]:
+    """key, id, rows, size of each different text of ``span`` bytes or more, and the salt with which no two have one key."""
+    for salt in count():
+        known = docs.select(docs[id_col].alias("id"), _key(text, salt).alias("key"), F.xxhash64(F.lit(-1 - salt), text).alias("check"), F.octet_length(text).alias("size")).filter(F.col("size") >= span)
+        classes = cut(known.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("size").alias("size"), F.min("check").alias("a"), F.max("check").alias("b")))
+        if classes.filter("a <> b").isEmpty():
+            return classes, salt
+        discard(classes)
+
+
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, *, span: int = SPAN) -> tuple[DataFrame, int]:
+    """id, key, spans: sorted byte ranges [first, last) to remove, for texts that have any; and the salt of the keys."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    classes, salt = _classes(docs, id_col, text, span)
+    rows = docs.select(docs[id_col].alias("id"), _key(text, salt).alias("key"), text.alias("text"))
     known = rows.select("id", "key", F.octet_length("text").alias("size")).filter(F.col("size") >= span)
-    classes = cut(known.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("rows"), F.first("size").alias("size")))
     found = cut(_find(rows, span))
     anchors = found.filter("hash is not null")
-    twice = anchors.groupBy("hash").agg(F.min(F.struct("key", "place")).alias("lo"), F.max(F.struct("key", "place")).alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("hash", (F.col("n") > hot).alias("hot"))
-    need = anchors.join(twice, "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place", "first", "last", "hot")).alias("found"))
+    twice = anchors.groupBy("hash").agg(F.min(F.struct("key", "place")).alias("lo"), F.max(F.struct("key", "place")).alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
+    twice = cut(twice.select("hash", "n", (F.col("n") > hot).alias("hot")))
+    many, any_hot = twice.agg(F.sum(F.when(~F.col("hot"), F.col("n"))), F.coalesce(F.max("hot"), F.lit(False))).first()
+    buckets = max(1, -(-(many or 0) * span * 3 // 2 // BUCKET))
+    need = anchors.join(twice.select("hash", "hot"), "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place", "first", "last", "hot")).alias("found"))
     need = need.join(classes.select("key", "id"), "key").select(F.col("key").alias("n_key"), F.col("id").alias("n_id"), "found")
     z = _packed_text(rows.filter(F.octet_length("text") >= span))
     with_text = z.join(need, F.expr("key = n_key and id <=> n_id")).select("key", "z", "found")
-    with_text = cut(with_text) if hot_any(twice) else with_text
+    with_text = cut(with_text) if any_hot else with_text
     cold = with_text.select("key", "z", F.filter("found", lambda f: ~f["hot"]).alias("found")).filter(F.size("found") > 0)
     repeats = _pieces(cold, buckets, span).groupBy("bucket").applyInPandas(_construct(span), "key long, first long, last long")
-    if hot_any(twice):
+    w = None
+    if any_hot:
         w = cut(_windows(with_text.select("key", "z", F.filter("found", lambda f: f["hot"]).alias("found")).filter(F.size("found") > 0), span).distinct())
-        many = w.groupBy("x", "y").count().filter("count > 1").select("x", "y")
-        repeats = repeats.unionAll(w.join(many, ["x", "y"], "left_semi").selectExpr("key", "start as first", f"start + {span} as last"))
+        more = w.groupBy("x", "y").count().filter("count > 1").select("x", "y")
+        repeats = repeats.unionAll(w.join(more, ["x", "y"], "left_semi").selectExpr("key", "start as first", f"start + {span} as last"))
     repeats = repeats.unionAll(found.filter("hash is null").select("key", "first", "last"))
     single = classes.filter("rows = 1").select("key", "id")
     lists = repeats.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     own = single.join(lists, "key").select("id", "key", "spans")
     whole = known.join(classes.filter("rows > 1").select("key"), "key", "left_semi").select("id", "key", F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("size").cast("long").alias("last"))).alias("spans")).distinct()
-    return cut(own.unionAll(whole))
-
-
-def hot_any(twice: DataFrame) -> bool:
-    return not twice.filter("hot").isEmpty()
+    out = cut(own.unionAll(whole))
+    discard(classes, found, twice, w, with_text)
+    return out, salt
 
 
 def _merged(found) -> list[tuple[int, int]]:
@@ -346,25 +366,30 @@ def _kept(data: bytes, found: list[tuple[int, int]]) -> bytes:
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    cuts = spans(docs, id_col, text_col)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    z = _packed_text(docs.select(F.col(id_col).alias("id"), F.xxhash64(text, F.octet_length(text)).alias("key"), text.alias("text")))
-    joined = z.join(cuts.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans"), F.expr("id <=> c_id and key = c_key"), "left").select("id", "z", "spans")
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 by SPAN bytes; passages, passage_words: repeated passages of PASSAGE words or more."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    rows = docs.select(docs[id_col].alias("id"), text.alias("text"))
+    cuts, salt = spans(rows, "id", "text")
+    keyed = rows.select("id", _key(F.col("text"), salt).alias("key"), "text")
+    said, _ = spans(_with_symbols(keyed.select(F.struct("id", "key").alias("id"), "text"), "text", "symbols"), "id", "symbols", span=PASSAGE * SYMBOL)
+    said = said.select(F.col("id.id").alias("s_id"), F.col("id.key").alias("s_key"), F.col("spans").alias("said"))
+    found = cuts.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans").join(said, F.expr("c_id <=> s_id and c_key = s_key"), "full")
+    found = found.select(F.when(F.col("c_key").isNull(), F.col("s_id")).otherwise(F.col("c_id")).alias("c_id"), F.coalesce("c_key", "s_key").alias("c_key"), "spans", "said")
+    joined = _packed_text(keyed).join(found, F.expr("id <=> c_id and key = c_key"), "left").select("id", "z", "spans", "said")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for z, found in zip(b.column(1), b.column(2).to_pylist()):
+            for z, found, said in zip(b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 d = unpack.decompress(z.as_buffer())
-                s = _merged(found)
-                out.append((len(d), sum(y - x for x, y in s), len(s), hashlib.sha256(_kept(d, s)).hexdigest()))
-            cols = list(zip(*out)) if out else [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                s, p = _merged(found), _in_text(d, _merged(said)) if said else []
+                out.append((len(d), sum(y - x for x, y in s), len(s), len(p), sum(n for _, _, n in p), hashlib.sha256(_kept(d, s)).hexdigest()))
+            cols = list(zip(*out)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "passages", "passage_words", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, passages long, passage_words long, kept_sha256 string")
 
 
 def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -385,8 +410,8 @@ def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, doc[of], size, out
 
 
-def _with_symbols(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with a last column _symbols: the texts' symbols as a string."""
+def _with_symbols(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``docs`` with a last column ``name``: the texts' symbols as a string."""
 
     def run(batches):
         for b in batches:
@@ -396,13 +421,13 @@ def _with_symbols(docs: DataFrame, text_col: str) -> DataFrame:
                 to = np.append(0, np.cumsum(np.bincount(doc, size, minlength=hi - lo).astype(np.int64)))
                 data = data.tobytes()
                 out += [data[x:y].decode() for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, "_symbols"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_symbols", StringType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
 
 
-def _in_text(data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Byte ranges of the symbols that lie wholly in ranges over symbols."""
+def _in_text(data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Byte ranges of the symbols that lie wholly in ranges over symbols, and the number of symbols of each."""
     d = np.frombuffer(data, np.uint8)
     start, end, _, size, _ = symbols(d, np.array([0, len(d)]))
     to = np.cumsum(size)
@@ -411,7 +436,7 @@ def _in_text(data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int]]
     for a, b in found:
         x, y = int(np.searchsorted(begin, a)), int(np.searchsorted(to, b, "right")) - 1
         if x <= y:
-            out.append((int(start[x]), int(end[y])))
+            out.append((int(start[x]), int(end[y]), y - x + 1))
     return out
 
 
@@ -419,15 +444,23 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wo
     """``docs`` with repeated bytes taken out of the texts; code points cut in two are dropped.
 
     With ``words``, passages of at least so many words that stand at another place too go instead.
+    Rows, columns and their order stay; null texts stay null.
     """
-    rows, by = (docs, text_col) if words is None else (_with_symbols(docs, text_col), "_symbols")
-    cuts = spans(rows, id_col, by, span=SPAN if words is None else words * SYMBOL).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    text = F.coalesce(F.col(by), F.lit(""))
-    joined = rows.join(cuts, rows[id_col].eqNullSafe(cuts["_id"]) & (F.xxhash64(text, F.octet_length(text)) == cuts["_key"]), "left").select(*docs.columns, "_spans")
+    taken, names = {c.lower() for c in docs.columns}, []
+    for k in count():  # names that no column has
+        if f"_{k}" not in taken:
+            names.append(f"_{k}")
+        if len(names) == 4:
+            break
+    by = text_col if words is None else names[3]
+    rows = docs if words is None else _with_symbols(docs, text_col, by)
+    cuts, salt = spans(rows, id_col, by, span=SPAN if words is None else words * SYMBOL)
+    cuts = cuts.select(F.col("id").alias(names[0]), F.col("key").alias(names[1]), F.col("spans").alias(names[2]))
+    joined = rows.join(cuts, rows[id_col].eqNullSafe(cuts[names[0]]) & (_key(F.coalesce(rows[by], F.lit("")), salt) == cuts[names[1]]), "left").select(*[rows[c] for c in docs.columns], names[2])
     at = docs.columns.index(text_col)
 
     def left(data: bytes, found: list[tuple[int, int]]) -> str:
-        return _kept(data, found if words is None else _in_text(data, found)).decode("utf-8", "ignore")
+        return _kept(data, found if words is None else [x[:2] for x in _in_text(data, found)]).decode("utf-8", "ignore")
 
     def run(batches):
         for b in batches:

@@ -259,7 +259,7 @@ def test_op8(docs, none, hot, monkeypatch):
     few = [r for r in TEXTS if r[0] != 14] + [(20, "A" * 399), (21, "A" * 400), (22, "B" * 401), (23, "pre " + LONG[300:900] + " post"), (24, "C" * 500 + LONG[:350])]
     d = docs.sparkSession.createDataFrame([(0, i, t, None, 1) for i, t in few], SCHEMA)
     monkeypatch.setattr(op8_repeats.spans, "__defaults__", ("doc_id", "text", hot))
-    assert rows(op8_repeats.removed(d)) == ordered(plain_repeats(few))
+    assert rows(op8_repeats.removed(d).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(plain_repeats(few))
     assert op8_repeats.removed(none).count() == 0
     assert op8_repeats.strip(d).columns == d.columns
 
@@ -354,3 +354,67 @@ def test_pipeline_stages(spark):
     ids = p.STAGES[-1][1](spark, d, "/root/testdata/sf0.001").join(d.select("doc_id", "text"), "doc_id").collect()
     t = tik()
     assert all(list(r["ids"]) == t.encode_ordinary(r["text"]) for r in ids)
+
+
+def test_op8_passages_and_clashing_names(spark):
+    import random
+
+    r = random.Random(8)
+    own = lambda n: " ".join("".join(r.choice("abcde") for _ in range(r.randint(2, 7))) for _ in range(n))
+    p51, p50 = own(51), own(50)
+    texts = [own(30) + " " + p51 + " " + own(9), p51.replace(" ", "\n") + "  " + own(40), own(20) + " " + p50 + " x", p50 + " y"]
+    assert len(p51) < 400
+    d = spark.createDataFrame([(k, t, 1, 2, 3, 4) for k, t in enumerate(texts)], "doc_id long, text string, _0 int, _id int, _spans int, _KEY int")
+    got = {x["doc_id"]: (x["n_removed"], x["passages"], x["passage_words"]) for x in op8_repeats.removed(d).collect()}
+    assert got == {0: (0, 1, 51), 1: (0, 1, 51), 2: (0, 0, 0), 3: (0, 0, 0)}
+    out = op8_repeats.strip(d, words=51)
+    assert out.columns == d.columns and {x["doc_id"]: x["text"] for x in out.collect()} == dict(enumerate(plain_word_repeats(texts, 51)))
+
+
+def plain_tiles(text, item, least):
+    used_t, used_i, out = set(), set(), []
+    while True:
+        best = None
+        for t in range(len(text)):
+            for i in range(len(item)):
+                k = 0
+                while t + k < len(text) and i + k < len(item) and text[t + k] == item[i + k] and t + k not in used_t and i + k not in used_i:
+                    k += 1
+                if k >= least and (best is None or k > best[2]):
+                    best = t, i, k
+        if not best:
+            return out
+        t, i, k = best
+        out.append(best)
+        used_t |= set(range(t, t + k))
+        used_i |= set(range(i, i + k))
+
+
+def test_tiles_are_those_of_plain_greedy_tiling():
+    import random
+
+    import numpy as np
+
+    r = random.Random(3)
+    for _ in range(200):
+        a = r.choice([2, 3, 6])
+        text, item = (np.array([r.randrange(a) for _ in range(r.randrange(1, n))], np.uint64) for n in (50, 30))
+        least = min(r.choice([2, 3, 5]), len(item))
+        grams = {tuple(item[k : k + least].tolist()) for k in range(len(item) - least + 1)}
+        seeds = np.array([k for k in range(len(text) - least + 1) if tuple(text[k : k + least].tolist()) in grams], np.int64)
+        assert sorted(op10_tiling.tiles(text, item, seeds, least)) == sorted(plain_tiles(text.tolist(), item.tolist(), least))
+
+
+def test_op10_on_one_word_again_and_again(spark):
+    docs = spark.createDataFrame([("x", "word " * 50_000), ("y", "other")], "doc_id string, text string")
+    bench = spark.createDataFrame([("1", "word " * 5_000), (None, "word other word")], "item_id string, text string")
+    assert [(r["doc_id"], r["item_id"], r["covered"], r["n_tiles"]) for r in op10_tiling.leaks(docs, bench).collect()] == [("x", "1", 5_000, 1)]
+
+
+def test_op6_on_runs(spark):
+    t = tokenizers.Tokenizer.from_file(JSON)
+    texts = ["'" * 200_000, " " * 200_000, "a" * 200_000, "<|endoftext|>" * 2_000, "''''s 'll''ve '"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert rows(op6_counts.counts(d, JSON, pt.PATTERN).select("doc_id", "n_tokens")) == [(k, len(t.encode(x, add_special_tokens=False).ids)) for k, x in enumerate(texts)]
+    x = "don't ''ll 'LL x're <|endoftext|> a  <|endoftext|>'ll  \n x'v"
+    assert op6_counts.prefix_table(x, JSON, pt.PATTERN) == [len(e.ids) for e in t.encode_batch([x[:k] for k in range(1, len(x) + 1)], add_special_tokens=False)]
