@@ -418,3 +418,29 @@ def test_op6_on_runs(spark):
     assert rows(op6_counts.counts(d, JSON, pt.PATTERN).select("doc_id", "n_tokens")) == [(k, len(t.encode(x, add_special_tokens=False).ids)) for k, x in enumerate(texts)]
     x = "don't ''ll 'LL x're <|endoftext|> a  <|endoftext|>'ll  \n x'v"
     assert op6_counts.prefix_table(x, JSON, pt.PATTERN) == [len(e.ids) for e in t.encode_batch([x[:k] for k in range(1, len(x) + 1)], add_special_tokens=False)]
+
+
+def test_op7_keeps_groups_whole(spark):
+    """Equal texts in one shard, unless they are more than a shard's share; sizes near equal."""
+    d = spark.range(6_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.when(F.col("id") % 2 == 0, F.col("id") % 600).otherwise(F.col("id")).cast("string"), F.repeat(F.lit(" x"), (F.col("id") % 97 % 40).cast("int"))).alias("text"))
+    d = d.unionAll(spark.range(6_000, 6_050).select("id", F.lit("tied")))
+    got = op7_shards.shard(d).join(d, "doc_id")
+    assert got.groupBy("text").agg(F.count_distinct("shard").alias("n")).filter("n > 1").isEmpty()
+    sizes = [r["s"] for r in got.groupBy("shard").agg(F.sum("size").alias("s")).collect()]
+    assert len(sizes) == 40 and max(sizes) < 1.01 * min(sizes)
+
+
+def test_op7_places_as_plain_packing():
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    v = r.integers(1, 1000, (300, 3)).astype(float)
+    got = op7_shards.place(v, 7)
+    share, rest, want = v / v.sum(0) * 7, [[1.0] * 3 for _ in range(7)], {}
+    for k in sorted(range(300), key=lambda k: (-share[k][0], -max(share[k]), k)):
+        room = [s for s in range(7) if rest[s][0] - share[k][0] >= -1e-12]
+        dot = lambda s: sum(a * b for a, b in zip(rest[s], share[k]))
+        s = max(room, key=lambda s: (dot(s), -s)) if room else max(range(7), key=lambda s: (rest[s][0] - share[k][0], -s))
+        want[k] = s
+        rest[s] = [a - b for a, b in zip(rest[s], share[k])]
+    assert got.tolist() == [want[k] for k in range(300)]
