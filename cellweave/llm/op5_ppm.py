@@ -1,21 +1,26 @@
 """Operator 5: language-model scoring by prediction by partial matching, beside a word-count base score.
 
-PPM: contexts of up to ORDER bytes form a trie of counts over all training texts, gathered by
-one aggregation of byte strings. A byte is coded in the longest context that has been seen; if it
-was not seen there, an escape (distinct / (total + distinct)) leads to the context one shorter,
-whose counts leave out all symbols of the longer one (symbol exclusion). The model is pretrained
-and then fixed, so each byte string's code length is one number and documents add up lookups.
-
-The trie goes to the workers only after a check of its size (NODES_MOST); beyond, contexts one byte
-shorter are used, down to two bytes, of which at most 2**24 strings exist.
-
-Words: each slice of texts sends its distinct words by hash to a bucket, the bucket adds up
-training counts, and sums for each document go back slice by slice; nothing is broadcast. Words are
-told apart by 64-bit hashes.
-
-Defined results: a null or empty text has the end token only; a null id is a training row; each
-input row gives one output row, repeated ids included; without training rows c = N = V = 0 (base
-score is then 0 / 0-safe: log10(1 / 1)); an empty table gives no rows.
+PPM: contexts of up to ORDER bytes form a trie of counts over all training texts. A byte is coded in
+the longest context that has been seen; if it was not seen there, an escape (distinct / (total +
+distinct)) leads to the context one shorter, whose counts leave out all symbols of the longer one
+(symbol exclusion). The model is pretrained and then fixed, so each byte string of ORDER + 1 bytes
+has one code length, and documents add up lookups.
+
+The trie is a table at every size, and nothing of it is collected but its two lowest orders, of
+which 2**16 strings exist:
+
+1. Texts are packed into units of about UNIT bytes; each unit lists its distinct byte strings and
+   its distinct words with their training counts, and Spark adds these up.
+2. Strings whose last two context bytes are equal (at most 2**24) hold all their contexts of order
+   two and more, so each such branch of the trie is built in one group, and gives every string of
+   the corpus its code length. Words get log10(count + 1).
+3. Strings and words that make up 1/2**18 or more of all (so at most 2**18 of each) are sent to all
+   tasks; units join the rest of what they list with the table, and score their texts.
+
+Defined results: a null or empty text has the end token only; a null id is a training row; ids of
+any type are kept; each input row gives one output row, repeated ids included; without training rows
+c = N = V = 0 (base score is then log10(1 / 1) a token); an empty table gives no rows. Words are told
+apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,21 +28,62 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm import text as tx
-from cellweave.session import cut, shuffle_parts
+from cellweave.session import cut, discard
 
-ORDER, NODES_MOST = 4, 4_000_000
+ORDER, UNIT, COMMON = 4, 8 << 20, 1 << 18
 PAD, END, SYMBOLS = 0xFE, 0xFF, 256
 FOLD, HELD = 7, 2
+GRAM, WORD = 0, 1
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLD == HELD, F.lit(False))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out"))
+def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """unit, ids, held, sizes, z: texts of about UNIT bytes, compressed, with their ids and fold."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    held = F.coalesce(F.crc32(docs[id_col].cast("string").cast("binary")) % FOLD == HELD, F.lit(False))
+    names = ["unit", "ids", "held", "sizes", "z"]
+
+    def run(batches):
+        part, number, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(1)
+        ids, held, sizes, data, size = [], [], [], [], 0
+
+        def one(n):
+            whole = [pa.concat_arrays(ids), pa.concat_arrays(held), pa.array(np.concatenate(sizes))]
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | n]), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in whole], pa.array([pack.compress(b"".join(data))], pa.binary())], names)
+
+        for b in batches:
+            for lo, hi, o, d in tx.slices(b, "text"):
+                ids.append(b.column(0).slice(lo, hi - lo))
+                held.append(b.column(2).slice(lo, hi - lo))
+                sizes.append(np.diff(o))
+                data.append(d.tobytes())
+                size += len(d)
+                if size >= UNIT:
+                    yield one(number)
+                    number += 1
+                    ids, held, sizes, data, size = [], [], [], [], 0
+        if ids:
+            yield one(number)
+
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), held.alias("held"))
+    return rows.mapInArrow(run, f"unit long, ids array<{kind}>, held array<boolean>, sizes array<long>, z binary")
+
+
+def _slices(sizes: np.ndarray, z: bytes):
+    """(first row, end row, offsets, bytes) of a unit's texts, about tx.SLICE bytes at a time."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint8)
+    offs = np.append(0, np.cumsum(sizes))
+    a = 0
+    while a < len(sizes):
+        b = min(len(sizes), max(a + 1, int(np.searchsorted(offs, offs[a] + tx.SLICE, "right")) - 1))
+        yield a, b, offs[a : b + 1] - offs[a], data[offs[a] : offs[b]]
+        a = b
 
 
 def grams(offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,40 +102,44 @@ def grams(offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code[real], np.repeat(np.arange(n), size + 1)
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """gram, n over the training rows of (doc_id, text, held_out); each task adds up first."""
+def _words(o: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    s, e, doc = tx.words(d, o)
+    return tx.span_hashes(tx.LOWER[d], s, e), doc
 
-    def run(batches):
-        codes, counts, held = [], [], 0
 
-        def merged():
-            u, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-            return u, np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+def listed(of: DataFrame) -> DataFrame:
+    """unit, kind, code, n: the distinct byte strings and words of each unit, with their counts in training rows."""
 
+    def run(batches):
         for b in batches:
-            for _, _, o, d in tx.slices(b, "text"):
-                u, n = np.unique(grams(o, d)[0], return_counts=True)
-                codes.append(u)
-                counts.append(n)
-                held += len(u)
-                if held > 4_000_000:
-                    u, n = merged()
-                    codes, counts, held = [u], [n], 0
-        if codes:
-            u, n = merged()
-            for k in range(0, len(u), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(u[k : k + (1 << 16)].view(np.int64)), pa.array(n[k : k + (1 << 16)])], ["gram", "n"])
-
-    return docs.filter(~F.col("held_out")).select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+            for k in range(b.num_rows):
+                held = b.column("held")[k].values.to_numpy(zero_copy_only=False).astype(bool)
+                found = {GRAM: [], WORD: []}
+                for lo, hi, o, d in _slices(b.column("sizes")[k].values.to_numpy(), b.column("z")[k].as_py()):
+                    train = ~held[lo:hi]
+                    for kind, (code, doc) in ((GRAM, grams(o, d)), (WORD, _words(o, d))):
+                        u, at = np.unique(code, return_inverse=True)
+                        found[kind].append((u, np.bincount(at, train[doc], minlength=len(u))))
+                for kind, parts in found.items():
+                    code, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.uint64), np.empty(0))
+                    u, at = np.unique(code, return_inverse=True)
+                    n = np.bincount(at, n, minlength=len(u)).astype(np.int64)
+                    for a in range(0, len(u), 1 << 16):
+                        c = u[a : a + (1 << 16)].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), b.column("unit")[k].as_py())), pa.array(np.full(len(c), kind, np.int8)), pa.array(c), pa.array(n[a : a + (1 << 16)])], ["unit", "kind", "code", "n"])
+
+    return of.mapInArrow(run, "unit long, kind byte, code long, n long")
 
 
 class Trie:
-    """The context trie as sorted arrays for each order: contexts, and contexts with a symbol."""
+    """A branch of the context trie as sorted arrays for each order: contexts, and contexts with a symbol.
+
+    ``low`` gives the orders from 0 on that the branch shares with others.
+    """
 
-    def __init__(self, code: np.ndarray, n: np.ndarray, order: int):
-        self.order = order
-        self.levels = []
-        for k in range(order + 1):
+    def __init__(self, code: np.ndarray, n: np.ndarray, order: int = ORDER, low: tuple = ()):
+        self.order, self.levels = order, list(low)
+        for k in range(len(low), order + 1):
             g, inverse = np.unique(code & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
             c = np.bincount(inverse, n, minlength=len(g))
             ctx, first = np.unique(g >> np.uint64(8), return_index=True)
@@ -101,22 +151,8 @@ class Trie:
                 same = np.searchsorted(below["gram"], g & np.uint64((1 << (8 * k)) - 1))
                 left_out = np.bincount(at, below["count"][same], minlength=len(ctx))
             self.levels.append({"gram": g, "count": c, "ctx": ctx, "total": total, "kinds": kinds, "left_out": left_out})
-        top = self.levels[order]["gram"]
-        values = self._chain(top).astype(np.float32)
-        bits = max(10, int(len(top) * 4).bit_length())
-        self.bits, self.keys, self.values = bits, np.full(1 << bits, np.uint64(2**64 - 1)), np.zeros(1 << bits, np.float32)
-        rest = np.arange(len(top))
-        for salt in (0, 1):
-            slot = self._slot(top[rest], salt)
-            free = np.flatnonzero(self.keys[slot] == np.uint64(2**64 - 1))
-            s, pick = np.unique(slot[free], return_index=True)
-            self.keys[s], self.values[s] = top[rest[free[pick]]], values[rest[free[pick]]]
-            rest = np.setdiff1d(rest, rest[free[pick]], assume_unique=True)
-
-    def _slot(self, code: np.ndarray, salt: int) -> np.ndarray:
-        return ((code * np.uint64(0x9E3779B97F4A7C15 if not salt else 0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _chain(self, code: np.ndarray) -> np.ndarray:
+
+    def log10(self, code: np.ndarray) -> np.ndarray:
         """log10 probability of each symbol by escapes from the longest seen context down."""
         out, open_ = np.zeros(len(code)), np.ones(len(code), bool)
         gone_n, gone_k = np.zeros(len(code)), np.zeros(len(code))  # excluded counts and symbols
@@ -141,125 +177,85 @@ class Trie:
         out[open_] -= np.log10(np.maximum(SYMBOLS - gone_k[open_], 1))
         return out
 
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        code = code & np.uint64((1 << (8 * (self.order + 1))) - 1)
-        out, missing = np.empty(len(code)), np.arange(len(code))
-        for salt in (0, 1):
-            slot = self._slot(code[missing], salt)
-            ok = self.keys[slot] == code[missing]
-            out[missing[ok]] = self.values[slot[ok]]
-            missing = missing[~ok]
-        if len(missing):
-            u, inverse = np.unique(code[missing], return_inverse=True)
-            out[missing] = self._chain(u)[inverse]
-        return out
-
 
-_tries: dict[int, Trie] = {}
+def code_lengths(counts: DataFrame) -> DataFrame:
+    """code, n, value: log10 probability of each byte string (code, n), those not in training rows (n = 0) included."""
+    code = F.col("code")
+    # At most 2**16 strings of two bytes.
+    two = counts.filter("n > 0").groupBy(code.bitwiseAND(0xFFFF).alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    low = Trie(two["code"].to_numpy().astype(np.uint64), two["n"].to_numpy().astype(float), 1).levels
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        g, n = pdf["code"].to_numpy().view(np.uint64), pdf["n"].to_numpy()
+        seen = n > 0
+        return pd.DataFrame({"code": pdf["code"], "n": n, "value": Trie(g[seen], n[seen].astype(float), ORDER, low).log10(g)})
 
-def learn(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Strings and counts of the trie, and its order, from rows of (doc_id, text, held_out)."""
-    counts, order = cut(gram_counts(docs)), ORDER
-    while order > 2 and counts.limit(NODES_MOST + 1).count() > NODES_MOST:
-        order -= 1
-        counts = cut(counts.groupBy(F.col("gram").bitwiseAND((1 << (8 * (order + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n")))
-    t = counts.toArrow()
-    return t["gram"].to_numpy().view(np.uint64), t["n"].to_numpy().astype(float), order
+    branch = F.shiftright(code, 8).bitwiseAND(0xFFFF)
+    return counts.select("code", "n").groupBy(branch.alias("branch")).applyInPandas(run, "code long, n long, value double")
 
 
-def _words(rows: DataFrame, trie) -> DataFrame:
-    """For each slice of rows: its rows with their PPM scores, and its words for each bucket."""
-    buckets = shuffle_parts(rows.sparkSession)
-    names = ["bucket", "slice", "words", "word", "doc", "times", "train", "ids", "held", "tokens", "score"]
-
-    def run(batches):
-        number, part = 0, TaskContext.get().partitionId()
-        key = id(trie)
-        if key not in _tries:
-            _tries.clear()
-            _tries[key] = Trie(*trie.value)
-        model = _tries[key]
-        for b in batches:
-            ids = b.column(0)
-            held_all = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for lo, hi, o, d in tx.slices(b, "text"):
-                this, number = part << 32 | number, number + 1
-                n, held = hi - lo, held_all[lo:hi]
-                code, of = grams(o, d)
-                score = np.bincount(of, model.log10(code), minlength=n)
-                s, e, doc = tx.words(d, o)
-                h = tx.span_hashes(tx.LOWER[d], s, e)
-                tokens = np.bincount(doc, minlength=n) + 1
-                w, at = np.unique(h, return_inverse=True)
-                pair, times = np.unique(at.astype(np.int64) * n + doc, return_counts=True)
-                at, doc = pair // n, pair % n
-                to = (w % np.uint64(buckets)).astype(np.int64)
-                by_word = np.argsort(to, kind="stable")
-                rank = np.empty(len(w), np.int64)
-                edges = np.searchsorted(to[by_word], np.arange(buckets + 1))
-                rank[by_word] = np.arange(len(w)) - edges[to[by_word]]
-                by_pair = np.argsort(to[at], kind="stable")
-                cuts = np.searchsorted(to[at][by_pair], np.arange(buckets + 1))
-                out = []
-                train = (~held).tobytes()
-                for k in range(buckets):
-                    p = by_pair[cuts[k] : cuts[k + 1]]
-                    if len(p):
-                        out.append((k, this, w[by_word[edges[k] : edges[k + 1]]].tobytes(), rank[at[p]].astype(np.uint32).tobytes(), doc[p].astype(np.uint32).tobytes(), np.minimum(times[p], 2**32 - 1).astype(np.uint32).tobytes(), train, None, None, None, None))
-                id_mask = ids.slice(lo, n).is_valid().to_numpy(zero_copy_only=False)
-                id_values = ids.slice(lo, n).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                out.append((number % buckets, this, None, None, None, None, id_mask.tobytes(), id_values.tobytes(), held.tobytes(), tokens.astype(np.int64).tobytes(), score.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), pa.int64(), *[pa.binary()] * 9])], names)
-
-    return rows.mapInArrow(run, "bucket int, slice long, " + ", ".join(f"{n} binary" for n in names[2:]))
-
-
-def _sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    """In one bucket: counts of its words over training rows, and each slice's sums with them."""
-    own = pdf[pdf["words"].notna()]
-    rows = []
-    if len(own):
-        words = [np.frombuffer(x, np.uint64) for x in own["words"]]
-        u, where = np.unique(np.concatenate(words), return_inverse=True)
-        begin = np.cumsum([0, *map(len, words)])
-        count = np.zeros(len(u), np.int64)
-        parsed = []
-        for k, (word, doc, times, train) in enumerate(zip(own["word"], own["doc"], own["times"], own["train"])):
-            at = where[begin[k] : begin[k + 1]][np.frombuffer(word, np.uint32)]
-            doc, times, train = np.frombuffer(doc, np.uint32), np.frombuffer(times, np.uint32).astype(np.int64), np.frombuffer(train, bool)
-            use = train[doc]
-            count += np.bincount(at[use], times[use], minlength=len(u)).astype(np.int64)
-            parsed.append((at, doc, times, len(train)))
-        log = np.log10(count + 1.0)
-        for this, (at, doc, times, n) in zip(own["slice"], parsed):
-            known = np.bincount(doc, times * (count[at] > 0), minlength=n).astype(np.int64)
-            rows.append((this, np.bincount(doc, times * log[at], minlength=n).tobytes(), known.tobytes(), 0, 0, None, None, None, None, None))
-        rows.append((-1, None, None, int(count.sum()), int((count > 0).sum()), None, None, None, None, None))
-    for r in pdf[pdf["ids"].notna()].itertuples():
-        n_train = int((~np.frombuffer(r.held, bool)).sum())
-        rows.append((r.slice, None, None, n_train, 0, r.train, r.ids, r.held, r.tokens, r.score))
-    return pd.DataFrame(rows, columns=["slice", "logs", "known", "n", "v", "valid", "ids", "held", "tokens", "score"])
+def _looked_up(tables: list[tuple[np.ndarray, np.ndarray]], code: np.ndarray) -> np.ndarray:
+    """Values of codes, each of which stands in one of the sorted tables."""
+    u, inverse = np.unique(code, return_inverse=True)
+    out = np.zeros(len(u))
+    for keys, values in tables:
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
+            hit = keys[at] == u
+            out[hit] = values[at[hit]]
+    return out[inverse]
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    rows = _rows(docs, id_col, text_col)
-    trie = spark.sparkContext.broadcast(learn(rows))
-    kind = "slice long, logs binary, known binary, n long, v long, valid binary, ids binary, held binary, tokens binary, score binary"
-    sums = cut(_words(rows, trie).groupBy("bucket").applyInPandas(_sums, kind))
-    n, v, ends = sums.agg(F.sum("n"), F.sum("v"), F.sum(F.when(F.col("slice") >= 0, F.col("n")))).first()
-    n, v, ends = n or 0, (v or 0) + bool(ends), ends or 0
-
-    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf[pdf["ids"].notna()].iloc[0]
-        tokens = np.frombuffer(head["tokens"], np.int64)
-        logs, known = np.full(len(tokens), np.log10(ends + 1.0)), np.full(len(tokens), int(ends > 0), np.int64)
-        own = pdf[pdf["logs"].notna()]
-        for a, b in zip(own["logs"], own["known"]):
-            logs, known = logs + np.frombuffer(a, np.float64), known + np.frombuffer(b, np.int64)
-        ids = pd.Series(np.frombuffer(head["ids"], np.int64)).astype("Int64").mask(~np.frombuffer(head["valid"], bool))
-        return pd.DataFrame({"doc_id": ids, "held_out": np.frombuffer(head["held"], bool), "n_tokens": tokens, "n_known": known, "train_tokens": n, "base_score": logs - tokens * np.log10(n + v + 1.0), "score": np.frombuffer(head["score"], np.float64)})
-
-    return sums.filter(F.col("slice") >= 0).groupBy("slice").applyInPandas(whole, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    packed = cut(units(docs, id_col, text_col))
+    asked = cut(listed(packed))
+    counts = cut(asked.groupBy("kind", "code").agg(F.sum("n").alias("n")))
+    known = {r["kind"]: (r["n"], r["v"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).collect()}
+    ends = packed.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
+    n, v = known.get(WORD, (0, 0))
+    n, v = n + ends, v + bool(ends)
+    strings = code_lengths(counts.filter(F.col("kind") == GRAM)).select(F.lit(GRAM).cast("byte").alias("kind"), "code", "n", "value")
+    words = counts.filter(F.col("kind") == WORD).select("kind", "code", "n", F.log10(F.col("n") + 1.0).alias("value"))
+    values = cut(strings.unionAll(words))
+    least = F.when(F.col("kind") == GRAM, max(2, known.get(GRAM, (0, 0))[0] / COMMON)).otherwise(max(2, n / COMMON))
+    common = values.filter(F.col("n") >= least).select("kind", "code", "value").toArrow()
+    tables = {}
+    for kind in (GRAM, WORD):
+        mine = common.filter(pc.equal(common["kind"], kind))
+        code = mine["code"].to_numpy().view(np.uint64)
+        order = np.argsort(code)
+        tables[kind] = code[order], mine["value"].to_numpy()[order]
+    sent = spark.sparkContext.broadcast(tables)
+    rare = values.filter(F.col("n") < least).select("kind", "code", "value")
+    own = asked.select("unit", "kind", "code").join(rare, ["kind", "code"]).groupBy("unit").agg(F.collect_list(F.struct("kind", "code", "value")).alias("own"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def run(batches):
+        for b in batches:
+            for k in range(b.num_rows):
+                ids, held = b.column("ids")[k].values, b.column("held")[k].values
+                mine = {GRAM: [sent.value[GRAM]], WORD: [sent.value[WORD]]}
+                if b.column("own")[k].is_valid:
+                    x = b.column("own")[k].values
+                    of, code, value = x.field("kind").to_numpy(), x.field("code").to_numpy().view(np.uint64), x.field("value").to_numpy()
+                    for t in mine:
+                        c, y = code[of == t], value[of == t]
+                        order = np.argsort(c)
+                        mine[t].append((c[order], y[order]))
+                for lo, hi, o, d in _slices(b.column("sizes")[k].values.to_numpy(), b.column("z")[k].as_py()):
+                    m = hi - lo
+                    code, doc = grams(o, d)
+                    ppm = np.bincount(doc, _looked_up(mine[GRAM], code), minlength=m)
+                    code, doc = _words(o, d)
+                    logs = _looked_up(mine[WORD], code)
+                    tokens = np.bincount(doc, minlength=m) + 1
+                    base = np.bincount(doc, logs, minlength=m) + np.log10(ends + 1.0) - tokens * np.log10(n + v + 1.0)
+                    seen = np.bincount(doc, logs > 0, minlength=m).astype(np.int64) + int(ends > 0)
+                    yield pa.RecordBatch.from_arrays([ids.slice(lo, m), held.slice(lo, m), pa.array(tokens.astype(np.int64)), pa.array(seen), pa.array(np.full(m, n, np.int64)), pa.array(base), pa.array(ppm)], names)
+
+    out = cut(packed.join(own, "unit", "left").mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    discard(packed, asked, counts, values)
+    return out

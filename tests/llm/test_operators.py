@@ -209,7 +209,7 @@ def test_op5_is_a_distribution():
     trie = op5_ppm.Trie(u, n.astype(float), 4)
     for context in (b"abra", b"brac", b"zzzz", b"zzra", b"\xfe\xfe\xfe\xfe"):
         code = np.array([int.from_bytes(context + bytes([s]), "big") for s in range(256)], np.uint64)
-        assert abs((10 ** trie._chain(code)).sum() - 1) < 1e-9
+        assert abs((10 ** trie.log10(code)).sum() - 1) < 1e-9
 
 
 def test_op6(docs, none):
@@ -444,3 +444,46 @@ def test_op7_places_as_plain_packing():
         want[k] = s
         rest[s] = [a - b for a, b in zip(rest[s], share[k])]
     assert got.tolist() == [want[k] for k in range(300)]
+
+
+def plain_ppm(train, texts, order=4):
+    """log10 probabilities by counting every context of every text."""
+    low = str.maketrans({chr(k): chr(k + 32) for k in range(65, 91)})
+    code = lambda x: [0xFE] * order + list((x or "").translate(low).encode()) + [0xFF]
+    seen = collections.defaultdict(collections.Counter)
+    for x in train:
+        s = code(x)
+        for p in range(order, len(s)):
+            for k in range(order + 1):
+                seen[tuple(s[p - k : p])][s[p]] += 1
+    out = []
+    for x in texts:
+        s, total = code(x), 0.0
+        for p in range(order, len(s)):
+            gone = set()
+            for k in range(order, -1, -1):
+                here = {y: c for y, c in seen[tuple(s[p - k : p])].items() if y not in gone}
+                whole = sum(here.values()) + len(here)
+                if s[p] in here:
+                    total += math.log10(here[s[p]] / whole)
+                    break
+                if here:
+                    total += math.log10(len(here) / whole)
+                gone |= set(here)
+            else:
+                total -= math.log10(256 - len(gone))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("common", [1 << 18, 4])
+def test_op5_score_is_that_of_a_plain_model(spark, common, monkeypatch):
+    import random
+
+    r = random.Random(1)
+    texts = ["".join(r.choice("abBé  ") for _ in range(r.randrange(60))) for _ in range(60)] + ["", None, "zzzz", "~" * 9]
+    held = [zlib.crc32(f"k{k}".encode()) % 7 == 2 for k in range(len(texts))]
+    want = plain_ppm([x for x, h in zip(texts, held) if not h], texts)
+    monkeypatch.setattr(op5_ppm, "COMMON", common)
+    got = {x["doc_id"]: x["score"] for x in op5_ppm.score(spark.createDataFrame([(f"k{k}", x) for k, x in enumerate(texts)], "doc_id string, text string")).collect()}
+    assert all(abs(got[f"k{k}"] - w) < 1e-9 * max(1, abs(w)) for k, w in enumerate(want))
