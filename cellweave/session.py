@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Held while a table is cut: shuffle files go when the write has ended, and Arrow batches stay small.
-_WHILE_CUT = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_WHILE_CUT = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def cut(df: DataFrame) -> DataFrame:
     try:
         for k, v in _WHILE_CUT.items():
             spark.conf.set(k, v)
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", 16 << 20).parquet(path)  # small buffers in the writers
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
