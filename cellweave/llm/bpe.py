@@ -134,14 +134,14 @@ class Transducer:
     token is sent once all running positions agree on it, which is at most one token length behind.
     """
 
-    def __init__(self, merges: Merges):
-        self.m = merges
+    def __init__(self, merges: Merges, most: int = MEMO_STATES):
+        self.m, self.most = merges, most
         self._reset()
 
     def _reset(self) -> None:
         self.number = {((0, -1, ()),): 0}
         self.states = [((0, -1, ()),)]
-        self.step: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.step: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state << 8 | byte
         self.last: list[tuple[int, ...] | None] = [()]
 
     def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -171,19 +171,18 @@ class Transducer:
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
-            self.step.append({})
             self.last.append(here[2][sent:])
-        out = self.step[state][byte] = (to, first)
+        out = self.step[state << 8 | byte] = (to, first)
         return out
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         if piece in self.m.ids:
             return (self.m.ids[piece],)
-        if len(self.states) > MEMO_STATES:
+        if len(self.states) > self.most:
             self._reset()
         state, out, step = 0, [], self.step
         for b in piece:
-            hit = step[state].get(b) or self._make(state, b)
+            hit = step.get(state << 8 | b) or self._make(state, b)
             state = hit[0]
             if hit[1]:
                 out.extend(hit[1])

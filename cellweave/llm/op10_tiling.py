@@ -189,7 +189,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
                     cover = [c / w for c, w in zip(covered, whole)]
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(item, item_arrow), *[pa.array(c, pa.int64()) for c in (covered, whole, n)], pa.array(cover)], names)
 
-        return rows.mapInArrow(run, f"doc_id {kind}, item_id {item_kind}, covered long, item_words long, n_tiles long, coverage double")
+        return rows.mapInArrow(tx.tidy(run), f"doc_id {kind}, item_id {item_kind}, covered long, item_words long, n_tiles long, coverage double")
 
     parts = [search(block) for block in _blocks(benchmark, item_col, item_text)]
     out = parts[0]
@@ -211,6 +211,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, text_col:
                 keep[[x[0] for x in find(b, text_col)]] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tx.tidy(run), docs.schema)
     return docs
 

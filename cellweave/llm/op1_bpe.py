@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm import bpe
+from cellweave.llm import text as tx
 
+#: Rows in a batch that is passed on.
+ROWS = 512
 _made: dict[tuple[str, str], bpe.Encoder] = {}
 
 
@@ -38,7 +41,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, chunk: int = 4096) -> DataFrame:
@@ -55,17 +58,21 @@ def decode(encoded: DataFrame, path: str, pattern: str, chunk: int = 4096) -> Da
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tx.tidy(run), f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = 4096, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them, in one pass; on demand the ids too."""
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = 4096, with_ids: bool = False, small: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them, in one pass; on demand the ids too.
+
+    With ``small`` a worker keeps a quarter of the usual tables, and drops them when its task ends: less memory, more time.
+    """
 
     def run(batches):
         e = encoder(path, pattern)
+        e.fst.most = bpe.MEMO_STATES // 4 if small else bpe.MEMO_STATES
         tokens = e.fst.m.tokens
         decimal = [str(i) for i in range(len(tokens))]
-        for b in batches:
+        for b in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in b.column(1):
                 ids = e.encode(text.as_py() or "")
@@ -83,7 +90,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 flat = np.concatenate(all_ids) if all_ids else np.empty(0, np.int32)
                 cols.append(pa.ListArray.from_arrays(np.cumsum([0, *n]).astype(np.int32), pa.array(flat)))
             yield pa.RecordBatch.from_arrays(cols, names)
+        if small:
+            _made.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

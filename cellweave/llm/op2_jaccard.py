@@ -40,7 +40,7 @@ from cellweave.llm import text as tx
 from cellweave.operators.components import connected_components
 from cellweave.session import cut, discard
 
-K, HOT, OFTEN, BUCKET, FLUSH, BLOCK = 5, 5_000, 16, 1 << 20, 1 << 20, 50_000
+K, HOT, OFTEN, BUCKET, FLUSH, BLOCK = 5, 5_000, 16, 1 << 20, 3 << 18, 50_000
 #: Similarity of at least 75/100, in integers: 100 i >= 75 (n + m - i), that is 7 i >= 3 (n + m).
 
 
@@ -114,7 +114,7 @@ def _known(docs: DataFrame, id_col: str, text_col: str, salt: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     text = docs[text_col]
     rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, set long, check long, token long, seen long")
+    return rows.mapInArrow(tx.tidy(run), f"doc_id {kind}, text_key long, n_shingles long, set long, check long, token long, seen long")
 
 
 def keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, int]:
@@ -165,7 +165,7 @@ def _packed(docs: DataFrame, text_col: str, salt: int, buckets: int, hot: tuple[
         if flush.size:
             yield deal(*flush.take())
 
-    return docs.select(docs[text_col].alias("text")).mapInArrow(run, "bucket int, token binary, set binary, n binary, df binary")
+    return docs.select(docs[text_col].alias("text")).mapInArrow(tx.tidy(run), "bucket int, token binary, set binary, n binary, df binary")
 
 
 def _shared(buckets: int):
@@ -199,6 +199,8 @@ def _shared(buckets: int):
         to, s, n, t, df = to[by], s[by], n[by], t[by], df[by]
         begin = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
         edge = np.append(begin, len(to))
+        del token, name, order, same, first, keep, new, by
+        tx.trim()
         return pd.DataFrame({"to": to[begin].astype(np.int32), "set": _bytes(s, edge), "n": _bytes(n, edge), "token": _bytes(t, edge), "df": _bytes(df, edge)})
 
     return run
@@ -319,7 +321,7 @@ def _links(dealt: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b of similar sets of each block; ``dealt`` has centre, sub, query, set, root."""
     rows = dealt.join(sets.select("set", "n", "tokens"), "set").repartition("centre", "sub")
     rows = rows.sortWithinPartitions("centre", "sub", "query", F.col("set") != F.col("centre"), "set")
-    return rows.select("centre", "sub", "query", "set", "n", "root", "tokens").mapInArrow(_joined, "a long, b long")
+    return rows.select("centre", "sub", "query", "set", "n", "root", "tokens").mapInArrow(tx.tidy(_joined), "a long, b long")
 
 
 def candidates(docs: DataFrame, known: DataFrame, often: DataFrame, salt: int, text_col: str = "text") -> DataFrame:

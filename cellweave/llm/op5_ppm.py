@@ -72,7 +72,7 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             yield one(number)
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), held.alias("held"))
-    return rows.mapInArrow(run, f"unit long, ids array<{kind}>, held array<boolean>, sizes array<long>, z binary")
+    return rows.mapInArrow(tx.tidy(run), f"unit long, ids array<{kind}>, held array<boolean>, sizes array<long>, z binary")
 
 
 def _slices(sizes: np.ndarray, z: bytes):
@@ -128,7 +128,7 @@ def listed(of: DataFrame) -> DataFrame:
                         c = u[a : a + (1 << 16)].view(np.int64)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), b.column("unit")[k].as_py())), pa.array(np.full(len(c), kind, np.int8)), pa.array(c), pa.array(n[a : a + (1 << 16)])], ["unit", "kind", "code", "n"])
 
-    return of.mapInArrow(run, "unit long, kind byte, code long, n long")
+    return of.mapInArrow(tx.tidy(run), "unit long, kind byte, code long, n long")
 
 
 class Trie:
@@ -256,6 +256,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     seen = np.bincount(doc, logs > 0, minlength=m).astype(np.int64) + int(ends > 0)
                     yield pa.RecordBatch.from_arrays([ids.slice(lo, m), held.slice(lo, m), pa.array(tokens.astype(np.int64)), pa.array(seen), pa.array(np.full(m, n, np.int64)), pa.array(base), pa.array(ppm)], names)
 
-    out = cut(packed.join(own, "unit", "left").mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    out = cut(packed.join(own, "unit", "left").mapInArrow(tx.tidy(run), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     discard(packed, asked, counts, values)
     return out

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm import bpe
+from cellweave.llm import text as tx
 
 _made: dict[tuple[str, str], tuple[bpe.PrefixCounter, object]] = {}
 
@@ -64,7 +65,7 @@ def prefix_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "counts"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, counts array<int>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, counts array<int>")
 
 
 def truncate(docs: DataFrame, path: str, pattern: str, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,7 +85,7 @@ def truncate(docs: DataFrame, path: str, pattern: str, budget: int, id_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64())], ["doc_id", "text", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, text string, n_tokens long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, text string, n_tokens long")
 
 
 def counts(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,4 +105,4 @@ def counts(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -154,7 +154,7 @@ def _find(docs: DataFrame, span: int) -> DataFrame:
             if spans:
                 yield pa.RecordBatch.from_arrays([pa.array([None] * len(k), pa.int64()), pa.array(k), pa.array([0] * len(k)), pa.array(x), pa.array(y)], names)
 
-    return docs.select("key", "text").mapInArrow(run, "hash long, key long, place long, first long, last long")
+    return docs.select("key", "text").mapInArrow(tx.tidy(run), "hash long, key long, place long, first long, last long")
 
 
 def _packed_text(docs: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def _packed_text(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([z.compress(t.as_buffer()) if t.is_valid else z.compress(b"") for t in b.column(2)], pa.binary())], ["id", "key", "z"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "key", "text").mapInArrow(run, f"id {kind}, key long, z binary")
+    return docs.select("id", "key", "text").mapInArrow(tx.tidy(run), f"id {kind}, key long, z binary")
 
 
 def _pieces(rows: DataFrame, buckets: int, span: int) -> DataFrame:
@@ -196,7 +196,7 @@ def _pieces(rows: DataFrame, buckets: int, span: int) -> DataFrame:
             if out:
                 yield flush()
 
-    return rows.mapInArrow(run, "bucket int, about binary, bytes binary")
+    return rows.mapInArrow(tx.tidy(run), "bucket int, about binary, bytes binary")
 
 
 def column_wise(group: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray, span: int = SPAN) -> np.ndarray:
@@ -275,6 +275,7 @@ def _construct(span: int):
             starts.append(m[k, 3] + a - place[k])
             ends.append(m[k, 3] + b - 1 - place[k] + span)
             at = to
+        tx.trim()
         return pd.DataFrame({"key": np.concatenate(keys), "first": np.concatenate(starts), "last": np.concatenate(ends)})
 
     return run
@@ -293,7 +294,7 @@ def _windows(rows: DataFrame, span: int) -> DataFrame:
                 xy = np.frombuffer(b"".join(x), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), key)), pa.array(starts), pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy())], ["key", "start", "x", "y"])
 
-    return rows.mapInArrow(run, "key long, start long, x long, y long")
+    return rows.mapInArrow(tx.tidy(run), "key long, start long, x long, y long")
 
 
 def _key(text, salt: int):
@@ -371,8 +372,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(docs[id_col].alias("id"), text.alias("text"))
     cuts, salt = spans(rows, "id", "text")
     keyed = rows.select("id", _key(F.col("text"), salt).alias("key"), "text")
-    said, _ = spans(_with_symbols(keyed.select(F.struct("id", "key").alias("id"), "text"), "text", "symbols"), "id", "symbols", span=PASSAGE * SYMBOL)
-    said = said.select(F.col("id.id").alias("s_id"), F.col("id.key").alias("s_key"), F.col("spans").alias("said"))
+    said = passages(rows, "id", "text", PASSAGE, salt).select(F.col("id").alias("s_id"), F.col("key").alias("s_key"), F.col("spans").alias("said"))
     found = cuts.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans").join(said, F.expr("c_id <=> s_id and c_key = s_key"), "full")
     found = found.select(F.when(F.col("c_key").isNull(), F.col("s_id")).otherwise(F.col("c_id")).alias("c_id"), F.coalesce("c_key", "s_key").alias("c_key"), "spans", "said")
     joined = _packed_text(keyed).join(found, F.expr("id <=> c_id and key = c_key"), "left").select("id", "z", "spans", "said")
@@ -389,7 +389,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "passages", "passage_words", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, passages long, passage_words long, kept_sha256 string")
+    return joined.mapInArrow(tx.tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, passages long, passage_words long, kept_sha256 string")
 
 
 def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -410,20 +410,25 @@ def symbols(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, doc[of], size, out
 
 
-def _with_symbols(docs: DataFrame, text_col: str, name: str) -> DataFrame:
-    """``docs`` with a last column ``name``: the texts' symbols as a string."""
+def passages(docs: DataFrame, id_col: str, text_col: str, words: int, salt: int = 0) -> DataFrame:
+    """id, key, spans: as ``spans``, over the texts' symbols, for passages of ``words`` words or more; the key is that of the text."""
 
     def run(batches):
         for b in batches:
             out = []
-            for lo, hi, o, d in tx.slices(b, text_col):
+            for lo, hi, o, d in tx.slices(b, "text"):
                 _, _, doc, size, data = symbols(d, o)
                 to = np.append(0, np.cumsum(np.bincount(doc, size, minlength=hi - lo).astype(np.int64)))
                 data = data.tobytes()
                 out += [data[x:y].decode() for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["id", "symbols"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, StringType())]))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    rows = docs.select(F.struct(docs[id_col].alias("id"), _key(text, salt).alias("key")).alias("id"), text.alias("text"))
+    coded = cut(rows.mapInArrow(tx.tidy(run), StructType([rows.schema["id"], StructField("symbols", StringType())])))
+    found, _ = spans(coded, "id", "symbols", span=words * SYMBOL)
+    discard(coded)
+    return found.select("id.id", "id.key", "spans")
 
 
 def _in_text(data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -450,23 +455,22 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wo
     for k in count():  # names that no column has
         if f"_{k}" not in taken:
             names.append(f"_{k}")
-        if len(names) == 4:
+        if len(names) == 3:
             break
-    by = text_col if words is None else names[3]
-    rows = docs if words is None else _with_symbols(docs, text_col, by)
-    cuts, salt = spans(rows, id_col, by, span=SPAN if words is None else words * SYMBOL)
+    cuts, salt = spans(docs, id_col, text_col) if words is None else (passages(docs, id_col, text_col, words), 0)
     cuts = cuts.select(F.col("id").alias(names[0]), F.col("key").alias(names[1]), F.col("spans").alias(names[2]))
-    joined = rows.join(cuts, rows[id_col].eqNullSafe(cuts[names[0]]) & (_key(F.coalesce(rows[by], F.lit("")), salt) == cuts[names[1]]), "left").select(*[rows[c] for c in docs.columns], names[2])
+    same = docs[id_col].eqNullSafe(cuts[names[0]]) & (_key(F.coalesce(docs[text_col], F.lit("")), salt) == cuts[names[1]])
+    joined = docs.join(cuts, same, "left").select(*[docs[c] for c in docs.columns], names[2])
     at = docs.columns.index(text_col)
 
     def left(data: bytes, found: list[tuple[int, int]]) -> str:
         return _kept(data, found if words is None else [x[:2] for x in _in_text(data, found)]).decode("utf-8", "ignore")
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
             t, found = b.column(at), b.column(b.num_columns - 1)
             out = [x if not s or x is None else left(x.encode(), _merged(s)) for x, s in zip(t.to_pylist(), found.to_pylist())]
             cols = [pa.array(out, t.type) if k == at else b.column(k) for k in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(tx.tidy(run), docs.schema)

@@ -69,7 +69,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, x.T.copy())], ["doc_id", *NAMES])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in NAMES))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tx.tidy(run), f"doc_id {kind}, " + ", ".join(f"{n} double" for n in NAMES))
 
 
 def grow(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
@@ -146,7 +146,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
             s = walk(trees, x)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    out = feats.select("doc_id", *NAMES).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    out = feats.select("doc_id", *NAMES).mapInArrow(tx.tidy(run), f"doc_id {kind}, score double, predicted int")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
 
@@ -160,4 +160,4 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str
             x = [statistics(o, d) for _, _, o, d in tx.slices(b, text_col)]
             yield b.filter(pa.array(walk(trees, np.concatenate(x)) >= threshold)) if x else b
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tx.tidy(run), docs.schema)
