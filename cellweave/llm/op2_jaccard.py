@@ -405,8 +405,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = cut(_rows(docs, id_col, text_col).filter("first is not null"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
 
+    # By merge at every size: these rows grow with the input, so they are never sent whole to all tasks.
     def these(found: DataFrame, how: str, of: DataFrame) -> DataFrame:
-        x = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+        x = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct().hint("merge")
         return of.join(x, of[id_col].eqNullSafe(x["__id"]) & (F.xxhash64(F.coalesce(of[text_col], F.lit(""))) == x["__key"]), how)
 
     kept = these(rows.filter(~same), "left_anti", docs)

@@ -324,7 +324,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     many, any_hot = twice.agg(F.sum(F.when(~F.col("hot"), F.col("n"))), F.coalesce(F.max("hot"), F.lit(False))).first()
     buckets = max(1, -(-(many or 0) * span * 3 // 2 // BUCKET))
     need = anchors.join(twice.select("hash", "hot"), "hash").groupBy("key").agg(F.collect_set(F.struct("hash", "place", "first", "last", "hot")).alias("found"))
-    need = need.join(classes.select("key", "id"), "key").select(F.col("key").alias("n_key"), F.col("id").alias("n_id"), "found")
+    need = need.join(classes.select("key", "id"), "key").select(F.col("key").alias("n_key"), F.col("id").alias("n_id"), "found").hint("merge")
     z = _packed_text(rows.filter(F.octet_length("text") >= span))
     with_text = z.join(need, F.expr("key = n_key and id <=> n_id")).select("key", "z", "found")
     with_text = cut(with_text) if any_hot else with_text
@@ -374,7 +374,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keyed = rows.select("id", _key(F.col("text"), salt).alias("key"), "text")
     said = passages(rows, "id", "text", PASSAGE, salt).select(F.col("id").alias("s_id"), F.col("key").alias("s_key"), F.col("spans").alias("said"))
     found = cuts.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans").join(said, F.expr("c_id <=> s_id and c_key = s_key"), "full")
-    found = found.select(F.when(F.col("c_key").isNull(), F.col("s_id")).otherwise(F.col("c_id")).alias("c_id"), F.coalesce("c_key", "s_key").alias("c_key"), "spans", "said")
+    found = found.select(F.when(F.col("c_key").isNull(), F.col("s_id")).otherwise(F.col("c_id")).alias("c_id"), F.coalesce("c_key", "s_key").alias("c_key"), "spans", "said").hint("merge")
     joined = _packed_text(keyed).join(found, F.expr("id <=> c_id and key = c_key"), "left").select("id", "z", "spans", "said")
 
     def run(batches):
@@ -458,7 +458,7 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, wo
         if len(names) == 3:
             break
     cuts, salt = spans(docs, id_col, text_col) if words is None else (passages(docs, id_col, text_col, words), 0)
-    cuts = cuts.select(F.col("id").alias(names[0]), F.col("key").alias(names[1]), F.col("spans").alias(names[2]))
+    cuts = cuts.select(F.col("id").alias(names[0]), F.col("key").alias(names[1]), F.col("spans").alias(names[2])).hint("merge")  # these grow with the input, so they are never sent whole to all tasks
     same = docs[id_col].eqNullSafe(cuts[names[0]]) & (_key(F.coalesce(docs[text_col], F.lit("")), salt) == cuts[names[1]])
     joined = docs.join(cuts, same, "left").select(*[docs[c] for c in docs.columns], names[2])
     at = docs.columns.index(text_col)
