@@ -33,7 +33,8 @@ SPEC = [
     ("emissivity", None, "emissivity"),
     ("roughness_pavement", "pavement", "roughness"),
     ("heat_capacity_building", "building", "capacity_surf"),
-    ("window_fraction", "building", "least(0.95, 1.0 - emissivity)"),
+    ("window_fraction", "building", "least(0.95, lid % 11 / 10.0)"),
+    ("wall_fraction", "building", "case when lid % 11 > 9 then 0.05 else (10 - lid % 11) / 10.0 end"),
 ]
 
 

@@ -1,6 +1,6 @@
 """Registered queries over the operators, with the SQL that each must match."""
 
-from cellweave.plans import grid_queries
+from cellweave.plans import cube_queries, grid_queries  # noqa: F401  the first adds to the second
 
 
 def queries():
