@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave import domain as dm
+from cellweave.session import cut
 
 
 def standardize_columns(df: DataFrame, mapping: dict[str, str], necessary: list[str]) -> DataFrame:
@@ -96,3 +97,14 @@ def fill_courtyards(types: DataFrame, pairs: DataFrame, areas: DataFrame, most:
     n = both.join(types.select(F.col("gid").alias("b"), F.col("type").alias("n_type")), "b").groupBy("a").agg(F.min("n_type").alias("to"), F.count_if(F.col("n_type") < dm.BUILDING).alias("open"))
     n = n.filter("open = 0").join(areas.filter(F.col("area") < most).select(F.col("gid").alias("a")), "a").select(F.col("a").alias("gid"), "to")
     return types.join(n, "gid", "left").select("gid", F.when(F.col("type") < dm.BUILDING, F.coalesce("to", "type")).otherwise(F.col("type")).alias("type"))
+
+
+def fill_courtyards_all(types: DataFrame, pairs: DataFrame, areas: DataFrame, most: float, rounds: int = 100) -> DataFrame:
+    """Rounds of ``fill_courtyards`` until nothing changes; polygons only become buildings, so it ends."""
+    for _ in range(rounds):
+        new = cut(fill_courtyards(types, pairs, areas, most))
+        if new.join(types.withColumnRenamed("type", "was"), "gid").filter("type <> was").isEmpty():
+            return new
+        types = new
+    return types
+

@@ -58,6 +58,21 @@ def fill_corners(cells: DataFrame, nx: int, ny: int, ghost: int = 9999) -> DataF
     return c.withColumn("nz", F.when(F.size(higher) > 2, F.array_min(higher)).otherwise(F.col("nz"))).drop("ns")
 
 
+def _rounds(cells: DataFrame, column: str, round_: Callable[[DataFrame], DataFrame], most: int) -> DataFrame:
+    """``round_`` until ``column`` stays as it is, at most ``most`` times."""
+
+    def step(s):
+        new = round_(s).join(s.select("i", "j", F.col(column).alias("was")), ["i", "j"])
+        return new.withColumn("changed", ~F.col(column).eqNullSafe(F.col("was"))).drop("was"), True
+
+    return until_still(cells, step, most)
+
+
+def fill_corners_all(cells: DataFrame, nx: int, ny: int, most: int = 50) -> DataFrame:
+    """Rounds of ``fill_corners`` until nothing changes, at most ``most``."""
+    return _rounds(cells, "nz", lambda s: fill_corners(s, nx, ny), most)
+
+
 def fill_building_holes(cells: DataFrame, nx: int, ny: int) -> DataFrame:
     """One round: i, j, lid of filled cells, from the rarest building neighbour (then lowest lid).
 
@@ -71,6 +86,33 @@ def fill_building_holes(cells: DataFrame, nx: int, ny: int) -> DataFrame:
     return open_.filter(F.col("k") + edge > 2).select("i", "j", F.col("rare.n_lid").alias("lid"))
 
 
+def fill_building_holes_all(cells: DataFrame, nx: int, ny: int, most: int = 21) -> DataFrame:
+    """The cells with ``lid`` and ``is_building`` after rounds of ``fill_building_holes`` until nothing changes, at most ``most``."""
+
+    def once(s):
+        found = fill_building_holes(s, nx, ny).withColumnRenamed("lid", "to")
+        return s.join(found, ["i", "j"], "left").withColumns({"lid": F.coalesce("to", "lid"), "is_building": F.col("is_building") | F.col("to").isNotNull()}).drop("to")
+
+    return _rounds(cells, "is_building", once, most)
+
+
+def fill_layer_pockets(cells: DataFrame, level: int, most: int) -> DataFrame:
+    """One level: 4-connected regions of at most ``most`` cells at ``level`` with nothing lower among their 8-neighbours rise by one."""
+    here = level_regions(cells.filter(F.col("nz") == level)).select("id", "root")
+    named = cells.join(here, "id", "left")
+    low = neighbours(cells.filter(F.col("nz") < level), ["nz"], [o for o in NINE if o != (0, 0)]).select("i", "j").distinct()
+    open_ = named.filter("root is not null").join(low, ["i", "j"]).select("root").distinct()
+    small = here.groupBy("root").agg(F.count("*").alias("k")).filter(F.col("k") <= most).join(open_, "root", "left_anti").select("root", F.lit(1).alias("up"))
+    return named.join(small, "root", "left").withColumn("nz", F.col("nz") + F.coalesce("up", F.lit(0))).select(*cells.columns)
+
+
+def fill_layer_pockets_all(cells: DataFrame, low: int, high: int, most: int) -> DataFrame:
+    """``fill_layer_pockets`` from level ``low`` to ``high``, each on the outcome of the one below."""
+    for level in range(low, high + 1):
+        cells = cut(fill_layer_pockets(cells, level, most))
+    return cells
+
+
 def level_regions(cells: DataFrame) -> DataFrame:
     """id, nz, root: 4-connected regions of one level, named by their smallest id."""
     n = neighbours(cells, ["id", "nz"], [(1, 0), (0, 1)]).join(cells, ["i", "j"]).filter("nz = n_nz")
@@ -130,3 +172,8 @@ def saddles(cells: DataFrame) -> DataFrame:
     ups = [F.struct((F.col("i") + di).alias("i"), (F.col("j") + dj).alias("j"), F.when(up, F.least(x, y)).alias("to")) for di, dj, up, x, y in ((0, 0, raise_ad, "b", "c"), (1, 1, raise_ad, "b", "c"), (1, 0, raise_bc, "a", "d"), (0, 1, raise_bc, "a", "d"))]
     to = block.select(F.explode(F.array(*ups)).alias("u")).select("u.*").filter("to is not null").groupBy("i", "j").agg(F.max("to").alias("to"))
     return here.join(to, ["i", "j"], "left").select("i", "j", F.coalesce("to", "nz").alias("nz"))
+
+
+def saddles_all(cells: DataFrame, most: int = 100) -> DataFrame:
+    """Rounds of ``saddles`` until nothing changes; levels only rise to levels that are there, so it ends."""
+    return _rounds(cells.select("i", "j", "nz"), "nz", saddles, most)

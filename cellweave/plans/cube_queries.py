@@ -11,8 +11,10 @@ from cellweave.operators import canopy as cp
 from cellweave.operators import cube as cb
 from cellweave.operators import cutcell as cc
 from cellweave.operators import edges as ed
+from cellweave.operators import landcover as lc
 from cellweave.operators import params as pr
 from cellweave.operators import spatial as sp
+from cellweave.operators import stencil as st
 from cellweave.plans import grid_queries as gq
 from cellweave.plans.grid_queries import BC, CL, CV, TOP, UC, D, L, query
 from cellweave.session import shared_dir
@@ -187,3 +189,40 @@ def k23(s, d):
 def _(s, d):
     broken = k23(s, d).withColumn("class", F.when(F.col("fid") % 9 != 0, F.col("class")))
     return cb.face_type_check(broken)
+
+
+# fixpoints: rounds until nothing changes, tested by their property
+
+
+@query("p3_fill_building_holes_all")
+def _(s, d):
+    dom = D(s, d)
+    return st.fill_building_holes_all(L(s, d, "fx_levels").select("id", "i", "j", "is_building", (F.col("id") % 7).cast("int").alias("lid")), dom.nx, dom.ny)
+
+
+@query("p5_fill_corners_all")
+def _(s, d):
+    dom = D(s, d)
+    return st.fill_corners_all(L(s, d, "fx_levels").select("id", "i", "j", "nz"), dom.nx, dom.ny)
+
+
+@query("k4_saddle_filter_all")
+def _(s, d):
+    return st.saddles_all(L(s, d, "fx_levels"))
+
+
+@query("c7_fill_courtyards_all")
+def _(s, d):
+    t = L(s, d, "fx_street").select(F.col("osm_id").alias("gid"), F.when(F.col("osm_id") % 4 == 0, 101).otherwise(900 + F.col("osm_id") % 6).cast("int").alias("type"))
+    return lc.fill_courtyards_all(t, gq.l10(s, d), ed.areas(ed.rectangle_edges(L(s, d, "fx_street"), "osm_id")), 400.0)
+
+
+REG2 = gq.REG.replace("WHERE a.nz = b.nz)", "WHERE a.nz = 2 AND b.nz = 2)").replace("AS root FROM fx_levels UNION", "AS root FROM fx_levels WHERE nz = 2 UNION")
+
+
+@query("p8_fill_layer_pockets", "WITH " + gq.N4 + ", " + REG2 + ", o8 AS (SELECT a.range - 1 AS di, b.range - 1 AS dj FROM range(3) a, range(3) b), lw AS (SELECT DISTINCT rg.root FROM rg JOIN fx_levels c USING (id) JOIN o8 ON true JOIN fx_levels b ON b.i = c.i + o8.di AND b.j = c.j + o8.dj WHERE b.nz < 2), up AS (SELECT root FROM rg GROUP BY root HAVING count(*) <= 4 AND root NOT IN (SELECT root FROM lw)) SELECT c.id, c.nz + CASE WHEN up.root IS NOT NULL THEN 1 ELSE 0 END AS nz FROM fx_levels c LEFT JOIN rg USING (id) LEFT JOIN up ON up.root = rg.root")
+def _(s, d):
+    return st.fill_layer_pockets(L(s, d, "fx_levels").select("id", "i", "j", "nz"), 2, 4).select("id", "nz")
+
+
+gq.SQL["p8_fill_layer_pockets"] = "WITH RECURSIVE " + gq.SQL["p8_fill_layer_pockets"].removeprefix("WITH ")

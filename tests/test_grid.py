@@ -195,3 +195,41 @@ def test_t3_query_as_brute_force(spark):
     got = {(r["i"], r["j"], r["l"]): r["lad"] for r in gq.QUERIES["t3_tree_density"](spark, SF).collect()}
     assert got == pytest.approx(plain_density(trees, layers, nz, dom), abs=1e-9)
     assert len(got) < len(plain_density(trees, layers, {}, dom))
+
+
+def test_fixpoints_stand_still_and_only_rise(spark):
+    """The looped corrections: another round changes nothing, and nothing falls."""
+    nx = fx.domain(spark, SF).nx
+    cells = fx.layer(spark, SF, "fx_levels").select("id", "i", "j", "nz")
+    for full, once in ((stencil.fill_corners_all(cells, nx, nx), lambda c: stencil.fill_corners(c, nx, nx)), (stencil.saddles_all(cells), stencil.saddles)):
+        assert once(full).select("i", "j", "nz").exceptAll(full.select("i", "j", "nz")).isEmpty()
+        both = full.join(cells.withColumnRenamed("nz", "was"), ["i", "j"])
+        assert both.filter("nz < was").isEmpty() and not both.filter("nz > was").isEmpty()
+
+
+def test_building_holes_are_filled_to_the_end(spark):
+    """A ring of buildings closes over its yard, row by row."""
+    cells = [(i, j, 10 * i + j, 1 <= i <= 5 and 1 <= j <= 5 and not (2 <= i <= 4 and j == 3)) for i in range(7) for j in range(7)]
+    d = spark.createDataFrame([(k, i, j, b, 3) for i, j, k, b in cells], "id int, i int, j int, is_building boolean, lid int")
+    full = stencil.fill_building_holes_all(d, 7, 7)
+    assert {(r["i"], r["j"]) for r in full.filter("is_building").collect()} == {(i, j) for i in range(1, 6) for j in range(1, 6)}
+    assert stencil.fill_building_holes(full, 7, 7).isEmpty()
+
+
+def test_layer_pockets(spark):
+    """A pocket of two cells rises, one that touches a lower cell at a corner does not, nor one too large."""
+    level = {(i, j): 3 for i in range(9) for j in range(9)} | {(1, 1): 2, (1, 2): 2, (4, 4): 2, (5, 5): 1} | {(7, j): 2 for j in range(1, 6)}
+    d = spark.createDataFrame([(9 * i + j, i, j, z) for (i, j), z in level.items()], "id int, i int, j int, nz int")
+    got = {(r["i"], r["j"]): r["nz"] for r in stencil.fill_layer_pockets(d, 2, 3).collect()}
+    assert got == level | {(1, 1): 3, (1, 2): 3}
+    got = {(r["i"], r["j"]): r["nz"] for r in stencil.fill_layer_pockets_all(d, 1, 2, 3).collect()}
+    assert got[5, 5] == 3 and got[4, 4] == 3
+
+
+def test_courtyards_are_filled_to_the_end(spark):
+    """1 - 2 - 3: yard 2 lies between building 1 and yard 3, which lies between 2 and building 4."""
+    t = spark.createDataFrame([(1, 902), (2, 101), (3, 101), (4, 901), (5, 101)], "gid int, type int")
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (1, 5)], "a int, b int")
+    areas = spark.createDataFrame([(k, 50.0) for k in range(1, 6)], "gid int, area double")
+    got = {r["gid"]: r["type"] for r in landcover.fill_courtyards_all(t, pairs, areas, 400.0).collect()}
+    assert got == {1: 902, 2: 902, 3: 901, 4: 901, 5: 902}
