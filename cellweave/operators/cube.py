@@ -1,9 +1,7 @@
-"""The output cube: coordinates, metadata, sink, and variables with parameters or layers."""
+"""The output cube: coordinates, metadata, and variables with parameters or layers."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,20 +46,6 @@ def metadata(spark: SparkSession, dom: Domain, extra: dict[str, str] | None = No
     return spark.createDataFrame(list((rows | (extra or {})).items()), "key string, value string")
 
 
-def write_cube(cube: DataFrame, cells: DataFrame, names: list[str], path: str, attributes: dict[str, dict], fill: float = -9999.0) -> None:
-    """Each variable whole over the grid (absent cells take ``fill``), one folder a variable, and attributes as JSON lines."""
-    spark = cube.sparkSession
-    whole = cells.select("j", "i", F.explode(F.array(*map(F.lit, names))).alias("var"))
-    full = whole.join(cube, ["var", "j", "i"], "left").withColumn("value", F.coalesce("value", F.lit(fill)))
-    full.select("j", "i", "value", "var").write.mode("overwrite").partitionBy("var").parquet(f"{path}/values")
-    rows = [(v, json.dumps({"_FillValue": fill, **attributes.get(v, {})}, sort_keys=True)) for v in names]
-    spark.createDataFrame(rows, "var string, attributes string").coalesce(1).write.mode("overwrite").json(f"{path}/attributes")
-
-
-def read_cube(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("j int, i int, value double, var string").parquet(f"{path}/values").select("var", "j", "i", "value")
-
-
 def resample(cells: DataFrame, pixels: DataFrame, scale: float) -> DataFrame:
     """i, j, val: nearest pixel of a raster with pixel size ``scale`` for each cell of the snapped grid."""
     at = cells.select("i", "j", F.floor(F.col("xcen") / scale).cast("int").alias("px"), F.floor(F.col("ycen") / scale).cast("int").alias("py"))

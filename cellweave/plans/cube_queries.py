@@ -18,6 +18,7 @@ from cellweave.operators import stencil as st
 from cellweave.plans import grid_queries as gq
 from cellweave.plans.grid_queries import BC, CL, CV, TOP, UC, D, L, query
 from cellweave.session import shared_dir
+from cellweave.sources import cube_files
 
 WITH = "WITH " + CL + ", " + BC + ", " + UC
 LAYERS = ["fx_landcover", "fx_street", "fx_trees", "fx_extras"]
@@ -38,8 +39,8 @@ def _(s, d):
 @query("s13_write_cube", "WITH " + gq.CUBE + ", v AS (SELECT DISTINCT var FROM cube) SELECT v.var, g.j, g.i, coalesce(c.value, -9999::DOUBLE) AS value FROM v CROSS JOIN fx_grid g LEFT JOIN cube c ON c.var = v.var AND c.i = g.i AND c.j = g.j")
 def _(s, d):
     path = f"{shared_dir(s)}/cube-{uuid.uuid4().hex}"
-    cb.write_cube(gq.cube(s, d), L(s, d, "fx_grid"), [n for n, _, _ in pr.SPEC], path, {"zt": {"units": "m"}})
-    return cb.read_cube(s, path)
+    cube_files.write_cube(gq.cube(s, d), L(s, d, "fx_grid"), [n for n, _, _ in pr.SPEC], path, {"zt": {"units": "m"}})
+    return cube_files.read_cube(s, path)
 
 
 @query("s14_cube_metadata", "SELECT 'Conventions' AS key, 'CF-1.7' AS value UNION ALL SELECT unnest(['origin_x', 'origin_y', 'dx', 'dy', 'dz']), unnest(['0.0', '0.0', '10.0', '10.0', '5.0']) UNION ALL SELECT unnest(['nx', 'ny']), CAST(nx AS VARCHAR) FROM fx_dom")

@@ -1 +1 @@
-
+"""Sinks, and readers of what they write."""
