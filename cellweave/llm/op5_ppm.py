@@ -38,6 +38,7 @@ from cellweave.llm import text as tx
 from cellweave.session import cut, discard
 
 ORDER, UNIT, COMMON = 4, 8 << 20, 1 << 18
+LEVEL = 5  # of compression of the units
 PAD, END, SYMBOLS = 0xFE, 0xFF, 256
 FOLD, HELD = 7, 2
 GRAM, WORD = 0, 1
@@ -50,7 +51,7 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     names = ["unit", "ids", "held", "sizes", "z"]
 
     def run(batches):
-        part, number, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(1)
+        part, number, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(LEVEL)
         ids, held, sizes, data, size = [], [], [], [], 0
 
         def one(n):
@@ -229,7 +230,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         tables[kind] = code[order], mine["value"].to_numpy()[order]
     sent = spark.sparkContext.broadcast(tables)
     rare = values.filter(F.col("n") < least).select("kind", "code", "value")
-    own = asked.select("unit", "kind", "code").join(rare, ["kind", "code"]).groupBy("unit").agg(F.collect_list(F.struct("kind", "code", "value")).alias("own"))
+    # What is sent need not be shuffled: at most COMMON keys of each kind.
+    sought = asked.select("unit", "kind", "code").join(F.broadcast(values.filter(F.col("n") >= least).select("kind", "code")), ["kind", "code"], "left_anti")
+    lists = [F.collect_list(F.when(F.col("kind") == kind, F.col(c))).alias(f"{c}_{kind}") for kind in (GRAM, WORD) for c in ("code", "value")]
+    own = sought.join(rare, ["kind", "code"]).groupBy("unit").agg(*lists)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -238,11 +242,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for k in range(b.num_rows):
                 ids, held = b.column("ids")[k].values, b.column("held")[k].values
                 mine = {GRAM: [sent.value[GRAM]], WORD: [sent.value[WORD]]}
-                if b.column("own")[k].is_valid:
-                    x = b.column("own")[k].values
-                    of, code, value = x.field("kind").to_numpy(), x.field("code").to_numpy().view(np.uint64), x.field("value").to_numpy()
-                    for t in mine:
-                        c, y = code[of == t], value[of == t]
+                for t in mine:
+                    if b.column(f"code_{t}")[k].is_valid:
+                        c, y = b.column(f"code_{t}")[k].values.to_numpy().view(np.uint64), b.column(f"value_{t}")[k].values.to_numpy()
                         order = np.argsort(c)
                         mine[t].append((c[order], y[order]))
                 for lo, hi, o, d in _slices(b.column("sizes")[k].values.to_numpy(), b.column("z")[k].as_py()):
