@@ -48,6 +48,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellweave.llm import op5_ppm as op
 
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")  # packed units pass through Python whole
     return op.score(table(spark, sf_dir, "documents"))
 
 
