@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.operators.raster import sample_nearest
+from cellweave.operators.spatial import nearest
+from cellweave.session import cut
+
 
 def chop(lines: DataFrame, step: float, least: float = 40.0) -> DataFrame:
     """sid, part and ends of equal pieces (about ``step`` long) of straight lines longer than ``least``."""
@@ -55,3 +59,13 @@ def canyon_stats(pieces: DataFrame) -> DataFrame:
     o = F.radians("orientation")
     a = pieces.groupBy("i", "j").agg(F.avg("width").alias("width"), F.avg(F.sin(o)).alias("s"), F.avg(F.cos(o)).alias("c"))
     return a.select("i", "j", "width", F.pmod(F.degrees(F.atan2("s", "c")) + 360.0, F.lit(360.0)).alias("orientation"))
+
+
+def wall_heights(points: DataFrame, pixels: DataFrame, size: float, default: float, most: float = 100.0, tile: int = 64, pid: str = "id") -> DataFrame:
+    """pid, height: the nearest valid pixel of the point's tile, else the nearest within ``most`` (ties: lowest py, px), else the default."""
+    points = cut(points.select(pid, "x", "y"))
+    own = cut(sample_nearest(points, pixels, size, tile, pid))
+    x, y = (F.col("px") + 0.5) * size, (F.col("py") + 0.5) * size
+    valid = pixels.filter("val is not null").select((F.col("py") * F.lit(1 << 31) + F.col("px")).alias("gid"), "val", x.alias("xa"), y.alias("ya"), x.alias("xb"), y.alias("yb"))
+    far = nearest(points.join(own, pid, "left_anti"), valid, size, pid, most).join(valid.select("gid", "val"), "gid").select(pid, "val")
+    return points.select(pid).join(own.unionByName(far), pid, "left").select(pid, F.coalesce("val", F.lit(default)).alias("height"))

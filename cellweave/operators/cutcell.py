@@ -48,3 +48,25 @@ def vertex_index(faces: DataFrame, verts: str = "verts") -> DataFrame:
     v = faces.select("fid", F.posexplode(verts).alias("at", "v")).select("fid", "at", "v.x", "v.y", "v.z")
     ids = number_rows(v.select("x", "y", "z").distinct(), ["x", "y", "z"], "vid")
     return v.join(ids, ["x", "y", "z"]).select("fid", "at", "vid")
+
+
+def grid_points(edges: DataFrame, dom: Domain, least: float = 1e-3) -> DataFrame:
+    """gid, edge, i, j, x, y: where edges cross the borders of the cells (i, j), at least ``least`` of a cell away from their corners.
+
+    Edges that run along a grid line cross only the lines across it; a point on a corner counts to the cell above it or to its right.
+    """
+
+    def crossings(axis: str, p: str, q: str, d: float, o: float, e: float, f: float) -> DataFrame:
+        a, b, u, v = F.col(p + "a"), F.col(p + "b"), F.col(q + "a"), F.col(q + "b")
+        first, last = F.ceil((F.least(a, b) - o) / d).cast("int"), F.floor((F.greatest(a, b) - o) / d).cast("int")
+        c = edges.filter(a != b).withColumn("m", F.explode(F.when(first <= last, F.sequence(first, last))))
+        at = (u + (v - u) * (F.col("m") * d + o - a) / (b - a) - f) / e
+        c = c.select("gid", "edge", "m", at.alias("at"), F.floor(at).cast("int").alias("n"))
+        part = F.greatest(F.lit(least), F.least(F.lit(1 - least), F.col("at") - F.col("n")))
+        c = c.select("gid", "edge", "m", "n", (F.col("m") * d + o).alias(p), ((F.col("n") + part) * e + f).alias(q))
+        c = c.withColumn("side", F.explode(F.array(F.col("m") - 1, F.col("m"))))
+        i, j = (F.col("side"), F.col("n")) if axis == "x" else (F.col("n"), F.col("side"))
+        return c.select("gid", "edge", i.alias("i"), j.alias("j"), "x", "y")
+
+    both = crossings("x", "x", "y", dom.dx, dom.origin_x, dom.dy, dom.origin_y).unionByName(crossings("y", "y", "x", dom.dy, dom.origin_y, dom.dx, dom.origin_x))
+    return both.filter(F.col("i").between(0, dom.nx - 1) & F.col("j").between(0, dom.ny - 1))

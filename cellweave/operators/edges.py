@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
@@ -69,3 +70,24 @@ def clamped_area(x0: Column, x1: Column, y0: Column, h: float | Column) -> Colum
     clamp = F.greatest(F.lit(0.0), F.least(h, u))
     piece = F.when(F.abs(v - u) < 1e-12, w * clamp).otherwise(w * (fill(v) - fill(u)) / (v - u))
     return F.when((xb == xa) | (w <= 0), 0.0).otherwise(F.signum(xb - xa) * piece)
+
+
+def outline(edges: DataFrame) -> DataFrame:
+    """xa, ya, xb, yb: the outline of polygons that may touch but do not overlap.
+
+    Edges on one line are summed along it with their direction: where two polygons touch, opposite
+    edges cancel, also where their points differ. Pieces that continue each other are one.
+    """
+    vx, vy = F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")
+    length = F.sqrt(vx * vx + vy * vy)
+    s = F.when((vx > 0) | ((vx == 0) & (vy > 0)), 1).otherwise(-1)
+    e = edges.filter(length > 0).select("xa", "ya", "xb", "yb", s.alias("s"), F.round(s * vx / length, 9).alias("ux"), F.round(s * vy / length, 9).alias("uy"))
+    along = lambda x, y: F.round(F.col(x) * F.col("ux") + F.col(y) * F.col("uy"), 6)
+    off = F.round(F.col("ya") * F.col("ux") - F.col("xa") * F.col("uy"), 6).alias("c")
+    ends = F.array(F.struct(along("xa", "ya").alias("t"), F.lit(1).alias("d")), F.struct(along("xb", "yb").alias("t"), F.lit(-1).alias("d")))
+    ev = e.select("ux", "uy", off, F.explode(ends).alias("e")).groupBy("ux", "uy", "c", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d")).filter("d <> 0")
+    w = W.partitionBy("ux", "uy", "c").orderBy("t")
+    net = ev.select("*", F.lead("t").over(w).alias("u"), F.sum("d").over(w).alias("n")).filter("n <> 0")
+    at = lambda t: (F.col(t) * F.col("ux") - F.col("c") * F.col("uy"), F.col(t) * F.col("uy") + F.col("c") * F.col("ux"))
+    (xa, ya), (xb, yb) = at("t"), at("u")
+    return net.select(xa.alias("xa"), ya.alias("ya"), xb.alias("xb"), yb.alias("yb"))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave import domain as dm
+from cellweave.operators.spatial import nearest_box
 from cellweave.session import cut
 
 
@@ -108,3 +109,14 @@ def fill_courtyards_all(types: DataFrame, pairs: DataFrame, areas: DataFrame, mo
         types = new
     return types
 
+
+def fill_isolated(polys: DataFrame, cells: DataFrame, most: int, touch: float = 1e-5) -> DataFrame:
+    """gid, type, filled: polygons of no building that touch no other such polygon and hold fewer than ``most`` cells take the type of the nearest building."""
+    polys = cut(polys.select("gid", "type", "x0", "y0", "x1", "y1"))
+    land, built = polys.filter(F.col("type") < dm.BUILDING), polys.filter(F.col("type") >= dm.BUILDING)
+    pairs = adjacent_pairs(land, touch)
+    alone = land.join(pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))), "gid", "left_anti")
+    small = cells.groupBy(F.col("lid").alias("gid")).count().filter(F.col("count") < most)
+    near = nearest_box(alone.join(small, "gid", "left_semi"), built, 40.0)
+    new = near.join(built.select(F.col("gid").alias("near"), F.col("type").alias("new")), "near").select("gid", "new")
+    return polys.join(new, "gid", "left").select("gid", F.coalesce("new", "type").alias("type"), F.col("new").isNotNull().alias("filled"))

@@ -1,13 +1,16 @@
-"""Spatial joins on integer cell keys."""
+"""Spatial joins on integer cell keys."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
 from cellweave.operators import edges as ed
 from cellweave.operators.grid import cell_of
+from cellweave.session import cut
 
 
 def points_in_polygons(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:
@@ -83,3 +86,53 @@ def near_border(boxes: DataFrame, dom: Domain, d: float) -> Column:
     x1, y1 = dom.origin_x + dom.nx * dom.dx, dom.origin_y + dom.ny * dom.dy
     gap = F.least(F.abs(F.col("x0") - dom.origin_x), F.abs(x1 - F.col("x1")), F.abs(F.col("y0") - dom.origin_y), F.abs(y1 - F.col("y1")))
     return gap < d
+
+
+def nearest_polygon(points: DataFrame, edges: DataFrame, dom: Domain, size: float, pid: str = "id") -> DataFrame:
+    """pid, gid: the polygon that holds each point (the lowest), else the nearest by (distance, gid)."""
+    points = cut(points)
+    held = cut(points_in_polygons(points, edges, dom, pid))
+    rest = nearest(points.join(held, pid, "left_anti"), edges, size, pid)
+    return held.unionByName(rest.select(pid, "gid"))
+
+
+def nearest_box(asked: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
+    """gid, near: the nearest box by (gap, gid) of each asked box; buckets within a reach that doubles for those without a sure hit."""
+    asked, boxes = cut(asked.select("gid", "x0", "y0", "x1", "y1")), cut(boxes.select("gid", "x0", "y0", "x1", "y1"))
+    ends = boxes.unionByName(asked).agg(F.max(F.greatest(*[F.abs(c) for c in ("x0", "y0", "x1", "y1")]))).first()[0]
+    none = asked.select("gid", F.col("gid").alias("near")).limit(0)
+    if ends is None or boxes.isEmpty():
+        return none
+
+    def keyed(df, grow, step):
+        seq = lambda a, b: F.sequence(F.floor((F.col(a) - grow) / step).cast("int"), F.floor((F.col(b) + grow) / step).cast("int"))
+        return df.withColumn("bx", F.explode(seq("x0", "x1"))).withColumn("by", F.explode(seq("y0", "y1")))
+
+    gap = lambda lo, hi: F.greatest(F.lit(0.0), F.col("a." + lo) - F.col("b." + hi), F.col("b." + lo) - F.col("a." + hi))
+    d2 = gap("x0", "x1") * gap("x0", "x1") + gap("y0", "y1") * gap("y0", "y1")
+    done, reach = none, size
+    while not asked.isEmpty():
+        a, b = keyed(asked, reach, 2 * reach).alias("a"), keyed(boxes, 0.0, 2 * reach).alias("b")
+        pairs = a.join(b, (F.col("a.bx") == F.col("b.bx")) & (F.col("a.by") == F.col("b.by"))).select(F.col("a.gid").alias("gid"), F.struct(d2.alias("d2"), F.col("b.gid").alias("gid")).alias("n"))
+        best = pairs.groupBy("gid").agg(F.min("n").alias("n"))
+        last = reach > 4 * max(ends, size)
+        sure = cut((best if last else best.filter(F.col("n.d2") <= reach * reach)).select("gid", F.col("n.gid").alias("near")))
+        done = done.unionByName(sure)
+        if last:
+            break
+        asked, reach = cut(asked.join(sure, "gid", "left_anti")), 2 * reach
+    return done
+
+
+def nearest_cell(points: DataFrame, cells: DataFrame, dom: Domain, d: float, apart: int = 50, pid: str = "id") -> DataFrame:
+    """pid, i, j, dist: the nearest cell within d whose type differs from the point's by less than ``apart`` (ties: lowest i, j)."""
+    i, j = cell_of(F.col("x"), F.col("y"), dom)
+    rings = lambda step: F.sequence(F.lit(-math.ceil(d / step)), F.lit(math.ceil(d / step)))
+    p = points.select(F.col(pid), "x", "y", F.col("type").alias("own"), i.alias("pi"), j.alias("pj"))
+    p = p.withColumn("di", F.explode(rings(dom.dx))).withColumn("dj", F.explode(rings(dom.dy))).withColumn("i", F.col("pi") + F.col("di")).withColumn("j", F.col("pj") + F.col("dj"))
+    near = p.join(cells.select("i", "j", "type"), ["i", "j"]).filter(F.abs(F.col("type") - F.col("own")) < apart)
+    lo_x, lo_y = F.col("i") * dom.dx + dom.origin_x, F.col("j") * dom.dy + dom.origin_y
+    gx = F.greatest(F.lit(0.0), lo_x - F.col("x"), F.col("x") - lo_x - dom.dx)
+    gy = F.greatest(F.lit(0.0), lo_y - F.col("y"), F.col("y") - lo_y - dom.dy)
+    best = near.withColumn("d2", gx * gx + gy * gy).filter(F.col("d2") <= d * d).groupBy(pid).agg(F.min(F.struct("d2", "i", "j")).alias("b"))
+    return best.select(pid, "b.i", "b.j", F.sqrt("b.d2").alias("dist"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
-from cellweave.operators import buildings, canopy, grid, landcover, stencil
+from cellweave.operators import buildings, canopy, canyon, edges, grid, landcover, spatial, stencil
 from cellweave.operators.components import connected_components
 from cellweave.plans import fixtures as fx
 from cellweave.plans import grid_queries as gq
@@ -233,3 +233,24 @@ def test_courtyards_are_filled_to_the_end(spark):
     areas = spark.createDataFrame([(k, 50.0) for k in range(1, 6)], "gid int, area double")
     got = {r["gid"]: r["type"] for r in landcover.fill_courtyards_all(t, pairs, areas, 400.0).collect()}
     assert got == {1: 902, 2: 902, 3: 901, 4: 901, 5: 902}
+
+
+def test_outline_of_boxes_with_different_corners(spark):
+    boxes = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 10.0), (2, 10.0, 2.0, 14.0, 6.0), (3, 30.0, 30.0, 31.0, 31.0)], "gid int, x0 double, y0 double, x1 double, y1 double")
+    got = {tuple(r) for r in edges.outline(edges.rectangle_edges(boxes, "gid")).collect()}
+    one = {(0, 0, 10, 0), (0, 10, 10, 10), (0, 0, 0, 10), (10, 0, 10, 2), (10, 6, 10, 10), (10, 2, 14, 2), (10, 6, 14, 6), (14, 2, 14, 6)}
+    assert got == one | {(30, 30, 31, 30), (30, 31, 31, 31), (30, 30, 30, 31), (31, 30, 31, 31)}
+
+
+def test_wall_heights_fall_back_to_near_pixels_then_to_the_default(spark):
+    points = spark.createDataFrame([(1, 5.0, 5.0), (2, 15.0, 5.0), (3, 500.0, 5.0)], "id int, x double, y double")
+    pixels = spark.createDataFrame([(0, 0, 7.0), (1, 0, None)], "px int, py int, val double")
+    assert {r["id"]: r["height"] for r in canyon.wall_heights(points, pixels, 10.0, 3.0, tile=1).collect()} == {1: 7.0, 2: 7.0, 3: 3.0}
+
+
+def test_nearest_box_far_away(spark):
+    box = "gid int, x0 double, y0 double, x1 double, y1 double"
+    asked = spark.createDataFrame([(9, 0.0, 0.0, 1.0, 1.0)], box)
+    others = spark.createDataFrame([(1, 900.0, 0.0, 901.0, 1.0), (2, -890.0, 0.0, -880.0, 1.0)], box)
+    assert [tuple(r) for r in spatial.nearest_box(asked, others, 40.0).collect()] == [(9, 2)]
+    assert spatial.nearest_box(asked, others.limit(0), 40.0).count() == 0
