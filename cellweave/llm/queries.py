@@ -76,6 +76,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op11_near as op
+
+    return op.score(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op12_repair as op
+
+    return op.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellweave.llm import op13_align as op
+
+    return op.score(table(spark, sf_dir, "documents"), *_tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model")[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -87,5 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "op11_near_embeddings": op11_near_embeddings,
+    "op12_repair": op12_repair,
+    "op13_align": op13_align,
 }
 SQL: dict[str, str] = {}
