@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
@@ -13,20 +14,67 @@ from cellweave.operators.grid import cell_of
 from cellweave.session import cut
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:
-    """pid, gid: the lowest polygon that holds each point (x, y); borders are half open.
+def edge_cells(edges: DataFrame, dom: Domain) -> DataFrame:
+    """gid, i, j and ends of the pieces of edges in the cells on their course, direction kept; a piece on a line counts to the cell above it or to its right.
 
-    Points meet only polygons whose bounding box touches their cell; inside means an odd number of
-    edges crosses the ray to the right.
+    Rows follow the length of edges, not the area of polygons. Pieces may be single points.
+    """
+    xa, ya, xb, yb = map(F.col, ("xa", "ya", "xb", "yb"))
+    e = edges.select("gid", "xa", "ya", "xb", "yb", (xa <= xb).alias("ahead"))
+    at = lambda a, b: F.when(F.col("ahead"), a).otherwise(b)
+    e = e.select("gid", "ahead", at(xa, xb).alias("x0"), at(ya, yb).alias("y0"), at(xb, xa).alias("x1"), at(yb, ya).alias("y1"))
+    x0, y0, x1, y1, i, j = map(F.col, ("x0", "y0", "x1", "y1", "i", "j"))
+    fi, fj = lambda x: F.floor((x - dom.origin_x) / dom.dx).cast("int"), lambda y: F.floor((y - dom.origin_y) / dom.dy).cast("int")
+    e = e.withColumn("i", F.explode(F.sequence(fi(x0), fi(x1))))
+    l, r = F.greatest(x0, i * dom.dx + dom.origin_x), F.least(x1, (i + 1) * dom.dx + dom.origin_x)
+    slope = (y1 - y0) / F.when(x1 == x0, None).otherwise(x1 - x0)
+    y_at = lambda x: F.when((x1 == x0) | (x <= x0), y0).when(x >= x1, y1).otherwise(y0 + (x - x0) * slope)
+    e = e.select("gid", "ahead", "i", l.alias("x0"), y_at(l).alias("y0"), r.alias("x1"), F.when(x1 == x0, y1).otherwise(y_at(r)).alias("y1"))
+    low, high = F.least(y0, y1), F.greatest(y0, y1)
+    e = e.withColumn("j", F.explode(F.sequence(fj(low), fj(high))))
+    in_row = lambda y: F.greatest(j * dom.dy + dom.origin_y, F.least((j + 1) * dom.dy + dom.origin_y, y))
+    u, v = in_row(y0), in_row(y1)
+    x_at = lambda y: x0 + (y - y0) * (x1 - x0) / F.when(y1 == y0, None).otherwise(y1 - y0)
+    e = e.select("gid", "ahead", "i", "j", F.when(u == y0, x0).when(u == y1, x1).otherwise(x_at(u)).alias("x0"), u.alias("y0"), F.when(v == y1, x1).when(v == y0, x0).otherwise(x_at(v)).alias("x1"), v.alias("y1"))
+    return e.select("gid", "i", "j", at(x0, x1).alias("xa"), at(y0, y1).alias("ya"), at(x1, x0).alias("xb"), at(y1, y0).alias("yb"))
+
+
+def inside(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:
+    """pid, gid: every polygon that holds each point (x, y); left and lower borders belong to a polygon. Only the cell size of ``dom`` matters.
+
+    A point's cell knows, for each polygon, how often the line up from its left border is crossed above it;
+    crossings beside the point come from the pieces of edges in its own cell. Cells between the edges of a
+    column are filled in by the running count, so neither points nor cells ever meet all edges of a polygon.
     """
     i, j = cell_of(F.col("x"), F.col("y"), dom)
-    keyed = points.select(F.col(pid), "x", "y", i.alias("i"), j.alias("j"))
-    near = keyed.join(ed.box_cells(ed.boxes(edges), dom).select("gid", "i", "j"), ["i", "j"])
-    x_at = F.col("xa") + (F.col("y") - F.col("ya")) * (F.col("xb") - F.col("xa")) / (F.col("yb") - F.col("ya"))
-    over = (F.col("ya") > F.col("y")) != (F.col("yb") > F.col("y"))
-    hit = near.join(edges, "gid").filter(over).filter(x_at > F.col("x"))
-    odd = hit.groupBy(pid, "gid").agg(F.count("*").alias("n")).filter("n % 2 = 1")
-    return odd.groupBy(pid).agg(F.min("gid").alias("gid"))
+    p = points.select(pid, "x", "y", i.alias("i"), j.alias("j"))
+    pieces = edge_cells(edges, dom).filter("ya <> yb")
+    xa, ya, xb, yb = map(F.col, ("xa", "ya", "xb", "yb"))
+    lo, hi = F.least(xa, xb), F.greatest(xa, xb)
+    first, last = F.ceil((lo - dom.origin_x) / dom.dx).cast("int"), F.ceil((hi - dom.origin_x) / dom.dx).cast("int")
+    m = edges.filter(xa != xb).withColumn("i", F.explode(F.sequence(first, last)))
+    x = F.col("i") * dom.dx + dom.origin_x
+    m = m.filter((xa >= x) != (xb >= x)).select("gid", "i", (ya + (x - xa) * (yb - ya) / (xb - xa)).alias("y"))
+    lines = m.withColumn("j", F.floor((F.col("y") - dom.origin_y) / dom.dy).cast("int"))
+    # kind of crossing beside a point: a piece, or a line that is crossed at ya
+    none = F.lit(None).cast("double")
+    events = pieces.select("gid", "i", "j", "xa", "ya", "xb", "yb").unionByName(lines.select("gid", "i", "j", none.alias("xa"), F.col("y").alias("ya"), none.alias("xb"), none.alias("yb")))
+    at = events.groupBy("gid", "i", "j").agg(F.count_if(F.col("xa").isNull()).alias("n"))
+    w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
+    at = at.select("gid", "i", "j", (F.sum("n").over(w) - F.col("n")).alias("above"), F.sum("n").over(w).alias("below"), F.lead("j").over(w).alias("next"))
+    full = at.filter("below % 2 = 1 and next + 1 <= j - 1").select("gid", "i", F.explode(F.sequence(F.col("next") + 1, F.col("j") - 1)).alias("j"))
+    sure = p.join(full, ["i", "j"]).select(pid, "gid")
+    near = p.join(at.select("gid", "i", "j", "above"), ["i", "j"]).join(events, ["gid", "i", "j"])
+    y, px = F.col("y"), F.col("x")
+    x_at = F.when(xa == xb, xa).otherwise(xa + (y - ya) * (xb - xa) / F.when(ya == yb, None).otherwise(yb - ya))
+    hit = F.when(xa.isNull(), ya > y).otherwise(((ya > y) != (yb > y)) & (x_at <= px))
+    odd = near.groupBy(pid, "gid").agg((F.count_if(hit) + F.first("above")).alias("n")).filter("n % 2 = 1").select(pid, "gid")
+    return sure.unionByName(odd)
+
+
+def points_in_polygons(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:
+    """pid, gid: the lowest polygon that holds each point (x, y); borders are half open."""
+    return inside(points, edges, dom, pid).groupBy(pid).agg(F.min("gid").alias("gid"))
 
 
 def nearest(points: DataFrame, edges: DataFrame, size: float, pid: str = "id", most: float | None = None) -> DataFrame:
@@ -62,11 +110,22 @@ def nearest(points: DataFrame, edges: DataFrame, size: float, pid: str = "id", m
 
 
 def coverage(edges: DataFrame, dom: Domain) -> DataFrame:
-    """gid, i, j, area: area of each polygon in each cell, exact for any simple polygon with holes."""
-    cells = ed.box_cells(ed.boxes(edges), dom).select("gid", "i", "j")
-    x0, y0 = F.col("i") * dom.dx + dom.origin_x, F.col("j") * dom.dy + dom.origin_y
-    share = cells.join(edges, "gid").withColumn("part", ed.clamped_area(x0, x0 + dom.dx, y0, dom.dy))
-    return share.groupBy("gid", "i", "j").agg(F.abs(F.sum("part")).alias("area")).filter("area > 1e-9")
+    """gid, i, j, area: area of each polygon in each cell, exact for any simple polygon with holes.
+
+    Pieces of edges give the area under them in their own cell; what they cover of the cells below is a
+    running sum down the column, which also fills the cells that no edge meets.
+    """
+    i_ok = F.col("i").between(0, dom.nx - 1)
+    pieces = edge_cells(edges, dom).filter(i_ok)
+    floor = F.col("j") * dom.dy + dom.origin_y
+    dx = F.col("xb") - F.col("xa")
+    at = pieces.groupBy("gid", "i", "j").agg(F.sum(dx * ((F.col("ya") + F.col("yb")) / 2 - floor)).alias("own"), F.sum(dx).alias("dx"))
+    w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
+    at = at.select("gid", "i", "j", "own", (F.sum("dx").over(w) - F.col("dx")).alias("above"), F.sum("dx").over(w).alias("below"), F.lead("j").over(w).alias("next"))
+    edge = at.select("gid", "i", "j", F.abs(F.col("own") + F.col("above") * dom.dy).alias("area"))
+    low, high = F.greatest(F.col("next") + 1, F.lit(0)), F.least(F.col("j") - 1, F.lit(dom.ny - 1))
+    full = at.filter((low <= high) & (F.abs("below") > 1e-9 * dom.dx)).select("gid", "i", F.explode(F.sequence(low, high)).alias("j"), F.abs(F.col("below") * dom.dy).alias("area"))
+    return edge.filter(F.col("j").between(0, dom.ny - 1)).unionByName(full).filter("area > 1e-9")
 
 
 def dominant(cover: DataFrame, cls: str = "cls") -> DataFrame:
