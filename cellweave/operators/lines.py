@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from cellweave.operators.components import connected_components
 from cellweave.session import cut
 
+#: What a step to the neighbour adds to the spread at a corner of right angles, in cells.
+STEP = 0.52
 POINTS = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 
 
@@ -47,17 +49,22 @@ def medial(cells: DataFrame, spread: float = 3.0, most: int = 60) -> DataFrame:
 
     A cell is on it if the nearest border of a neighbour lies on another side: the two border cells are
     farther apart than the root of ``spread`` times the distance (3: seen at over 120 degrees, so that
-    corners throw no branches). Of the two cells the one farther from the border counts, the lower one
-    on a tie.
+    corners throw no branches) and a share of a cell for the step to the neighbour. Of the two cells the
+    one farther from the border counts, the lower one on a tie. Streets one cell wide are their own middle.
     """
     d = cut(distances(cells, most))
+    line = cells.select("i", "j", "street")
+    w = [(W.partitionBy(a).orderBy(b), b) for a, b in (("i", "j"), ("j", "i"))]
+    gap = lambda f, v, c, step: ~f("street").over(v) & (f(c).over(v) == F.col(c) + step)
+    thin = [gap(F.lag, v, c, -1) & gap(F.lead, v, c, 1) for v, c in w]
+    thin = line.select("i", "j", "street", thin[0].alias("a"), thin[1].alias("b")).filter("street and (a or b)").select("i", "j", F.lit(1).cast("long").alias("d2"))
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((1, 0), (0, 1))])).alias("o")
     p = d.select(*[F.col(c).alias("p" + c) for c in d.columns], near).select("*", (F.col("pi") + F.col("o.a")).alias("i"), (F.col("pj") + F.col("o.b")).alias("j"))
     m = p.join(d, ["i", "j"])
     apart = (F.col("pfi") - F.col("fi")) * (F.col("pfi") - F.col("fi")) + (F.col("pfj") - F.col("fj")) * (F.col("pfj") - F.col("fj"))
-    m = m.filter(apart > spread * F.greatest("pd2", "d2")).filter(apart > 4)
+    m = m.filter(F.sqrt(apart) > F.sqrt(spread * F.greatest("pd2", "d2")) + STEP)
     pick = lambda c: F.when(F.col("d2") > F.col("pd2"), F.col(c)).otherwise(F.col("p" + c)).alias(c)
-    return m.select(pick("i"), pick("j"), pick("d2")).distinct()
+    return m.select(pick("i"), pick("j"), pick("d2")).unionByName(thin).distinct()
 
 
 def cell_links(cells: DataFrame, dx: float, dy: float, ox: float = 0.0, oy: float = 0.0) -> DataFrame:

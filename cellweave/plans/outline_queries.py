@@ -107,7 +107,7 @@ rim AS (SELECT DISTINCT b.i, b.j FROM st b JOIN st a ON a.street AND NOT b.stree
 f AS (SELECT a.i, a.j, min(ROW((a.i - r.i) ** 2 + (a.j - r.j) ** 2, r.i, r.j)) AS n FROM st a JOIN rim r ON a.street AND r.i BETWEEN a.i - 60 AND a.i + 60 AND r.j BETWEEN a.j - 60 AND a.j + 60 GROUP BY a.i, a.j),
 dd AS (SELECT i, j, n[1] AS d2, n[2] AS fi, n[3] AS fj FROM f),
 m AS (SELECT CASE WHEN q.d2 > p.d2 THEN q.i ELSE p.i END AS i, CASE WHEN q.d2 > p.d2 THEN q.j ELSE p.j END AS j, greatest(p.d2, q.d2) AS d2, (p.fi - q.fi) ** 2 + (p.fj - q.fj) ** 2 AS w FROM dd p JOIN dd q ON (q.i = p.i + 1 AND q.j = p.j) OR (q.i = p.i AND q.j = p.j + 1))
-SELECT DISTINCT CAST(i AS INT) AS i, CAST(j AS INT) AS j, CAST(d2 AS INT) AS d2 FROM m WHERE w > 3 * d2 AND w > 4""")
+SELECT DISTINCT CAST(i AS INT) AS i, CAST(j AS INT) AS j, CAST(d2 AS INT) AS d2 FROM m WHERE sqrt(w) > sqrt(3.0 * d2) + 0.52 UNION SELECT a.i, a.j, 1 FROM st a WHERE a.street AND 2 IN (SELECT count(*) FROM st b WHERE NOT b.street AND ((b.i = a.i AND abs(b.j - a.j) = 1) OR (b.j = a.j AND abs(b.i - a.i) = 1)) GROUP BY b.i = a.i)""")
 def _(s, d):
     return ln.medial(streets(s, d)).select("i", "j", F.col("d2").cast("int").alias("d2"))
 

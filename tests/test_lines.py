@@ -20,6 +20,8 @@ SHAPES = [  # shape, middle cells that must be met within a cell, where no middl
     (lambda i, j: (5 <= i < 12 and 5 <= j < 45) or (5 <= i < 45 and 5 <= j < 12), [(8, j) for j in range(16, 41)] + [(i, 8) for i in range(16, 41)]),  # L
     (lambda i, j: (5 <= i < 45 and 30 <= j < 37) or (20 <= i < 27 and 5 <= j < 37), [(i, 33) for i in range(9, 18)] + [(i, 33) for i in range(29, 41)] + [(23, j) for j in range(9, 27)]),  # T
 ]
+SHAPES.append((lambda i, j: j == 7 and 3 <= i < 30, [(i, 7) for i in range(3, 30)]))  # one cell wide
+SHAPES.append((lambda i, j: j in (7, 8, 9) and 3 <= i < 30, [(i, 8) for i in range(5, 28)]))
 
 
 def test_medial_of_bars_and_corners(spark):
@@ -27,7 +29,7 @@ def test_medial_of_bars_and_corners(spark):
         got = {(r["i"], r["j"]) for r in ln.medial(cells(spark, shape, 50)).collect()}
         assert all(any(abs(a - i) <= 1 and abs(b - j) <= 1 for a, b in got) for i, j in middle)
         # nothing but the middle, its crossing and the ends
-        far = [c for c in got if all(max(abs(c[0] - i), abs(c[1] - j)) > 6 for i, j in middle)]
+        far = [c for c in got if all(max(abs(c[0] - i), abs(c[1] - j)) > 8 for i, j in middle)]
         side = [c for c in got if all(abs(c[0] - i) > 1 or abs(c[1] - j) > 1 for i, j in middle)]
         assert not far and len(side) <= 12
 
