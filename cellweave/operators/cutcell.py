@@ -1,14 +1,16 @@
-"""Cut-cell surfaces: corners, normals, vertices."""
+"""Cut-cell surfaces: corners, normals, vertices."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
 from cellweave.operators.numbering import number_rows
+from cellweave.session import cut
 
 
 def corner_lattice(spark: SparkSession, dom: Domain) -> DataFrame:
@@ -70,3 +72,59 @@ def grid_points(edges: DataFrame, dom: Domain, least: float = 1e-3) -> DataFrame
 
     both = crossings("x", "x", "y", dom.dx, dom.origin_x, dom.dy, dom.origin_y).unionByName(crossings("y", "y", "x", dom.dy, dom.origin_y, dom.dx, dom.origin_x))
     return both.filter(F.col("i").between(0, dom.nx - 1) & F.col("j").between(0, dom.ny - 1))
+
+
+def chords(points: DataFrame) -> DataFrame:
+    """gid, i, j, px, py, qx, qy: the chord of each cell that a wall crosses, from the lowest to the highest of its border points (by x, y); cells of one point have none."""
+    p = F.struct("x", "y")
+    c = points.groupBy("gid", "i", "j").agg(F.min(p).alias("p"), F.max(p).alias("q")).filter("p <> q")
+    return c.select("gid", "i", "j", F.col("p.x").alias("px"), F.col("p.y").alias("py"), F.col("q.x").alias("qx"), F.col("q.y").alias("qy"))
+
+
+def cell_halves(cut_at: DataFrame, dom: Domain) -> DataFrame:
+    """gid, i, j, side (1: left of the chord, 2: right), points, area, and the chord: both parts of each cut cell, counter-clockwise.
+
+    A part is the corners on its side of the chord and the chord's ends, in the order of the border. Chords
+    along a side of the cell cut nothing off and fall away.
+    """
+    x0, y0 = F.col("i") * dom.dx + dom.origin_x, F.col("j") * dom.dy + dom.origin_y
+    x1, y1 = x0 + dom.dx, y0 + dom.dy
+    eps = 1e-9 * max(dom.dx, dom.dy)
+
+    def place(x, y):
+        on = F.when(F.abs(y - y0) <= eps, (x - x0) / dom.dx).when(F.abs(x - x1) <= eps, 1 + (y - y0) / dom.dy)
+        return on.when(F.abs(y - y1) <= eps, 2 + (x1 - x) / dom.dx).otherwise(3 + (y1 - y) / dom.dy)
+
+    at = lambda t, x, y: F.struct(t.cast("double").alias("t"), x.alias("x"), y.alias("y"))
+    ends = [at(place(F.col(a), F.col(b)), F.col(a), F.col(b)) for a, b in (("px", "py"), ("qx", "qy"))]
+    corners = [at(F.lit(k), a, b) for k, (a, b) in enumerate(((x0, y0), (x1, y0), (x1, y1), (x0, y1)))]
+    c = cut_at.withColumn("border", F.array_sort(F.array(*corners, *ends)))
+    over = lambda p: (F.col("qx") - F.col("px")) * (p["y"] - F.col("py")) - (F.col("qy") - F.col("py")) * (p["x"] - F.col("px"))
+    tiny = 1e-9 * dom.dx * dom.dy
+    c = c.withColumn("half", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.filter("border", lambda p: over(p) >= -tiny).alias("p")), F.struct(F.lit(2).alias("side"), F.filter("border", lambda p: over(p) <= tiny).alias("p")))))
+    c = c.select("gid", "i", "j", "px", "py", "qx", "qy", "half.side", F.transform("half.p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points"))
+    nxt = F.concat(F.slice("points", F.lit(2), F.size("points")), F.slice("points", 1, 1))
+    area = F.aggregate(F.zip_with("points", nxt, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]), F.lit(0.0), lambda s, v: s + v) / 2
+    c = c.withColumn("area", area)
+    least = F.min("area").over(W.partitionBy("gid", "i", "j"))
+    return c.withColumn("least", least).filter(F.col("least") > 1e-6 * dom.dx * dom.dy).drop("least")
+
+
+def split_cell(cut_at: DataFrame, outline: DataFrame, dom: Domain) -> DataFrame:
+    """gid, i, j, side, points, area, share, nx, ny: the part of each cut cell that lies more in the buildings (the right one on a tie), and the chord's unit normal that points away from it.
+
+    ``outline``: the buildings as an outline without overlaps. Shares are exact areas of clipped parts.
+    """
+    from cellweave.operators import arrange as ar
+
+    halves = cut(cell_halves(cut_at, dom).withColumn("id", F.monotonically_increasing_id()))
+    within = ar.clip(ar.ring_pieces(halves, "id"), outline.withColumn("gid", F.lit(0)), "inside", max(dom.dx, dom.dy))
+    cross = F.col("xa") * F.col("yb") - F.col("xb") * F.col("ya")
+    built = within.groupBy(F.col("gid").alias("id")).agg((F.sum(cross) / 2).alias("built"))
+    h = halves.join(built, "id", "left").withColumn("share", F.round(F.coalesce("built", F.lit(0.0)) / F.col("area"), 6))
+    w = W.partitionBy("gid", "i", "j").orderBy(F.desc("share"), F.desc("side"))
+    h = h.withColumn("n", F.row_number().over(w)).filter("n = 1")
+    away = F.when(F.col("side") == 1, 1.0).otherwise(-1.0)
+    vx, vy = F.col("qx") - F.col("px"), F.col("qy") - F.col("py")
+    size = F.sqrt(vx * vx + vy * vy)
+    return h.select("gid", "i", "j", "side", "points", "area", "share", (away * vy / size).alias("nx"), (-away * vx / size).alias("ny"))

@@ -101,13 +101,13 @@ def fill_courtyards(types: DataFrame, pairs: DataFrame, areas: DataFrame, most:
 
 
 def fill_courtyards_all(types: DataFrame, pairs: DataFrame, areas: DataFrame, most: float, rounds: int = 100) -> DataFrame:
-    """Rounds of ``fill_courtyards`` until nothing changes; polygons only become buildings, so it ends."""
+    """Rounds of ``fill_courtyards`` until nothing changes; polygons only become buildings, so it ends. An error if ``rounds`` are not enough."""
     for _ in range(rounds):
         new = cut(fill_courtyards(types, pairs, areas, most))
         if new.join(types.withColumnRenamed("type", "was"), "gid").filter("type <> was").isEmpty():
             return new
         types = new
-    return types
+    raise RuntimeError(f"not still after {rounds} rounds")
 
 
 def fill_isolated(polys: DataFrame, cells: DataFrame, most: int, touch: float = 1e-5) -> DataFrame:

@@ -21,14 +21,17 @@ def neighbours(cells: DataFrame, values: list[str], offsets: list[tuple[int, int
     return sent.select((F.col("i") - F.col("o.di")).alias("i"), (F.col("j") - F.col("o.dj")).alias("j"), F.col("o.di").alias("di"), F.col("o.dj").alias("dj"), *[prefix + v for v in values])
 
 
-def until_still(state: DataFrame, step: Callable[[DataFrame], tuple[DataFrame, DataFrame]], most: int) -> DataFrame:
-    """Repeat ``step`` (new state, changed rows) until nothing changes or ``most`` rounds; each round is written."""
+def until_still(state: DataFrame, step: Callable[[DataFrame], tuple[DataFrame, DataFrame]], most: int, must_end: bool = False) -> DataFrame:
+    """Repeat ``step`` (new state, changed rows) until nothing changes or ``most`` rounds; each round is written. With ``must_end`` it is an error not to be still by then."""
     for _ in range(most):
         state, changed = step(state)
         state = cut(state)
         if changed is None or state.filter("changed").isEmpty():
             break
         state = state.drop("changed")
+    else:
+        if must_end:
+            raise RuntimeError(f"not still after {most} rounds")
     return state.drop("changed")
 
 
@@ -58,14 +61,14 @@ def fill_corners(cells: DataFrame, nx: int, ny: int, ghost: int = 9999) -> DataF
     return c.withColumn("nz", F.when(F.size(higher) > 2, F.array_min(higher)).otherwise(F.col("nz"))).drop("ns")
 
 
-def _rounds(cells: DataFrame, column: str, round_: Callable[[DataFrame], DataFrame], most: int) -> DataFrame:
+def _rounds(cells: DataFrame, column: str, round_: Callable[[DataFrame], DataFrame], most: int, must_end: bool = False) -> DataFrame:
     """``round_`` until ``column`` stays as it is, at most ``most`` times."""
 
     def step(s):
         new = round_(s).join(s.select("i", "j", F.col(column).alias("was")), ["i", "j"])
         return new.withColumn("changed", ~F.col(column).eqNullSafe(F.col("was"))).drop("was"), True
 
-    return until_still(cells, step, most)
+    return until_still(cells, step, most, must_end)
 
 
 def fill_corners_all(cells: DataFrame, nx: int, ny: int, most: int = 50) -> DataFrame:
@@ -175,5 +178,5 @@ def saddles(cells: DataFrame) -> DataFrame:
 
 
 def saddles_all(cells: DataFrame, most: int = 100) -> DataFrame:
-    """Rounds of ``saddles`` until nothing changes; levels only rise to levels that are there, so it ends."""
-    return _rounds(cells.select("i", "j", "nz"), "nz", saddles, most)
+    """Rounds of ``saddles`` until nothing changes; levels only rise to levels that are there, so it ends. An error if ``most`` rounds are not enough."""
+    return _rounds(cells.select("i", "j", "nz"), "nz", saddles, most, must_end=True)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellweave.domain import DEFAULT_BUILDING, Domain
 from cellweave.operators import arrange as ar
 from cellweave.operators import canyon as cy
+from cellweave.operators import cutcell as cc
 from cellweave.operators import edges as ed
 from cellweave.operators import landcover as lc
 from cellweave.operators import lines as ln
@@ -125,3 +126,38 @@ def _(s, d):
     made = ln.centre_lines(streets(s, d), dom.dx, dom.dy, 0.5)
     p = made.select("line", F.posexplode("points").alias("at", "p"))
     return p.select("at", "p.x", "p.y")
+
+
+#: Diamonds of four fifths: they keep apart. Crossings of their edges with the cells' borders, as in k6_wall_grid_points.
+APART = """fx AS (SELECT gid, cx, cy, rx * 0.8 AS rx, ry * 0.8 AS ry FROM fx_diamond), e AS (SELECT gid, 0 AS edge, cx + rx AS xa, cy AS ya, cx AS xb, cy + ry AS yb FROM fx UNION ALL SELECT gid, 1, cx, cy + ry, cx - rx, cy FROM fx
+ UNION ALL SELECT gid, 2, cx - rx, cy, cx, cy - ry FROM fx UNION ALL SELECT gid, 3, cx, cy - ry, cx + rx, cy FROM fx),
+xs AS (SELECT *, unnest(range(CAST(ceil(least(xa, xb) / 10) AS INT), CAST(floor(greatest(xa, xb) / 10) AS INT) + 1)) AS m FROM e),
+ys AS (SELECT *, unnest(range(CAST(ceil(least(ya, yb) / 10) AS INT), CAST(floor(greatest(ya, yb) / 10) AS INT) + 1)) AS m FROM e),
+met AS (SELECT gid, edge, 0 AS ax, m, (ya + (yb - ya) * (m * 10 - xa) / (xb - xa)) / 10 AS v FROM xs UNION ALL SELECT gid, edge, 1, m, (xa + (xb - xa) * (m * 10 - ya) / (yb - ya)) / 10 FROM ys),
+q AS (SELECT *, floor(v) AS n, (floor(v) + greatest(0.001, least(0.999, v - floor(v)))) * 10 AS o FROM met),
+c AS (SELECT gid, edge, CAST(CASE ax WHEN 0 THEN m - k.k ELSE n END AS INT) AS i, CAST(CASE ax WHEN 0 THEN n ELSE m - k.k END AS INT) AS j, CASE ax WHEN 0 THEN m * 10 ELSE o END AS x, CASE ax WHEN 0 THEN o ELSE m * 10 END AS y FROM q, (SELECT 0 AS k UNION ALL SELECT 1) k),
+ch AS (SELECT gid, i, j, min(edge) AS edge, min(ROW(x, y)) AS p, max(ROW(x, y)) AS q, count(DISTINCT edge) AS edges, count(*) AS n FROM c, fx_dom WHERE i BETWEEN 0 AND nx - 1 AND j BETWEEN 0 AND nx - 1 GROUP BY gid, i, j)"""
+
+
+def apart_edges(s, d) -> DataFrame:
+    x, y, rx, ry = F.col("cx"), F.col("cy"), F.col("rx") * 0.8, F.col("ry") * 0.8
+    return ed.ring_edges(L(s, d, "fx_diamond"), "gid", [(x + rx, y), (x, y + ry), (x - rx, y), (x, y - ry)])
+
+
+def halves(s, d) -> tuple[DataFrame, DataFrame]:
+    e, dom = apart_edges(s, d), D(s, d)
+    points = cc.grid_points(e, dom)
+    return points, cc.split_cell(cc.chords(points), ar.dissolve(e), dom)
+
+
+@query("k7_split_cell")
+def _(s, d):
+    return halves(s, d)[1].select("gid", "i", "j", "side", F.round("area", 4).alias("area"), F.round("share", 4).alias("share"))
+
+
+@query("k8_chord_normal", f"""WITH {APART}, v AS (SELECT ch.*, q[1] - p[1] AS vx, q[2] - p[2] AS vy, yb - ya AS ox, xa - xb AS oy FROM ch JOIN e USING (gid, edge) WHERE edges = 1 AND n = 2)
+SELECT gid, i, j, round(sign(vy * ox - vx * oy) * vy / sqrt(vx ** 2 + vy ** 2), 6) AS nx, round(-sign(vy * ox - vx * oy) * vx / sqrt(vx ** 2 + vy ** 2), 6) AS ny FROM v""")
+def _(s, d):
+    points, half = halves(s, d)
+    straight = points.groupBy("gid", "i", "j").agg(F.count_distinct("edge").alias("edges"), F.count("*").alias("n")).filter("edges = 1 and n = 2")
+    return half.join(straight, ["gid", "i", "j"]).select("gid", "i", "j", F.round("nx", 6).alias("nx"), F.round("ny", 6).alias("ny"))

@@ -187,3 +187,43 @@ def test_empty(spark):
     assert ar.dissolve(none).count() == 0 and ar.rings(ar.dissolve(none)).count() == 0
     assert ar.split_by_fishnet(none, Domain(2, 2, 5.0, 5.0, 1.0, 0.0, 0.0), 1.0).count() == 0
     assert ar.clip(none, none, "inside").count() == 0 and ed.areas(none).count() == 0
+
+
+def test_split_cell(spark):
+    """Both parts make up the cell, the part that is more built stays, the normal leads away from it."""
+    from cellweave.operators import cutcell as cc
+
+    dom = Domain(8, 8, 10.0, 10.0, 5.0, 0.0, 0.0)
+    walls = diamond(1, 25.3, 24.1, 17.7) + ring(2, [(52.0, 51.0), (77.0, 55.0), (66.0, 74.0)])
+    e = frame(spark, walls).withColumn("edge", F.lit(0))
+    c = cc.chords(cc.grid_points(e, dom))
+    halves = cc.cell_halves(c, dom).collect()
+    both = {}
+    for r in halves:
+        both.setdefault((r["gid"], r["i"], r["j"]), []).append(r["area"])
+    assert both and all(len(v) == 2 and sum(v) == pytest.approx(100) for v in both.values())
+    rnd = random.Random(6)
+    got = cc.split_cell(c, ar.dissolve(frame(spark, walls)), dom).collect()
+    assert len(got) == len(both)
+    for r in got:
+        p = [(q["x"], q["y"]) for q in r["points"]]
+        part = ring(0, p)
+        inside_ = [(x, y) for x, y in ((rnd.uniform(10 * r["i"], 10 * r["i"] + 10), rnd.uniform(10 * r["j"], 10 * r["j"] + 10)) for _ in range(4000)) if held(part, x, y)]
+        share = sum(bool(held(walls, x, y)) for x, y in inside_) / max(1, len(inside_))
+        if len(inside_) > 200:
+            assert share == pytest.approx(r["share"], abs=0.12)
+        assert math.hypot(r["nx"], r["ny"]) == pytest.approx(1)
+        middle = (sum(x for x, _ in p) / len(p), sum(y for _, y in p) / len(p))
+        chord = next(q for q in halves if (q["gid"], q["i"], q["j"]) == (r["gid"], r["i"], r["j"]))
+        assert (middle[0] - chord["px"]) * r["nx"] + (middle[1] - chord["py"]) * r["ny"] < 0
+
+
+@pytest.mark.parametrize("a,b,normal", [((0.0, 4.0), (10.0, 4.0), (0, 1)), ((4.0, 0.0), (4.0, 10.0), (1, 0)), ((0.0, 0.0), (10.0, 10.0), (-0.5**0.5, 0.5**0.5)), ((0.0, 0.0), (10.0, 0.0), None)])
+def test_normals_of_plain_chords(spark, a, b, normal):
+    from cellweave.operators import cutcell as cc
+
+    dom = Domain(1, 1, 10.0, 10.0, 5.0, 0.0, 0.0)
+    house = box(0, -5, -5, 20, 4) if a[1] == b[1] else box(0, -5, -5, 4, 20) if a[0] == b[0] else ring(0, [(-5, -5), (25, -5), (25, 25)])
+    c = spark.createDataFrame([(1, 0, 0, *a, *b)], "gid int, i int, j int, px double, py double, qx double, qy double")
+    got = cc.split_cell(c, ar.dissolve(frame(spark, house)), dom).collect()
+    assert [(r["share"], pytest.approx((r["nx"], r["ny"]))) for r in got] == ([(1.0, normal)] if normal else [])
