@@ -27,3 +27,5 @@ class Domain:
 VEGETATION, PAVEMENT, WATER, BUILDING, END = 100, 200, 300, 900, 1000
 #: Classes set by corrections.
 SEALED, BARE, DEFAULT_BUILDING, BRIDGE = 202, 101, 906, 907
+#: Class of codes that the class map lacks and of polygons without a class; of street-map polygons added to typed land cover.
+DEFAULT_TYPE, DEFAULT_STREET = 103, 901

@@ -41,12 +41,17 @@ def clip_to_extent(boxes: DataFrame, x0: float, y0: float, x1: float, y1: float)
     return boxes.filter((F.col("x1") > x0) & (F.col("x0") < x1) & (F.col("y1") > y0) & (F.col("y0") < y1))
 
 
-def map_types(df: DataFrame, codes: DataFrame, is_street: Column, default: int = dm.DEFAULT_BUILDING) -> DataFrame:
+def map_types(df: DataFrame, codes: DataFrame, is_street: Column, default: int = dm.DEFAULT_TYPE) -> DataFrame:
     """``type`` by code, from the land or the street column; the code table has one row per class."""
     kind = F.coalesce(F.when(is_street, F.col("type_street")).otherwise(F.col("type_land")), F.lit(default))
     return df.join(F.broadcast(codes.select("code", "type_land", "type_street")), "code", "left").withColumn("type", kind.cast("int")).drop("type_land", "type_street")
 
 
+def typed_landcover(type_: Column, is_street: Column) -> Column:
+    """Class of land cover that comes with classes: kept; street-map polygons take the default building class, polygons without a class the default one."""
+    return F.coalesce(F.when(is_street, F.lit(dm.DEFAULT_STREET)).otherwise(type_), F.lit(dm.DEFAULT_TYPE)).cast("int")
+
+
 def overlay(layers: DataFrame) -> DataFrame:
     """i, j and the row of highest priority (then lowest lid) of each cell: one layer cut out of another."""
     return layers.withColumn("_n", F.row_number().over(W.partitionBy("i", "j").orderBy("priority", "lid"))).filter("_n = 1").drop("_n", "priority")

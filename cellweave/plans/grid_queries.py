@@ -282,15 +282,16 @@ def _(s, d):
     return nb.number_rows(m, ["src", "old"], "lid").select("lid", "src", "old")
 
 
-@query("l7_map_types", "SELECT l.lid, k.type_street AS type FROM fx_landcover l JOIN fx_codes k USING (code)")
+@query("l7_map_types", "SELECT l.lid, CAST(CASE WHEN l.lid % 11 = 5 THEN 103 ELSE k.type_street END AS INT) AS type FROM fx_landcover l JOIN fx_codes k USING (code)")
 def _(s, d):
-    return lc.map_types(L(s, d, "fx_landcover"), L(s, d, "fx_codes"), F.lit(True)).select("lid", "type")
+    unknown = L(s, d, "fx_landcover").withColumn("code", F.when(F.col("lid") % 11 == 5, -1).otherwise(F.col("code")))
+    return lc.map_types(unknown, L(s, d, "fx_codes"), F.lit(True)).select("lid", "type")
 
 
-@query("l8_typed_landcover", "SELECT l.lid, CASE WHEN l.lid % 5 = 0 THEN 906 ELSE k.type_land END AS type FROM fx_landcover l JOIN fx_codes k USING (code)")
+@query("l8_typed_landcover", "SELECT l.lid, CAST(CASE WHEN l.lid % 7 = 3 THEN 901 WHEN l.lid % 5 = 0 THEN 103 ELSE k.type_land END AS INT) AS type FROM fx_landcover l JOIN fx_codes k USING (code)")
 def _(s, d):
-    broken = L(s, d, "fx_landcover").withColumn("code", F.when(F.col("lid") % 5 != 0, F.col("code")))
-    return lc.map_types(broken, L(s, d, "fx_codes"), F.lit(False)).select("lid", "type")
+    land = typed(s, d).select("lid", F.when(F.col("lid") % 5 != 0, F.col("type")).alias("type"))
+    return land.select("lid", lc.typed_landcover(F.col("type"), F.col("lid") % 7 == 3).alias("type"))
 
 
 PAIRS = "pr AS (SELECT a.osm_id AS a, b.osm_id AS b FROM fx_street a JOIN fx_street b ON a.osm_id < b.osm_id AND a.x0 <= b.x1 + 15 AND b.x0 <= a.x1 + 15 AND a.y0 <= b.y1 + 15 AND b.y0 <= a.y1 + 15 WHERE greatest(0, a.x0 - b.x1, b.x0 - a.x1) ** 2 + greatest(0, a.y0 - b.y1, b.y0 - a.y1) ** 2 <= 225)"
