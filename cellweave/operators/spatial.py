@@ -59,6 +59,7 @@ def inside(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") ->
     # kind of crossing beside a point: a piece, or a line that is crossed at ya
     none = F.lit(None).cast("double")
     events = pieces.select("gid", "i", "j", "xa", "ya", "xb", "yb").unionByName(lines.select("gid", "i", "j", none.alias("xa"), F.col("y").alias("ya"), none.alias("xb"), none.alias("yb")))
+    events = cut(events)
     at = events.groupBy("gid", "i", "j").agg(F.count_if(F.col("xa").isNull()).alias("n"))
     w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
     at = at.select("gid", "i", "j", (F.sum("n").over(w) - F.col("n")).alias("above"), F.sum("n").over(w).alias("below"), F.lead("j").over(w).alias("next"))
