@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
 from cellweave.operators.numbering import number_rows
+from cellweave.session import cut
 
 #: Steps (k, j, i) from the full corner of a vertex to the free one, by direction.
 STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
@@ -52,7 +53,8 @@ def slice_faces(faces: DataFrame, dz: float, verts: str = "verts") -> DataFrame:
     """Each face once for every layer k (from k*dz to (k+1)*dz) that it reaches, cut to the layer; other columns stay.
 
     A level face belongs to the layer whose top it is, if it lies on a level. Repeated vertices count once, faces
-    of fewer than three fall away, and so do null faces. Parts are right for convex faces and for those whose plan is convex.
+    of fewer than three fall away, and so do null faces. Parts of convex faces are exact;
+    in a saddle, whose opposite corners leave the layer, the corners that stay are joined across the middle.
     """
     f = faces.withColumn(verts, F.array_distinct(F.filter(verts, lambda v: v["x"].isNotNull() & v["y"].isNotNull() & v["z"].isNotNull()))).filter(F.size(verts) >= 3)
     low, high = _heights(F.col(verts))
@@ -112,23 +114,24 @@ def vertex_keys(faces: DataFrame, dom: Domain, fid: str = "fid", verts: str = "v
     turn = {c: F.col("a" + p) * F.col("b" + q) - F.col("a" + q) * F.col("b" + p) for c, p, q in (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y"))}
     cells = {"x": (F.col("x") - dom.origin_x) / dom.dx, "y": (F.col("y") - dom.origin_y) / dom.dy, "z": F.col("z") / dom.dz}
     v = v.select("fid", "at", "x", "y", "z", *[turn[c].alias("t" + c) for c in "xyz"], *[cells[c].alias("c" + c) for c in "xyz"])
-    on = {c: F.abs(F.col("c" + c) - F.rint("c" + c)) < 1e-9 for c in "xyz"}
-    along = {c: on[p] & on[q] for c, p, q in (("z", "x", "y"), ("y", "x", "z"), ("x", "y", "z"))}
-    lean = F.greatest(*[F.when(along[c], F.abs("t" + c)) for c in "zyx"])
-    axis = F.coalesce(*[F.when(along[c] & (F.abs("t" + c) == lean), F.lit(c)) for c in "zyx"])
-    v = v.withColumn("axis", axis)
-    rise = F.coalesce(*[F.when(F.col("axis") == c, F.col("t" + c) >= 0) for c in "zyx"])
-    v = v.withColumn("rise", rise)
-    whole = {c: F.rint("c" + c) for c in "xyz"}
-    full = {c: F.when(F.col("axis") != c, whole[c]).when(on[c], whole[c]).when(F.col("rise"), F.floor("c" + c)).otherwise(F.ceil("c" + c)).cast("int") for c in "xyz"}
-    length = F.coalesce(*[F.when(F.col("axis") == c, F.when(on[c], 0.0).otherwise(F.abs(F.col("c" + c) - full[c]))) for c in "zyx"])
-    towards = F.coalesce(*[F.when(F.col("axis") == c, F.when(F.col("rise"), 2 * n).otherwise(2 * n + 1)) for n, c in enumerate("zyx")])
-    return v.select("fid", "at", full["z"].alias("k"), full["y"].alias("j"), full["x"].alias("i"), towards.cast("int").alias("dir"), length.alias("len"), "x", "y", "z")
+    v = v.select("fid", "at", "x", "y", "z", *["t" + c for c in "xyz"], *["c" + c for c in "xyz"], *[F.rint("c" + c).alias("r" + c) for c in "xyz"])
+    v = v.select("*", *[(F.abs(F.col("c" + c) - F.col("r" + c)) < 1e-9).alias("o" + c) for c in "xyz"])
+
+    def on_axis(n: int, c: str) -> Column:
+        p, q = [x for x in "zyx" if x != c]
+        rise, at = F.col("t" + c) >= 0, F.col("c" + c)
+        full = F.when(F.col("o" + c), F.col("r" + c)).when(rise, F.floor(at)).otherwise(F.ceil(at))
+        ends = [(full if x == c else F.col("r" + x)).cast("int").alias(to) for x, to in zip("zyx", "kji")]
+        length = F.when(F.col("o" + c), 0.0).otherwise(F.abs(at - full))
+        return F.when(F.col("o" + p) & F.col("o" + q), F.struct(F.abs("t" + c).alias("lean"), F.lit(-n).alias("first"), *ends, F.when(rise, 2 * n).otherwise(2 * n + 1).alias("dir"), length.alias("len")))
+
+    v = v.withColumn("e", F.array_max(F.array(*[on_axis(n, c) for n, c in enumerate("zyx")])))
+    return v.select("fid", "at", "e.k", "e.j", "e.i", "e.dir", "e.len", "x", "y", "z")
 
 
 def keyed_index(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(vid, k, j, i, dir, len) of every edge that holds a vertex, numbered by (k, j, i, dir), and the faces as (fid, at, vid); vertices without a key are left out."""
-    on_edge = keys.filter("dir is not null")
+    on_edge = cut(keys.filter("dir is not null").select("fid", "at", "k", "j", "i", "dir", "len"))
     v = number_rows(on_edge.groupBy("k", "j", "i", "dir").agg(F.min("len").alias("len")), ["k", "j", "i", "dir"], "vid")
     return v.select("vid", "k", "j", "i", "dir", "len"), on_edge.join(v.select("k", "j", "i", "dir", "vid"), ["k", "j", "i", "dir"]).select("fid", "at", "vid")
 
@@ -155,7 +158,7 @@ def watertight_check(refs: DataFrame, vertices: DataFrame, dom: Domain) -> DataF
 
     r = refs.select("fid", "at", "vid").join(v, "vid", "left")
     seen = F.struct("at", "vid", "dir", "len", "full", "free", "s")
-    ring = r.groupBy("fid").agg(F.sort_array(F.collect_list(seen)).alias("ring"))
+    ring = cut(r.groupBy("fid").agg(F.sort_array(F.collect_list(seen)).alias("ring")))
     ring = ring.withColumn("lost", F.size(F.filter("ring", lambda p: p["dir"].isNull()))).withColumn("m", F.size("ring"))
 
     def bad(a: Column, b: Column) -> Column:
