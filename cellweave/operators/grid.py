@@ -70,3 +70,45 @@ def utm_to_lonlat(east: Column, north: Column, zone: int) -> tuple[Column, Colum
     for _ in range(6):  # isometric latitude back to latitude
         s = F.tanh(q + e * F.atanh(e * s))
     return F.degrees(F.atan2(F.sinh(y), F.cos(x))) + (zone * 6 - 183), F.degrees(F.asin(s))
+
+
+#: GRS80 flattening (its semi-major axis is A), centre of the European equal-area system in degrees, false easting and northing.
+GRS80, LAEA_LON, LAEA_LAT, LAEA_E, LAEA_N = 1 / 298.257222101, 10.0, 52.0, 4321000.0, 3210000.0
+
+
+def _laea() -> tuple[float, float, float, float, float, float]:
+    """e, area term of the pole, radius of the equal-area sphere, sine and cosine of the authalic centre, and the stretch that makes the centre true."""
+    e = math.sqrt(GRS80 * (2 - GRS80))
+    term = lambda s: (1 - e * e) * (s / (1 - e * e * s * s) + math.atanh(e * s) / e)
+    pole, s0 = term(1.0), math.sin(math.radians(LAEA_LAT))
+    radius, sb = A * math.sqrt(pole / 2), term(s0) / pole
+    cb = math.sqrt(1 - sb * sb)
+    return e, pole, radius, sb, cb, A * math.cos(math.radians(LAEA_LAT)) / math.sqrt(1 - e * e * s0 * s0) / (radius * cb)
+
+
+def lonlat_to_laea(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Easting and northing in the European equal-area system, degrees in."""
+    e, pole, radius, sb0, cb0, d = _laea()
+    s, lam = F.sin(F.radians(lat)), F.radians(lon - LAEA_LON)
+    sb = (1 - e * e) * (s / (1 - e * e * s * s) + F.atanh(e * s) / e) / pole
+    cb = F.sqrt(F.greatest(F.lit(0.0), 1 - sb * sb))
+    b = radius * F.sqrt(2 / (1 + sb0 * sb + cb0 * cb * F.cos(lam)))
+    return LAEA_E + b * d * cb * F.sin(lam), LAEA_N + b / d * (cb0 * sb - sb0 * cb * F.cos(lam))
+
+
+def laea_to_lonlat(east: Column, north: Column) -> tuple[Column, Column]:
+    """Longitude and latitude in degrees; the latitude of equal area is turned back by Newton's steps."""
+    e, pole, radius, sb0, cb0, d = _laea()
+    x, y = (east - LAEA_E) / d, (north - LAEA_N) * d
+    rho = F.sqrt(x * x + y * y)
+    far = F.when(rho == 0, 1.0).otherwise(rho)
+    c = 2 * F.asin(rho / (2 * radius))
+    sb = F.cos(c) * sb0 + y * F.sin(c) * cb0 / far
+    lon = LAEA_LON + F.degrees(F.atan2(x * F.sin(c), far * cb0 * F.cos(c) - y * sb0 * F.sin(c)))
+    q = sb * pole / (1 - e * e)
+    phi = F.asin(sb)
+    for _ in range(3):
+        s = F.sin(phi)
+        w = 1 - e * e * s * s
+        phi = phi + w * w / (2 * F.cos(phi)) * (q - s / w - F.atanh(e * s) / e)
+    return F.when(rho == 0, LAEA_LON).otherwise(lon), F.degrees(phi)
