@@ -1,4 +1,4 @@
-"""Building heights from neighbours, voxels, outer walls and vertical surfaces."""
+"""Building heights from neighbours, voxels, roofs, outer walls and vertical surfaces."""
 
 from __future__ import annotations
 
@@ -41,3 +41,46 @@ def vertical_surfaces(walls: DataFrame, dz: float) -> DataFrame:
     """sid, id, direction, zs: a facet for each level of each wall, numbered by (id, direction, level)."""
     f = walls.filter("top > 0").select("id", "direction", "azimuth", "xs", "ys", F.explode(F.sequence(F.lit(0), F.col("top") - 1)).alias("level"))
     return number_rows(f.withColumn("zs", dz * (F.col("level") + 0.5)), ["id", "direction", "level"], "sid")
+
+
+def roof_of_cell(cells: DataFrame, hits: DataFrame, near: tuple[int, ...] = (1, 2), far: int = 49) -> DataFrame:
+    """id, i, j, rid: the roof of each building cell (id, i, j): its own (``hits``: id, rid), else that of the nearest cell that has one.
+
+    First cells within each step of ``near`` give theirs, also those that got one a step before; then cells within ``far``.
+    Nearest is by (rows or columns apart, squared distance, rid); cells farther from all others keep null. The far search asks
+    buckets of cells that double until a hit is certain, and only owners with a neighbour that is none: others are never the nearest.
+    """
+    own = hits.filter("rid is not null").groupBy("id").agg(F.min("rid").alias("rid"))
+    c = cut(cells.select("id", "i", "j").join(own, "id", "left"))
+    gap = lambda a, b: F.abs(F.col(a) - F.col(b))
+    rank = F.struct(F.greatest(gap("i", "oi"), gap("j", "oj")).alias("apart"), (gap("i", "oi") * gap("i", "oi") + gap("j", "oj") * gap("j", "oj")).alias("d2"), F.col("orid").alias("rid"))
+
+    def around(df: DataFrame, r: int) -> DataFrame:
+        steps = F.sequence(F.lit(-r), F.lit(r))
+        return df.withColumn("di", F.explode(steps)).withColumn("dj", F.explode(steps)).filter("di <> 0 or dj <> 0")
+
+    def filled(c: DataFrame, best: DataFrame) -> DataFrame:
+        return cut(c.join(best.select("id", F.col("b.rid").alias("got")), "id", "left").select("id", "i", "j", F.coalesce("rid", "got").alias("rid")))
+
+    for r in near:
+        owners = c.filter("rid is not null").select(F.col("i").alias("oi"), F.col("j").alias("oj"), F.col("rid").alias("orid"))
+        asked = around(c.filter("rid is null").select("id", "i", "j"), r).withColumn("oi", F.col("i") + F.col("di")).withColumn("oj", F.col("j") + F.col("dj"))
+        c = filled(c, asked.join(owners, ["oi", "oj"]).groupBy("id").agg(F.min(rank).alias("b")))
+
+    owners = c.filter("rid is not null").select(F.col("i").alias("oi"), F.col("j").alias("oj"), F.col("rid").alias("orid"))
+    beside = around(owners, 1).select((F.col("oi") + F.col("di")).alias("oi"), (F.col("oj") + F.col("dj")).alias("oj"))
+    full = beside.groupBy("oi", "oj").count().filter("count = 8").select("oi", "oj")
+    rim = cut(owners.join(full, ["oi", "oj"], "left_anti"))
+    asked, done, size = c.filter("rid is null").select("id", "i", "j"), None, min(4, far)
+    while not asked.isEmpty():
+        bucket = lambda v: F.floor(F.col(v) / size).cast("int")  # noqa: E731, B023
+        side = F.sequence(F.lit(-1), F.lit(1))
+        a = asked.withColumn("bi", F.explode(F.transform(side, lambda s: bucket("i") + s))).withColumn("bj", F.explode(F.transform(side, lambda s: bucket("j") + s)))
+        o = rim.withColumn("bi", bucket("oi")).withColumn("bj", bucket("oj"))
+        best = a.join(o, ["bi", "bj"]).groupBy("id").agg(F.min(rank).alias("b")).filter(F.col("b.apart") <= size)
+        best = cut(best)
+        done = best if done is None else done.unionByName(best)
+        if size >= far:
+            break
+        asked, size = cut(asked.join(best, "id", "left_anti")), min(2 * size, far)
+    return c if done is None else filled(c, done)

@@ -1,4 +1,4 @@
-"""Registered queries of layers read from files and of the equal-area projection, added to those of grid_queries."""
+"""Registered queries of layers read from files, of the equal-area projection and of roofs, added to those of grid_queries."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from cellweave.operators import buildings as bd
 from cellweave.operators import edges as ed
 from cellweave.operators import grid as gr
-from cellweave.plans.grid_queries import L, query
+from cellweave.operators import spatial as sp
+from cellweave.plans.grid_queries import BC, D, L, building_cells, query
 from cellweave.session import shared_dir
 from cellweave.sources import features as ft
 
@@ -53,3 +55,20 @@ def _(s, d):
     edges = ed.explode_rings(layer, "osm_id")
     size = edges.groupBy("gid").agg(F.count_distinct("ring").cast("int").alias("n_rings"), F.count("*").alias("n_edges"), F.round(F.sum(F.col("xa") * F.col("yb") - F.col("xb") * F.col("ya")) / 2, 6).alias("area"))
     return size.select(F.col("gid").alias("osm_id"), "n_rings", "n_edges", "area")
+
+
+#: Roofs that are smaller than their buildings, and missing on each fifth.
+ROOFS = "rf AS (SELECT rid, x0, y0, x1 - 6 AS x1, y1 - 4 AS y1 FROM fx_roofs WHERE rid % 5 <> 0)"
+
+
+def _near(name: str, source: str, reach: int) -> str:
+    best = f"SELECT a.id, min(ROW(greatest(abs(a.i - b.i), abs(a.j - b.j)), (a.i - b.i) ** 2 + (a.j - b.j) ** 2, b.rid)) AS n FROM {source} a JOIN {source} b ON b.rid IS NOT NULL AND a.rid IS NULL AND b.i BETWEEN a.i - {reach} AND a.i + {reach} AND b.j BETWEEN a.j - {reach} AND a.j + {reach} GROUP BY a.id"
+    return f"{name} AS (SELECT s.id, s.i, s.j, coalesce(s.rid, q.n[3]) AS rid FROM {source} s LEFT JOIN ({best}) q USING (id))"
+
+
+@query("w1_roof_of_cell", f"WITH {BC}, {ROOFS}, r0 AS (SELECT bc.id, bc.i, bc.j, min(rf.rid) AS rid FROM bc LEFT JOIN rf ON xcen >= x0 AND xcen < x1 AND ycen >= y0 AND ycen < y1 GROUP BY bc.id, bc.i, bc.j), {_near('r1', 'r0', 1)}, {_near('r2', 'r1', 2)}, {_near('r3', 'r2', 49)} SELECT id, i, j, rid FROM r3")
+def _(s, d):
+    cells = building_cells(s, d)
+    roofs = L(s, d, "fx_roofs").filter("rid % 5 <> 0").select("rid", "x0", "y0", (F.col("x1") - 6).alias("x1"), (F.col("y1") - 4).alias("y1"))
+    hits = sp.points_in_polygons(cells.select("id", F.col("xcen").alias("x"), F.col("ycen").alias("y")), ed.rectangle_edges(roofs.filter("x0 < x1 and y0 < y1"), "rid"), D(s, d))
+    return bd.roof_of_cell(cells, hits.withColumnRenamed("gid", "rid")).select("id", "i", "j", "rid")

@@ -169,3 +169,29 @@ def test_a_vertex_on_a_corner_is_singular(spark):
     assert v.filter("len = 0").count() > 0
     bad = fc.watertight_check(refs, v, DOM).filter("rule = 'faces'").join(v, F.col("what") == v["vid"].cast("string"))
     assert bad.filter("i = 3 and j = 2").count() == 0
+
+
+def plain_roofs(cells, hits, near=(1, 2), far=49):
+    rid = {k: hits.get(k) for k in cells}
+    for r in (*near, far):
+        new = {}
+        for k, (i, j) in cells.items():
+            if rid[k] is None:
+                best = min(((max(abs(i - a), abs(j - b)), (i - a) ** 2 + (j - b) ** 2, rid[q]) for q, (a, b) in cells.items() if rid[q] is not None and max(abs(i - a), abs(j - b)) <= r), default=None)
+                if best:
+                    new[k] = best[2]
+        rid |= new
+    return rid
+
+
+@pytest.mark.parametrize("seed,share,far", [(1, 0.5, 49), (2, 0.02, 49), (3, 0.01, 11), (4, 0.0, 49)])
+def test_roofs_of_cells(spark, seed, share, far):
+    from cellweave.operators.buildings import roof_of_cell
+
+    rnd = random.Random(seed)
+    at = rnd.sample([(i, j) for i in range(-20, 60) for j in range(70)], 900) + [(i, j) for i in range(200, 208) for j in range(8)]
+    cells = dict(enumerate(dict.fromkeys(at)))
+    hits = {k: rnd.randint(1, 40) for k in cells if rnd.random() < share}
+    df = spark.createDataFrame([(k, i, j) for k, (i, j) in cells.items()], "id int, i int, j int")
+    got = {r["id"]: r["rid"] for r in roof_of_cell(df, spark.createDataFrame(list(hits.items()), "id int, rid int"), far=far).collect()}
+    assert got == plain_roofs(cells, hits, far=far)
