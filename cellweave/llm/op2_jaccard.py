@@ -19,7 +19,9 @@
    which the remaining lengths cannot lift to the needed overlap, or whose sets are all in its own
    component already. Links become components by alternating stars.
 6. Of a meeting in several blocks only sets that are not in the centre's component may still miss a
-   link: they are walked through the tries of its other blocks.
+   link: they are walked through the tries of those other blocks whose sizes and largest shared
+   lengths leave room for a partner. Texts with one passage in common and more of their own than a
+   link allows are sent nowhere.
 
 Defined results: null and empty texts and texts without words have no shingles and are alone; a
 text with fewer than K words is one shingle; equal rows, repeated ids included, are linked; a null
@@ -338,40 +340,64 @@ def candidates(docs: DataFrame, known: DataFrame, often: DataFrame, salt: int, t
 
 
 def meetings(sets: DataFrame) -> DataFrame:
-    """centre, set: each set under the centres of the shingles that it posts."""
+    """centre, set, n, own, rest: each set under the centres of the shingles that it posts; no partner met there shares more than ``rest``."""
     posts = sets.select("set", "n", "heart", F.posexplode(F.slice("tokens", 1, F.col("post"))).alias("at", "token"), F.size("tokens").alias("own"))
     posts = posts.withColumn("place", F.col("n") - F.col("own") + F.col("at"))
     # A place lets in partners of 3/4 the size at least only if enough of the set follows it.
     posts = posts.filter("7 * (n - place) >= 3 * n + ceil(9 * n / 4)")
     centres = posts.groupBy("token").agg(F.max_by("set", F.struct("heart", "set")).alias("centre"), F.count("*").alias("many")).filter("many > 1")
-    return posts.select("token", "set").join(centres.select("token", "centre"), "token").select("centre", "set").distinct()
+    met = posts.select("token", "set", "n", "own", "place").join(centres.select("token", "centre"), "token")
+    return met.groupBy("centre", "set").agg(F.first("n").alias("n"), F.first("own").alias("own"), F.max(F.col("n") - F.col("place")).alias("rest"))
+
+
+def blocks_of(met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of small meetings, rows (with sub) of large ones, and the number of blocks (subs) of each kind in a large one.
+
+    A kind is a range of sizes (a factor of 4/3) and whether sets of its own size come into
+    question: of two similar sets the smaller one always shares enough for that, so two sets that
+    don't are never similar.
+    """
+    large = cut(met.groupBy("centre").agg(F.sum("own").alias("total")).filter(F.col("total") > BLOCK))
+    level = F.floor(F.log(F.col("n").cast("double")) / float(np.log(4 / 3))).cast("long")
+    kind = 2 * level + (7 * F.col("rest") >= 6 * F.col("n")).cast("long")
+    big = met.join(large.select("centre"), "centre").withColumn("kind", kind)
+    blocks = cut(big.groupBy("centre", "kind").agg(F.ceil(F.sum("own") / BLOCK).cast("long").alias("subs")))
+    big = big.join(blocks, ["centre", "kind"]).withColumn("sub", F.shiftleft("kind", 32) + F.pmod(F.xxhash64("set"), F.col("subs")))
+    return met.join(large.select("centre"), "centre", "left_anti"), cut(big.select("centre", "sub", "set", "n", "rest")), blocks
+
+
+def open_walks(big: DataFrame, roots: DataFrame) -> DataFrame:
+    """centre, sub, set, root: sets outside their centre's component, once for each other block that can hold a partner."""
+    rows = big.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    heart = rows.filter("set = centre").select("centre", F.col("root").alias("heart"))
+    reach = F.max(7 * F.col("rest") - 3 * F.col("n"))
+    summary = big.groupBy("centre", F.col("sub").alias("to")).agg(F.min("n").alias("least"), F.max("n").alias("most"), reach.alias("reach"))
+    met = rows.join(heart, "centre").filter("root <> heart").join(summary, "centre")
+    able = "sub <> to and 3 * least <= 7 * rest - 3 * n and 3 * n <= reach and 3 * n <= 4 * most and 3 * least <= 4 * n"
+    # Of two kinds that don't reach their own size no pair is similar.
+    return met.filter(able).filter("shiftright(sub, 32) & 1 = 1 or shiftright(to, 32) & 1 = 1").select("centre", F.col("to").alias("sub"), "set", "root")
 
 
 def set_components(docs: DataFrame, known: DataFrame, often: DataFrame, salt: int, text_col: str = "text") -> DataFrame:
     """set, root of sets that link with others."""
     sets = candidates(docs, known, often, salt, text_col)
-    sized = cut(meetings(sets).join(sets.select("set", F.size("tokens").alias("own")), "set"))
-    blocks = cut(sized.groupBy("centre").agg(F.ceil(F.sum("own") / BLOCK).cast("int").alias("subs")))
-    mine = F.pmod(F.xxhash64("set"), F.col("subs")).cast("int")
-    dealt = sized.join(blocks, "centre").withColumn("root", F.col("set"))
-    every = F.sequence(F.lit(0), F.col("subs") - 1)
-    first = dealt.select("centre", F.explode(F.when(F.col("set") == F.col("centre"), every).otherwise(F.array(mine))).alias("sub"), F.lit(0).alias("query"), "set", "root")
-    links = cut(_links(first, sets))
+    met = cut(meetings(sets))
+    small, big, blocks = blocks_of(met)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("k")
+    centres = blocks.select("centre", "kind", every).select("centre", (F.shiftleft("kind", 32) + F.col("k")).alias("sub"), F.col("centre").alias("set"))
+    first = small.select("centre", F.lit(-1).cast("long").alias("sub"), "set").unionAll(big.filter("set <> centre").select("centre", "sub", "set")).unionAll(centres)
+    links = cut(_links(first.select("centre", "sub", F.lit(0).alias("query"), "set", F.col("set").alias("root")), sets))
     roots = cut(connected_components(links).select(F.col("node").alias("set"), "root"))
-    # Sets of several blocks outside their centre's component.
-    large = sized.join(blocks.filter("subs > 1"), "centre").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    heart = large.filter("set = centre").select("centre", F.col("root").alias("heart"))
-    large = cut(large.join(heart, "centre"))
-    open_ = large.filter("root <> heart")
-    if not open_.isEmpty():
-        again = open_.select("centre", F.explode(F.filter(every, lambda s: s != mine)).alias("sub"), F.lit(1).alias("query"), "set", "root")
-        there = large.join(open_.select("centre").distinct(), "centre", "left_semi").select("centre", mine.alias("sub"), F.lit(-1).alias("query"), "set", "root")
-        more = cut(_links(again.unionAll(there), sets))
+    again = cut(open_walks(big, roots))
+    if not again.isEmpty():
+        there = big.join(again.select("centre", "sub").distinct(), ["centre", "sub"], "left_semi").join(roots, "set", "left")
+        there = there.select("centre", "sub", F.lit(-1).alias("query"), "set", F.coalesce("root", "set").alias("root"))
+        more = cut(_links(again.select("centre", "sub", F.lit(1).alias("query"), "set", "root").unionAll(there), sets))
         found = links.unionAll(more)
         discard(roots)
         roots = cut(connected_components(found).select(F.col("node").alias("set"), "root"))
         discard(more)
-    discard(sets, sized, blocks, links, large)
+    discard(sets, met, big, blocks, links, again)
     return roots
 
 

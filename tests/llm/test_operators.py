@@ -140,6 +140,30 @@ def test_op2_in_many_blocks(spark, monkeypatch):
     assert rows(op2_jaccard.components(d)) == want
 
 
+def test_op2_shared_passage(spark, monkeypatch):
+    """Texts with one passage in common and more of their own go to no other block; real links between blocks are found."""
+    import random
+
+    r = random.Random(7)
+    passage = " ".join(f"p{k}" for k in range(61))
+    own = lambda n: " ".join(str(r.randrange(10**7)) for _ in range(n))
+    apart = [(k, f"{own(9)} {passage} {own(9)}") for k in range(300)]
+    mixed = [(300 + k, f"{own(r.randrange(12))} {passage} {own(r.randrange(40))}") for k in range(150)]
+    mixed += [(450 + k, mixed[k * 5][1] + " one more word") for k in range(20)]
+    walked = []
+    plain = op2_jaccard.open_walks
+    monkeypatch.setattr(op2_jaccard, "open_walks", lambda *a: walked.append(plain(*a)) or walked[-1])
+    monkeypatch.setattr(op2_jaccard, "BLOCK", 2_000)
+    discarded = []
+    monkeypatch.setattr(op2_jaccard, "discard", lambda *a: discarded.extend(a))
+    d = spark.createDataFrame(apart, "doc_id long, text string")
+    assert rows(op2_jaccard.components(d)) == [(i, 75, i) for i, _ in apart]
+    assert walked.pop().count() == 0
+    d = spark.createDataFrame(apart + mixed, "doc_id long, text string")
+    assert rows(op2_jaccard.components(d)) == ordered(plain_components(apart + mixed))
+    assert walked.pop().count() < 3 * len(apart + mixed)
+
+
 def test_keep_one_rows(spark):
     w = " ".join(WORDS[:60])
     texts = [(1, w), (1, w), (1, w + " x"), (2, w + " y"), (4, ""), (4, ""), (None, "lone one"), (None, "lone one"), (5, None), (5, "five"), (5, "another text of five or more words"), (None, w)]
