@@ -181,6 +181,55 @@ def plain_licences(x):
     return len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at}))
 
 
+def plain_notices(x):
+    """labels and score by trying every notice at every place."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x or ""))
+    base = {label for p, label in op3_licenses.BASE.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()}
+    own, best = set(), 0.0
+    for (label, notice, phrase), posts in zip(op3_licenses.TEMPLATES, op3_licenses.postings()):
+        words, p = notice.split(), phrase.split()
+        at = next(k for k in range(len(words)) if words[k : k + len(p)] == p)
+        for first in range(len(w)):
+            if w[first] == p[0] and w[first : first + len(p)] == p:
+                weight = 0.0
+                for word, k, x in posts:
+                    here = first - at + k
+                    weight += x if 0 <= here < len(w) and w[here] == word else 0.0
+                share = weight / sum(x for _, _, x in posts)
+                if share >= op3_licenses.SHARE:
+                    own.add(label)
+                    best = max(best, share)
+    return ",".join(sorted(base | own)), 1.0 if base else min(1.0, best)
+
+
+def test_op3_placings(spark):
+    """Whole notices, notices cut short, changed or out of place, against every notice at every place."""
+    import random
+
+    r = random.Random(3)
+    texts = [
+        "released under the mit terms and so on. see also mit license elsewhere", "Released under the MIT License.", "the mit license", "license " * 500 + "released under the mit license",
+        "apache license version 2 applies", "mit license released under the mit license under the", None, "", "no notice here at all", "in no event will the authors be held liable for any damages",
+    ]
+    for _, notice, _ in op3_licenses.TEMPLATES:
+        words = notice.split()
+        for _ in range(3):
+            w = list(words)
+            for _ in range(r.randrange(4)):
+                w[r.randrange(len(w))] = r.choice(["Under", "the", "license", "xyz", "mit"])
+            if r.random() < 0.3:
+                w.insert(r.randrange(len(w)), "extra")
+            lead = [r.choice(words) for _ in range(r.randrange(6))]
+            texts.append(", ".join(lead + w[r.choice([0, 0, 1, 3]) :]))
+        texts.append(notice.title())
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {x["doc_id"]: (x["labels"], x["score"]) for x in op3_licenses.scan(d).collect()}
+    for k, x in enumerate(texts):
+        labels, score = plain_notices(x)
+        assert got[k][0] == labels and abs(got[k][1] - score) < 1e-12, x
+    assert got[0] == ("", 0.0) and got[1] == ("mit", 1.0) and got[3][0] == "mit"
+
+
 def test_op3(docs, none):
     got = op3_licenses.scan(docs)
     assert rows(got.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")) == ordered((i, *plain_licences(x)) for i, x in TEXTS)
