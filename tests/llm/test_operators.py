@@ -252,6 +252,36 @@ def test_op4(docs, none):
     assert op4_merkle.neighbours_compared(none).count() == 0
 
 
+def plain_likeness(a, b):
+    """Twice the common leaves over all leaves, by the leaves' own texts."""
+    x, y = (collections.Counter(re.findall(r"[^\n.!?]{1,160}[\n.!?]*|[\n.!?]+", t)) for t in (a, b))
+    return 1.0 if a == b else 2 * (x & y).total() / (x.total() + y.total())
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "date", "decimal(20,0)"])
+def test_op4_ids_and_likeness(spark, kind):
+    """Ids of any type, the lowest number, many rows without id or with one id; both likeness columns by the leaves themselves."""
+    import random
+
+    r = random.Random(13)
+    texts = []
+    for k in range(160):
+        i = None if k % 3 == 0 else -(2**63) if kind == "long" and k == 1 else 7 if k % 5 == 0 else r.randrange(10**6)
+        texts.append((i, ". ".join(f"sentence {r.randrange(6)}" for _ in range(r.randrange(30))) if k % 40 else None))
+    texts += texts[:9]
+    d = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    as_kind = {"string": "concat('id ', doc_id)", "date": "date_add(date'1970-01-01', cast(doc_id as int))"}.get(kind, f"cast(doc_id as {kind})")
+    d = d.select(F.expr(as_kind).alias("doc_id"), "text", F.lit(1).alias("bucket"), F.lit("x").alias("mix"))
+    seq = d.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy(F.desc("doc_id"), F.desc(F.xxhash64("text")), F.desc("text")).collect()
+    want = []
+    for k, (i, x) in enumerate(seq):
+        nxt = seq[(k + 1) % len(seq)][1]
+        e = x[: len(x) - len(x) // 3] + nxt[: len(x) // 3]
+        want.append((i, len(x), hashlib.sha256(e.encode()).hexdigest(), round(plain_likeness(x, e), 9), round(plain_likeness(x, nxt), 9)))
+    got = op4_merkle.neighbours_compared(d).select("doc_id", "n_chars", "edited_sha256", F.round("near_edited", 9), F.round("near_next", 9))
+    assert rows(got) == ordered(want)
+
+
 def test_merkle_locates_edits():
     a = ". ".join(f"sentence number {k}" for k in range(200))
     b = a.replace("number 77", "number 7x7")
