@@ -321,7 +321,8 @@ def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _links(dealt: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b of similar sets of each block; ``dealt`` has centre, sub, query, set, root."""
-    rows = dealt.join(sets.select("set", "n", "tokens"), "set").repartition("centre", "sub")
+    # By merge at every size: the rows grow with the input, so they are never sent whole to all tasks.
+    rows = dealt.hint("merge").join(sets.select("set", "n", "tokens"), "set").repartition("centre", "sub")
     rows = rows.sortWithinPartitions("centre", "sub", "query", F.col("set") != F.col("centre"), "set")
     return rows.select("centre", "sub", "query", "set", "n", "root", "tokens").mapInArrow(tx.tidy(_joined), "a long, b long")
 
