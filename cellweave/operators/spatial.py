@@ -64,8 +64,9 @@ def inside(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") ->
     w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
     at = at.select("gid", "i", "j", (F.sum("n").over(w) - F.col("n")).alias("above"), F.sum("n").over(w).alias("below"), F.lead("j").over(w).alias("next"))
     full = at.filter("below % 2 = 1 and next + 1 <= j - 1").select("gid", "i", F.explode(F.sequence(F.col("next") + 1, F.col("j") - 1)).alias("j"))
-    sure = p.join(full, ["i", "j"]).select(pid, "gid")
-    near = p.join(at.select("gid", "i", "j", "above"), ["i", "j"]).join(events, ["gid", "i", "j"])
+    # written and exploded tables look small to the planner, so all three joins are told not to broadcast
+    sure = p.hint("merge").join(full.hint("merge"), ["i", "j"]).select(pid, "gid")
+    near = p.hint("merge").join(at.select("gid", "i", "j", "above").hint("merge"), ["i", "j"]).join(events.hint("merge"), ["gid", "i", "j"])
     y, px = F.col("y"), F.col("x")
     x_at = F.when(xa == xb, xa).otherwise(xa + (y - ya) * (xb - xa) / F.when(ya == yb, None).otherwise(yb - ya))
     hit = F.when(xa.isNull(), ya > y).otherwise(((ya > y) != (yb > y)) & (x_at <= px))
@@ -185,12 +186,18 @@ def nearest_box(asked: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
 
 
 def nearest_cell(points: DataFrame, cells: DataFrame, dom: Domain, d: float, apart: int = 50, pid: str = "id") -> DataFrame:
-    """pid, i, j, dist: the nearest cell within d whose type differs from the point's by less than ``apart`` (ties: lowest i, j)."""
+    """pid, i, j, dist: the nearest cell within d whose type differs from the point's by less than ``apart`` (ties: lowest i, j).
+
+    Cells lie in blocks as wide as the reach; a point is sent to its block and the eight around it, not to each cell in reach.
+    """
     i, j = cell_of(F.col("x"), F.col("y"), dom)
-    rings = lambda step: F.sequence(F.lit(-math.ceil(d / step)), F.lit(math.ceil(d / step)))
-    p = points.select(F.col(pid), "x", "y", F.col("type").alias("own"), i.alias("pi"), j.alias("pj"))
-    p = p.withColumn("di", F.explode(rings(dom.dx))).withColumn("dj", F.explode(rings(dom.dy))).withColumn("i", F.col("pi") + F.col("di")).withColumn("j", F.col("pj") + F.col("dj"))
-    near = p.join(cells.select("i", "j", "type"), ["i", "j"]).filter(F.abs(F.col("type") - F.col("own")) < apart)
+    ri, rj = max(1, math.ceil(d / dom.dx)), max(1, math.ceil(d / dom.dy))
+    block = lambda c, r: F.floor(F.col(c) / r).cast("int")
+    three = lambda c, r: F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: (block(c, r) + k).cast("int")))
+    p = points.select(F.col(pid), "x", "y", F.col("type").alias("own"), i.alias("pi"), j.alias("pj")).withColumn("bi", three("pi", ri)).withColumn("bj", three("pj", rj))
+    c = cells.select("i", "j", "type", block("i", ri).alias("bi"), block("j", rj).alias("bj"))
+    reach = (F.abs(F.col("i") - F.col("pi")) <= math.ceil(d / dom.dx)) & (F.abs(F.col("j") - F.col("pj")) <= math.ceil(d / dom.dy))
+    near = p.hint("merge").join(c, ["bi", "bj"]).filter(reach & (F.abs(F.col("type") - F.col("own")) < apart))
     lo_x, lo_y = F.col("i") * dom.dx + dom.origin_x, F.col("j") * dom.dy + dom.origin_y
     gx = F.greatest(F.lit(0.0), lo_x - F.col("x"), F.col("x") - lo_x - dom.dx)
     gy = F.greatest(F.lit(0.0), lo_y - F.col("y"), F.col("y") - lo_y - dom.dy)
