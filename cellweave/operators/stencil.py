@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.components import connected_components
-from cellweave.session import cut
+from cellweave.session import cut, discard
 
 FOUR = [(-1, 0), (1, 0), (0, -1), (0, 1)]
 NINE = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
@@ -21,11 +21,30 @@ def neighbours(cells: DataFrame, values: list[str], offsets: list[tuple[int, int
     return sent.select((F.col("i") - F.col("o.di")).alias("i"), (F.col("j") - F.col("o.dj")).alias("j"), F.col("o.di").alias("di"), F.col("o.dj").alias("dj"), *[prefix + v for v in values])
 
 
+def around(cells: DataFrame, value: str, offsets: list[tuple[int, int]]) -> DataFrame:
+    """The cells with ``n_0``, ``n_1``, ...: ``value`` of the neighbour at each offset, null where there is none.
+
+    One shuffle and no join: a cell meets what its neighbours sent in one group. A join of exploded rows would
+    be planned by the size of the cells before they are sent, and broadcast where that looks small.
+    """
+    rest = [c for c in cells.columns if c not in ("i", "j")]
+    off = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(a).alias("di"), F.lit(b).alias("dj")) for n, (a, b) in enumerate([(0, 0), *offsets], -1)])
+    sent = cells.select("i", "j", *rest, F.explode(off).alias("o"))
+    own = F.col("o.n") == -1
+    sent = sent.select((F.col("i") - F.col("o.di")).alias("i"), (F.col("j") - F.col("o.dj")).alias("j"), F.col("o.n").alias("_n"), *[F.when(own, F.col(c)).alias(c) for c in rest], F.when(~own, F.col(value)).alias("_v"))
+    here = [F.max(F.col("_n") == -1).alias("_own"), *[F.max(c).alias(c) for c in rest]]
+    near = [F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(f"n_{n}") for n in range(len(offsets))]
+    return sent.groupBy("i", "j").agg(*here, *near).filter("_own").drop("_own").select(*cells.columns, *[f"n_{n}" for n in range(len(offsets))])
+
+
 def until_still(state: DataFrame, step: Callable[[DataFrame], tuple[DataFrame, DataFrame]], most: int, must_end: bool = False) -> DataFrame:
     """Repeat ``step`` (new state, changed rows) until nothing changes or ``most`` rounds; each round is written. With ``must_end`` it is an error not to be still by then."""
+    last = None
     for _ in range(most):
         state, changed = step(state)
         state = cut(state)
+        discard(last)
+        last = state
         if changed is None or state.filter("changed").isEmpty():
             break
         state = state.drop("changed")
@@ -35,37 +54,38 @@ def until_still(state: DataFrame, step: Callable[[DataFrame], tuple[DataFrame, D
     return state.drop("changed")
 
 
+def _raised(cells: DataFrame, level: str, border: Column | None = None, ghost: int = 0) -> DataFrame:
+    """The cells of ``around`` with FOUR: those with more than two higher neighbours take the lowest higher one's ``level``; ``border``: how many neighbours are ghosts."""
+    nz, near = F.col(level), [F.col(f"n_{n}") for n in range(4)]
+    higher = [F.when(n > nz, n) for n in near]
+    k = sum(F.coalesce((n > nz).cast("int"), F.lit(0)) for n in near)
+    if border is not None:
+        k = k + F.when(F.lit(ghost) > nz, border).otherwise(0)
+        higher.append(F.when((F.lit(ghost) > nz) & (border > 0), F.lit(ghost)))
+    return cells.withColumn(level, F.when(k > 2, F.least(*higher)).otherwise(nz)).drop("n_0", "n_1", "n_2", "n_3")
+
+
 def fill_minima(cells: DataFrame) -> DataFrame:
     """One round: a cell with more than two higher 4-neighbours takes the lowest higher one's level."""
-    n = neighbours(cells, ["nz"], FOUR).join(cells.select("i", "j", "nz"), ["i", "j"])
-    up = n.filter("n_nz > nz").groupBy("i", "j").agg(F.count("*").alias("k"), F.min("n_nz").alias("to")).filter("k > 2")
-    return cells.join(up.select("i", "j", "to"), ["i", "j"], "left").withColumn("nz", F.coalesce("to", "nz")).drop("to")
+    return _raised(around(cells, "nz", FOUR), "nz")
 
 
 def fill_minima_all(cells: DataFrame, most: int = 100) -> DataFrame:
-    """Rounds of ``fill_minima`` to the fixpoint; levels only rise, so it ends."""
-
-    def step(s):
-        new = fill_minima(s.withColumnRenamed("nz", "was").withColumn("nz", F.col("was")))
-        return new.withColumn("changed", F.col("nz") != F.col("was")).drop("was"), True
-
-    return until_still(cells, step, most)
+    """Rounds of ``fill_minima`` to the fixpoint; levels only rise, so it ends. An error if ``most`` rounds are not enough."""
+    return _rounds(cells, "nz", fill_minima, most, must_end=True)
 
 
 def fill_corners(cells: DataFrame, nx: int, ny: int, ghost: int = 9999) -> DataFrame:
     """One round of ``fill_minima`` inside a frame of ghost cells on all four sides."""
-    n = neighbours(cells, ["nz"], FOUR).groupBy("i", "j").agg(F.collect_list("n_nz").alias("ns"))
     edge = sum([(F.col("i") == a).cast("int") for a in (0, nx - 1)] + [(F.col("j") == b).cast("int") for b in (0, ny - 1)])
-    c = cells.join(n, ["i", "j"], "left").withColumn("ns", F.concat(F.coalesce("ns", F.array().cast("array<int>")), F.array_repeat(F.lit(ghost), edge)))
-    higher = F.filter("ns", lambda x: x > F.col("nz"))
-    return c.withColumn("nz", F.when(F.size(higher) > 2, F.array_min(higher)).otherwise(F.col("nz"))).drop("ns")
+    return _raised(around(cells, "nz", FOUR), "nz", edge, ghost)
 
 
 def _rounds(cells: DataFrame, column: str, round_: Callable[[DataFrame], DataFrame], most: int, must_end: bool = False) -> DataFrame:
-    """``round_`` until ``column`` stays as it is, at most ``most`` times."""
+    """``round_`` until ``column`` stays as it is, at most ``most`` times; the round keeps the other columns."""
 
     def step(s):
-        new = round_(s).join(s.select("i", "j", F.col(column).alias("was")), ["i", "j"])
+        new = round_(s.withColumn("was", F.col(column)))
         return new.withColumn("changed", ~F.col(column).eqNullSafe(F.col("was"))).drop("was"), True
 
     return until_still(cells, step, most, must_end)
@@ -167,16 +187,24 @@ def smooth(cells: DataFrame, value: str) -> DataFrame:
 
 def saddles(cells: DataFrame) -> DataFrame:
     """i, j, nz after one round: in each 2 by 2 block whose diagonals stand apart, the low diagonal rises to the lower of the high one."""
-    here = cells.select("i", "j", "nz")
-    block = here.withColumnRenamed("nz", "a")
-    for name, di, dj in (("b", 1, 0), ("c", 0, 1), ("d", 1, 1)):
-        block = block.join(here.select((F.col("i") - di).alias("i"), (F.col("j") - dj).alias("j"), F.col("nz").alias(name)), ["i", "j"])
+    return _saddles(cells.select("i", "j", "nz"))
+
+
+def _saddles(cells: DataFrame) -> DataFrame:
+    """``saddles`` with the cells' other columns. Cells are sent to their four blocks, and blocks send what rises: two shuffles, no join."""
+    corners = [("a", 0, 0), ("b", 1, 0), ("c", 0, 1), ("d", 1, 1)]
+    to = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(di).alias("di"), F.lit(dj).alias("dj")) for n, di, dj in corners])
+    sent = cells.select("i", "j", "nz", F.explode(to).alias("o")).select((F.col("i") - F.col("o.di")).alias("i"), (F.col("j") - F.col("o.dj")).alias("j"), F.col("o.n").alias("n"), "nz")
+    block = sent.groupBy("i", "j").agg(F.count("*").alias("k"), *[F.max(F.when(F.col("n") == n, F.col("nz"))).alias(n) for n, _, _ in corners]).filter("k = 4")
     raise_ad, raise_bc = F.greatest("a", "d") < F.least("b", "c"), F.greatest("b", "c") < F.least("a", "d")
     ups = [F.struct((F.col("i") + di).alias("i"), (F.col("j") + dj).alias("j"), F.when(up, F.least(x, y)).alias("to")) for di, dj, up, x, y in ((0, 0, raise_ad, "b", "c"), (1, 1, raise_ad, "b", "c"), (1, 0, raise_bc, "a", "d"), (0, 1, raise_bc, "a", "d"))]
-    to = block.select(F.explode(F.array(*ups)).alias("u")).select("u.*").filter("to is not null").groupBy("i", "j").agg(F.max("to").alias("to"))
-    return here.join(to, ["i", "j"], "left").select("i", "j", F.coalesce("to", "nz").alias("nz"))
+    up = block.filter(raise_ad | raise_bc).select(F.explode(F.array(*ups)).alias("u")).select("u.*").filter("to is not null")
+    rest = [c for c in cells.columns if c not in ("i", "j")]
+    both = cells.withColumns({"own": F.lit(True), "to": F.lit(None).cast("int")}).unionByName(up, allowMissingColumns=True)
+    new = both.groupBy("i", "j").agg(F.max("own").alias("own"), F.max("to").alias("to"), *[F.max(c).alias(c) for c in rest]).filter("own")
+    return new.select("i", "j", *[F.coalesce("to", "nz").alias("nz") if c == "nz" else F.col(c) for c in rest])
 
 
 def saddles_all(cells: DataFrame, most: int = 100) -> DataFrame:
     """Rounds of ``saddles`` until nothing changes; levels only rise to levels that are there, so it ends. An error if ``most`` rounds are not enough."""
-    return _rounds(cells.select("i", "j", "nz"), "nz", saddles, most, must_end=True)
+    return _rounds(cells.select("i", "j", "nz"), "nz", _saddles, most, must_end=True)

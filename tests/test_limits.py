@@ -40,3 +40,32 @@ def test_inside_is_not_broadcast(spark):
     held = spatial.inside(points, box, Domain(1, 1, 10.0, 10.0, 10.0, 0.0, 0.0))
     assert "Broadcast" not in plan(held)
     assert sorted(tuple(r) for r in held.collect()) == [(1, 7), (2, 7)]
+
+
+def test_minima_and_corners_are_filled_without_joins(spark):
+    cells = squares(spark, 12, 13).withColumn("tag", F.concat_ws("-", "i", "j"))
+    for made in (stencil.fill_minima(cells), stencil.fill_corners(cells, 12, 12)):
+        assert "Join" not in plan(made)
+        assert made.columns == cells.columns and made.filter("tag = concat_ws('-', i, j)").count() == 144
+    nz = {(r["i"], r["j"]): r["nz"] for r in cells.collect()}
+    for made, ghost in ((stencil.fill_minima(cells), None), (stencil.fill_corners(cells, 12, 12), 9999)):
+        for r in made.collect():
+            near = [nz.get((r["i"] + a, r["j"] + b), ghost) for a, b in stencil.FOUR]
+            higher = [x for x in near if x is not None and x > nz[r["i"], r["j"]]]
+            assert r["nz"] == (min(higher) if len(higher) > 2 else nz[r["i"], r["j"]])
+
+
+def test_saddles_rise_without_joins(spark):
+    cells = squares(spark, 12, 17)
+    made = stencil.saddles(cells)
+    assert "Join" not in plan(made)
+    nz = {(r["i"], r["j"]): r["nz"] for r in cells.collect()}
+    want = dict(nz)
+    for i in range(11):
+        for j in range(11):
+            a, b, c, d = (i, j), (i + 1, j), (i, j + 1), (i + 1, j + 1)
+            for low, high in (((a, d), (b, c)), ((b, c), (a, d))):
+                to = min(nz[h] for h in high)
+                if max(nz[k] for k in low) < to:
+                    want |= {k: max(want[k], to) for k in low}
+    assert {(r["i"], r["j"]): r["nz"] for r in made.collect()} == want != nz
