@@ -43,19 +43,20 @@ def touched(edges: DataFrame, size: float, pad: float = 1e-5) -> DataFrame:
     return e.withColumn("by", F.explode(F.sequence(fl(F.least(u, v) - pad), fl(F.greatest(u, v) + pad))))
 
 
-def split(edges: DataFrame, size: float = 20.0) -> DataFrame:
+def split(edges: DataFrame, size: float = 20.0, alone: Column | None = None) -> DataFrame:
     """gid and ends of the pieces of ``edges`` between all points where they meet or cross each other.
 
-    Ends that lie on another edge cut it there; other crossings are computed once for both edges.
+    Ends that lie on another edge cut it there; other crossings are computed once for both edges. Edges that are
+    ``alone`` never meet each other, only the others; where they run along one, they take all its points, so pieces match.
     """
     e = cut(snapped(edges).withColumn("eid", F.monotonically_increasing_id()))
-    keyed = touched(e.select("eid", *ENDS), size)
-    p, q = keyed.alias("p"), keyed.alias("q")
-    pairs = p.join(q, (F.col("p.bx") == F.col("q.bx")) & (F.col("p.by") == F.col("q.by")) & (F.col("p.eid") < F.col("q.eid")))
+    keyed = touched(e.select("eid", *ENDS, (F.lit(False) if alone is None else alone).alias("alone")), size)
+    p, q = keyed.filter(~F.col("alone")).alias("p"), keyed.alias("q")
+    pairs = p.join(q, (F.col("p.bx") == F.col("q.bx")) & (F.col("p.by") == F.col("q.by")) & (F.col("q.alone") | (F.col("p.eid") < F.col("q.eid"))))
     box = lambda a, b, s: F.least(F.col(f"{s}.{a}"), F.col(f"{s}.{b}"))
     top = lambda a, b, s: F.greatest(F.col(f"{s}.{a}"), F.col(f"{s}.{b}"))
     meet = [(box(a, b, s) <= top(a, b, r) + NEAR) for a, b in (("xa", "xb"), ("ya", "yb")) for s, r in (("p", "q"), ("q", "p"))]
-    pairs = pairs.filter(meet[0] & meet[1] & meet[2] & meet[3]).select(F.col("p.eid").alias("e"), F.col("q.eid").alias("f"), *[F.col(f"{s}.{c}").alias(s + c) for s in "pq" for c in ENDS]).distinct()
+    pairs = pairs.filter(meet[0] & meet[1] & meet[2] & meet[3]).select(F.col("p.eid").alias("e"), F.col("q.eid").alias("f"), F.col("q.alone").alias("alone"), *[F.col(f"{s}.{c}").alias(s + c) for s in "pq" for c in ENDS]).distinct()
 
     def near(x: str, y: str, s: str) -> Column:
         ax, ay, bx, by = (F.col(s + c) for c in ENDS)
@@ -73,6 +74,9 @@ def split(edges: DataFrame, size: float = 20.0) -> DataFrame:
     free = pairs.filter("not (n0 or n1 or n2 or n3)").filter(t.between(0, 1) & u.between(0, 1))
     cross = free.select("e", "f", F.round(F.col("pxa") + t * rx, SNAP).alias("x"), F.round(F.col("pya") + t * ry, SNAP).alias("y"))
     points = reduce(DataFrame.unionByName, [*points, cross.select(F.explode(F.array("e", "f")).alias("eid"), "x", "y")])
+    if alone is not None:
+        along = pairs.filter("alone and int(n0) + int(n1) + int(n2) + int(n3) > 1").select(F.col("e").alias("eid"), "f", *["q" + c for c in ENDS])
+        points = points.unionByName(points.join(along, "eid").filter(near("x", "y", "q")).select(F.col("f").alias("eid"), "x", "y"))
     own = e.select("eid", F.explode(F.array(*[F.struct(F.col("x" + k).alias("x"), F.col("y" + k).alias("y")) for k in "ab"])).alias("o")).select("eid", "o.x", "o.y")
     points = points.unionByName(own).distinct().join(e, "eid")
     t = (F.col("x") - F.col("xa")) * (F.col("xb") - F.col("xa")) + (F.col("y") - F.col("ya")) * (F.col("yb") - F.col("ya"))
@@ -127,7 +131,7 @@ def clip(a: DataFrame, b: DataFrame, keep: str, size: float = 20.0) -> DataFrame
     within = keep == "inside"
     a, b = cut(snapped(a)), cut(snapped(b.withColumn("gid", F.lit(0).cast("long"))))
     tag = lambda df, k: df.withColumn("gid", F.struct(F.lit(k).alias("s"), F.col("gid").cast("long").alias("g")))
-    lines = cut(_lines(split(tag(a, 0).unionByName(tag(b, 1)), size)))
+    lines = cut(_lines(split(tag(a, 0).unionByName(tag(b, 1)), size, F.col("gid.s") == 0)))
     first, second = (lines.filter(F.col("gid.s") == k).select(F.col("gid.g").alias("gid"), "ends", "ahead") for k in (0, 1))
     second = second.groupBy("ends").agg(F.max("ahead").alias("b_ahead"))
     # pieces of a: on b's outline by direction, others by the place of their middle

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from cellweave.domain import Domain
-from cellweave.operators import spatial, stencil
+from cellweave.operators import arrange, spatial, stencil
 
 
 def plan(df) -> str:
@@ -69,3 +69,18 @@ def test_saddles_rise_without_joins(spark):
                 if max(nz[k] for k in low) < to:
                     want |= {k: max(want[k], to) for k in low}
     assert {(r["i"], r["j"]): r["nz"] for r in made.collect()} == want != nz
+
+
+def test_alone_edges_meet_only_the_others(spark):
+    # 1, 2: alone and crossing; 3: crosses both; 4: alone along 3; 5: alone, ends on 3 inside 4
+    rows = [(1, 0.0, 0.0, 10.0, 10.0), (2, 0.0, 10.0, 10.0, 0.0), (3, -5.0, 2.0, 15.0, 2.0), (4, 3.0, 2.0, 7.0, 2.0), (5, 5.0, 2.0, 5.0, -4.0)]
+    edges = spark.createDataFrame(rows, "gid int, xa double, ya double, xb double, yb double")
+    got: dict = {}
+    for r in arrange.split(edges, 20.0, F.col("gid") != 3).collect():
+        got.setdefault(r["gid"], []).append((r["xa"], r["ya"], r["xb"], r["yb"]))
+    assert sorted(got[1]) == [(0.0, 0.0, 2.0, 2.0), (2.0, 2.0, 10.0, 10.0)]
+    assert sorted(got[2]) == [(0.0, 10.0, 8.0, 2.0), (8.0, 2.0, 10.0, 0.0)]
+    cuts = [-5.0, 2.0, 3.0, 5.0, 7.0, 8.0, 15.0]
+    assert sorted(got[3]) == [(a, 2.0, b, 2.0) for a, b in zip(cuts, cuts[1:])]
+    assert sorted(got[4]) == [(3.0, 2.0, 5.0, 2.0), (5.0, 2.0, 7.0, 2.0)]  # as the pieces of 3
+    assert got[5] == [(5.0, 2.0, 5.0, -4.0)]
