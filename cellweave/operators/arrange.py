@@ -186,29 +186,33 @@ def _trace(xa: np.ndarray, ya: np.ndarray, xb: np.ndarray, yb: np.ndarray) -> li
     return out
 
 
-RING = "part int, area double, points array<struct<x:double,y:double>>"
+RING = "part:int,area:double,points:array<struct<x:double,y:double>>"
 
 
 def chain(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, part, area, points: rings of the directed pieces of each group; area is negative for holes. Points on a straight line are left out."""
-    kinds = ", ".join(f"`{k}` {pieces.schema[k].dataType.simpleString()}" for k in keys)
+    """keys, part, area, points: rings of the directed pieces of each group; area is negative for holes. Points on a straight line are left out.
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        xa, ya, xb, yb = (df[c].to_numpy() for c in ENDS)
-        rows = []
+    Groups are rows with their pieces, many in one batch of Python: most groups are small.
+    """
+
+    def run(row) -> list[dict]:
+        xa, ya, xb, yb = np.array([[p[c] for c in ENDS] for p in row], float).T
+        out = []
         for loop in _trace(xa, ya, xb, yb):
             x, y = xa[loop], ya[loop]
             area = float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
             px, py, nx, ny = np.roll(x, 1), np.roll(y, 1), np.roll(x, -1), np.roll(y, -1)
             bend = np.abs((x - px) * (ny - y) - (y - py) * (nx - x)) > NEAR * np.hypot(nx - px, ny - py)
             bend = bend if bend.sum() > 2 else np.ones(len(x), bool)
-            rows.append((len(rows), area, [{"x": p, "y": q} for p, q in zip(x[bend].tolist(), y[bend].tolist(), strict=True)]))
-        out = pd.DataFrame(rows, columns=["part", "area", "points"])
-        for k in reversed(keys):
-            out.insert(0, k, df[k].iloc[0])
+            out.append({"part": len(out), "area": area, "points": [{"x": p, "y": q} for p, q in zip(x[bend].tolist(), y[bend].tolist(), strict=True)]})
         return out
 
-    return pieces.select(*keys, *ENDS).groupBy(*keys).applyInPandas(run, f"{kinds}, {RING}")
+    @F.pandas_udf(f"array<struct<{RING}>>")
+    def traced(many: pd.Series) -> pd.Series:
+        return pd.Series([run(row) for row in many])
+
+    groups = pieces.groupBy(*keys).agg(F.collect_list(F.struct(*ENDS)).alias("p"))
+    return groups.select(*keys, F.explode(traced("p")).alias("r")).select(*keys, "r.part", "r.area", "r.points")
 
 
 def rings(outline: DataFrame) -> DataFrame:
@@ -277,19 +281,22 @@ def _hull(x: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
 
 
 def hulls(points: DataFrame, keys: list[str], salts: int = 32) -> DataFrame:
-    """keys, x, y, at: corners of the convex hull of each group's points. Parts of a group shrink to their hulls before they meet."""
-    kinds = ", ".join(f"`{k}` {points.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        h = _hull(df["x"].to_numpy(), df["y"].to_numpy())
-        out = pd.DataFrame({"x": [p[0] for p in h], "y": [p[1] for p in h], "at": range(len(h))})
-        for k in reversed(keys):
-            out.insert(0, k, df[k].iloc[0])
-        return out
+    """keys, x, y, at: corners of the convex hull of each group's points. Parts of a group shrink to their hulls before they meet.
+
+    Groups are rows with their points, many in one batch of Python: most groups are small.
+    """
 
-    part = points.select(*keys, "x", "y", F.pmod(F.xxhash64("x", "y"), F.lit(salts)).alias("salt"))
-    some = part.groupBy(*keys, "salt").applyInPandas(run, f"{kinds}, x double, y double, at int")
-    return some.groupBy(*keys).applyInPandas(run, f"{kinds}, x double, y double, at int")
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def corners(many: pd.Series) -> pd.Series:
+        return pd.Series([[{"x": x, "y": y} for x, y in _hull(np.array([p["x"] for p in row]), np.array([p["y"] for p in row]))] for row in many])
+
+    p = F.collect_list(F.struct("x", "y"))
+    if salts > 1:
+        part = points.select(*keys, "x", "y", F.pmod(F.xxhash64("x", "y"), F.lit(salts)).alias("salt"))
+        some = part.groupBy(*keys, "salt").agg(p.alias("p")).select(*keys, F.explode(corners("p")).alias("p"))
+        points = some.select(*keys, "p.x", "p.y")
+    h = points.groupBy(*keys).agg(p.alias("p")).select(*keys, F.posexplode(corners("p")).alias("at", "p"))
+    return h.select(*keys, "p.x", "p.y", "at")
 
 
 def pair_hulls(edges: DataFrame, pairs: DataFrame) -> DataFrame:

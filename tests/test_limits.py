@@ -84,3 +84,16 @@ def test_alone_edges_meet_only_the_others(spark):
     assert sorted(got[3]) == [(a, 2.0, b, 2.0) for a, b in zip(cuts, cuts[1:])]
     assert sorted(got[4]) == [(3.0, 2.0, 5.0, 2.0), (5.0, 2.0, 7.0, 2.0)]  # as the pieces of 3
     assert got[5] == [(5.0, 2.0, 5.0, -4.0)]
+
+
+def test_hulls_and_rings_do_not_call_python_for_each_group(spark):
+    box = spark.range(40).select(F.col("id").alias("g"), F.explode(F.array(*[F.struct(*[F.lit(float(v)).alias(c) for v, c in zip(e, arrange.ENDS)]) for e in ((0, 0, 4, 0), (4, 0, 4, 3), (4, 3, 0, 3), (0, 3, 0, 0))])).alias("e")).select("g", "e.*")
+    hulls = arrange.hulls(box.select("g", F.col("xa").alias("x"), F.col("ya").alias("y")), ["g"])
+    made = arrange.chain(box, ["g"])
+    for df in (hulls, made):
+        assert "FlatMapGroupsInPandas" not in plan(df)
+    corners = {}
+    for r in hulls.orderBy("g", "at").collect():
+        corners.setdefault(r["g"], []).append((r["x"], r["y"]))
+    assert len(corners) == 40 and all(c == [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 3.0)] for c in corners.values())
+    assert sorted((r["g"], r["part"], r["area"], len(r["points"])) for r in made.collect()) == [(g, 0, 12.0, 4) for g in range(40)]
