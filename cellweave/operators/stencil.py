@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,6 +138,53 @@ def fill_layer_pockets_all(cells: DataFrame, low: int, high: int, most: int) ->
     return cells
 
 
+def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[[np.ndarray, np.ndarray], np.ndarray], tile: int = 256) -> DataFrame:
+    """The cells with ``work`` (values, which are known) of ``value`` done in squares of ``tile`` cells, each with the ``halo`` cells around it; null stays null.
+
+    One shuffle and no join; a task holds one square at a time, whatever the regions in it look like.
+    """
+    names, schema = cells.columns, cells.schema
+    to = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / tile).cast("int"), F.floor((F.col(c) + halo) / tile).cast("int")))
+    own = (F.col("_ti") == F.floor(F.col("i") / tile)) & (F.col("_tj") == F.floor(F.col("j") / tile))
+    sent = cells.withColumn("_ti", to("i")).withColumn("_tj", to("j")).withColumn("_own", own)
+    sent = sent.select("_ti", "_tj", "_own", *[c if c in ("i", "j", value) else F.when(F.col("_own"), F.col(c)).alias(c) for c in names])
+
+    def one(t: pa.Table) -> pa.Table:
+        i, j = t["i"].to_numpy().astype("int64"), t["j"].to_numpy().astype("int64")
+        v, there = t[value].combine_chunks(), t[value].is_valid().to_numpy(zero_copy_only=False)
+        i, j = i - i.min(), j - j.min()
+        z, known = np.zeros((i.max() + 1, j.max() + 1), v.type.to_pandas_dtype()), np.zeros((i.max() + 1, j.max() + 1), bool)
+        z[i, j], known[i, j] = v.fill_null(0).to_numpy(zero_copy_only=False), there
+        new = pa.array(work(z, known)[i, j], v.type, mask=~there)
+        return t.set_column(t.column_names.index(value), value, new).filter(t["_own"]).select(names)
+
+    return sent.groupBy("_ti", "_tj").applyInArrow(one, schema)
+
+
+def _sides() -> tuple:
+    """Slices of the cells and of their neighbours above, and of the cells and of their neighbours to the right."""
+    whole, head, tail = slice(None), slice(None, -1), slice(1, None)
+    return ((whole, head), (whole, tail)), ((head, whole), (tail, whole))
+
+
+def _small_regions(z: np.ndarray, known: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Name of each cell's 4-connected region of one level, size of each name, and whether a name holds only part of a region; regions of at most ``reach`` + 1 cells are whole."""
+    lab = np.arange(z.size).reshape(z.shape)
+    same = [(here, there, known[here] & known[there] & (z[here] == z[there])) for here, there in _sides()]
+    for _ in range(reach):
+        before = lab.copy()
+        for here, there, like in same:
+            lab[here] = np.where(like, np.minimum(lab[here], lab[there]), lab[here])
+            lab[there] = np.where(like, np.minimum(lab[there], lab[here]), lab[there])
+        if (before == lab).all():
+            break
+    part = np.zeros(z.size, bool)
+    for here, there, like in same:
+        cut_ = like & (lab[here] != lab[there])
+        part[lab[here][cut_]] = part[lab[there][cut_]] = True
+    return lab, np.bincount(lab.ravel(), minlength=z.size), part
+
+
 def level_regions(cells: DataFrame) -> DataFrame:
     """id, nz, root: 4-connected regions of one level, named by their smallest id."""
     n = neighbours(cells, ["id", "nz"], [(1, 0), (0, 1)]).join(cells, ["i", "j"]).filter("nz = n_nz")
@@ -145,20 +194,43 @@ def level_regions(cells: DataFrame) -> DataFrame:
 
 def fill_small_basins(cells: DataFrame, least: int = 10) -> DataFrame:
     """One round: regions of fewer than ``least`` cells that lie below all around rise to the lowest of them."""
-    named = cells.join(level_regions(cells).select("id", "root"), "id")
-    around = neighbours(named, ["nz", "root"], FOUR).join(named, ["i", "j"]).filter("root <> n_root").groupBy("root").agg(F.min("n_nz").alias("rim"))
-    small = named.groupBy("root").agg(F.count("*").alias("k"), F.first("nz").alias("z")).filter(F.col("k") < least).join(around, "root").filter("z < rim")
-    return named.join(small.select("root", "rim"), "root", "left").withColumn("nz", F.coalesce("rim", "nz")).select(*cells.columns)
+    return _basin_rounds(cells, least, 1)
 
 
-def fill_small_basins_all(cells: DataFrame, least: int = 10, most: int = 21) -> DataFrame:
-    """Rounds of ``fill_small_basins`` until nothing changes, at most ``most``."""
+def fill_small_basins_all(cells: DataFrame, least: int = 10, most: int = 21, at_once: int = 7) -> DataFrame:
+    """Rounds of ``fill_small_basins`` until nothing changes, at most ``most``; ``at_once`` of them for each time that the cells are sent."""
+    for done in range(0, most, at_once):
+        last, cells = cells, cut(_basin_rounds(cells.withColumn("was", F.col("nz")), least, min(at_once, most - done)))
+        discard(last)
+        still = cells.filter("nz <> was").isEmpty()
+        cells, path = cells.drop("was"), cells._cut_path
+        cells._cut_path = path
+        if still:
+            break
+    return cells
 
-    def step(s):
-        new = fill_small_basins(s.withColumn("was", F.col("nz")), least)
-        return new.withColumn("changed", F.col("nz") != F.col("was")).drop("was"), True
 
-    return until_still(cells, step, most)
+def _basin_rounds(cells: DataFrame, least: int, rounds: int) -> DataFrame:
+    """A round reaches as far as a region that may rise, and its rim: ``least`` - 1 cells."""
+
+    def work(z: np.ndarray, known: np.ndarray) -> np.ndarray:
+        for _ in range(rounds):
+            lab, size, part = _small_regions(z, known, least - 1)
+            far = np.iinfo(z.dtype).max if z.dtype.kind == "i" else np.inf
+            near = np.full(z.shape, far, z.dtype)
+            for here, there in _sides():
+                differs = known[here] & known[there] & (z[here] != z[there])
+                near[here] = np.where(differs, np.minimum(near[here], z[there]), near[here])
+                near[there] = np.where(differs, np.minimum(near[there], z[here]), near[there])
+            rim = np.full(size.size, far, z.dtype)
+            np.minimum.at(rim, lab.ravel(), near.ravel())
+            up = known & ((size < least) & ~part & (rim < far))[lab] & (rim[lab] > z)
+            if not up.any():
+                break
+            z = np.where(up, rim[lab], z)
+        return z
+
+    return _in_tiles(cells, "nz", rounds * max(least - 1, 1), work)
 
 
 def border_fill(cells: DataFrame, nx: int, ny: int, depth: int = 1) -> DataFrame:
