@@ -123,12 +123,17 @@ def fill_building_holes_all(cells: DataFrame, nx: int, ny: int, most: int = 21)
 
 def fill_layer_pockets(cells: DataFrame, level: int, most: int) -> DataFrame:
     """One level: 4-connected regions of at most ``most`` cells at ``level`` with nothing lower among their 8-neighbours rise by one."""
-    here = level_regions(cells.filter(F.col("nz") == level)).select("id", "root")
-    named = cells.join(here, "id", "left")
-    low = neighbours(cells.filter(F.col("nz") < level), ["nz"], [o for o in NINE if o != (0, 0)]).select("i", "j").distinct()
-    open_ = named.filter("root is not null").join(low, ["i", "j"]).select("root").distinct()
-    small = here.groupBy("root").agg(F.count("*").alias("k")).filter(F.col("k") <= most).join(open_, "root", "left_anti").select("root", F.lit(1).alias("up"))
-    return named.join(small, "root", "left").withColumn("nz", F.col("nz") + F.coalesce("up", F.lit(0))).select(*cells.columns)
+
+    def work(z: np.ndarray, known: np.ndarray) -> np.ndarray:
+        here = known & (z == level)
+        lab, size, shut = _small_regions(z, here, most - 1)
+        low = np.pad(known & (z < level), 1)
+        n, m = z.shape
+        beside = np.logical_or.reduce([low[1 + a : 1 + a + n, 1 + b : 1 + b + m] for a, b in NINE])
+        shut[lab[here & beside]] = True
+        return np.where(here & ((size <= most) & ~shut)[lab], z + z.dtype.type(1), z)
+
+    return _in_tiles(cells, "nz", max(most, 1), work)
 
 
 def fill_layer_pockets_all(cells: DataFrame, low: int, high: int, most: int) -> DataFrame:

@@ -43,3 +43,34 @@ def test_basins_across_squares(spark, monkeypatch):
 def test_unknown_levels_stay(spark):
     nz = {(i, j): 5 for i in range(5) for j in range(5)} | {(2, 2): 1, (2, 3): None}
     assert levels_of(stencil.fill_small_basins_all(as_cells(spark, nz))) == nz | {(2, 2): 5}
+
+
+def plain_pockets(nz, level, most):
+    new, done = dict(nz), set()
+    for start in nz:
+        if nz[start] != level or start in done:
+            continue
+        region, todo = {start}, [start]
+        while todo:
+            i, j = todo.pop()
+            for n in ((i - 1, j), (i + 1, j), (i, j - 1), (i, j + 1)):
+                if nz.get(n) == level and n not in region:
+                    region.add(n)
+                    todo.append(n)
+        done |= region
+        low = any(nz.get((i + a, j + b), level) < level for i, j in region for a in (-1, 0, 1) for b in (-1, 0, 1))
+        if len(region) <= most and not low:
+            new |= dict.fromkeys(region, level + 1)
+    return new
+
+
+def test_pockets_in_one_shuffle_equal_brute_force(spark, monkeypatch):
+    real = stencil._in_tiles
+    nz = {k: max(v - 1, 1 + (k[0] % 7 > 0)) for k, v in rough(6, 30, 5).items()}
+    for most in (1, 3, 5):
+        for tile in (256, 4):
+            monkeypatch.setattr(stencil, "_in_tiles", lambda cells, value, halo, work, tile=tile: real(cells, value, halo, work, tile=tile))
+            got = stencil.fill_layer_pockets(as_cells(spark, nz), 2, most)
+            assert plan(got).count("Exchange") == 1 and "Join" not in plan(got)
+            want = plain_pockets(nz, 2, most)
+            assert levels_of(got) == want and want != nz
