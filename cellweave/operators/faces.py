@@ -1,13 +1,19 @@
 """Faces of cut cells as rings of 3-D vertices: terrain, slices by level, flat tops, keys of vertices, closed surfaces.
 
 A face is a row with ``verts ARRAY<STRUCT<x, y, z>>``, counter-clockwise seen from the air. Everything up to
-the keys of vertices is done inside a row, by expressions over that array.
+the keys of vertices is done inside a row: slices over whole batches of rings at once, the rest by expressions over the array.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.domain import Domain
 from cellweave.operators.numbering import number_rows
@@ -17,6 +23,11 @@ from cellweave.session import cut
 STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
 
 
+#: Cells along the side of a square of terrain that is made at once.
+TILE = 128
+RING = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in "xyz"]))
+
+
 def point(x: Column, y: Column, z: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), z.cast("double").alias("z"))
 
@@ -32,36 +43,100 @@ def _heights(ring: Column) -> tuple[Column, Column]:
     return F.array_min(z), F.array_max(z)
 
 
-def _layer(ring: Column, bottom: Column, top: Column) -> Column:
-    """The ring's part between two levels. Crossings are found from the lower end of a whole side, so faces and layers that share one get the same point."""
+def _rings(starts: np.ndarray, points: list[np.ndarray]) -> pa.Array:
+    """Rings as an array column; ``starts``: where each begins, and the end."""
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays([pa.array(p) for p in points], "xyz"))
 
-    def side(a: Column, b: Column) -> Column:
-        low, high = F.when(a["z"] < b["z"], a).otherwise(b), F.when(a["z"] < b["z"], b).otherwise(a)
 
-        def met(level: Column) -> Column:
-            t = (level - low["z"]) / F.nullif(high["z"] - low["z"], F.lit(0.0))
-            at = point(low["x"] + t * (high["x"] - low["x"]), low["y"] + t * (high["y"] - low["y"]), level)
-            return F.when((low["z"] < level) & (high["z"] > level), F.array(at)).otherwise(F.array())
+def _starts(of: np.ndarray, rings: int) -> np.ndarray:
+    """Where each ring begins, and the end; ``of``: ring of each point, in order."""
+    return np.concatenate(([0], np.cumsum(np.bincount(of, minlength=rings))))
 
-        own = F.when(a["z"].between(bottom, top), F.array(a)).otherwise(F.array())
-        return F.concat(own, F.when(a["z"] < b["z"], F.concat(met(bottom), met(top))).otherwise(F.concat(met(top), met(bottom))))
 
-    return F.flatten(F.zip_with(ring, _turned(ring, 1), side))
+def _distinct(of: np.ndarray, points: list[np.ndarray], rings: int) -> np.ndarray:
+    """Which points are not yet in their ring before."""
+    at = np.arange(of.size) - _starts(of, rings)[of]
+    new = np.ones(of.size, bool)
+    for lag in range(1, at.max(initial=0) + 1):
+        here = np.flatnonzero(at >= lag)
+        new[here[np.logical_and.reduce([p[here] == p[here - lag] for p in points])]] = False
+    return new
+
+
+def _layers(rings: pa.ListArray, dz: float, at_once: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """(row, k, ring) of every layer that the rings reach.
+
+    Crossings are found from the lower end of a whole side, so faces and layers that share one get the same point.
+    """
+    of = pc.list_parent_indices(rings).to_numpy().astype("int64")
+    flat = rings.flatten()
+    p = [c.to_numpy(zero_copy_only=False) for c in flat.flatten()]  # null as NaN
+    ok = np.logical_and.reduce([~np.isnan(c) for c in p])
+    of, p = of[ok], [c[ok] for c in p]
+    new = _distinct(of, p, len(rings))
+    of, p = of[new], [c[new] for c in p]
+    enough = np.bincount(of, minlength=len(rings)) >= 3
+    of, p = of[enough[of]], [c[enough[of]] for c in p]
+    if not of.size:
+        return
+    rows, first = np.unique(of, return_index=True)
+    size = np.diff(np.append(first, of.size))
+    last = np.ceil(np.maximum.reduceat(p[2], first) / dz).astype("int64") - 1
+    low = np.minimum(np.floor(np.minimum.reduceat(p[2], first) / dz).astype("int64"), last)
+    n = last - low + 1
+    ends = np.cumsum(n * size)
+    after = np.arange(of.size) + 1
+    after[first + size - 1] = first
+    a = 0
+    while a < rows.size:  # as many faces as make about at_once points, one at least
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + at_once, "right")))
+        face = np.repeat(np.arange(a, z), n[a:z])
+        k = low[face] + np.arange(face.size) - np.repeat(np.cumsum(n[a:z]) - n[a:z], n[a:z])
+        side = np.repeat(np.arange(face.size), size[face])
+        here = first[face][side] + np.arange(side.size) - np.repeat(np.cumsum(size[face]) - size[face], size[face])
+        there, bottom, top = after[here], (k * dz)[side], ((k + 1) * dz)[side]
+        rising = p[2][here] < p[2][there]
+        lo, hi = np.where(rising, here, there), np.where(rising, there, here)
+        rise = p[2][hi] - p[2][lo]
+        rise[rise == 0] = np.nan
+
+        def met(level):
+            t = (level - p[2][lo]) / rise  # noqa: B023
+            return [p[0][lo] + t * (p[0][hi] - p[0][lo]), p[1][lo] + t * (p[1][hi] - p[1][lo]), level], (p[2][lo] < level) & (p[2][hi] > level)  # noqa: B023
+
+        one, two = met(np.where(rising, bottom, top)), met(np.where(rising, top, bottom))
+        keep = np.stack([(p[2][here] >= bottom) & (p[2][here] <= top), one[1], two[1]], 1).ravel()
+        out = [np.stack([p[c][here], one[0][c], two[0][c]], 1).ravel()[keep] for c in range(3)]
+        of_out = np.repeat(side, 3)[keep]
+        new = _distinct(of_out, out, face.size)
+        of_out, out = of_out[new], [c[new] for c in out]
+        whole = np.bincount(of_out, minlength=face.size) >= 3
+        name = np.cumsum(whole) - 1
+        kept = whole[of_out]
+        yield rows[face[whole]], k[whole], _rings(_starts(name[of_out[kept]], int(whole.sum())), [c[kept] for c in out])
+        a = z
 
 
 def slice_faces(faces: DataFrame, dz: float, verts: str = "verts") -> DataFrame:
     """Each face once for every layer k (from k*dz to (k+1)*dz) that it reaches, cut to the layer; other columns stay.
 
-    A level face belongs to the layer whose top it is, if it lies on a level. Repeated vertices count once, faces
-    of fewer than three fall away, and so do null faces. Parts of convex faces are exact;
+    A level face belongs to the layer whose top it is, if it lies on a level. Repeated vertices count once, vertices with
+    unknown coordinates not at all; faces of fewer than three fall away, and so do null faces. Parts of convex faces are exact;
     in a saddle, whose opposite corners leave the layer, the corners that stay are joined across the middle.
     """
-    f = faces.withColumn(verts, F.array_distinct(F.filter(verts, lambda v: v["x"].isNotNull() & v["y"].isNotNull() & v["z"].isNotNull()))).filter(F.size(verts) >= 3)
-    low, high = _heights(F.col(verts))
-    last = (F.ceil(high / dz) - 1).cast("int")
-    f = f.withColumn("k", F.explode(F.sequence(F.least(F.floor(low / dz).cast("int"), last), last)))
-    f = f.withColumn(verts, F.array_distinct(_layer(F.col(verts), (F.col("k") * dz).cast("double"), ((F.col("k") + 1) * dz).cast("double"))))
-    return f.filter(F.size(verts) >= 3)
+    kept = [c for c in faces.columns if c not in (verts, "k")]
+    names = [c for c in faces.columns if c != "k"] + ["k"]
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, k, ring in _layers(b.column(verts), dz):
+                own = b.select(kept).take(pa.array(row)) if kept else None
+                made = {verts: ring, "k": pa.array(k, pa.int32())}
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else own.column(c) for c in names], names)
+
+    schema = T.StructType([T.StructField(verts, RING) if c == verts else T.StructField("k", T.IntegerType()) if c == "k" else faces.schema[c] for c in names])
+    double = F.transform(verts, lambda v: point(v["x"], v["y"], v["z"])) if faces.schema[verts].dataType.simpleString() != RING.simpleString() else F.col(verts)
+    return faces.withColumn(verts, double).filter(F.col(verts).isNotNull()).mapInArrow(cut_up, schema)
 
 
 def wall_faces(walls: DataFrame) -> DataFrame:
@@ -76,13 +151,28 @@ def slice_walls(walls: DataFrame, dz: float) -> DataFrame:
 
 
 def terrain_faces(corners: DataFrame, dom: Domain) -> DataFrame:
-    """i, j, verts: one face for each cell whose four corners (i, j, z) are all known."""
-    shift = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(n).alias("n")) for n, (a, b) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1)))])
-    c = corners.filter("z is not null").select("i", "j", "z", F.explode(shift).alias("s"))
-    at = point(F.col("i") * dom.dx + dom.origin_x, F.col("j") * dom.dy + dom.origin_y, F.col("z"))
-    c = c.select((F.col("i") - F.col("s.a")).alias("i"), (F.col("j") - F.col("s.b")).alias("j"), F.struct(F.col("s.n").alias("n"), at.alias("v")).alias("v"))
-    f = c.groupBy("i", "j").agg(F.sort_array(F.collect_list("v")).alias("v"))
-    return f.filter(F.size("v") == 4).select("i", "j", F.transform("v", lambda p: p["v"]).alias("verts"))
+    """i, j, verts: one face for each cell whose four corners (i, j, z) are all known.
+
+    Corners meet in squares of ``TILE`` cells, so each is sent about once, and faces beside each other stay together.
+    """
+    to = lambda c: F.explode(F.array_distinct(F.array(F.floor((F.col(c) - 1) / TILE), F.floor(F.col(c) / TILE))))
+    c = corners.filter("z is not null").select("i", "j", F.col("z").cast("double").alias("z"))
+    i_type, j_type = c.schema["i"].dataType, c.schema["j"].dataType
+    c = c.withColumn("_ti", to("i")).withColumn("_tj", to("j"))
+
+    def one(t: pa.Table) -> pa.Table:
+        i, j = (t[n].to_numpy().astype("int64") for n in "ij")
+        i0, j0 = t["_ti"][0].as_py() * TILE, t["_tj"][0].as_py() * TILE
+        z = np.full((TILE + 1, TILE + 1), np.nan)
+        known = np.zeros(z.shape, bool)
+        z[i - i0, j - j0], known[i - i0, j - j0] = t["z"].to_numpy(), True
+        a, b = np.nonzero(known[:-1, :-1] & known[1:, :-1] & known[1:, 1:] & known[:-1, 1:])
+        ring_i, ring_j = a[:, None] + [0, 1, 1, 0], b[:, None] + [0, 0, 1, 1]
+        at = [((ring_i + i0) * dom.dx + dom.origin_x).ravel(), ((ring_j + j0) * dom.dy + dom.origin_y).ravel(), z[ring_i, ring_j].ravel()]
+        ids = [pa.array(x, t[n].type) for x, n in ((a + i0, "i"), (b + j0, "j"))]
+        return pa.table([*ids, _rings(np.arange(a.size + 1) * 4, [x.astype(float) for x in at])], ["i", "j", "verts"])
+
+    return c.groupBy("_ti", "_tj").applyInArrow(one, T.StructType([T.StructField("i", i_type), T.StructField("j", j_type), T.StructField("verts", RING)]))
 
 
 def split_flat_tops(faces: DataFrame, dz: float, verts: str = "verts") -> DataFrame:

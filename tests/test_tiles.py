@@ -2,7 +2,8 @@
 
 import random
 
-from cellweave.operators import stencil
+from cellweave.domain import Domain
+from cellweave.operators import faces, stencil
 from tests.test_grid import plain_basins
 from tests.test_limits import plan
 
@@ -74,3 +75,29 @@ def test_pockets_in_one_shuffle_equal_brute_force(spark, monkeypatch):
             assert plan(got).count("Exchange") == 1 and "Join" not in plan(got)
             want = plain_pockets(nz, 2, most)
             assert levels_of(got) == want and want != nz
+
+
+def test_terrain_across_squares_is_sliced_in_batches(spark, monkeypatch):
+    """Every corner is sent once or twice, not four times; slices are cut in one pass without expressions over arrays."""
+    z = {k: v * 3.1 + 1.37 for k, v in rough(8, 12, 4).items()}
+    corners = spark.createDataFrame([(i, j, v) for (i, j), v in z.items()], "i int, j int, z double")
+    dom = Domain(12, 12, 10.0, 10.0, 5.0, -40.0, 3.0)
+    monkeypatch.setattr(faces, "TILE", 5)
+    made = faces.terrain_faces(corners, dom)
+    assert plan(made).count("Exchange") == 1 and "collect_list" not in plan(made)
+    around = ((0, 0), (1, 0), (1, 1), (0, 1))
+    want = {(i, j): [((i + a) * 10.0 - 40.0, (j + b) * 10.0 + 3.0, z[i + a, j + b]) for a, b in around] for i, j in z if all((i + a, j + b) in z for a, b in around)}
+    assert {(r["i"], r["j"]): [tuple(v) for v in r["verts"]] for r in made.collect()} == want
+    cut = faces.slice_faces(made, dom.dz)
+    assert "zip_with" not in plan(cut) and "explode" not in plan(cut).split("MapInArrow")[0]
+    for r in cut.collect():
+        assert all(r["k"] * 5 <= v["z"] <= r["k"] * 5 + 5 for v in r["verts"]) and len(set(r["verts"])) == len(r["verts"]) >= 3
+    assert {(r["i"], r["j"]) for r in cut.collect()} == set(want)
+
+
+def test_slices_keep_columns_and_drop_unknown_corners(spark):
+    rows = [(1, "a", [(0, 0, 0), (4, 0, 0), (4, 0, None), (4, 0, 12), (0, 0, 12), (0, 0, 0)]), (2, "b", None), (3, "c", [(0, 0, 1), (1, 0, 1)]), (4, "d", [(0, 0, 5), (1, 0, 5), (1, 1, 5)])]
+    df = spark.createDataFrame(rows, "fid int, name string, verts array<struct<x: int, y: int, z: int>>")
+    got = faces.slice_faces(df, 5.0)
+    assert got.columns == ["fid", "name", "verts", "k"]
+    assert sorted((r["fid"], r["name"], r["k"], len(r["verts"])) for r in got.collect()) == [(1, "a", 0, 4), (1, "a", 1, 4), (1, "a", 2, 4), (4, "d", 0, 3)]
