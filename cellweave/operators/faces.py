@@ -1,7 +1,7 @@
 """Faces of cut cells as rings of 3-D vertices: terrain, slices by level, flat tops, keys of vertices, closed surfaces.
 
 A face is a row with ``verts ARRAY<STRUCT<x, y, z>>``, counter-clockwise seen from the air. Everything up to
-the keys of vertices is done inside a row: slices over whole batches of rings at once, the rest by expressions over the array.
+the keys of vertices is done inside a row: slices and keys over whole batches of rings at once, the rest by expressions over the array.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +49,12 @@ def _rings(starts: np.ndarray, points: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays([pa.array(p) for p in points], "xyz"))
 
 
+def _as_rings(faces: DataFrame, verts: str) -> Column:
+    """The rings with coordinates in double precision."""
+    plain = faces.schema[verts].dataType.simpleString() == RING.simpleString()
+    return F.col(verts) if plain else F.transform(verts, lambda v: point(v["x"], v["y"], v["z"]))
+
+
 def _starts(of: np.ndarray, rings: int) -> np.ndarray:
     """Where each ring begins, and the end; ``of``: ring of each point, in order."""
     return np.concatenate(([0], np.cumsum(np.bincount(of, minlength=rings))))
@@ -135,8 +142,7 @@ def slice_faces(faces: DataFrame, dz: float, verts: str = "verts") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([made[c] if c in made else own.column(c) for c in names], names)
 
     schema = T.StructType([T.StructField(verts, RING) if c == verts else T.StructField("k", T.IntegerType()) if c == "k" else faces.schema[c] for c in names])
-    double = F.transform(verts, lambda v: point(v["x"], v["y"], v["z"])) if faces.schema[verts].dataType.simpleString() != RING.simpleString() else F.col(verts)
-    return faces.withColumn(verts, double).filter(F.col(verts).isNotNull()).mapInArrow(cut_up, schema)
+    return faces.withColumn(verts, _as_rings(faces, verts)).filter(F.col(verts).isNotNull()).mapInArrow(cut_up, schema)
 
 
 def wall_faces(walls: DataFrame) -> DataFrame:
@@ -196,33 +202,46 @@ def vertex_keys(faces: DataFrame, dom: Domain, fid: str = "fid", verts: str = "v
     """fid, at, k, j, i, dir, len, x, y, z: the edge of the cell that each vertex lies on, as full corner and direction to the free one, and its distance from the full corner in cells.
 
     The free side is where the face turns its air side at the vertex. A vertex on a corner takes the edge that its face leans to most
-    (ties: k, j, i). Vertices on no edge of a cell have no key.
+    (ties: k, j, i). Vertices on no edge of a cell, or with an unknown coordinate, have no key.
     """
-    ring = F.col(verts)
-    near = F.zip_with(F.zip_with(ring, _turned(ring, -1), lambda v, p: F.struct(v.alias("v"), p.alias("p"))), _turned(ring, 1), lambda v, n: F.struct(v["v"].alias("v"), v["p"].alias("p"), n.alias("n")))
-    v = faces.select(F.col(fid).alias("fid"), F.posexplode(near).alias("at", "t")).select("fid", "at", "t.v.*", *[(F.col(f"t.v.{c}") - F.col(f"t.p.{c}")).alias("a" + c) for c in "xyz"], *[(F.col(f"t.n.{c}") - F.col(f"t.v.{c}")).alias("b" + c) for c in "xyz"])
-    turn = {c: F.col("a" + p) * F.col("b" + q) - F.col("a" + q) * F.col("b" + p) for c, p, q in (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y"))}
-    cells = {"x": (F.col("x") - dom.origin_x) / dom.dx, "y": (F.col("y") - dom.origin_y) / dom.dy, "z": F.col("z") / dom.dz}
-    v = v.select("fid", "at", "x", "y", "z", *[turn[c].alias("t" + c) for c in "xyz"], *[cells[c].alias("c" + c) for c in "xyz"])
-    v = v.select("fid", "at", "x", "y", "z", *["t" + c for c in "xyz"], *["c" + c for c in "xyz"], *[F.rint("c" + c).alias("r" + c) for c in "xyz"])
-    v = v.select("*", *[(F.abs(F.col("c" + c) - F.col("r" + c)) < 1e-9).alias("o" + c) for c in "xyz"])
-
-    def on_axis(n: int, c: str) -> Column:
-        p, q = [x for x in "zyx" if x != c]
-        rise, at = F.col("t" + c) >= 0, F.col("c" + c)
-        full = F.when(F.col("o" + c), F.col("r" + c)).when(rise, F.floor(at)).otherwise(F.ceil(at))
-        ends = [(full if x == c else F.col("r" + x)).cast("int").alias(to) for x, to in zip("zyx", "kji")]
-        length = F.when(F.col("o" + c), 0.0).otherwise(F.abs(at - full))
-        return F.when(F.col("o" + p) & F.col("o" + q), F.struct(F.abs("t" + c).alias("lean"), F.lit(-n).alias("first"), *ends, F.when(rise, 2 * n).otherwise(2 * n + 1).alias("dir"), length.alias("len")))
-
-    v = v.withColumn("e", F.array_max(F.array(*[on_axis(n, c) for n, c in enumerate("zyx")])))
-    return v.select("fid", "at", "e.k", "e.j", "e.i", "e.dir", "e.len", "x", "y", "z")
+    names = ["fid", "at", "k", "j", "i", "dir", "len", "x", "y", "z"]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rings = b.column("verts")
+            of = pc.list_parent_indices(rings).to_numpy().astype("int64")
+            shown = rings.flatten().flatten()
+            xyz = [c.to_numpy(zero_copy_only=False) for c in shown]  # null as NaN
+            starts = _starts(of, len(rings))
+            at, here = np.arange(of.size) - starts[of], np.arange(of.size)
+            before = np.where(at == 0, starts[of + 1] - 1, here - 1)
+            after = np.where(here + 1 == starts[of + 1], starts[of], here + 1)
+            u, w = [c - c[before] for c in xyz], [c[after] - c for c in xyz]
+            cell = [(xyz[0] - dom.origin_x) / dom.dx, (xyz[1] - dom.origin_y) / dom.dy, xyz[2] / dom.dz]
+            near = [np.rint(c) for c in cell]
+            on = [np.abs(c - r) < 1e-9 for c, r in zip(cell, near)]
+            lean, found = [], []
+            for n, c in enumerate((2, 1, 0)):
+                p, q = (c + 1) % 3, (c + 2) % 3
+                turn = u[p] * w[q] - u[q] * w[p]
+                full = np.where(on[c], near[c], np.where(turn >= 0, np.floor(cell[c]), np.ceil(cell[c])))
+                lean.append(np.where(on[p] & on[q] & ~np.isnan(cell[c]), np.where(np.isnan(turn), -0.5, np.abs(turn)), -1.0))
+                found.append([*[full if e == c else near[e] for e in (2, 1, 0)], np.where(turn >= 0, 2.0 * n, 2.0 * n + 1), np.where(on[c], 0.0, np.abs(cell[c] - full))])
+            most = np.argmax(lean, axis=0)  # the first of equals: k, j, i
+            none = np.max(lean, axis=0) == -1
+            e = [np.where(none, 0.0, np.choose(most, [f[v] for f in found])) for v in range(5)]
+            e = [pa.array(v if n == 4 else v.astype("int32"), mask=none) for n, v in enumerate(e)]
+            yield pa.RecordBatch.from_arrays([b.column("fid").take(pa.array(of)), pa.array(at, pa.int32()), *e, *shown], names)
+
+    kinds = {"fid": faces.schema[fid].dataType, **dict.fromkeys(("at", "k", "j", "i", "dir"), T.IntegerType())}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names])
+    return faces.select(F.col(fid).alias("fid"), _as_rings(faces, verts).alias("verts")).mapInArrow(keyed, schema)
 
 
 def keyed_index(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(vid, k, j, i, dir, len) of every edge that holds a vertex, numbered by (k, j, i, dir), and the faces as (fid, at, vid); vertices without a key are left out."""
     on_edge = cut(keys.filter("dir is not null").select("fid", "at", "k", "j", "i", "dir", "len"))
-    v = number_rows(on_edge.groupBy("k", "j", "i", "dir").agg(F.min("len").alias("len")), ["k", "j", "i", "dir"], "vid")
+    v = cut(number_rows(on_edge.groupBy("k", "j", "i", "dir").agg(F.min("len").alias("len")), ["k", "j", "i", "dir"], "vid"))
     return v.select("vid", "k", "j", "i", "dir", "len"), on_edge.join(v.select("k", "j", "i", "dir", "vid"), ["k", "j", "i", "dir"]).select("fid", "at", "vid")
 
 
@@ -246,30 +265,26 @@ def watertight_check(refs: DataFrame, vertices: DataFrame, dom: Domain) -> DataF
     clash = ends.groupBy("c").agg(F.count("*").alias("n"), F.min("is").alias("a"), F.max("is").alias("b")).filter("a <> b")
     clash = clash.select(F.lit("corner").alias("rule"), name("c").alias("what"), "n")
 
+    # a face's vertices lie in one sorted run: neighbours are looked at in passing, no ring is collected
+    run = W.partitionBy("fid")
+    along = run.orderBy("at", "vid")
     r = refs.select("fid", "at", "vid").join(v, "vid", "left")
-    seen = F.struct("at", "vid", "dir", "len", "full", "free", "s")
-    ring = cut(r.groupBy("fid").agg(F.sort_array(F.collect_list(seen)).alias("ring")))
-    ring = ring.withColumn("lost", F.size(F.filter("ring", lambda p: p["dir"].isNull()))).withColumn("m", F.size("ring"))
-
-    def bad(a: Column, b: Column) -> Column:
-        gap = [b["full"][c] - a["full"][c] for c in "kji"]
-        moved = sum((F.abs(g) for g in gap[1:]), F.abs(gap[0]))
-        ahead = sum((g * a["s"][c] for g, c in zip(gap[1:], "ji")), gap[0] * a["s"]["k"])
-        alone = F.coalesce(a["full"] == b["full"], F.lit(False)) | F.coalesce(a["free"] == b["free"], F.lit(False))
-        return F.when(a["dir"].isNull() | b["dir"].isNull(), False).when(a["dir"] == b["dir"], (ahead != 0) | (moved != 1)).otherwise(~alone)
-
-    pairs = F.zip_with(F.slice("ring", F.lit(1), F.col("m") - 1), F.slice("ring", F.lit(2), F.col("m") - 1), bad)
-    last = F.element_at("ring", -1)["vid"] == F.element_at("ring", 1)["vid"]
-    found = ring.select("fid", F.array(
-        F.struct(F.lit("unknown").alias("rule"), F.col("lost").alias("n")),
-        F.struct(F.lit("repeated").alias("rule"), F.when(last, F.col("m")).otherwise(0).alias("n")),
-        F.struct(F.lit("edge").alias("rule"), F.size(F.filter(pairs, lambda x: x)).alias("n"))).alias("e"))
-    found = found.select("fid", F.explode(F.filter("e", lambda e: e["n"] > 0)).alias("e")).select("e.rule", F.col("fid").cast("string").alias("what"), F.col("e.n").cast("long").alias("n"))
-
+    seen = F.struct("dir", "full", "free")
+    r = r.select("fid", "vid", "dir", "full", "free", "s", F.lead(seen).over(along).alias("b"), F.first("vid").over(along).alias("start"), F.collect_set(F.when(F.col("len") == 0, F.col("full"))).over(run).alias("on"))
+    gap = [F.col(f"b.full.{c}") - F.col(f"full.{c}") for c in "kji"]
+    moved = sum((F.abs(g) for g in gap[1:]), F.abs(gap[0]))
+    ahead = sum((g * F.col(f"s.{c}") for g, c in zip(gap[1:], "ji")), gap[0] * F.col("s.k"))
+    same = lambda x: F.col("b." + x).eqNullSafe(F.col(x))
+    bad = F.when(F.col("dir").isNull() | F.col("b.dir").isNull(), False).when(F.col("dir") == F.col("b.dir"), (ahead != 0) | (moved != 1)).otherwise(~(same("full") | same("free")))
     # a vertex of a face is singular if any of that face's vertices lies on its full corner
-    flat = ring.select("ring", F.transform(F.filter("ring", lambda p: p["len"] == 0), lambda p: p["full"]).alias("on"))
-    at = flat.select("on", F.explode("ring").alias("p")).select("p.vid", F.array_contains("on", F.col("p.full")).alias("single"))
-    per = at.groupBy("vid").agg(F.count("*").alias("n"), F.max("single").alias("single"))
+    r = cut(r.select("fid", "vid", bad.alias("bad"), F.col("dir").isNull().alias("lost"), (F.col("b").isNull() & (F.col("start") == F.col("vid"))).alias("back"), F.array_contains("on", F.col("full")).alias("single")))
+    found = r.groupBy("fid").agg(F.count("*").alias("m"), F.count_if("lost").alias("lost"), F.max("back").alias("back"), F.count_if("bad").alias("bad")).filter("lost > 0 or back or bad > 0")
+    found = found.select("fid", F.explode(F.array(
+        F.struct(F.lit("unknown").alias("rule"), F.col("lost").alias("n")),
+        F.struct(F.lit("repeated").alias("rule"), F.when(F.col("back"), F.col("m")).otherwise(0).alias("n")),
+        F.struct(F.lit("edge").alias("rule"), F.col("bad").alias("n")))).alias("e")).filter("e.n > 0")
+    found = found.select("e.rule", F.col("fid").cast("string").alias("what"), F.col("e.n").cast("long").alias("n"))
+    per = r.groupBy("vid").agg(F.count("*").alias("n"), F.max("single").alias("single"))
     per = v.join(per, "vid", "left").fillna({"n": 0, "single": False})
     border = lambda c, size: (F.col("full." + c) == F.col("free." + c)) & F.col("full." + c).isin([0, size])
     sides = border("i", dom.nx).cast("int") + border("j", dom.ny).cast("int") + ((F.col("full.k") == 0) & (F.col("free.k") == 0)).cast("int")

@@ -101,3 +101,18 @@ def test_slices_keep_columns_and_drop_unknown_corners(spark):
     got = faces.slice_faces(df, 5.0)
     assert got.columns == ["fid", "name", "verts", "k"]
     assert sorted((r["fid"], r["name"], r["k"], len(r["verts"])) for r in got.collect()) == [(1, "a", 0, 4), (1, "a", 1, 4), (1, "a", 2, 4), (4, "d", 0, 3)]
+
+
+def test_closed_surface_check_collects_no_rings(spark):
+    """Keys come from whole batches of rings, and a face's neighbours from one sorted run; a vertex with an unknown coordinate has no key."""
+    dom = Domain(4, 4, 10.0, 10.0, 5.0, 0.0, 0.0)
+    ring = [(0.0, 0.0, 2.0), (10.0, 0.0, 2.0), (10.0, 10.0, 2.0), (0.0, 10.0, None)]
+    df = spark.createDataFrame([(1, ring), (2, None), (3, [])], "fid int, verts array<struct<x: double, y: double, z: double>>")
+    keys = faces.vertex_keys(df, dom)
+    assert "zip_with" not in plan(keys)
+    got = sorted(((r["fid"], r["at"], r["j"], r["i"], r["dir"], r["z"]) for r in keys.collect()), key=lambda r: r[:2])
+    assert [r[:4] + r[5:] for r in got] == [(1, 0, 0, 0, 2.0), (1, 1, 0, 1, 2.0), (1, 2, 1, 1, 2.0), (1, 3, None, None, None)] and got[3][4] is None
+    vertices, refs = faces.keyed_index(keys)
+    found = faces.watertight_check(refs, vertices, dom)
+    assert "zip_with" not in plan(found) and "collect_list" not in plan(found)
+    assert {r["rule"] for r in found.collect()} >= {"faces"}
