@@ -2,25 +2,43 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.numbering import number_rows
-from cellweave.operators.stencil import neighbours
+from cellweave.operators.stencil import _in_tiles
 from cellweave.session import cut
 
 
 def fill_heights(cells: DataFrame, radius: int) -> DataFrame:
-    """Null heights from windows of growing radius: first of the same lid at every radius, then of any; nearest first, then lowest id."""
-    cells = cut(cells)
-    for same in (True, False):
-        for r in range(1, radius + 1):
-            off = [(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1) if (a, b) != (0, 0)]
-            n = neighbours(cells.filter("height is not null"), ["id", "lid", "height"], off).join(cells.filter("height is null").select("i", "j", "lid"), ["i", "j"])
-            n = n.filter("lid = n_lid") if same else n
-            best = n.groupBy("i", "j").agg(F.min(F.struct((F.col("di") * F.col("di") + F.col("dj") * F.col("dj")).alias("d"), "n_id", "n_height")).alias("b"))
-            cells = cut(cells.join(best.select("i", "j", F.col("b.n_height").alias("h")), ["i", "j"], "left").withColumn("height", F.coalesce("height", "h")).drop("h"))
-    return cells
+    """Null heights from windows of growing radius: first of the same lid at every radius, then of any; nearest first, then lowest id.
+
+    All windows are looked at in one square of cells with as many around it as the radii together reach: cells are sent once.
+    """
+    if radius < 1:
+        return cells
+    steps = [(same, r) for same in (True, False) for r in range(1, radius + 1)]
+
+    def work(h: np.ndarray, known: np.ndarray, ids: np.ndarray, lids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h, known = (np.pad(x, radius) for x in (h, known))  # ids and lids: 0 where there is no cell
+        ids, lids = np.pad(ids, radius), np.pad(lids, radius)
+        far = np.iinfo("int64").max
+        for same, r in steps:
+            x, y = np.nonzero((ids > 0) & ~known)
+            best, got = np.full(x.size, far), np.zeros(x.size, h.dtype)
+            for a in range(-r, r + 1):
+                for b in range(-r, r + 1):
+                    at = x + a, y + b
+                    ok = known[at] & ((lids[at] == lids[x, y]) & (lids[at] > 0) if same else True)
+                    rank = np.where(ok, (a * a + b * b) * (ids.size + 1) + ids[at], far)
+                    got, best = np.where(rank < best, h[at], got), np.minimum(rank, best)
+            hit = best < far
+            h[x[hit], y[hit]], known[x[hit], y[hit]] = got[hit], True
+        inner = slice(radius, -radius)
+        return h[inner, inner], known[inner, inner]
+
+    return _in_tiles(cells, "height", sum(r for _, r in steps), work, also=("id", "lid"))
 
 
 def voxels(cells: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,16 +144,18 @@ def fill_layer_pockets_all(cells: DataFrame, low: int, high: int, most: int) ->
     return cells
 
 
-def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[[np.ndarray, np.ndarray], np.ndarray], tile: int = 256) -> DataFrame:
-    """The cells with ``work`` (values, which are known) of ``value`` done in squares of ``tile`` cells, each with the ``halo`` cells around it; null stays null.
+def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[..., np.ndarray | tuple[np.ndarray, np.ndarray]], tile: int = 256, also: tuple[str, ...] = ()) -> DataFrame:
+    """The cells with ``work`` (values, which are known) of ``value`` done in squares of ``tile`` cells, each with the ``halo`` cells around it.
 
+    Null stays null, unless ``work`` returns what is known as well. It is also given the ranks of the columns ``also``
+    within the square (equal values one rank, from 1; 0 for null and where there is no cell).
     One shuffle and no join; a task holds one square at a time, whatever the regions in it look like.
     """
     names, schema = cells.columns, cells.schema
     to = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / tile).cast("int"), F.floor((F.col(c) + halo) / tile).cast("int")))
     own = (F.col("_ti") == F.floor(F.col("i") / tile)) & (F.col("_tj") == F.floor(F.col("j") / tile))
     sent = cells.withColumn("_ti", to("i")).withColumn("_tj", to("j")).withColumn("_own", own)
-    sent = sent.select("_ti", "_tj", "_own", *[c if c in ("i", "j", value) else F.when(F.col("_own"), F.col(c)).alias(c) for c in names])
+    sent = sent.select("_ti", "_tj", "_own", *[c if c in ("i", "j", value, *also) else F.when(F.col("_own"), F.col(c)).alias(c) for c in names])
 
     def one(t: pa.Table) -> pa.Table:
         i, j = t["i"].to_numpy().astype("int64"), t["j"].to_numpy().astype("int64")
@@ -160,7 +163,14 @@ def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[[np.ndarra
         i, j = i - i.min(), j - j.min()
         z, known = np.zeros((i.max() + 1, j.max() + 1), v.type.to_pandas_dtype()), np.zeros((i.max() + 1, j.max() + 1), bool)
         z[i, j], known[i, j] = v.fill_null(0).to_numpy(zero_copy_only=False), there
-        new = pa.array(work(z, known)[i, j], v.type, mask=~there)
+        ranks = []
+        for c in also:
+            col = t[c].combine_chunks()
+            ranks.append(np.zeros(z.shape, "int64"))
+            ranks[-1][i, j] = np.where(col.is_valid().to_numpy(zero_copy_only=False), pc.rank(col, tiebreaker="dense").to_numpy().astype("int64"), 0)
+        done = work(z, known, *ranks)
+        new, sure = done if isinstance(done, tuple) else (done, known)
+        new = pa.array(new[i, j], v.type, mask=~sure[i, j])
         return t.set_column(t.column_names.index(value), value, new).filter(t["_own"]).select(names)
 
     return sent.groupBy("_ti", "_tj").applyInArrow(one, schema)

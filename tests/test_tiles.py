@@ -3,8 +3,8 @@
 import random
 
 from cellweave.domain import Domain
-from cellweave.operators import faces, stencil
-from tests.test_grid import plain_basins
+from cellweave.operators import buildings, faces, stencil
+from tests.test_grid import plain_basins, plain_fill_heights
 from tests.test_limits import plan
 
 
@@ -116,3 +116,20 @@ def test_closed_surface_check_collects_no_rings(spark):
     found = faces.watertight_check(refs, vertices, dom)
     assert "zip_with" not in plan(found) and "collect_list" not in plan(found)
     assert {r["rule"] for r in found.collect()} >= {"faces"}
+
+
+def test_heights_are_filled_in_one_shuffle_as_brute_force(spark, monkeypatch):
+    rnd = random.Random(9)
+    cells = {}
+    for i in range(-4, 22):
+        for j in range(-2, 22):
+            if rnd.random() < 0.5:
+                cells[i, j] = (1000 - 30 * i + j, rnd.choice([1, 2, 3, 4]), rnd.choice([None] * 5 + [3.5, 7.0]))
+    df = spark.createDataFrame([(i, j, *v) for (i, j), v in cells.items()], "i int, j int, id int, lid int, height double")
+    want = plain_fill_heights(dict(cells), 2)
+    made = buildings.fill_heights(df, 2)
+    assert plan(made).count("Exchange") == 1 and "Join" not in plan(made)
+    real = buildings._in_tiles
+    for tile in (256, 6):
+        monkeypatch.setattr(buildings, "_in_tiles", lambda *a, tile=tile, **k: real(*a, tile=tile, **k))
+        assert {r["id"]: (r["lid"], r["height"]) for r in buildings.fill_heights(df, 2).collect()} == want
