@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from cellweave.domain import Domain
 
 
-def ring_edges(df: DataFrame, gid: str, points: list[tuple[Column, Column]]) -> DataFrame:
-    """gid, edge, xa, ya, xb, yb of one ring given by column expressions for its points."""
+def ring_edges(df: DataFrame, gid: str, points: list[tuple[Column, Column]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """gid, edge, xa, ya, xb, yb of one ring given by column expressions for its points, and the columns ``keep``."""
     n = len(points)
     items = [F.struct(F.lit(k).alias("edge"), points[k][0].alias("xa"), points[k][1].alias("ya"), points[(k + 1) % n][0].alias("xb"), points[(k + 1) % n][1].alias("yb")) for k in range(n)]
-    return df.select(F.col(gid).alias("gid"), F.explode(F.array(*items)).alias("e")).select("gid", "e.*")
+    return df.select(F.col(gid).alias("gid"), *keep, F.explode(F.array(*items)).alias("e")).select("gid", *keep, "e.*")
 
 
-def rectangle_edges(df: DataFrame, gid: str) -> DataFrame:
+def rectangle_edges(df: DataFrame, gid: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Counter-clockwise edges of x0, y0, x1, y1."""
     x0, y0, x1, y1 = map(F.col, ("x0", "y0", "x1", "y1"))
-    return ring_edges(df, gid, [(x0, y0), (x1, y0), (x1, y1), (x0, y1)])
+    return ring_edges(df, gid, [(x0, y0), (x1, y0), (x1, y1), (x0, y1)], keep)
 
 
 def explode_rings(df: DataFrame, gid: str, rings: str = "rings") -> DataFrame:

@@ -19,6 +19,13 @@ def make_grid(spark: SparkSession, dom: Domain) -> DataFrame:
     return g.select("id", "i", "j", x.alias("xmi"), (x + dom.dx).alias("xma"), y.alias("ymi"), (y + dom.dy).alias("yma"), (x + dom.dx / 2).alias("xcen"), (y + dom.dy / 2).alias("ycen"))
 
 
+def located(cells: DataFrame, dom: Domain) -> DataFrame:
+    """Cells (i, j) with id, xcen and ycen as ``make_grid`` has them, computed and not joined."""
+    x, y = F.lit(dom.origin_x) + F.col("i") * dom.dx, F.lit(dom.origin_y) + F.col("j") * dom.dy
+    number = F.col("i").cast("long") * dom.ny + F.col("j") + 1
+    return cells.withColumns({"id": number.cast("int"), "xcen": x + dom.dx / 2, "ycen": y + dom.dy / 2})
+
+
 def make_fishnet(spark: SparkSession, x0: float, y0: float, x1: float, y1: float, dx: float, dy: float) -> DataFrame:
     """A coarse grid that covers a box."""
     return make_grid(spark, Domain(math.ceil((x1 - x0) / dx), math.ceil((y1 - y0) / dy), dx, dy, dx, x0, y0))

@@ -20,10 +20,15 @@ def retile(pixels: DataFrame, w: int = 64, h: int = 64, nodata: float = -1e9) ->
     return t.select("tx", "ty", F.transform(F.sequence(F.lit(0), F.lit(w * h - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(nodata))).alias("vals"))
 
 
+def with_value(points: DataFrame, pixels: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
+    """The points with val of the pixel that holds them."""
+    keyed = points.select("*", F.floor(F.col(x) / size).cast("int").alias("px"), F.floor(F.col(y) / size).cast("int").alias("py"))
+    return keyed.join(pixels.select("px", "py", "val"), ["px", "py"], "left").select(*points.columns, "val")
+
+
 def sample_value(points: DataFrame, pixels: DataFrame, size: float, pid: str = "id") -> DataFrame:
     """pid, val of the pixel that holds the point."""
-    keyed = points.select(F.col(pid), F.floor(F.col("x") / size).cast("int").alias("px"), F.floor(F.col("y") / size).cast("int").alias("py"))
-    return keyed.join(pixels.select("px", "py", "val"), ["px", "py"], "left").select(pid, "val")
+    return with_value(points.select(pid, "x", "y"), pixels, size).select(pid, "val")
 
 
 def sample_nearest(points: DataFrame, pixels: DataFrame, size: float, tile: int = 64, pid: str = "id") -> DataFrame:

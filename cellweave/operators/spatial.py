@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 from cellweave.domain import Domain
 from cellweave.operators import edges as ed
 from cellweave.operators.grid import cell_of
-from cellweave.session import cut
+from cellweave.session import cut, shuffle_parts
+
+#: Cells of the domain that one task makes and keeps in memory, at most where partitions are of one size.
+CELLS_IN_TASK = 500_000
 
 
 def edge_cells(edges: DataFrame, dom: Domain) -> DataFrame:
@@ -79,6 +83,42 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, dom: Domain, pid: st
     return inside(points, edges, dom, pid).groupBy(pid).agg(F.min("gid").alias("gid"))
 
 
+def held_cells(dom: Domain, layers: dict[str, tuple[DataFrame, tuple[str, ...]]], whole: bool = False) -> DataFrame:
+    """i, j and for each layer (its edges and columns of them to keep) the lowest polygon that holds the cell's centre, under the layer's name, with its columns; borders half open.
+
+    Cells that no layer holds are left out, or null with ``whole``. Polygons meet the centres of a column in crossings, kept
+    as the first centre above them; these are sent to their column, and cells are made there. So crossings are
+    shuffled, but no cells, and one task has as many cells however large the domain is.
+    """
+
+    def first(v: Column, origin: float, step: float, n: int) -> Column:
+        """The first of n centres that is not below v; n where there is none."""
+        centre = lambda k: F.lit(origin) + k * step + step / 2
+        k = F.ceil(F.greatest(F.lit(-1.0), F.least(F.lit(n + 1.0), (v - origin) / step - 0.5))).cast("int")
+        k = F.when(centre(k - 1) >= v, k - 1).when(centre(k) < v, k + 1).otherwise(k)  # as the coordinates are rounded
+        return F.greatest(F.lit(0), F.least(F.lit(n), k)).cast("int")
+
+    xa, ya, xb, yb, x = *map(F.col, ("xa", "ya", "xb", "yb")), F.lit(dom.origin_x) + F.col("i") * dom.dx + dom.dx / 2
+    parts, kept = [], [c for _, keep in layers.values() for c in keep]
+    for n, (edges, keep) in enumerate(layers.values()):
+        begin, end = (first(f(xa, xb), dom.origin_x, dom.dx, dom.nx) for f in (F.least, F.greatest))
+        e = edges.select("gid", *keep, "xa", "ya", "xb", "yb", begin.alias("begin"), end.alias("end")).filter("begin < end")
+        e = e.withColumn("i", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)))
+        level = first(ya + (x - xa) * (yb - ya) / (xb - xa), dom.origin_y, dom.dy, dom.ny)
+        parts.append(e.select(F.lit(n).alias("layer"), "i", "gid", level.alias("j"), *keep))
+    if whole:
+        columns = edges.sparkSession.range(dom.nx).select(F.lit(-1).alias("layer"), F.col("id").cast("int").alias("i"), F.explode(F.array(F.lit(0), F.lit(dom.ny))).alias("j"))
+        parts.append(columns)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = rows.repartition(max(shuffle_parts(edges.sparkSession), dom.nx * dom.ny // CELLS_IN_TASK), "i")
+    w = W.partitionBy("i", "layer", "gid").orderBy("j")
+    spans = rows.select("*", F.row_number().over(w).alias("n"), F.lead("j").over(w).alias("end")).filter("n % 2 = 1 and j < end")
+    cells = spans.select("layer", "i", F.explode(F.sequence(F.col("j"), F.col("end") - 1)).alias("j"), "gid", *kept)
+    own = lambda n: F.when(F.col("layer") == n, F.col("gid"))
+    best = [a for n, (name, (_, keep)) in enumerate(layers.items()) for a in (F.min(own(n)).alias(name), *[F.min_by(c, own(n)).alias(c) for c in keep])]
+    return cells.groupBy("i", "j").agg(*best)
+
+
 def nearest(points: DataFrame, edges: DataFrame, size: float, pid: str = "id", most: float | None = None) -> DataFrame:
     """pid, gid, dist: the nearest edge set by (distance, gid); with ``most`` only within that distance.
 

@@ -55,18 +55,25 @@ def typed(s, d) -> DataFrame:
     return lc.map_types(L(s, d, "fx_landcover"), L(s, d, "fx_codes"), F.lit(False))
 
 
+def land_layer(s, d) -> tuple[DataFrame, tuple[str, ...]]:
+    return ed.rectangle_edges(typed(s, d), "lid", ("type", "catland")), ("type", "catland")
+
+
+def street_layer(s, d) -> tuple[DataFrame, tuple[str, ...]]:
+    return ed.rectangle_edges(L(s, d, "fx_street"), "osm_id"), ()
+
+
 def class_cells(s, d) -> DataFrame:
     """The grid with the land-cover polygon of each cell centre."""
-    dom, land = D(s, d), typed(s, d)
-    grid = L(s, d, "fx_grid")
-    hit = sp.points_in_polygons(grid.select("id", F.col("xcen").alias("x"), F.col("ycen").alias("y")), ed.rectangle_edges(land, "lid"), dom)
-    return grid.join(hit.withColumnRenamed("gid", "lid"), "id", "left").join(land.select("lid", "type", "catland"), "lid", "left").select("id", "i", "j", "xcen", "ycen", "lid", "type", "catland")
+    dom = D(s, d)
+    cells = sp.held_cells(dom, {"lid": land_layer(s, d)}, whole=True)
+    return gr.located(cells, dom).select("id", "i", "j", "xcen", "ycen", "lid", "type", "catland")
 
 
 def urban_cells(s, d) -> DataFrame:
     """The cells with footprints over the land cover: lid and class of the building where there is one."""
-    b = building_cells(s, d).select("id", F.col("lid").alias("b"))
-    c = class_cells(s, d).join(b, "id", "left")
+    dom = D(s, d)
+    c = gr.located(sp.held_cells(dom, {"lid": land_layer(s, d), "b": street_layer(s, d)}, whole=True), dom)
     return c.select("id", "i", "j", "xcen", "ycen", F.coalesce("b", "lid").alias("lid"), F.coalesce(900 + F.col("b") % 7, "type").cast("int").alias("type"), "catland")
 
 
@@ -78,11 +85,10 @@ def placed(s, d) -> Domain:
 
 def building_cells(s, d) -> DataFrame:
     """Cells whose centre lies in a footprint, with the sampled height."""
-    dom, grid = D(s, d), L(s, d, "fx_grid")
-    p = grid.select("id", F.col("xcen").alias("x"), F.col("ycen").alias("y"))
-    hit = sp.points_in_polygons(p, ed.rectangle_edges(L(s, d, "fx_street"), "osm_id"), dom)
-    h = rs.sample_value(p, L(s, d, "fx_bheight"), 20.0).withColumnRenamed("val", "height")
-    return grid.join(hit.withColumnRenamed("gid", "lid"), "id").join(h, "id", "left")
+    dom = D(s, d)
+    c = gr.located(sp.held_cells(dom, {"lid": street_layer(s, d)}), dom)
+    c = rs.with_value(c, L(s, d, "fx_bheight"), 20.0, "xcen", "ycen")
+    return c.select("id", "i", "j", "xcen", "ycen", "lid", F.col("val").alias("height"))
 
 
 def diamond_edges(s, d) -> DataFrame:
