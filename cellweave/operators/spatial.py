@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,29 +18,34 @@ from cellweave.session import cut, shuffle_parts
 CELLS_IN_TASK = 500_000
 
 
-def edge_cells(edges: DataFrame, dom: Domain) -> DataFrame:
-    """gid, i, j and ends of the pieces of edges in the cells on their course, direction kept; a piece on a line counts to the cell above it or to its right.
+def tasks(spark: SparkSession, dom: Domain) -> int:
+    """Partitions for work that follows the cells of the domain: with more cells more of them, not larger ones."""
+    return max(shuffle_parts(spark), dom.nx * dom.ny // CELLS_IN_TASK)
+
+
+def edge_cells(edges: DataFrame, dom: Domain, by: tuple[str, ...] = ("gid",)) -> DataFrame:
+    """gid (or ``by``), i, j and ends of the pieces of edges in the cells on their course, direction kept; a piece on a line counts to the cell above it or to its right.
 
     Rows follow the length of edges, not the area of polygons. Pieces may be single points.
     """
     xa, ya, xb, yb = map(F.col, ("xa", "ya", "xb", "yb"))
-    e = edges.select("gid", "xa", "ya", "xb", "yb", (xa <= xb).alias("ahead"))
+    e = edges.select(*by, "xa", "ya", "xb", "yb", (xa <= xb).alias("ahead"))
     at = lambda a, b: F.when(F.col("ahead"), a).otherwise(b)
-    e = e.select("gid", "ahead", at(xa, xb).alias("x0"), at(ya, yb).alias("y0"), at(xb, xa).alias("x1"), at(yb, ya).alias("y1"))
+    e = e.select(*by, "ahead", at(xa, xb).alias("x0"), at(ya, yb).alias("y0"), at(xb, xa).alias("x1"), at(yb, ya).alias("y1"))
     x0, y0, x1, y1, i, j = map(F.col, ("x0", "y0", "x1", "y1", "i", "j"))
     fi, fj = lambda x: F.floor((x - dom.origin_x) / dom.dx).cast("int"), lambda y: F.floor((y - dom.origin_y) / dom.dy).cast("int")
     e = e.withColumn("i", F.explode(F.sequence(fi(x0), fi(x1))))
     l, r = F.greatest(x0, i * dom.dx + dom.origin_x), F.least(x1, (i + 1) * dom.dx + dom.origin_x)
     slope = (y1 - y0) / F.when(x1 == x0, None).otherwise(x1 - x0)
     y_at = lambda x: F.when((x1 == x0) | (x <= x0), y0).when(x >= x1, y1).otherwise(y0 + (x - x0) * slope)
-    e = e.select("gid", "ahead", "i", l.alias("x0"), y_at(l).alias("y0"), r.alias("x1"), F.when(x1 == x0, y1).otherwise(y_at(r)).alias("y1"))
+    e = e.select(*by, "ahead", "i", l.alias("x0"), y_at(l).alias("y0"), r.alias("x1"), F.when(x1 == x0, y1).otherwise(y_at(r)).alias("y1"))
     low, high = F.least(y0, y1), F.greatest(y0, y1)
     e = e.withColumn("j", F.explode(F.sequence(fj(low), fj(high))))
     in_row = lambda y: F.greatest(j * dom.dy + dom.origin_y, F.least((j + 1) * dom.dy + dom.origin_y, y))
     u, v = in_row(y0), in_row(y1)
     x_at = lambda y: x0 + (y - y0) * (x1 - x0) / F.when(y1 == y0, None).otherwise(y1 - y0)
-    e = e.select("gid", "ahead", "i", "j", F.when(u == y0, x0).when(u == y1, x1).otherwise(x_at(u)).alias("x0"), u.alias("y0"), F.when(v == y1, x1).when(v == y0, x0).otherwise(x_at(v)).alias("x1"), v.alias("y1"))
-    return e.select("gid", "i", "j", at(x0, x1).alias("xa"), at(y0, y1).alias("ya"), at(x1, x0).alias("xb"), at(y1, y0).alias("yb"))
+    e = e.select(*by, "ahead", "i", "j", F.when(u == y0, x0).when(u == y1, x1).otherwise(x_at(u)).alias("x0"), u.alias("y0"), F.when(v == y1, x1).when(v == y0, x0).otherwise(x_at(v)).alias("x1"), v.alias("y1"))
+    return e.select(*by, "i", "j", at(x0, x1).alias("xa"), at(y0, y1).alias("ya"), at(x1, x0).alias("xb"), at(y1, y0).alias("yb"))
 
 
 def inside(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:
@@ -110,7 +115,7 @@ def held_cells(dom: Domain, layers: dict[str, tuple[DataFrame, tuple[str, ...]]]
         columns = edges.sparkSession.range(dom.nx).select(F.lit(-1).alias("layer"), F.col("id").cast("int").alias("i"), F.explode(F.array(F.lit(0), F.lit(dom.ny))).alias("j"))
         parts.append(columns)
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    rows = rows.repartition(max(shuffle_parts(edges.sparkSession), dom.nx * dom.ny // CELLS_IN_TASK), "i")
+    rows = rows.repartition(tasks(edges.sparkSession, dom), "i")
     w = W.partitionBy("i", "layer", "gid").orderBy("j")
     spans = rows.select("*", F.row_number().over(w).alias("n"), F.lead("j").over(w).alias("end")).filter("n % 2 = 1 and j < end")
     cells = spans.select("layer", "i", F.explode(F.sequence(F.col("j"), F.col("end") - 1)).alias("j"), "gid", *kept)
@@ -151,23 +156,26 @@ def nearest(points: DataFrame, edges: DataFrame, size: float, pid: str = "id", m
     return done if most is None else done.filter(F.col("dist") <= most)
 
 
-def coverage(edges: DataFrame, dom: Domain) -> DataFrame:
-    """gid, i, j, area: area of each polygon in each cell, exact for any simple polygon with holes.
+def coverage(edges: DataFrame, dom: Domain, by: tuple[str, ...] = ("gid",)) -> DataFrame:
+    """gid (or ``by``, the columns that name a polygon), i, j, area: area of each polygon in each cell, exact for any simple polygon with holes.
 
     Pieces of edges give the area under them in their own cell; what they cover of the cells below is a
-    running sum down the column, which also fills the cells that no edge meets.
+    running sum down the column, which also fills the cells that no edge meets. Edges that are already
+    partitioned by a column of ``by`` are not shuffled again.
     """
     i_ok = F.col("i").between(0, dom.nx - 1)
-    pieces = edge_cells(edges, dom).filter(i_ok)
+    pieces = edge_cells(edges, dom, by).filter(i_ok)
     floor = F.col("j") * dom.dy + dom.origin_y
     dx = F.col("xb") - F.col("xa")
-    at = pieces.groupBy("gid", "i", "j").agg(F.sum(dx * ((F.col("ya") + F.col("yb")) / 2 - floor)).alias("own"), F.sum(dx).alias("dx"))
-    w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
-    at = at.select("gid", "i", "j", "own", (F.sum("dx").over(w) - F.col("dx")).alias("above"), F.sum("dx").over(w).alias("below"), F.lead("j").over(w).alias("next"))
-    edge = at.select("gid", "i", "j", F.abs(F.col("own") + F.col("above") * dom.dy).alias("area"))
+    at = pieces.groupBy(*by, "i", "j").agg(F.sum(dx * ((F.col("ya") + F.col("yb")) / 2 - floor)).alias("own"), F.sum(dx).alias("dx"))
+    w = W.partitionBy(*by, "i").orderBy(F.desc("j"))
+    at = at.select(*by, "i", "j", "own", (F.sum("dx").over(w) - F.col("dx")).alias("above"), F.sum("dx").over(w).alias("below"), F.lead("j").over(w).alias("next"))
+    cell = lambda j, area: F.struct(j.alias("j"), F.abs(area).alias("area"))
+    edge = F.array(cell(F.col("j"), F.col("own") + F.col("above") * dom.dy))
     low, high = F.greatest(F.col("next") + 1, F.lit(0)), F.least(F.col("j") - 1, F.lit(dom.ny - 1))
-    full = at.filter((low <= high) & (F.abs("below") > 1e-9 * dom.dx)).select("gid", "i", F.explode(F.sequence(low, high)).alias("j"), F.abs(F.col("below") * dom.dy).alias("area"))
-    return edge.filter(F.col("j").between(0, dom.ny - 1)).unionByName(full).filter("area > 1e-9")
+    full = F.transform(F.sequence(low, high), lambda j: cell(j, F.col("below") * dom.dy))
+    both = F.when((low <= high) & (F.abs("below") > 1e-9 * dom.dx), F.concat(edge, full)).otherwise(edge)
+    return at.select(*by, "i", F.explode(both).alias("c")).select(*by, "i", "c.j", "c.area").filter(F.col("j").between(0, dom.ny - 1) & (F.col("area") > 1e-9))
 
 
 def dominant(cover: DataFrame, cls: str = "cls") -> DataFrame:

@@ -93,7 +93,8 @@ def building_cells(s, d) -> DataFrame:
 
 def diamond_edges(s, d) -> DataFrame:
     x, y, rx, ry = map(F.col, ("cx", "cy", "rx", "ry"))
-    return ed.ring_edges(L(s, d, "fx_diamond"), "gid", [(x + rx, y), (x, y + ry), (x - rx, y), (x, y - ry)])
+    # partitioned before they grow to edges and cells, which then stay where their polygon is
+    return ed.ring_edges(L(s, d, "fx_diamond").repartition(sp.tasks(s, D(s, d)), "gid"), "gid", [(x + rx, y), (x, y + ry), (x - rx, y), (x, y - ry)])
 
 
 # sources, schema
