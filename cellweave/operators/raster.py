@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.stencil import NINE
@@ -15,9 +15,17 @@ def mosaic(pixels: DataFrame) -> DataFrame:
 
 def retile(pixels: DataFrame, w: int = 64, h: int = 64, nodata: float = -1e9) -> DataFrame:
     """tx, ty, vals: full tiles in row order, gaps filled with nodata."""
-    at = (F.col("py") % h) * w + F.col("px") % w
-    t = pixels.groupBy(F.floor(F.col("px") / w).cast("int").alias("tx"), F.floor(F.col("py") / h).cast("int").alias("ty")).agg(F.map_from_entries(F.collect_list(F.struct(at.cast("int"), F.coalesce("val", F.lit(nodata))))).alias("m"))
-    return t.select("tx", "ty", F.transform(F.sequence(F.lit(0), F.lit(w * h - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(nodata))).alias("vals"))
+
+    def filled(n: int, at: str, value: Column, gap: Column) -> Column:
+        """Values in order of their place from 0 to n - 1; a place held twice is an error."""
+        m = F.map_from_entries(F.collect_list(F.struct(F.col(at), value)))
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.coalesce(F.element_at(m, k), gap))
+
+    # a map is searched from its beginning for each place, so tiles are put together row by row
+    tile = [F.floor(F.col("px") / w).cast("int").alias("tx"), F.floor(F.col("py") / h).cast("int").alias("ty")]
+    p = pixels.select(*tile, (F.col("py") % h).cast("int").alias("row"), (F.col("px") % w).cast("int").alias("at"), F.coalesce("val", F.lit(nodata)).alias("val"))
+    rows = p.groupBy("tx", "ty", "row").agg(filled(w, "at", F.col("val"), F.lit(nodata)).alias("vals"))
+    return rows.groupBy("tx", "ty").agg(F.flatten(filled(h, "row", F.col("vals"), F.array_repeat(F.lit(nodata), w))).alias("vals"))
 
 
 def with_value(points: DataFrame, pixels: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
