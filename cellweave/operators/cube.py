@@ -121,9 +121,13 @@ def layer_defaults(cells: DataFrame, layers: list[tuple[str, int, float]]) -> Da
 
 
 def building_override(corners: DataFrame, inside: DataFrame, tops: DataFrame) -> DataFrame:
-    """i, j, top: corners inside a building (i, j, lid) take the highest level of its cells."""
+    """i, j, top: corners inside a building (i, j, lid) take the highest level of its cells.
+
+    Only corners inside one look for its level: the others have no lid, and would all meet in one task.
+    """
     high = tops.groupBy("lid").agg(F.max("top").alias("top"))
-    return corners.join(inside, ["i", "j"], "left").join(high, "lid", "left").select("i", "j", "top")
+    held = inside.filter("lid is not null").hint("merge").join(high.hint("merge"), "lid").select("i", "j", "top")
+    return corners.select("i", "j").hint("merge").join(held.hint("merge"), ["i", "j"], "left").select("i", "j", "top")
 
 
 def dedupe_faces(faces: DataFrame, geometry: list[str], key: str) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.domain import Domain
 from cellweave.operators import canopy as cp
 from cellweave.operators import cube as cb
 from cellweave.operators import cutcell as cc
@@ -161,9 +162,10 @@ def _(s, d):
 
 @query("k3_building_override", "WITH " + BC + TOP + ", cr AS (SELECT a.p_partkey::INT AS i, c.p_partkey::INT AS j FROM part a CROSS JOIN part c CROSS JOIN fx_dom d WHERE a.p_partkey <= d.nx AND c.p_partkey <= d.nx), x AS (SELECT i, j, min(osm_id) AS lid FROM cr JOIN fx_street s ON i * 10 >= s.x0 AND i * 10 < s.x1 AND j * 10 >= s.y0 AND j * 10 < s.y1 GROUP BY 1, 2), t AS (SELECT lid, max(top) AS top FROM tp GROUP BY 1) SELECT cr.i, cr.j, t.top FROM cr LEFT JOIN x USING (i, j) LEFT JOIN t USING (lid)")
 def _(s, d):
-    c = cc.corner_lattice(s, D(s, d))
-    hit = sp.points_in_polygons(c.select(F.struct("i", "j").alias("id"), "x", "y"), ed.rectangle_edges(L(s, d, "fx_street"), "osm_id"), D(s, d))
-    return cb.building_override(c, hit.select("id.i", "id.j", F.col("gid").alias("lid")), gq.tops(s, d))
+    dom = D(s, d)
+    # corners are the centres of a grid that lies half a cell lower
+    around = Domain(dom.nx + 1, dom.ny + 1, dom.dx, dom.dy, dom.dz, dom.origin_x - dom.dx / 2, dom.origin_y - dom.dy / 2)
+    return cb.building_override(cc.corner_lattice(s, dom), sp.held_cells(around, {"lid": gq.street_layer(s, d)}), gq.tops(s, d))
 
 
 @query("k5_corner_building_height", "WITH " + BC + TOP + ", o AS (SELECT a.range - 1 AS a, b.range - 1 AS b FROM range(3) a, range(3) b) SELECT l.i, l.j, l.nz + max(coalesce(tp.top, 0)) AS nz FROM fx_levels l CROSS JOIN o LEFT JOIN tp ON tp.i = l.i + o.a AND tp.j = l.j + o.b GROUP BY l.i, l.j, l.nz")
