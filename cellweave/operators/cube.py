@@ -83,7 +83,8 @@ def subsurface_pars(cells: DataFrame, depths: list[float], upper: int, pars: lis
 
 def building_variables(cells: DataFrame, tops: DataFrame, dz: float) -> DataFrame:
     """var, j, i, value of building_id, buildings_2d and building_type (1 where the class is none of a building)."""
-    b = tops.select("id", "i", "j", "lid", "top").join(cells.select("id", "type"), "id", "left")
+    built = cells.filter(class_range("building")).select("id", "type")  # of the others no class is used
+    b = tops.select("id", "i", "j", "lid", "top").hint("merge").join(built.hint("merge"), "id", "left")
     kind = F.when(class_range("building"), F.col("type") - 900).otherwise(1)
     items = [F.struct(F.lit(n).alias("var"), v.cast("double").alias("value")) for n, v in (("building_id", F.col("lid")), ("buildings_2d", F.col("top") * dz), ("building_type", kind))]
     return b.select("j", "i", F.explode(F.array(*items)).alias("v")).select("v.var", "j", "i", "v.value")
