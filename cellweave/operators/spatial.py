@@ -68,19 +68,22 @@ def inside(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") ->
     # kind of crossing beside a point: a piece, or a line that is crossed at ya
     none = F.lit(None).cast("double")
     events = pieces.select("gid", "i", "j", "xa", "ya", "xb", "yb").unionByName(lines.select("gid", "i", "j", none.alias("xa"), F.col("y").alias("ya"), none.alias("xb"), none.alias("yb")))
-    events = cut(events)
-    at = events.groupBy("gid", "i", "j").agg(F.count_if(F.col("xa").isNull()).alias("n"))
+    # sent once to their polygon's column, and from there once to the points as one row for each cell
+    at = events.repartition("gid", "i").groupBy("gid", "i", "j").agg(F.count_if(F.col("xa").isNull()).alias("n"), F.collect_list(F.struct("xa", "ya", "xb", "yb")).alias("events"))
     w = W.partitionBy("gid", "i").orderBy(F.desc("j"))
-    at = at.select("gid", "i", "j", (F.sum("n").over(w) - F.col("n")).alias("above"), F.sum("n").over(w).alias("below"), F.lead("j").over(w).alias("next"))
-    full = at.filter("below % 2 = 1 and next + 1 <= j - 1").select("gid", "i", F.explode(F.sequence(F.col("next") + 1, F.col("j") - 1)).alias("j"))
-    # written and exploded tables look small to the planner, so all three joins are told not to broadcast
-    sure = p.hint("merge").join(full.hint("merge"), ["i", "j"]).select(pid, "gid")
-    near = p.hint("merge").join(at.select("gid", "i", "j", "above").hint("merge"), ["i", "j"]).join(events.hint("merge"), ["gid", "i", "j"])
-    y, px = F.col("y"), F.col("x")
-    x_at = F.when(xa == xb, xa).otherwise(xa + (y - ya) * (xb - xa) / F.when(ya == yb, None).otherwise(yb - ya))
-    hit = F.when(xa.isNull(), ya > y).otherwise(((ya > y) != (yb > y)) & (x_at <= px))
-    odd = near.groupBy(pid, "gid").agg((F.count_if(hit) + F.first("above")).alias("n")).filter("n % 2 = 1").select(pid, "gid")
-    return sure.unionByName(odd)
+    at = at.select("gid", "i", "j", "events", (F.sum("n").over(w) - F.col("n")).alias("above"), F.sum("n").over(w).alias("below"), F.lead("j").over(w).alias("next"))
+    filled = F.when((F.col("below") % 2 == 1) & (F.col("next") + 1 <= F.col("j") - 1), F.sequence(F.col("next") + 1, F.col("j") - 1))
+    full = F.transform(filled, lambda j: F.struct(j.alias("j"), F.lit(1).cast("long").alias("above"), F.slice("events", 1, 0).alias("events")))
+    cells = at.select("gid", "i", F.explode(F.concat(F.array(F.struct("j", "above", "events")), F.coalesce(full, F.array()))).alias("c")).select("gid", "i", "c.*")
+
+    def hit(e: Column) -> Column:
+        y, xa, ya, xb, yb = F.col("y"), e["xa"], e["ya"], e["xb"], e["yb"]
+        x_at = F.when(xa == xb, xa).otherwise(xa + (y - ya) * (xb - xa) / F.when(ya == yb, None).otherwise(yb - ya))
+        return F.when(xa.isNull(), ya > y).otherwise(((ya > y) != (yb > y)) & (x_at <= F.col("x")))
+
+    # exploded tables look small to the planner, so the join is told not to broadcast
+    near = p.hint("merge").join(cells.hint("merge"), ["i", "j"])
+    return near.filter((F.col("above") + F.size(F.filter("events", hit))) % 2 == 1).select(pid, "gid")
 
 
 def points_in_polygons(points: DataFrame, edges: DataFrame, dom: Domain, pid: str = "id") -> DataFrame:

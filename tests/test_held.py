@@ -10,6 +10,7 @@ from cellweave.domain import Domain
 from cellweave.operators import canopy as cp
 from cellweave.operators import cube as cb
 from cellweave.operators import edges as ed
+from cellweave.operators import lines as ln
 from cellweave.operators import raster as rs
 from cellweave.operators import spatial as sp
 from cellweave.plans import grid_queries as gq
@@ -121,3 +122,19 @@ def test_written_cube_is_whole_over_its_cells(spark, tmp_path):
     got = {(r["var"], r["j"], r["i"]): r["value"] for r in cube_files.read_cube(spark, str(tmp_path / "cube")).collect()}
     assert len(got) == 6 and got["a", 0, 0] == 1.5 and math.isnan(got["b", 0, 1])
     assert all(v == -9999.0 for k, v in got.items() if k not in {("a", 0, 0), ("b", 0, 1)})
+
+
+def test_points_meet_polygons_in_one_join(spark):
+    rng = random.Random(8)
+    polygons = {g: star(g, rng.uniform(0, 60), rng.uniform(0, 60), rng.uniform(3, 30), 13, rng) for g in range(12)}
+    points = [(k, rng.uniform(-5, 65), rng.uniform(-5, 65)) for k in range(400)]
+    found = sp.inside(spark.createDataFrame(points, "id int, x double, y double"), spark.createDataFrame([e for p in polygons.values() for e in p], EDGES), Domain(1, 1, 7.0, 5.0, 1.0, 0.0, 0.0))
+    assert shuffles(found) == 3  # edges to columns, cells and points to each other
+    rows = found.collect()
+    assert len(rows) == len(set(rows)) and {(r["id"], r["gid"]) for r in rows} == {(k, g) for k, x, y in points for g, e in polygons.items() if holds(e, x, y)}
+
+
+def test_lines_are_dealt_to_all_tasks(spark):
+    segments = spark.range(400).select((F.col("id") * 10.0).alias("xa"), F.lit(0.0).alias("ya"), (F.col("id") * 10.0 + 5).alias("xb"), F.lit(0.0).alias("yb"))
+    df = ln.merge_lines(segments)
+    assert any("Exchange hashpartitioning(line" in line and "REPARTITION_BY_NUM" in line for line in plan(df)) and df.count() == 400
