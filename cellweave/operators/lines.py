@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.operators.components import connected_components
-from cellweave.session import cut
+from cellweave.session import cut, shuffle_parts
 
 #: What a step to the neighbour adds to the spread at a corner of right angles, in cells.
 STEP = 0.52
@@ -119,7 +119,8 @@ def merge_lines(segments: DataFrame) -> DataFrame:
             p = p[::-1]
         return pd.DataFrame({"line": [df["line"].iloc[0]], "n": [len(p)], "points": [[{"x": x, "y": y} for x, y in p.tolist()]]})
 
-    return named.groupBy("line").applyInPandas(run, "line long, n int, points array<struct<x:double,y:double>>")
+    # lines are many and small: by the size of their rows alone they would meet in a few tasks
+    return named.repartition(shuffle_parts(named.sparkSession), "line").groupBy("line").applyInPandas(run, "line long, n int, points array<struct<x:double,y:double>>")
 
 
 def _douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
