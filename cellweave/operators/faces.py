@@ -198,6 +198,31 @@ def split_flat_tops(faces: DataFrame, dz: float, verts: str = "verts") -> DataFr
     return f.withColumn(verts, F.col("piece.verts")).withColumn("part", F.col("piece.part")).filter((F.col("part") == 0) | (F.size(verts) >= 3)).drop("piece", "low", "top")
 
 
+def _keys(rings: pa.ListArray, dom: Domain) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], list[pa.Array]]:
+    """Of every vertex: its ring, its place there, whether it has no key, (k, j, i, dir, len), and its coordinates."""
+    of = pc.list_parent_indices(rings).to_numpy().astype("int64")
+    shown = rings.flatten().flatten()
+    xyz = [c.to_numpy(zero_copy_only=False) for c in shown]  # null as NaN
+    starts = _starts(of, len(rings))
+    at, here = np.arange(of.size) - starts[of], np.arange(of.size)
+    before = np.where(at == 0, starts[of + 1] - 1, here - 1)
+    after = np.where(here + 1 == starts[of + 1], starts[of], here + 1)
+    u, w = [c - c[before] for c in xyz], [c[after] - c for c in xyz]
+    cell = [(xyz[0] - dom.origin_x) / dom.dx, (xyz[1] - dom.origin_y) / dom.dy, xyz[2] / dom.dz]
+    near = [np.rint(c) for c in cell]
+    on = [np.abs(c - r) < 1e-9 for c, r in zip(cell, near)]
+    lean, found = [], []
+    for n, c in enumerate((2, 1, 0)):
+        p, q = (c + 1) % 3, (c + 2) % 3
+        turn = u[p] * w[q] - u[q] * w[p]
+        full = np.where(on[c], near[c], np.where(turn >= 0, np.floor(cell[c]), np.ceil(cell[c])))
+        lean.append(np.where(on[p] & on[q] & ~np.isnan(cell[c]), np.where(np.isnan(turn), -0.5, np.abs(turn)), -1.0))
+        found.append([*[full if e == c else near[e] for e in (2, 1, 0)], np.where(turn >= 0, 2.0 * n, 2.0 * n + 1), np.where(on[c], 0.0, np.abs(cell[c] - full))])
+    most = np.argmax(lean, axis=0)  # the first of equals: k, j, i
+    none = np.max(lean, axis=0) == -1
+    return of, at, none, [np.where(none, 0.0, np.choose(most, [f[v] for f in found])) for v in range(5)], shown
+
+
 def vertex_keys(faces: DataFrame, dom: Domain, fid: str = "fid", verts: str = "verts") -> DataFrame:
     """fid, at, k, j, i, dir, len, x, y, z: the edge of the cell that each vertex lies on, as full corner and direction to the free one, and its distance from the full corner in cells.
 
@@ -208,28 +233,7 @@ def vertex_keys(faces: DataFrame, dom: Domain, fid: str = "fid", verts: str = "v
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rings = b.column("verts")
-            of = pc.list_parent_indices(rings).to_numpy().astype("int64")
-            shown = rings.flatten().flatten()
-            xyz = [c.to_numpy(zero_copy_only=False) for c in shown]  # null as NaN
-            starts = _starts(of, len(rings))
-            at, here = np.arange(of.size) - starts[of], np.arange(of.size)
-            before = np.where(at == 0, starts[of + 1] - 1, here - 1)
-            after = np.where(here + 1 == starts[of + 1], starts[of], here + 1)
-            u, w = [c - c[before] for c in xyz], [c[after] - c for c in xyz]
-            cell = [(xyz[0] - dom.origin_x) / dom.dx, (xyz[1] - dom.origin_y) / dom.dy, xyz[2] / dom.dz]
-            near = [np.rint(c) for c in cell]
-            on = [np.abs(c - r) < 1e-9 for c, r in zip(cell, near)]
-            lean, found = [], []
-            for n, c in enumerate((2, 1, 0)):
-                p, q = (c + 1) % 3, (c + 2) % 3
-                turn = u[p] * w[q] - u[q] * w[p]
-                full = np.where(on[c], near[c], np.where(turn >= 0, np.floor(cell[c]), np.ceil(cell[c])))
-                lean.append(np.where(on[p] & on[q] & ~np.isnan(cell[c]), np.where(np.isnan(turn), -0.5, np.abs(turn)), -1.0))
-                found.append([*[full if e == c else near[e] for e in (2, 1, 0)], np.where(turn >= 0, 2.0 * n, 2.0 * n + 1), np.where(on[c], 0.0, np.abs(cell[c] - full))])
-            most = np.argmax(lean, axis=0)  # the first of equals: k, j, i
-            none = np.max(lean, axis=0) == -1
-            e = [np.where(none, 0.0, np.choose(most, [f[v] for f in found])) for v in range(5)]
+            of, at, none, e, shown = _keys(b.column("verts"), dom)
             e = [pa.array(v if n == 4 else v.astype("int32"), mask=none) for n, v in enumerate(e)]
             yield pa.RecordBatch.from_arrays([b.column("fid").take(pa.array(of)), pa.array(at, pa.int32()), *e, *shown], names)
 
@@ -291,3 +295,85 @@ def watertight_check(refs: DataFrame, vertices: DataFrame, dom: Domain) -> DataF
     due = F.when(sides == 0, 4).when(sides == 1, 2).when(sides == 2, 1).otherwise(-1)
     wrong = per.filter((F.col("n") != due) & ~F.col("single") & (F.col("len") != 0)).select(F.lit("faces").alias("rule"), F.col("vid").cast("string").alias("what"), "n")
     return clash.unionByName(found).unionByName(wrong)
+
+
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where each group begins in it."""
+    order = np.lexsort(keys)
+    new = np.ones(order.size, bool)
+    new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+    return order, np.flatnonzero(new)
+
+
+def closed_check(faces: DataFrame, dom: Domain, here: Column | None = None, fid: str = "fid", verts: str = "verts") -> DataFrame:
+    """rule, what, k, j, i, dir, n: the rules of ``watertight_check`` for the index of ``faces`` itself; k, j, i, dir: the vertex of rule "faces", else null.
+
+    Faces that are not ``here`` have vertices in the index, but are missing from the surface. Rules of a face, and which of its vertices
+    share a full corner, are found in whole batches of rings. For the rest all that is known of a corner meets in one row: the
+    faces of the up to six vertices that lie on its edges, and bits for what holds of them. One shuffle of about a row for each corner,
+    combined before it is sent; no index is numbered, written or joined.
+    """
+    steps = np.array(STEPS)
+    counts = [f"n{d}" for d in range(6)]
+    # bits by direction: the corner is full in a vertex (0), which lies on it (6), it is free in one (12); from 18 on
+    # for each direction which vertices of that corner share a face with its vertex
+    names = ["rule", "what", "k", "j", "i", *counts, "bits"]
+    kinds = {"rule": T.StringType(), "what": T.StringType(), **dict.fromkeys("kji", T.IntegerType())}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.LongType())) for n in names])
+
+    def defects(own: pa.Array, of: np.ndarray, at: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, first = np.unique(of, return_index=True)
+        size = np.diff(np.append(first, of.size))
+        last, end = first + size - 1, at + steps[d]
+        gap = at[1:] - at[:-1]
+        straight = ((gap * steps[d[:-1]]).sum(1) != 0) | (np.abs(gap).sum(1) != 1)
+        apart = (gap != 0).any(1) & (end[1:] != end[:-1]).any(1)
+        bad = np.append(np.where(d[1:] == d[:-1], straight, apart) & (of[1:] == of[:-1]), False)
+        back = (at[first] == at[last]).all(1) & (d[first] == d[last])
+        for rule, n in (("repeated", np.where(back, size, 0)), ("edge", np.add.reduceat(bad.astype("int64"), first))):
+            if hit := np.flatnonzero(n).tolist():
+                none, zero = pa.nulls(len(hit), pa.int32()), pa.array(np.zeros(len(hit), "int64"))
+                yield pa.RecordBatch.from_arrays([pa.array([rule] * len(hit)), own.take(pa.array(rows[hit])), none, none, none, pa.array(n[hit]), *[zero] * 6], names)
+
+    def looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of, _, none, e, _ = _keys(b.column("verts"), dom)
+            of, e = of[~none], [v[~none] for v in e]
+            if not of.size:
+                continue
+            at, d, zero = np.stack(e[:3], 1).astype("int64"), e[3].astype("int64"), e[4] == 0
+            on = b.column("here").to_numpy(zero_copy_only=False)[of]
+            if on.any():
+                yield from defects(b.column("what"), of[on], at[on], d[on])
+            order, first = _groups(*at.T, of)
+            shared = np.repeat(np.bitwise_or.reduceat((1 << d)[order], first), np.diff(np.append(first, of.size)))
+            near = np.empty_like(d)
+            near[order] = shared
+            bits = np.concatenate([(1 << d) | (zero << (6 + d)) | np.where(on, near << (18 + 6 * d), 0), 1 << (12 + d)])
+            corner = np.concatenate([at, at + steps[d]])
+            order, first = _groups(*corner.T)
+            n = [np.add.reduceat(np.concatenate([on & (d == x), np.zeros(d.size, bool)])[order].astype("int64"), first) for x in range(6)]
+            made = [pa.array(v) for v in (*corner[order[first]].astype("int32").T, *n, np.bitwise_or.reduceat(bits[order], first))]
+            none = pa.nulls(first.size, pa.string())
+            yield pa.RecordBatch.from_arrays([none, none, *made], names)
+
+    f = faces.select(F.col(fid).cast("string").alias("what"), _as_rings(faces, verts).alias("verts"), F.coalesce(F.lit(True) if here is None else here, F.lit(False)).alias("here"))
+    c = f.mapInArrow(looked, schema).groupBy("rule", "what", "k", "j", "i").agg(*[F.sum(n).alias(n) for n in counts], F.expr("bit_or(bits)").alias("bits"))
+
+    part = lambda low, size=6: F.shiftright(F.col("bits"), low).bitwiseAND((1 << size) - 1)
+
+    def due(d: int) -> Column:
+        flat = [x for x, s in zip("kji", STEPS[d]) if s == 0]
+        sides = sum((F.col(x).isin([0, *([n] if n is not None else [])]).cast("int") for x, n in (("i", dom.nx), ("j", dom.ny), ("k", None)) if x in flat), F.lit(0))
+        return F.when(sides == 0, 4).when(sides == 1, 2).when(sides == 2, 1).otherwise(-1)
+
+    key = [F.lit(None).cast("int").alias(x) for x in ("k", "j", "i", "dir")]
+    row = lambda rule, what, n, k=key: F.struct(rule.alias("rule"), what.alias("what"), *k, n.cast("long").alias("n"))
+    wrong = []
+    for d in range(6):
+        single = part(18 + 6 * d).bitwiseAND(part(6)) != 0
+        odd = (part(d, 1) == 1) & (F.col(f"n{d}") != due(d)) & ~single & (part(6 + d, 1) == 0)
+        wrong.append(F.when(odd, row(F.lit("faces"), F.concat_ws(",", "k", "j", "i", F.lit(d)), F.col(f"n{d}"), [F.col("k"), F.col("j"), F.col("i"), F.lit(d).alias("dir")])))
+    clash = F.when((part(0) != 0) & (part(12) != 0), row(F.lit("corner"), F.concat_ws(",", "k", "j", "i"), F.bit_count(part(0)) + F.bit_count(part(12))))
+    of_face = F.when(F.col("rule").isNotNull(), F.array(row(F.col("rule"), F.col("what"), F.col("n0"))))
+    return c.select(F.explode(F.filter(F.coalesce(of_face, F.array(clash, *wrong)), lambda r: r.isNotNull())).alias("r")).select("r.*")
