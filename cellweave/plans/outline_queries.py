@@ -14,6 +14,7 @@ from cellweave.operators import cutcell as cc
 from cellweave.operators import edges as ed
 from cellweave.operators import landcover as lc
 from cellweave.operators import lines as ln
+from cellweave.operators import spatial as sp
 from cellweave.plans import grid_queries as gq
 from cellweave.plans.grid_queries import CL, LC, PAIRS, D, L, query
 
@@ -141,23 +142,21 @@ ch AS (SELECT gid, i, j, min(edge) AS edge, min(ROW(x, y)) AS p, max(ROW(x, y))
 
 def apart_edges(s, d) -> DataFrame:
     x, y, rx, ry = F.col("cx"), F.col("cy"), F.col("rx") * 0.8, F.col("ry") * 0.8
-    return ed.ring_edges(L(s, d, "fx_diamond"), "gid", [(x + rx, y), (x, y + ry), (x - rx, y), (x, y - ry)])
+    # partitioned before they grow to edges and border points
+    return ed.ring_edges(L(s, d, "fx_diamond").repartition(sp.tasks(s, D(s, d)), "gid"), "gid", [(x + rx, y), (x, y + ry), (x - rx, y), (x, y - ry)])
 
 
-def halves(s, d) -> tuple[DataFrame, DataFrame]:
+def halves(s, d) -> DataFrame:
     e, dom = apart_edges(s, d), D(s, d)
-    points = cc.grid_points(e, dom)
-    return points, cc.split_cell(cc.chords(points), ar.dissolve(e), dom)
+    return cc.split_cell(cc.chords(cc.grid_points(e, dom)), ar.dissolve(e), dom)
 
 
 @query("k7_split_cell")
 def _(s, d):
-    return halves(s, d)[1].select("gid", "i", "j", "side", F.round("area", 4).alias("area"), F.round("share", 4).alias("share"))
+    return halves(s, d).select("gid", "i", "j", "side", F.round("area", 4).alias("area"), F.round("share", 4).alias("share"))
 
 
 @query("k8_chord_normal", f"""WITH {APART}, v AS (SELECT ch.*, q[1] - p[1] AS vx, q[2] - p[2] AS vy, yb - ya AS ox, xa - xb AS oy FROM ch JOIN e USING (gid, edge) WHERE edges = 1 AND n = 2)
 SELECT gid, i, j, round(sign(vy * ox - vx * oy) * vy / sqrt(vx ** 2 + vy ** 2), 6) AS nx, round(-sign(vy * ox - vx * oy) * vx / sqrt(vx ** 2 + vy ** 2), 6) AS ny FROM v""")
 def _(s, d):
-    points, half = halves(s, d)
-    straight = points.groupBy("gid", "i", "j").agg(F.count_distinct("edge").alias("edges"), F.count("*").alias("n")).filter("edges = 1 and n = 2")
-    return half.join(straight, ["gid", "i", "j"]).select("gid", "i", "j", F.round("nx", 6).alias("nx"), F.round("ny", 6).alias("ny"))
+    return halves(s, d).filter("plain").select("gid", "i", "j", F.round("nx", 6).alias("nx"), F.round("ny", 6).alias("ny"))
