@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellweave.operators.components import connected_components
 from cellweave.session import cut, discard
@@ -73,9 +74,9 @@ def fill_minima(cells: DataFrame) -> DataFrame:
     return _raised(around(cells, "nz", FOUR), "nz")
 
 
-def fill_minima_all(cells: DataFrame, most: int = 100) -> DataFrame:
+def fill_minima_all(cells: DataFrame, most: int = 100, at_once: int = 25) -> DataFrame:
     """Rounds of ``fill_minima`` to the fixpoint; levels only rise, so it ends. An error if ``most`` rounds are not enough."""
-    return _rounds(cells, "nz", fill_minima, most, must_end=True)
+    return _raised_all(cells, most, at_once, must_end=True)
 
 
 def fill_corners(cells: DataFrame, nx: int, ny: int, ghost: int = 9999) -> DataFrame:
@@ -94,9 +95,57 @@ def _rounds(cells: DataFrame, column: str, round_: Callable[[DataFrame], DataFra
     return until_still(cells, step, most, must_end)
 
 
-def fill_corners_all(cells: DataFrame, nx: int, ny: int, most: int = 50) -> DataFrame:
+def fill_corners_all(cells: DataFrame, nx: int, ny: int, most: int = 50, ghost: int = 9999, at_once: int = 25) -> DataFrame:
     """Rounds of ``fill_corners`` until nothing changes, at most ``most``."""
-    return _rounds(cells, "nz", lambda s: fill_corners(s, nx, ny), most)
+    return _raised_all(cells, most, at_once, frame=(nx, ny, ghost))
+
+
+def _raised_all(cells: DataFrame, most: int, at_once: int, frame: tuple[int, int, int] | None = None, must_end: bool = False) -> DataFrame:
+    """Rounds of ``_raised`` until nothing changes, at most ``most``; ``at_once`` of them for each time that the cells are sent. ``frame``: nx, ny and level of the ghosts around."""
+    last, still = None, False
+    for done in range(0, most, at_once):
+        cells = cut(_in_tiles(cells, "nz", min(at_once, most - done), _raising(min(at_once, most - done), frame), mark="changed", placed=True))
+        discard(last)
+        last, still = cells, cells.filter("changed").isEmpty()
+        cells = cells.drop("changed")
+        if still:
+            break
+    if must_end and not still:
+        raise RuntimeError(f"not still after {most} rounds")
+    return cells
+
+
+def _raising(rounds: int, frame: tuple[int, int, int] | None) -> Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Work of ``_in_tiles``: the rounds, and which cells the last of them still changed. A round reaches one cell far."""
+
+    def work(z: np.ndarray, known: np.ndarray, i0: int, j0: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        z = z.astype("int64") if z.dtype.kind == "i" else z  # ghosts may be higher than the levels' type reaches
+        far = np.iinfo(z.dtype).max if z.dtype.kind == "i" else np.inf
+        sides = [(a, b, known[here] & known[there]) for here, there in _sides() for a, b in ((here, there), (there, here))]
+        border = np.zeros(z.shape, "int8")
+        if frame:
+            nx, ny, ghost = frame
+            for axis, first, n in ((0, i0, nx), (1, j0, ny)):
+                at = np.arange(z.shape[axis]) + first
+                border += np.expand_dims((at == 0).astype("int8") + (at == n - 1), 1 - axis)
+        up = np.zeros(z.shape, bool)
+        for _ in range(rounds):
+            k, low = np.zeros(z.shape, "int8"), np.full(z.shape, far, z.dtype)
+            for a, b, both in sides:
+                higher = both & (z[b] > z[a])
+                k[a] += higher
+                low[a] = np.where(higher, np.minimum(low[a], z[b]), low[a])
+            if frame:
+                higher = (border > 0) & (ghost > z)
+                k += np.where(higher, border, 0).astype("int8")
+                low = np.where(higher, np.minimum(low, ghost), low).astype(z.dtype)
+            up = known & (k > 2)
+            if not up.any():
+                break
+            z = np.where(up, low, z)
+        return z, known, up
+
+    return work
 
 
 def fill_building_holes(cells: DataFrame, nx: int, ny: int) -> DataFrame:
@@ -144,14 +193,17 @@ def fill_layer_pockets_all(cells: DataFrame, low: int, high: int, most: int) ->
     return cells
 
 
-def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[..., np.ndarray | tuple[np.ndarray, np.ndarray]], tile: int = 256, also: tuple[str, ...] = ()) -> DataFrame:
+def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[..., np.ndarray | tuple[np.ndarray, ...]], tile: int = 256, also: tuple[str, ...] = (), mark: str | None = None, placed: bool = False) -> DataFrame:
     """The cells with ``work`` (values, which are known) of ``value`` done in squares of ``tile`` cells, each with the ``halo`` cells around it.
 
     Null stays null, unless ``work`` returns what is known as well. It is also given the ranks of the columns ``also``
-    within the square (equal values one rank, from 1; 0 for null and where there is no cell).
+    within the square (equal values one rank, from 1; 0 for null and where there is no cell), and the place of its first cell
+    if it is ``placed``; with ``mark`` it also returns a flag of each cell, which becomes a column of that name.
     One shuffle and no join; a task holds one square at a time, whatever the regions in it look like.
     """
     names, schema = cells.columns, cells.schema
+    if mark:
+        schema = T.StructType([*schema.fields, T.StructField(mark, T.BooleanType())])
     to = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / tile).cast("int"), F.floor((F.col(c) + halo) / tile).cast("int")))
     own = (F.col("_ti") == F.floor(F.col("i") / tile)) & (F.col("_tj") == F.floor(F.col("j") / tile))
     sent = cells.withColumn("_ti", to("i")).withColumn("_tj", to("j")).withColumn("_own", own)
@@ -160,7 +212,8 @@ def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[..., np.nd
     def one(t: pa.Table) -> pa.Table:
         i, j = t["i"].to_numpy().astype("int64"), t["j"].to_numpy().astype("int64")
         v, there = t[value].combine_chunks(), t[value].is_valid().to_numpy(zero_copy_only=False)
-        i, j = i - i.min(), j - j.min()
+        place = (int(i.min()), int(j.min()))
+        i, j = i - place[0], j - place[1]
         z, known = np.zeros((i.max() + 1, j.max() + 1), v.type.to_pandas_dtype()), np.zeros((i.max() + 1, j.max() + 1), bool)
         z[i, j], known[i, j] = v.fill_null(0).to_numpy(zero_copy_only=False), there
         ranks = []
@@ -168,10 +221,12 @@ def _in_tiles(cells: DataFrame, value: str, halo: int, work: Callable[..., np.nd
             col = t[c].combine_chunks()
             ranks.append(np.zeros(z.shape, "int64"))
             ranks[-1][i, j] = np.where(col.is_valid().to_numpy(zero_copy_only=False), pc.rank(col, tiebreaker="dense").to_numpy().astype("int64"), 0)
-        done = work(z, known, *ranks)
-        new, sure = done if isinstance(done, tuple) else (done, known)
-        new = pa.array(new[i, j], v.type, mask=~sure[i, j])
-        return t.set_column(t.column_names.index(value), value, new).filter(t["_own"]).select(names)
+        done = work(z, known, *ranks, *(place if placed else ()))
+        new, sure, *flag = done if isinstance(done, tuple) else (done, known)
+        t = t.set_column(t.column_names.index(value), value, pa.array(new[i, j], v.type, mask=~sure[i, j]))
+        if mark:
+            t = t.append_column(mark, pa.array(flag[0][i, j]))
+        return t.filter(t["_own"]).select([*names, mark] if mark else names)
 
     return sent.groupBy("_ti", "_tj").applyInArrow(one, schema)
 
